@@ -8,5 +8,5 @@ from tessera.functions.vectors import (  # noqa: F401
     l2_norm, l2_normalize, squared_l2, similarity_from_d2,
 )
 from tessera.functions.ordering import (  # noqa: F401
-    md5_fraction, md5_order_key, global_index, broadcast_if_small,
+    md5_fraction, md5_order_key, global_index, broadcast_if_small, spread,
 )

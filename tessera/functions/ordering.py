@@ -56,3 +56,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     bound it is returned as is and Spark shuffles (AQE may still convert)."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work (chunking, embedding, splitting) at least
+    one task per core.  A small table stored as one row group reads as a
+    single partition; a large input already has many splits and is returned
+    untouched (no shuffle of the data at scale)."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

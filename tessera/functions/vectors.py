@@ -15,13 +15,25 @@ def l2_norm(v) -> Column:
                               lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
-def l2_normalize(v) -> Column:
-    """Unit length; a zero vector stays zero.  Result is ``array<double>``."""
-    n = l2_norm(v)
-    return F.transform(_col(v), lambda x: F.when(n > 0, x.cast("double") / n)
+def unit(acc: Column, sq: Column) -> Column:
+    """``acc / sqrt(sq)`` elementwise, zero vector unchanged."""
+    n = F.sqrt(sq)
+    return F.transform(acc, lambda x: F.when(n > 0, x.cast("double") / n)
                        .otherwise(x.cast("double")))
 
 
+def l2_normalize(v) -> Column:
+    """Unit length; a zero vector stays zero.  Result is ``array<double>``.
+
+    The squared norm is the accumulator of one ``aggregate`` and the division
+    happens in its finish function, so the norm is computed once per row
+    (expressions are not shared inside lambdas)."""
+    v = _col(v)
+    return F.aggregate(v, F.lit(0.0).cast("double"),
+                       lambda s, x: s + x.cast("double") * x.cast("double"),
+                       lambda s: unit(v, s))
+
+
 def squared_l2(a, b) -> Column:
     """Squared Euclidean distance in double precision (expression form)."""
     return F.aggregate(

@@ -16,3 +16,171 @@ SELECT q_id, vec_id, CAST(rk AS INTEGER) AS rank, round(d2, 6) AS d2,
 FROM r WHERE rk <= 5
 """,
 }
+
+
+# ------------------------------------------------------------------ fragments
+def _words(x: str) -> str:
+    return rf"list_filter(regexp_split_to_array({x}, '\s+'), lambda w: w <> '')"
+
+
+def _lwords(x: str) -> str:
+    return _words(f"lower({x})")
+
+
+def _bucket(w: str, dim: int = 64) -> str:
+    return f"((('0x' || substr(md5({w}), 1, 4))::INTEGER) % {dim})"
+
+
+def _hash_embed_cte(name: str, src: str, key_cols: str, text: str, dim: int = 64) -> str:
+    """CTEs ending in ``name``: key_cols + e (unit hash vector)."""
+    return f"""
+{name}_b AS (SELECT {key_cols}, list_transform({_lwords(text)}, lambda w: {_bucket('w', dim)}) AS bk
+             FROM {src}),
+{name}_c AS (SELECT {key_cols},
+                    list_transform(range({dim}), lambda b: len(list_filter(bk, lambda x: x = b))::DOUBLE) AS cnt
+             FROM {name}_b),
+{name}_n AS (SELECT *, sqrt(list_sum(list_transform(cnt, lambda x: x * x))) AS nrm FROM {name}_c),
+{name} AS (SELECT {key_cols},
+                  list_transform(cnt, lambda x: CASE WHEN nrm > 0 THEN x / nrm ELSE x END) AS e
+           FROM {name}_n)"""
+
+
+def _chunks_cte(name: str, size: int, extra: str = ", source") -> str:
+    return f"""
+{name}_w AS (SELECT doc_id{extra}, {_words('text')} AS ws FROM documents),
+{name}_a AS (SELECT doc_id{extra},
+                    list_transform(range(0, len(ws), {size}),
+                                   lambda i: array_to_string(ws[i + 1:i + {size}], ' ')) AS cs
+             FROM {name}_w),
+{name} AS (SELECT * FROM (
+             SELECT doc_id{extra}, unnest(cs) AS text,
+                    CAST(generate_subscripts(cs, 1) - 1 AS INTEGER) AS chunk_id
+             FROM {name}_a) WHERE text <> '')"""
+
+
+_VOCAB_CTES = f"""
+occ_w AS (SELECT doc_id, {_words('text')} AS ws FROM documents),
+occ AS (SELECT doc_id, unnest(ws) AS token, generate_subscripts(ws, 1) AS pos FROM occ_w),
+voc AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) AS INTEGER) AS id, n
+        FROM (SELECT token, count(*) AS n FROM occ GROUP BY token)),
+enc AS (SELECT d.doc_id, coalesce(e.ids, []::INTEGER[]) AS input_ids
+        FROM documents d LEFT JOIN (
+          SELECT doc_id, list(id ORDER BY pos) AS ids FROM occ JOIN voc USING (token)
+          GROUP BY doc_id) e USING (doc_id))"""
+
+_WINDOWS_CTES = _VOCAB_CTES + """,
+win AS (SELECT doc_id, list_filter(list_transform(range(0, len(input_ids), 96),
+                                                  lambda i: input_ids[i + 1:i + 128]),
+                                   lambda w: len(w) >= 10) AS ws FROM enc),
+tw AS (SELECT doc_id, unnest(ws) AS input_ids,
+              CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS chunk_id FROM win)"""
+
+# search store: 64-word chunks of documents, 64-bucket hash vectors, top 5
+_SEARCH_CTES = ("WITH " + _chunks_cte("ch", 64).strip() + "," +
+                _hash_embed_cte("ce", "ch", "doc_id, chunk_id, source, text", "text") + "," +
+                _hash_embed_cte("qe", "(SELECT item_id AS q_id, text AS question FROM benchmark)",
+                                "q_id, question", "question") + f""",
+dd AS (SELECT q.q_id, q.question, c.doc_id, c.chunk_id, c.source, c.text,
+              {_D2.format(a='q.e', b='c.e')} AS d2 FROM qe q, ce c),
+rr AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(d2, 9), doc_id, chunk_id) AS rk
+       FROM dd),
+hits AS (SELECT q_id, question, doc_id, chunk_id, source, text, d2, 1 - d2 / 2 AS similarity,
+                CAST(rk AS INTEGER) AS rank FROM rr WHERE rk <= 5),
+ov AS (SELECT *, CAST(len(list_intersect({_lwords('question')}, {_lwords('text')})) AS INTEGER) AS overlap
+       FROM hits),
+sc AS (SELECT *, similarity * (1 + 0.1 * overlap) AS score FROM ov),
+rer AS (SELECT * EXCLUDE (rank), rank AS prev_rank,
+               CAST(row_number() OVER (PARTITION BY q_id ORDER BY round(score, 9) DESC, rank)
+                    AS INTEGER) AS rank FROM sc),
+ctx AS (SELECT q_id, string_agg('[Document ' || rank || ']: ' || text, chr(10) || chr(10)
+                                ORDER BY rank) AS context FROM rer GROUP BY q_id),
+qctx AS (SELECT b.item_id AS q_id, b.text AS question, coalesce(c.context, '') AS context
+         FROM benchmark b LEFT JOIN ctx c ON c.q_id = b.item_id)
+""")
+
+_RAG_HEAD = ("'You are a helpful assistant. Answer the question based on the provided context.' "
+             "|| chr(10) || 'If the context doesn''t contain relevant information, say \"I don''t "
+             "have enough information to answer this question.\"' || chr(10) || chr(10) || "
+             "'Context:' || chr(10)")
+_NL2 = "chr(10) || chr(10)"
+
+
+def _rag_prompt(q: str, c: str) -> str:
+    return f"({_RAG_HEAD} || {c} || {_NL2} || 'Question: ' || {q} || {_NL2} || 'Answer:')"
+
+
+def _plain_prompt(q: str) -> str:
+    return f"('Question: ' || {q} || {_NL2} || 'Answer:')"
+
+
+_EXTRACT = ("'Extract knowledge triples (subject, relation, object) from the text below. "
+            "Return ONLY a list of Python tuples like [(subject, relation, object), ...].'")
+
+
+def _round_list(x: str) -> str:
+    return f"list_transform({x}, lambda x: round(x, 6))"
+
+
+ORACLE_SQL.update({
+    "word_chunks": "WITH " + _chunks_cte("wc", 1500, "").strip() + f"""
+SELECT doc_id, chunk_id, CAST(len({_words('text')}) AS INTEGER) AS n_words,
+       CAST(length(text) AS INTEGER) AS n_chars, text FROM wc""",
+    "vocab_build": "WITH " + _VOCAB_CTES.strip() + "\nSELECT token, id, n FROM voc",
+    "vocab_encode": "WITH " + _VOCAB_CTES.strip() +
+    "\nSELECT doc_id, CAST(len(input_ids) AS INTEGER) AS n_tokens, input_ids FROM enc",
+    "token_windows": "WITH " + _WINDOWS_CTES.strip() +
+    "\nSELECT doc_id, chunk_id, CAST(len(input_ids) AS INTEGER) AS n_tokens, input_ids FROM tw",
+    "token_windows_padded": "WITH " + _WINDOWS_CTES.strip() + """,
+pad AS (SELECT doc_id, chunk_id,
+               (input_ids || list_transform(range(greatest(128 - len(input_ids), 0)), lambda x: 0))
+               ::INTEGER[] AS input_ids FROM tw)
+SELECT doc_id, chunk_id, input_ids, input_ids AS labels,
+       list_transform(input_ids, lambda x: 1)::INTEGER[] AS attention_mask FROM pad""",
+    "truncate_tokens": "WITH " + _VOCAB_CTES.strip() + """
+SELECT doc_id, input_ids[1:512] AS input_ids, CAST(len(input_ids[1:512]) AS INTEGER) AS n_tokens
+FROM enc""",
+    "hash_embed": "WITH " + _hash_embed_cte("he", "documents", "doc_id", "text").strip() +
+    f"\nSELECT doc_id, {_round_list('e')} AS embedding FROM he",
+    "l2_normalize": """
+WITH n AS (SELECT vec_id, embedding,
+                  sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS nrm
+           FROM embeddings)
+SELECT vec_id, list_transform(embedding, lambda x: round(CASE WHEN nrm > 0 THEN x::DOUBLE / nrm
+                                                         ELSE x::DOUBLE END, 6)) AS embedding
+FROM n""",
+    "vector_norms": """
+SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6)
+       AS norm FROM embeddings""",
+    "mean_pool": """
+WITH t AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d
+           FROM embeddings),
+s AS (SELECT label, d, sum(x) / greatest(count(*)::DOUBLE, 1e-9) AS v FROM t GROUP BY label, d)
+SELECT label, list(round(v, 6) ORDER BY d) AS pooled FROM s GROUP BY label""",
+    "knn_similarity_filter": f"""
+WITH d AS (
+  SELECT q.vec_id AS q_id, e.vec_id, {_D2.format(a='q.embedding', b='e.embedding')} AS d2
+  FROM embeddings q, embeddings e),
+r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(d2, 9), vec_id) AS rk
+      FROM d)
+SELECT q_id, vec_id, CAST(rk AS INTEGER) AS rank, round(1 - d2 / 2, 6) AS similarity
+FROM r WHERE rk <= 5 AND round(1 - d2 / 2, 9) >= 0.35 AND vec_id <> q_id""",
+    "search_text": _SEARCH_CTES + """
+SELECT q_id, rank, doc_id, chunk_id, source, round(similarity, 6) AS similarity FROM hits""",
+    "search_rerank": _SEARCH_CTES + """
+SELECT q_id, rank, prev_rank, doc_id, chunk_id, overlap, round(similarity, 6) AS similarity,
+       round(score, 6) AS score FROM rer""",
+    "rerank_overlap": _SEARCH_CTES + f"""
+SELECT q_id, doc_id, chunk_id,
+       CAST(len(list_distinct({_lwords('question')})) AS INTEGER) AS n_query_terms, overlap
+FROM ov""",
+    "rag_context": _SEARCH_CTES + "SELECT q_id, context FROM qctx",
+    "rag_prompt": _SEARCH_CTES + f"SELECT q_id, {_rag_prompt('question', 'context')} AS prompt FROM qctx",
+    "plain_prompt": f"SELECT item_id AS q_id, {_plain_prompt('text')} AS prompt FROM benchmark",
+    "extract_prompt": f"""
+SELECT doc_id, ({_EXTRACT} || {_NL2} || 'Text: ' || text) AS prompt FROM documents""",
+    "retrieved_nested": _SEARCH_CTES + """
+SELECT q_id, CAST(count(*) AS INTEGER) AS n_chunks,
+       string_agg(concat_ws('|', rank::VARCHAR, source, chunk_id::VARCHAR,
+                            round(score, 6)::VARCHAR, md5(text)), ';' ORDER BY rank) AS retrieved
+FROM rer GROUP BY q_id""",
+})

@@ -34,3 +34,206 @@ def q_knn_flat(spark, sf_dir):
 QUERIES = {
     "knn_flat": q_knn_flat,
 }
+
+
+# ---------------------------------------------------------------- chunk family
+from tessera.functions.ordering import spread  # noqa: E402
+from tessera.functions.text import words  # noqa: E402
+from tessera.operators import chunking, embed, prompts, retrieval, splitter, vocab  # noqa: E402
+from tessera.operators.rerank import term_overlap  # noqa: E402
+
+EVAL_CHUNK_WORDS = 1500      # C3 size of the perplexity script
+WINDOW_MAX, WINDOW_STRIDE = 128, 32   # C2 at test scale (words as tokens)
+MIN_WINDOW = 10
+SEARCH_CHUNK_WORDS = 64     # chunk size of the text store
+DIM = 64                    # hash-embedding width
+SIM_THRESHOLD = 0.35
+
+
+def _docs(spark, sf_dir):
+    return spread(_t(spark, sf_dir, "documents"))
+
+
+def _questions(spark, sf_dir):
+    return _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("q_id"),
+                                                 F.col("text").alias("question"))
+
+
+def q_word_chunks(spark, sf_dir):
+    ch = chunking.word_chunks(_docs(spark, sf_dir), EVAL_CHUNK_WORDS)
+    return ch.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"),
+                     F.size(words("text")).alias("n_words"),
+                     F.length("text").alias("n_chars"), "text")
+
+
+def _encoded(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    return vocab.encode(docs, vocab.build_vocabulary(docs))
+
+
+def q_vocab_build(spark, sf_dir):
+    return vocab.build_vocabulary(_docs(spark, sf_dir))
+
+
+def q_vocab_encode(spark, sf_dir):
+    enc = _encoded(spark, sf_dir)
+    return enc.select("doc_id", F.size("input_ids").alias("n_tokens"), "input_ids")
+
+
+def q_token_windows(spark, sf_dir):
+    win = chunking.token_windows(_encoded(spark, sf_dir), "input_ids", WINDOW_MAX,
+                                 WINDOW_STRIDE, MIN_WINDOW)
+    return win.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"),
+                      F.size("input_ids").alias("n_tokens"), "input_ids")
+
+
+def q_token_windows_padded(spark, sf_dir):
+    win = chunking.token_windows(_encoded(spark, sf_dir), "input_ids", WINDOW_MAX,
+                                 WINDOW_STRIDE, MIN_WINDOW, pad_id=vocab.PAD_ID)
+    win = chunking.default_attention_mask(win)
+    return win.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"),
+                      "input_ids", "labels", "attention_mask")
+
+
+def q_truncate_tokens(spark, sf_dir):
+    """T5: ids cut to the model limit before a model sees them."""
+    enc = _encoded(spark, sf_dir)
+    return enc.select("doc_id", chunking.truncate("input_ids", 512).alias("input_ids"),
+                      F.size(chunking.truncate("input_ids", 512)).alias("n_tokens"))
+
+
+def q_recursive_chunks(spark, sf_dir):
+    ch = splitter.recursive_chunks(_docs(spark, sf_dir), 400, 50)
+    return ch.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"),
+                     F.length("text").alias("n_chars"), "text")
+
+
+# ---------------------------------------------------------------- vectors
+def _round_vec(c):
+    return F.transform(c, lambda x: F.round(x, 6))
+
+
+def q_hash_embed(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    return docs.select("doc_id", _round_vec(embed.hash_embedding("text", DIM)).alias("embedding"))
+
+
+def q_l2_normalize(spark, sf_dir):
+    emb = _t(spark, sf_dir, "embeddings")
+    return embed.normalize(emb.select("vec_id", "embedding")).select(
+        "vec_id", _round_vec(F.col("embedding")).alias("embedding"))
+
+
+def q_vector_norms(spark, sf_dir):
+    from tessera.functions.vectors import l2_norm
+    emb = _t(spark, sf_dir, "embeddings")
+    return emb.select("vec_id", F.round(l2_norm("embedding"), 6).alias("norm"))
+
+
+def q_mean_pool(spark, sf_dir):
+    emb = _t(spark, sf_dir, "embeddings")
+    pooled = embed.mean_pool(emb.select("label", F.col("embedding").alias("vec")), "label",
+                             "vec", None)
+    return pooled.select("label", _round_vec(F.col("pooled")).alias("pooled"))
+
+
+def q_knn_similarity_filter(spark, sf_dir):
+    """V4 + P9 + P6: the 5-NN of every vector kept only above a similarity."""
+    emb = _t(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    hits = knn.knn_search(emb, emb.withColumnRenamed("vec_id", "q_id"), K, id_col="vec_id")
+    hits = hits.filter((F.round("similarity", 9) >= SIM_THRESHOLD) & (F.col("vec_id") != F.col("q_id")))
+    return hits.select("q_id", "vec_id", "rank", F.round("similarity", 6).alias("similarity"))
+
+
+# ---------------------------------------------------------------- search
+def _store(spark, sf_dir):
+    chunks = retrieval.chunk_table(_docs(spark, sf_dir), SEARCH_CHUNK_WORDS)
+    return retrieval.hash_vectors(chunks, DIM), chunks
+
+
+def _search(spark, sf_dir, k=K, rerank=False):
+    vectors, chunks = _store(spark, sf_dir)
+    return retrieval.search(vectors, chunks, _questions(spark, sf_dir), k, dim=DIM,
+                            rerank=rerank)
+
+
+def q_search_text(spark, sf_dir):
+    h = _search(spark, sf_dir)
+    return h.select("q_id", "rank", "doc_id", "chunk_id",
+                    F.col("metadata.source").alias("source"),
+                    F.round("similarity", 6).alias("similarity"))
+
+
+def q_search_rerank(spark, sf_dir):
+    h = _search(spark, sf_dir, rerank=True)
+    return h.select("q_id", "rank", "prev_rank", "doc_id", "chunk_id", "overlap",
+                    F.round("similarity", 6).alias("similarity"),
+                    F.round("score", 6).alias("score"))
+
+
+def q_rerank_overlap(spark, sf_dir):
+    h = _search(spark, sf_dir)
+    return h.select("q_id", "doc_id", "chunk_id",
+                    F.size(F.array_distinct(words(F.lower("question")))).alias("n_query_terms"),
+                    term_overlap(F.col("question"), F.col("text")).alias("overlap"))
+
+
+def _contexts(spark, sf_dir, rerank=True):
+    h = _search(spark, sf_dir, rerank=rerank)
+    ctx = prompts.contexts(h)
+    return _questions(spark, sf_dir).join(ctx, "q_id", "left")
+
+
+def q_rag_context(spark, sf_dir):
+    return _contexts(spark, sf_dir).select("q_id", F.coalesce("context", F.lit("")).alias("context"))
+
+
+def q_rag_prompt(spark, sf_dir):
+    c = _contexts(spark, sf_dir)
+    return c.select("q_id", prompts.rag_prompt("question", "context").alias("prompt"))
+
+
+def q_plain_prompt(spark, sf_dir):
+    return _questions(spark, sf_dir).select("q_id", prompts.plain_prompt("question").alias("prompt"))
+
+
+def q_extract_prompt(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", prompts.extract_prompt("text").alias("prompt"))
+
+
+def q_retrieved_nested(spark, sf_dir):
+    """Hits as a nested array per question, flattened to text for the check."""
+    h = _search(spark, sf_dir, rerank=True)
+    item = F.struct(F.col("rank"), F.col("text"), F.col("metadata"),
+                    F.round("score", 6).alias("similarity"))
+    nested = h.groupBy("q_id").agg(F.sort_array(F.collect_list(item)).alias("retrieved_chunks"))
+    flat = F.transform("retrieved_chunks", lambda s: F.concat_ws(
+        "|", s["rank"].cast("string"), s["metadata"]["source"],
+        s["metadata"]["chunk_id"].cast("string"), s["similarity"].cast("string"),
+        F.md5(s["text"])))
+    return nested.select("q_id", F.size("retrieved_chunks").alias("n_chunks"),
+                         F.array_join(flat, ";").alias("retrieved"))
+
+
+QUERIES.update({
+    "word_chunks": q_word_chunks,
+    "vocab_build": q_vocab_build,
+    "vocab_encode": q_vocab_encode,
+    "token_windows": q_token_windows,
+    "token_windows_padded": q_token_windows_padded,
+    "truncate_tokens": q_truncate_tokens,
+    "recursive_chunks": q_recursive_chunks,
+    "hash_embed": q_hash_embed,
+    "l2_normalize": q_l2_normalize,
+    "vector_norms": q_vector_norms,
+    "mean_pool": q_mean_pool,
+    "knn_similarity_filter": q_knn_similarity_filter,
+    "search_text": q_search_text,
+    "search_rerank": q_search_rerank,
+    "rerank_overlap": q_rerank_overlap,
+    "rag_context": q_rag_context,
+    "rag_prompt": q_rag_prompt,
+    "plain_prompt": q_plain_prompt,
+    "extract_prompt": q_extract_prompt,
+    "retrieved_nested": q_retrieved_nested,
+})
