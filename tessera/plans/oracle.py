@@ -184,3 +184,60 @@ SELECT q_id, CAST(count(*) AS INTEGER) AS n_chunks,
                             round(score, 6)::VARCHAR, md5(text)), ';' ORDER BY rank) AS retrieved
 FROM rer GROUP BY q_id""",
 })
+
+
+_SPLIT_EXACT = """
+SELECT doc_id, CASE WHEN i < floor(n * 0.9) THEN 'train' ELSE 'eval' END AS split
+FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS i,
+             count(*) OVER () AS n FROM documents)"""
+_SPLIT_HASH = """
+SELECT doc_id, CASE WHEN ('0x' || substr(md5('42:' || doc_id), 1, 8))::BIGINT / 4294967296.0 < 0.9
+                    THEN 'train' ELSE 'eval' END AS split FROM documents"""
+_WS_CHARS = "(' ' || chr(10) || chr(9) || chr(13) || chr(11) || chr(12))"
+
+ORACLE_SQL.update({
+    "split_exact": _SPLIT_EXACT,
+    "split_hash": _SPLIT_HASH,
+    "split_counts": f"""
+SELECT 'exact' AS mode, split, count(*) AS n, sum(doc_id)::BIGINT AS sum_ids FROM ({_SPLIT_EXACT}) GROUP BY split
+UNION ALL
+SELECT 'fraction' AS mode, split, count(*) AS n, sum(doc_id)::BIGINT AS sum_ids FROM ({_SPLIT_HASH}) GROUP BY split""",
+    "incremental_skip": """
+SELECT d.doc_id, d.n_chars FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+    "skip_counts": """
+SELECT count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)) AS processed,
+       count(*) FILTER (WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)) AS skipped
+FROM documents d""",
+    "page_concat": """
+SELECT conv_id, CAST(count(*) AS INTEGER) AS n_pages,
+       CAST(length(string_agg(text, '' ORDER BY turn)) AS INTEGER) AS n_chars,
+       string_agg(text, '' ORDER BY turn) AS text
+FROM conversations GROUP BY conv_id""",
+    "stem_and_names": r"""
+WITH b AS (SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS base FROM pages)
+SELECT page_id, base, regexp_extract(base, '^(\.*[^.].*?|\.*)(\.[^.]*)?$', 1) AS stem,
+       replace(base || '.txt', '.txt', '_' || page_id || '.jsonl') AS window_name FROM b""",
+    "metadata_merge": "WITH " + _chunks_cte("mc", 1500, ", source, lang").strip() + """
+SELECT doc_id, chunk_id, coalesce(source, 'unknown') AS source, lang, chunk_id AS meta_chunk_id
+FROM mc""",
+    "metadata_json": "WITH " + _chunks_cte("mc", 1500, ", source, lang").strip() + """
+SELECT doc_id, chunk_id, chunk_id AS meta_chunk_id, coalesce(source, 'unknown') AS source,
+       CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS text_md5 FROM mc""",
+    "text_scan": """
+SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS text_md5 FROM documents""",
+    "ingest_stream": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents",
+    "answer_word_counts": f"""
+SELECT conv_id, turn, CAST(len({_words('text')}) AS INTEGER) AS n_words,
+       round(CASE WHEN len({_words('text')}) > 0
+                  THEN length(text)::DOUBLE / len({_words('text')}) ELSE 0 END, 6) AS time_per_token
+FROM conversations WHERE role = 'assistant'""",
+    "strip_echo": f"""
+WITH g AS (SELECT conv_id, turn, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), '') AS prompt,
+                  text FROM conversations),
+o AS (SELECT conv_id, turn, prompt, prompt || ' ' || text AS output FROM g)
+SELECT conv_id, turn,
+       CASE WHEN starts_with(output, prompt)
+            THEN trim(substr(output, length(prompt) + 1), {_WS_CHARS}) ELSE output END AS answer
+FROM o""",
+})

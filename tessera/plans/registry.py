@@ -237,3 +237,162 @@ QUERIES.update({
     "extract_prompt": q_extract_prompt,
     "retrieved_nested": q_retrieved_nested,
 })
+
+
+# ---------------------------------------------------------------- corpus build
+from tessera.operators import corpus  # noqa: E402
+from tessera.sources import files as file_sources  # noqa: E402
+from tessera.sources import sinks  # noqa: E402
+from tessera.session import scratch_path  # noqa: E402
+from tessera.streaming import ingest  # noqa: E402
+
+SPLIT_RATIO, SPLIT_SEED = 0.9, 42
+
+
+def q_split_exact(spark, sf_dir):
+    return corpus.split_exact(_docs(spark, sf_dir).select("doc_id"), "doc_id", SPLIT_RATIO,
+                              SPLIT_SEED)
+
+
+def q_split_hash(spark, sf_dir):
+    return corpus.split_fraction(_t(spark, sf_dir, "documents").select("doc_id"), "doc_id",
+                                 SPLIT_RATIO, SPLIT_SEED)
+
+
+def q_split_counts(spark, sf_dir):
+    ex = q_split_exact(spark, sf_dir).withColumn("mode", F.lit("exact"))
+    fr = q_split_hash(spark, sf_dir).withColumn("mode", F.lit("fraction"))
+    return (ex.unionByName(fr).groupBy("mode", "split")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("sum_ids")))
+
+
+def q_incremental_skip(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return corpus.skip_done(docs, _t(spark, sf_dir, "labels"))
+
+
+def q_skip_counts(spark, sf_dir):
+    return corpus.skip_counts(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
+
+
+def q_page_concat(spark, sf_dir):
+    conv = _t(spark, sf_dir, "conversations")
+    out = corpus.concat_pages(conv, "conv_id", "turn", "text")
+    return out.select("conv_id", "n_pages", F.length("text").alias("n_chars"), "text")
+
+
+def q_stem_and_names(spark, sf_dir):
+    pages = _t(spark, sf_dir, "pages").select("page_id", "url")
+    out = corpus.names(pages.withColumn("path", F.col("url")), "path")
+    return out.select("page_id", "base", "stem",
+                      corpus.window_file_name(F.concat(F.col("base"), F.lit(".txt")),
+                                              F.col("page_id")).alias("window_name"))
+
+
+def _meta_chunks(spark, sf_dir):
+    ch = chunking.word_chunks(_docs(spark, sf_dir), EVAL_CHUNK_WORDS, keep=("doc_id", "source", "lang"))
+    meta = F.struct(F.coalesce(F.col("source"), F.lit("unknown")).alias("source"),
+                    F.col("lang").alias("lang"))
+    return ch.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"), "text",
+                     meta.withField("chunk_id", F.col("chunk_id").cast("int")).alias("metadata"))
+
+
+def q_metadata_merge(spark, sf_dir):
+    m = _meta_chunks(spark, sf_dir)
+    return m.select("doc_id", "chunk_id", F.col("metadata.source").alias("source"),
+                    F.col("metadata.lang").alias("lang"),
+                    F.col("metadata.chunk_id").alias("meta_chunk_id"))
+
+
+def q_metadata_json(spark, sf_dir):
+    """Chunk records serialised as one JSON array per document and parsed
+    back (from_json + posexplode); a round trip must keep every value."""
+    m = _meta_chunks(spark, sf_dir)
+    rec = F.struct("text", F.col("metadata"))
+    per_doc = (m.groupBy("doc_id")
+               .agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("chunk_id", rec.alias("r")))),
+                                          lambda s: s["r"])).alias("json")))
+    schema = "array<struct<text:string,metadata:struct<source:string,lang:string,chunk_id:int>>>"
+    parsed = per_doc.select("doc_id", F.posexplode(F.from_json("json", schema)).alias("pos", "r"))
+    return parsed.select("doc_id", F.col("pos").alias("chunk_id"),
+                         F.col("r.metadata.chunk_id").alias("meta_chunk_id"),
+                         F.col("r.metadata.source").alias("source"),
+                         F.length("r.text").alias("n_chars"), F.md5("r.text").alias("text_md5"))
+
+
+def _export_docs(spark, docs, path):
+    sinks.write_texts(docs, path, "doc_id", "text", one_file_per_key=True, mode="append")
+
+
+def _doc_id_from_path(path_col):
+    return F.regexp_extract(path_col, r"doc_id=(\d+)/", 1).cast("long")
+
+
+def _strip_writer_newline(text_col):
+    # the text writer ends every value with one line separator
+    return F.expr(f"substring({text_col}, 1, length({text_col}) - 1)")
+
+
+def q_text_scan(spark, sf_dir):
+    """S1/S2 + K1: documents exported one file per document, scanned back."""
+    root = scratch_path(spark, "text-export")
+    _export_docs(spark, _docs(spark, sf_dir), root)
+    t = file_sources.read_texts(spark, root, ".txt", recursive=True)
+    text = _strip_writer_newline("text")
+    return t.select(_doc_id_from_path(F.col("path")).alias("doc_id"),
+                    F.length(text).alias("n_chars"), F.md5(text).alias("text_md5"))
+
+
+def q_ingest_stream(spark, sf_dir):
+    """ST1: two arrivals of files (English first, then the rest) and a re-run;
+    every document must land in the sink exactly once."""
+    root = scratch_path(spark, "ingest")
+    src, sink, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
+    docs = _docs(spark, sf_dir)
+    _export_docs(spark, docs.filter(F.col("lang") == "en"), src)
+    ingest.ingest_texts(spark, src, sink, ckpt)
+    _export_docs(spark, docs.filter(F.col("lang") != "en"), src)
+    ingest.ingest_texts(spark, src, sink, ckpt)
+    ingest.ingest_texts(spark, src, sink, ckpt)          # nothing new: no change
+    out = spark.read.parquet(sink)
+    text = _strip_writer_newline("text")
+    return out.select(_doc_id_from_path(F.col("path")).alias("doc_id"),
+                      F.length(text).alias("n_chars"))
+
+
+def q_answer_word_counts(spark, sf_dir):
+    """A9 + report arithmetic: words of each answer turn and seconds per word
+    (0 when an answer has no words); times stand in from ``events.value``."""
+    conv = _t(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    n = F.size(words("text"))
+    return conv.select("conv_id", "turn", n.alias("n_words"),
+                       F.round(F.coalesce(F.try_divide(F.length("text").cast("double"),
+                                                       n.cast("double")), F.lit(0.0)), 6)
+                       .alias("time_per_token"))
+
+
+def q_strip_echo(spark, sf_dir):
+    """A generation that echoes its prompt (previous turn) is cut back."""
+    from pyspark.sql.window import Window
+    conv = _t(spark, sf_dir, "conversations")
+    prev = F.coalesce(F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn")), F.lit(""))
+    g = conv.select("conv_id", "turn", prev.alias("prompt"), "text")
+    out = F.concat(F.col("prompt"), F.lit(" "), F.col("text"))
+    return g.select("conv_id", "turn", prompts.strip_echo(out, F.col("prompt")).alias("answer"))
+
+
+QUERIES.update({
+    "split_exact": q_split_exact,
+    "split_hash": q_split_hash,
+    "split_counts": q_split_counts,
+    "incremental_skip": q_incremental_skip,
+    "skip_counts": q_skip_counts,
+    "page_concat": q_page_concat,
+    "stem_and_names": q_stem_and_names,
+    "metadata_merge": q_metadata_merge,
+    "metadata_json": q_metadata_json,
+    "text_scan": q_text_scan,
+    "ingest_stream": q_ingest_stream,
+    "answer_word_counts": q_answer_word_counts,
+    "strip_echo": q_strip_echo,
+})
