@@ -45,9 +45,9 @@ def _hash_embed_cte(name: str, src: str, key_cols: str, text: str, dim: int = 64
            FROM {name}_n)"""
 
 
-def _chunks_cte(name: str, size: int, extra: str = ", source") -> str:
+def _chunks_cte(name: str, size: int, extra: str = ", source", src: str = "documents") -> str:
     return f"""
-{name}_w AS (SELECT doc_id{extra}, {_words('text')} AS ws FROM documents),
+{name}_w AS (SELECT doc_id{extra}, {_words('text')} AS ws FROM {src}),
 {name}_a AS (SELECT doc_id{extra},
                     list_transform(range(0, len(ws), {size}),
                                    lambda i: array_to_string(ws[i + 1:i + {size}], ' ')) AS cs
@@ -75,8 +75,9 @@ win AS (SELECT doc_id, list_filter(list_transform(range(0, len(input_ids), 96),
 tw AS (SELECT doc_id, unnest(ws) AS input_ids,
               CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS chunk_id FROM win)"""
 
-# search store: 64-word chunks of documents, 64-bucket hash vectors, top 5
-_SEARCH_CTES = ("WITH " + _chunks_cte("ch", 64).strip() + "," +
+# search store: 64-word chunks of documents, 64-bucket hash vectors, top k
+def _search_ctes(k: int) -> str:
+    return ("WITH " + _chunks_cte("ch", 64).strip() + "," +
                 _hash_embed_cte("ce", "ch", "doc_id, chunk_id, source, text", "text") + "," +
                 _hash_embed_cte("qe", "(SELECT item_id AS q_id, text AS question FROM benchmark)",
                                 "q_id, question", "question") + f""",
@@ -85,7 +86,7 @@ dd AS (SELECT q.q_id, q.question, c.doc_id, c.chunk_id, c.source, c.text,
 rr AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(d2, 9), doc_id, chunk_id) AS rk
        FROM dd),
 hits AS (SELECT q_id, question, doc_id, chunk_id, source, text, d2, 1 - d2 / 2 AS similarity,
-                CAST(rk AS INTEGER) AS rank FROM rr WHERE rk <= 5),
+                CAST(rk AS INTEGER) AS rank FROM rr WHERE rk <= {k}),
 ov AS (SELECT *, CAST(len(list_intersect({_lwords('question')}, {_lwords('text')})) AS INTEGER) AS overlap
        FROM hits),
 sc AS (SELECT *, similarity * (1 + 0.1 * overlap) AS score FROM ov),
@@ -98,6 +99,9 @@ qctx AS (SELECT b.item_id AS q_id, b.text AS question, coalesce(c.context, '') A
          FROM benchmark b LEFT JOIN ctx c ON c.q_id = b.item_id)
 """)
 
+
+_SEARCH_CTES = _search_ctes(5)
+
 _RAG_HEAD = ("'You are a helpful assistant. Answer the question based on the provided context.' "
              "|| chr(10) || 'If the context doesn''t contain relevant information, say \"I don''t "
              "have enough information to answer this question.\"' || chr(10) || chr(10) || "
@@ -241,3 +245,97 @@ SELECT conv_id, turn,
             THEN trim(substr(output, length(prompt) + 1), {_WS_CHARS}) ELSE output END AS answer
 FROM o""",
 })
+
+
+def _stub_answer(prompt: str) -> str:
+    """SQL twin of the EchoExtract stub after the echo is stripped."""
+    tail = f"substr({prompt}, strpos({prompt}, 'Context:' || chr(10)) + 9)"
+    tail = f"CASE WHEN strpos({prompt}, 'Context:' || chr(10)) > 0 THEN {tail} ELSE {prompt} END"
+    return f"array_to_string({_words(tail)}[1:16], ' ')"
+
+
+_GRID = _search_ctes(7) + f""",
+kk AS (SELECT * FROM (VALUES (3), (5), (7)) t(k)),
+rb AS (SELECT * FROM (VALUES (false), (true)) t(rerank)),
+g AS (SELECT sc.*, kk.k, rb.rerank FROM sc, kk, rb WHERE sc.rank <= kk.k),
+gp AS (SELECT *, row_number() OVER (PARTITION BY q_id, k, rerank
+                                    ORDER BY CASE WHEN rerank THEN -round(score, 9) ELSE 0 END, rank) AS pos
+       FROM g),
+gc AS (SELECT q_id, k, rerank, string_agg('[Document ' || pos || ']: ' || text, {_NL2} ORDER BY pos)
+              AS context FROM gp GROUP BY q_id, k, rerank),
+cells AS (SELECT b.item_id AS q_id, b.text AS question, kk.k, rb.rerank,
+                 {_rag_prompt('b.text', "coalesce(gc.context, '')")} AS prompt
+          FROM benchmark b CROSS JOIN kk CROSS JOIN rb
+          LEFT JOIN gc ON gc.q_id = b.item_id AND gc.k = kk.k AND gc.rerank = rb.rerank),
+ans AS (SELECT q_id, k, rerank, {_stub_answer('prompt')} AS answer FROM cells)
+"""
+
+_ANSWERS = _SEARCH_CTES + f""",
+ra AS (SELECT q_id, question, {_rag_prompt('question', 'context')} AS prompt FROM qctx),
+rans AS (SELECT q_id, question, {_stub_answer('prompt')} AS answer FROM ra)
+"""
+
+_PPL = "WITH " + f"""
+sp AS ({_SPLIT_HASH}),
+dsp AS (SELECT d.*, sp.split FROM documents d JOIN sp USING (doc_id)),
+tr AS (SELECT unnest({_lwords('text')}) AS token FROM dsp WHERE split = 'train'),
+cnt AS (SELECT token, count(*) AS c FROM tr GROUP BY token),
+st AS (SELECT sum(c) AS nn, count(*) AS vv FROM cnt),
+evd AS (SELECT * FROM dsp WHERE split = 'eval'),""" + _chunks_cte("ev", 1500, "", "evd").strip() + f""",
+occ AS (SELECT doc_id, chunk_id, unnest({_lwords('text')}) AS token FROM ev),
+lo AS (SELECT doc_id, chunk_id, count(*) AS n_tokens,
+              avg(-ln((coalesce(c, 0) + 1.0) / (st.nn + st.vv + 1))) AS loss
+       FROM occ LEFT JOIN cnt USING (token) CROSS JOIN st GROUP BY doc_id, chunk_id)
+"""
+
+_WINDOW_BATCHES = "WITH " + _WINDOWS_CTES.strip() + """,
+o AS (SELECT doc_id, chunk_id, input_ids, row_number() OVER (ORDER BY doc_id, chunk_id) - 1 AS i,
+             count(*) OVER () AS n FROM tw),
+bt AS (SELECT doc_id, chunk_id, input_ids, i // 8 AS batch_id, CAST(i % 8 AS INTEGER) AS slot
+       FROM o WHERE i // 8 < n // 8)
+"""
+
+ORACLE_SQL.update({
+    "answers": _ANSWERS + f"""
+SELECT q_id, question, answer, CAST(len({_words('answer')}) AS INTEGER) AS n_words FROM rans""",
+    "benchmark_grid": _GRID + f"""
+SELECT q_id, k, rerank, answer, CAST(len({_words('answer')}) AS INTEGER) AS n_words FROM ans""",
+    "compare_models": _ANSWERS + f""",
+ev AS (SELECT event_id, value FROM events),
+fa AS (SELECT item_id AS q_id, text AS question,
+              {_stub_answer(_plain_prompt('text'))} AS answer FROM benchmark),
+j AS (SELECT r.question, r.answer AS rag_answer, f.answer AS ft_answer, e1.value AS rag_time,
+             e2.value AS ft_time
+      FROM rans r JOIN ev e1 ON e1.event_id = 2 * r.q_id
+      JOIN fa f ON f.question = r.question
+      JOIN ev e2 ON e2.event_id = 2 * f.q_id + 1)
+SELECT question, rag_answer, ft_answer, round(rag_time, 6) AS rag_time, round(ft_time, 6) AS ft_time,
+       round(rag_time - ft_time, 6) AS time_difference,
+       round(CASE WHEN len({_words('rag_answer')}) > 0 THEN rag_time / len({_words('rag_answer')})
+                  ELSE 0 END, 6) AS rag_time_per_token,
+       round(CASE WHEN len({_words('ft_answer')}) > 0 THEN ft_time / len({_words('ft_answer')})
+                  ELSE 0 END, 6) AS ft_time_per_token
+FROM j""",
+    "perplexity_unigram": _PPL + """
+SELECT count(*) AS n_chunks, round(coalesce(avg(exp(loss)), 'inf'::DOUBLE), 4) AS perplexity FROM lo""",
+    "chunk_perplexity": _PPL + """
+SELECT doc_id, chunk_id, n_tokens, round(loss, 9) AS loss, round(exp(loss), 4) AS perplexity FROM lo""",
+    "batch_assign": _WINDOW_BATCHES + "SELECT doc_id, chunk_id, batch_id, slot FROM bt",
+    "collate_batches": _WINDOW_BATCHES + """,
+c AS (SELECT batch_id, slot, input_ids, max(len(input_ids)) OVER (PARTITION BY batch_id) - len(input_ids)
+             AS short FROM bt)
+SELECT batch_id, slot,
+       (input_ids || list_transform(range(short), lambda x: 0))::INTEGER[] AS input_ids,
+       (input_ids || list_transform(range(short), lambda x: -100))::INTEGER[] AS labels,
+       (list_transform(input_ids, lambda x: 1) || list_transform(range(short), lambda x: 0))::INTEGER[]
+         AS attention_mask
+FROM c""",
+    "shard_assign": """
+WITH o AS (SELECT doc_id, row_number() OVER (ORDER BY md5('0:0:' || doc_id), doc_id) - 1 AS i,
+                  count(*) OVER () AS n FROM documents),
+w AS (SELECT doc_id, i FROM o UNION ALL SELECT doc_id, i + n FROM o WHERE i < (3 - n % 3) % 3)
+SELECT doc_id, CAST(i % 3 AS INTEGER) AS shard, i // 3 AS position FROM w""",
+    "step_plan": _WINDOW_BATCHES + """
+SELECT batch_id, count(*) AS n_rows, batch_id % 8 = 0 AS update_after, (batch_id + 7) // 8 AS step
+FROM bt GROUP BY batch_id""",
+})

@@ -396,3 +396,125 @@ QUERIES.update({
     "answer_word_counts": q_answer_word_counts,
     "strip_echo": q_strip_echo,
 })
+
+
+# ---------------------------------------------------------------- answers and reports
+from tessera.operators import batching, reports  # noqa: E402
+from tessera.operators import perplexity as ppl  # noqa: E402
+from tessera.operators.generate import EchoExtract  # noqa: E402
+
+STUB_WORDS = 16
+GRID_MAX_K = max(reports.K_VALUES)
+
+
+def _stub():
+    return EchoExtract(STUB_WORDS)
+
+
+def _rag_answers(spark, sf_dir):
+    c = _contexts(spark, sf_dir, rerank=True)
+    cells = c.select("q_id", "question", prompts.rag_prompt("question", "context").alias("prompt"))
+    return reports.answer_table(cells, _stub)
+
+
+def q_answers(spark, sf_dir):
+    """R5 + R7: retrieve (k=5, rerank) -> context -> prompt -> generate -> strip."""
+    a = _rag_answers(spark, sf_dir)
+    return a.select("q_id", "question", "answer", "n_words")
+
+
+def q_benchmark_grid(spark, sf_dir):
+    """R8 + J2: one search at max(k), 6 grid cells per question (times left
+    out of the check; the report has them)."""
+    hits = _search(spark, sf_dir, k=GRID_MAX_K)
+    g = reports.benchmark_grid(_questions(spark, sf_dir), hits, _stub)
+    return g.select("q_id", "k", "rerank", "answer", "n_words")
+
+
+def _stand_in_time(spark, sf_dir, offset):
+    ev = _t(spark, sf_dir, "events").select("event_id", "value")
+    return ev.withColumn("q_id", (F.col("event_id") - offset) / 2).filter(
+        F.pmod(F.col("event_id") - offset, F.lit(2)) == 0).select(
+        F.col("q_id").cast("long").alias("q_id"), F.col("value").alias("time"))
+
+
+def q_compare_models(spark, sf_dir):
+    """R9 + J5: RAG answers vs the plain-prompt model, times from events."""
+    qs = _questions(spark, sf_dir)
+    rag = _rag_answers(spark, sf_dir).select("q_id", "question", "answer")
+    rag = rag.join(_stand_in_time(spark, sf_dir, 0), "q_id")
+    ft = reports.answer_table(qs.select("q_id", "question",
+                                        prompts.plain_prompt("question").alias("prompt")), _stub)
+    ft = ft.select("q_id", "question", "answer").join(_stand_in_time(spark, sf_dir, 1), "q_id")
+    rep = reports.compare_models(rag.drop("q_id"), ft.drop("q_id"))
+    return rep.select("question", "rag_answer", "ft_answer",
+                      *[F.round(c, 6).alias(c) for c in ("rag_time", "ft_time", "time_difference",
+                                                         "rag_time_per_token", "ft_time_per_token")])
+
+
+def _chunk_losses(spark, sf_dir):
+    docs = corpus.split_fraction(_docs(spark, sf_dir), "doc_id", SPLIT_RATIO, SPLIT_SEED)
+    train = docs.filter(F.col("split") == "train")
+    chunks = ppl.eval_chunks(docs.filter(F.col("split") == "eval"), EVAL_CHUNK_WORDS)
+    return ppl.chunk_perplexity(ppl.unigram_losses(train, chunks))
+
+
+def q_perplexity_unigram(spark, sf_dir):
+    """R10 + A2: macro-average perplexity of the eval split."""
+    m = ppl.macro_perplexity(_chunk_losses(spark, sf_dir))
+    return m.select("n_chunks", F.round("perplexity", 4).alias("perplexity"))
+
+
+def q_chunk_perplexity(spark, sf_dir):
+    """A3: exp(mean token loss) per eval chunk."""
+    c = _chunk_losses(spark, sf_dir)
+    return c.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"), "n_tokens",
+                    F.round("loss", 9).alias("loss"), F.round("perplexity", 4).alias("perplexity"))
+
+
+# ---------------------------------------------------------------- training data
+BATCH_SIZE, WORLD, ACCUM = 8, 3, 8
+
+
+def _windows(spark, sf_dir):
+    return chunking.token_windows(_encoded(spark, sf_dir), "input_ids", WINDOW_MAX,
+                                  WINDOW_STRIDE, MIN_WINDOW).select(
+        "doc_id", F.col("chunk_id").cast("int").alias("chunk_id"), "input_ids", "labels")
+
+
+def _batches(spark, sf_dir):
+    return batching.assign_batches(_windows(spark, sf_dir), [F.col("doc_id"), F.col("chunk_id")],
+                                   BATCH_SIZE, drop_last=True)
+
+
+def q_batch_assign(spark, sf_dir):
+    return _batches(spark, sf_dir).select("doc_id", "chunk_id", "batch_id", "slot")
+
+
+def q_collate_batches(spark, sf_dir):
+    c = batching.collate(_batches(spark, sf_dir))
+    return c.select("batch_id", "slot", "input_ids", "labels", "attention_mask")
+
+
+def q_shard_assign(spark, sf_dir):
+    s = batching.shard(_t(spark, sf_dir, "documents").select("doc_id"), "doc_id", WORLD)
+    return s.select("doc_id", "shard", "position")
+
+
+def q_step_plan(spark, sf_dir):
+    b = _batches(spark, sf_dir).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return batching.step_plan(b, "batch_id", ACCUM).select("batch_id", "n_rows", "update_after",
+                                                           "step")
+
+
+QUERIES.update({
+    "answers": q_answers,
+    "benchmark_grid": q_benchmark_grid,
+    "compare_models": q_compare_models,
+    "perplexity_unigram": q_perplexity_unigram,
+    "chunk_perplexity": q_chunk_perplexity,
+    "batch_assign": q_batch_assign,
+    "collate_batches": q_collate_batches,
+    "shard_assign": q_shard_assign,
+    "step_plan": q_step_plan,
+})
