@@ -339,3 +339,28 @@ SELECT doc_id, CAST(i % 3 AS INTEGER) AS shard, i // 3 AS position FROM w""",
 SELECT batch_id, count(*) AS n_rows, batch_id % 8 = 0 AS update_after, (batch_id + 7) // 8 AS step
 FROM bt GROUP BY batch_id""",
 })
+
+
+ORACLE_SQL.update({
+    "knn_cells": f"""
+WITH t AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d
+           FROM embeddings),
+cen AS (SELECT CAST(label AS INTEGER) AS cell_id, list(v ORDER BY d) AS c
+        FROM (SELECT label, d, sum(x) / greatest(count(*)::DOUBLE, 1e-9) AS v FROM t GROUP BY label, d)
+        GROUP BY label),
+vc AS (SELECT e.vec_id, c.cell_id, {_D2.format(a='e.embedding', b='c.c')} AS dc
+       FROM embeddings e, cen c),
+vr AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(dc, 9), cell_id) AS r FROM vc),
+asg AS (SELECT vec_id, cell_id FROM vr WHERE r = 1),
+qp AS (SELECT vec_id AS q_id, cell_id FROM vr WHERE r <= 2),
+d AS (SELECT qp.q_id, a.vec_id, {_D2.format(a='q.embedding', b='v.embedding')} AS d2
+      FROM qp JOIN asg a USING (cell_id)
+      JOIN embeddings q ON q.vec_id = qp.q_id JOIN embeddings v ON v.vec_id = a.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(d2, 9), vec_id) AS rk FROM d)
+SELECT q_id, vec_id, CAST(rk AS INTEGER) AS rank, round(d2, 6) AS d2 FROM r WHERE rk <= 5""",
+    "store_build": "WITH " + _chunks_cte("ch", 64).strip() + """
+SELECT (SELECT count(*) FROM documents) AS n_documents, count(*) AS n_chunks, 64 AS dim,
+       'Flat' AS index_type FROM ch""",
+    "store_roundtrip": ORACLE_SQL["search_text"],
+    "samples_roundtrip": ORACLE_SQL["token_windows_padded"],
+})

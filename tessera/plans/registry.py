@@ -37,7 +37,7 @@ QUERIES = {
 
 
 # ---------------------------------------------------------------- chunk family
-from tessera.functions.ordering import spread  # noqa: E402
+from tessera.functions.ordering import md5_fraction, spread  # noqa: E402
 from tessera.functions.text import words  # noqa: E402
 from tessera.operators import chunking, embed, prompts, retrieval, splitter, vocab  # noqa: E402
 from tessera.operators.rerank import term_overlap  # noqa: E402
@@ -518,3 +518,112 @@ QUERIES.update({
     "shard_assign": q_shard_assign,
     "step_plan": q_step_plan,
 })
+
+
+# ---------------------------------------------------------------- approximate search and store
+from tessera.operators import ivf, store as vstore  # noqa: E402
+
+NPROBE_CELLS = 2
+RECALL_TARGET = 0.6
+
+
+def _emb(spark, sf_dir):
+    return _t(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+
+
+def _label_centroids(spark, sf_dir):
+    """Fixed cells: the mean vector of each label (deterministic, no training)."""
+    pooled = embed.mean_pool(_emb(spark, sf_dir).select("label", F.col("embedding").alias("vec")),
+                             "label", "vec", None)
+    return pooled.select(F.col("label").cast("int").alias("cell_id"),
+                         F.col("pooled").alias("centroid"))
+
+
+def q_knn_cells(spark, sf_dir):
+    """Vectors filed under their nearest label centroid; every vector
+    searched as a query inside its 2 nearest cells."""
+    cents = _label_centroids(spark, sf_dir).checkpoint(eager=True)
+    emb = _emb(spark, sf_dir).select(F.col("vec_id").alias("row_id"), "embedding")
+    filed = ivf.assign_cells(emb, cents)
+    hits = ivf.search_ivf(filed, cents, emb.withColumnRenamed("row_id", "q_id"), K, NPROBE_CELLS)
+    return hits.select("q_id", F.col("row_id").alias("vec_id"), "rank",
+                       F.round("d2", 6).alias("d2"))
+
+
+def _trained(spark, sf_dir):
+    emb = _emb(spark, sf_dir).select(F.col("vec_id").alias("row_id"), "embedding")
+    cents = ivf.train_centroids(emb).checkpoint(eager=True)
+    filed = ivf.assign_cells(emb, cents).checkpoint(eager=True)
+    return emb, cents, filed
+
+
+def q_knn_ivf(spark, sf_dir):
+    """V5: k-means cells (nlist = n/10), nprobe 1, exact inside the cell."""
+    emb, cents, filed = _trained(spark, sf_dir)
+    hits = ivf.search_ivf(filed, cents, emb.withColumnRenamed("row_id", "q_id"), K, 1)
+    return hits.select("q_id", F.col("row_id").alias("vec_id"), "rank", F.round("d2", 6).alias("d2"))
+
+
+def q_knn_pq(spark, sf_dir):
+    """V6: IVF + product codes (m=8, 8 bits), asymmetric distances."""
+    emb, cents, filed = _trained(spark, sf_dir)
+    book = ivf.train_pq(filed, cents, 8, 8).checkpoint(eager=True)
+    codes = ivf.encode_pq(filed, cents, book)
+    hits = ivf.search_pq(codes, cents, book, emb.withColumnRenamed("row_id", "q_id"), K, 1)
+    return hits.select("q_id", F.col("row_id").alias("vec_id"), "rank", F.round("d2", 6).alias("d2"))
+
+
+def q_knn_recall_target(spark, sf_dir):
+    """V7: nprobe calibrated on sample queries until recall@5 >= target."""
+    emb, cents, filed = _trained(spark, sf_dir)
+    queries = emb.withColumnRenamed("row_id", "q_id")
+    sample = queries.filter(md5_fraction(SPLIT_SEED, "q_id") < 0.1)
+    nprobe, _ = ivf.calibrate_nprobe(filed, cents, sample, K, RECALL_TARGET)
+    hits = ivf.search_ivf(filed, cents, queries, K, nprobe)
+    return hits.select("q_id", F.col("row_id").alias("vec_id"), "rank",
+                       F.lit(nprobe).alias("nprobe"), F.round("d2", 6).alias("d2"))
+
+
+def q_store_build(spark, sf_dir):
+    """V11 + K3 + K6: build a Flat store of 64-word chunks; summary counts."""
+    root = scratch_path(spark, "store")
+    s = vstore.build_store(_t(spark, sf_dir, "documents"), root, "Flat", chunker="words",
+                           chunk_words=SEARCH_CHUNK_WORDS, dim=DIM)
+    return s.select("n_documents", "n_chunks", "dim", "index_type")
+
+
+def q_store_roundtrip(spark, sf_dir):
+    """S6 + V8: the saved store, loaded back, answers like the in-memory search."""
+    root = scratch_path(spark, "store")
+    vstore.build_store(_t(spark, sf_dir, "documents"), root, "Flat", chunker="words",
+                       chunk_words=SEARCH_CHUNK_WORDS, dim=DIM)
+    st = vstore.load_store(spark, root)
+    h = retrieval.search(st.vectors, st.chunks, _questions(spark, sf_dir), K, dim=DIM)
+    return h.select("q_id", "rank", "doc_id", "chunk_id", F.col("metadata.source").alias("source"),
+                    F.round("similarity", 6).alias("similarity"))
+
+
+def q_samples_roundtrip(spark, sf_dir):
+    """K2 + S4 + P13: padded windows written as JSON lines without a mask,
+    read back with the fixed schema; the default mask is filled in."""
+    root = scratch_path(spark, "samples")
+    win = chunking.token_windows(_encoded(spark, sf_dir), "input_ids", WINDOW_MAX,
+                                 WINDOW_STRIDE, MIN_WINDOW, pad_id=vocab.PAD_ID)
+    sinks.write_windows(win.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"),
+                                   "input_ids", "labels"), root)
+    schema = "doc_id long, chunk_id int, input_ids array<int>, labels array<int>, " \
+             "attention_mask array<int>"
+    back = spark.read.schema(schema).json(root)
+    return chunking.default_attention_mask(back).select("doc_id", "chunk_id", "input_ids",
+                                                        "labels", "attention_mask")
+
+
+QUERIES.update({
+    "knn_cells": q_knn_cells,
+    "knn_ivf": q_knn_ivf,
+    "knn_pq": q_knn_pq,
+    "knn_recall_target": q_knn_recall_target,
+    "store_build": q_store_build,
+    "store_roundtrip": q_store_roundtrip,
+    "samples_roundtrip": q_samples_roundtrip,
+})
