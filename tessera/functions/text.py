@@ -55,3 +55,13 @@ def window_file_name(name, i) -> Column:
     """``name.replace('.txt', f'_{i}.jsonl')`` — every occurrence is replaced."""
     return F.replace(_col(name), F.lit(".txt"),
                      F.concat(F.lit("_"), _col(i).cast("string"), F.lit(".jsonl")))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Spark does not share sub-expressions inside higher-order functions, so an
+    array used in a per-element lambda would be rebuilt for every element;
+    binding it as the start value of a one-step ``aggregate`` computes it once
+    per row."""
+    return F.aggregate(F.array(F.lit(0)), value, lambda acc, _x: acc, body)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import words
+from tessera.functions.text import let, words
 
 
 def _starts(n: Column, step: int) -> Column:
@@ -23,9 +23,8 @@ def word_chunk_array(text, size: int) -> Column:
     """Disjoint ``size``-word pieces of ``text.split()``, joined by one space."""
     if size < 1:
         raise ValueError("size must be >= 1")
-    ws = words(text)
-    return F.transform(_starts(F.size(ws), size),
-                       lambda i: F.array_join(F.slice(ws, i + 1, size), " "))
+    return let(words(text), lambda ws: F.transform(
+        _starts(F.size(ws), size), lambda i: F.array_join(F.slice(ws, i + 1, size), " ")))
 
 
 def word_chunks(df: DataFrame, size: int = 1500, text_col: str = "text",

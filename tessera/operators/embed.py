@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import lower_words
-from tessera.functions.vectors import l2_normalize, unit
+from tessera.functions.text import let, lower_words
+from tessera.functions.vectors import l2_normalize
 
 HASH_DIM = 64
 
@@ -29,20 +29,31 @@ def hash_bucket(word, dim: int = HASH_DIM) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(word), 1, 4), 16, 10).cast("int"), F.lit(dim))
 
 
-def _bump(acc: Column, b: Column) -> Column:
-    return F.transform(acc, lambda v, i: F.when(i == b, v + F.lit(1.0)).otherwise(v))
+def _bucket_counts(sorted_and_reversed: Column, dim: int) -> Column:
+    """Count of every bucket 0..dim-1 from a sorted bucket array: first and
+    last occurrence by native ``array_position`` scans (no per-word lambda)."""
+    s, r = sorted_and_reversed["s"], sorted_and_reversed["r"]
+    n = F.size(s)
+
+    def count(b):
+        first = F.array_position(s, b)
+        last = n - F.array_position(r, b) + 1
+        return F.when(first > 0, (last - first + 1).cast("double")).otherwise(F.lit(0.0))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), count)
 
 
 def hash_embedding(text, dim: int = HASH_DIM) -> Column:
     """``array<double>`` of unit length (zero vector for a text without words).
 
-    One ``aggregate`` over the word buckets (each word hashed once) whose
-    finish function normalises: O(words x dim) per row, no shuffle."""
+    Each word is hashed once; the bucket array is sorted natively and counted
+    with positional scans; the norm is computed once in an aggregate's finish
+    function.  Narrow, no shuffle, no Python."""
     text = F.col(text) if isinstance(text, str) else text
-    buckets = F.transform(lower_words(text), lambda w: hash_bucket(w, dim))
-    zero = F.array_repeat(F.lit(0.0).cast("double"), dim)
-    sq = lambda acc: F.aggregate(acc, F.lit(0.0).cast("double"), lambda s, x: s + x * x)
-    return F.aggregate(buckets, zero, _bump, lambda acc: unit(acc, sq(acc)))
+    buckets = F.array_sort(F.transform(lower_words(text), lambda w: hash_bucket(w, dim)))
+    counts = let(buckets, lambda b: let(F.struct(b.alias("s"), F.reverse(b).alias("r")),
+                                        lambda p: _bucket_counts(p, dim)))
+    return let(counts, l2_normalize)
 
 
 def embed_with(df: DataFrame, make_model: Callable, text_col: str = "text",
