@@ -11,8 +11,10 @@ regroups by document (one document = one group, bounded by the row itself).
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.ordering import broadcast_if_small, global_index
 from tessera.functions.text import words
@@ -51,3 +53,23 @@ def encode(docs: DataFrame, vocab: DataFrame, text_col: str = "text", key: str =
             .agg(F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(),
                                                     F.struct("pos", "id")))).alias("_p"))
             .select(key, F.transform("_p", lambda s: s["id"]).alias("input_ids")))
+
+
+def encode_with(docs: DataFrame, make_tokenizer, text_col: str = "text",
+                out_col: str = "input_ids", add_special_tokens: bool = True) -> DataFrame:
+    """C4 with a plug-in tokenizer: ``make_tokenizer()`` returns an object with
+    ``encode(text, add_special_tokens=...) -> list[int]`` (built once per
+    Python worker batch stream); Arrow batches in, ``array<int>`` out."""
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def _encode(texts: pd.Series) -> pd.Series:
+        tok = make_tokenizer()
+        return texts.map(lambda t: [] if t is None else
+                         list(tok.encode(t, add_special_tokens=add_special_tokens)))
+
+    return docs.withColumn(out_col, _encode(F.col(text_col)))
+
+
+def pad_id_of(tokenizer) -> int:
+    """Pad id, falling back to the end-of-sequence id when a tokenizer has none."""
+    pad = getattr(tokenizer, "pad_token_id", None)
+    return pad if pad is not None else tokenizer.eos_token_id
