@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 from tessera.operators import knn
 
 MAX_NLIST = 4096
+# k-means sees at most this many points per centroid (a uniform sample beyond),
+# the same bound the usual IVF trainers apply; training cost stays bounded
+MAX_POINTS_PER_CENTROID = 256
 
 
 def default_nlist(n: int) -> int:
@@ -34,9 +37,14 @@ def default_nlist(n: int) -> int:
     return nlist
 
 
-def _kmeans(df: DataFrame, vec_col: str, k: int, seed: int, max_iter: int):
+def _kmeans(df: DataFrame, vec_col: str, k: int, seed: int, max_iter: int,
+            n: int | None = None):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
+    n = df.count() if n is None else n
+    cap = k * MAX_POINTS_PER_CENTROID
+    if n > cap:
+        df = df.sample(fraction=min(1.0, 1.1 * cap / n), seed=seed)
     data = df.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||").fit(data)
     return np.asarray(model.clusterCenters(), dtype=np.float64)
@@ -47,7 +55,7 @@ def train_centroids(vectors: DataFrame, vec_col: str = "embedding", nlist: int |
     """``(cell_id int, centroid array<double>)``."""
     n = vectors.count()
     k = nlist or default_nlist(n)
-    centers = _kmeans(vectors, vec_col, k, seed, max_iter)
+    centers = _kmeans(vectors, vec_col, k, seed, max_iter, n)
     spark = vectors.sparkSession
     return spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)],
                                  "cell_id int, centroid array<double>")
@@ -151,7 +159,7 @@ def train_pq(store: DataFrame, centroids: DataFrame, m: int = 8, nbits: int = 8,
     rows = []
     for s in range(m):
         sub = res.select(F.slice("_r", s * dsub + 1, dsub).alias("_s"))
-        book = _kmeans(sub, "_s", ksub, seed + s, max_iter)
+        book = _kmeans(sub, "_s", ksub, seed + s, max_iter, n)
         rows.extend((s, j, book[j].tolist()) for j in range(book.shape[0]))
     res.unpersist()
     return store.sparkSession.createDataFrame(rows, "sub int, code int, centroid array<double>")

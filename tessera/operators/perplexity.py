@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.ordering import broadcast_if_small
 from tessera.functions.text import lower_words
 from tessera.operators.chunking import word_chunks
 
@@ -31,13 +30,16 @@ MAX_BROADCAST_COUNTS = 2_000_000
 def unigram_losses(train: DataFrame, eval_chunks: DataFrame, text_col: str = "text",
                    key=("doc_id", "chunk_id")) -> DataFrame:
     """``(key..., n_tokens, loss)`` with p(w) = (c(w) + 1) / (N + V + 1)."""
+    from tessera.session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)
     tok = train.select(F.explode(lower_words(F.col(text_col))).alias("token"))
-    counts = tok.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    counts = tok.groupBy("token").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
     stats = counts.agg(F.sum("c").alias("N"), F.count(F.lit(1)).alias("V")).first()
     n_total, v = (stats["N"] or 0), stats["V"]
     denom = float(n_total + v + 1)
     occ = eval_chunks.select(*key, F.explode(lower_words(F.col(text_col))).alias("token"))
-    j = occ.join(broadcast_if_small(counts, MAX_BROADCAST_COUNTS), "token", "left")
+    side = F.broadcast(counts) if v <= MAX_BROADCAST_COUNTS else counts
+    j = occ.join(side, "token", "left")
     nll = -F.log((F.coalesce(F.col("c"), F.lit(0)) + F.lit(1.0)) / F.lit(denom))
     return j.groupBy(*key).agg(F.count(F.lit(1)).alias("n_tokens"), F.avg(nll).alias("loss"))
 

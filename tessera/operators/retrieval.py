@@ -22,6 +22,8 @@ from tessera.operators.rerank import rerank as rerank_hits
 # row_id = doc_id * 2**20 + chunk_id: stable across re-runs and partitionings
 # (never monotonically_increasing_id).  Holds up to 2**20 chunks per document.
 ROW_ID_SHIFT = 20
+# largest hit table (questions x k rows) shipped to every task of the chunk scan
+MAX_BROADCAST_HITS = 2_000_000
 
 
 def row_id(doc_id="doc_id", chunk_id="chunk_id") -> Column:
@@ -60,8 +62,11 @@ def search(vectors: DataFrame, chunks: DataFrame, questions: DataFrame, k: int =
                          F.col(question_col).alias("question"))
     qv = q.select("q_id", embed(F.col("question")).alias("embedding"))
     hits = knn.knn_search(vectors, qv, k, probes=probes, cell_col=cell_col)
-    hits = F.broadcast(hits.join(F.broadcast(q), "q_id"))
-    out = hits.join(chunks, "row_id")
+    small = q.count() * k <= MAX_BROADCAST_HITS
+    hits = hits.join(F.broadcast(q) if small else q, "q_id")
+    # the hit side is bounded by the checked count: broadcast it so the chunk
+    # table is scanned in place; beyond the bound both sides shuffle on row_id
+    out = (F.broadcast(hits) if small else hits).join(chunks, "row_id")
     if rerank:
         out = rerank_hits(out)
     return out
