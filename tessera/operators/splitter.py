@@ -31,18 +31,18 @@ def _cut(text: str, sep: str) -> list[str]:
     return [p for p in [head] + [sep + t for t in tail] if p]
 
 
-def _pack(pieces: list[str], size: int, overlap: int) -> list[str]:
+def _pack(pieces: list[str], size: int, overlap: int, length=len) -> list[str]:
     out: list[str] = []
     window: list[str] = []
     used = 0
     for piece in pieces:
-        n = len(piece)
+        n = length(piece)
         if window and used + n > size:
             chunk = "".join(window).strip()
             if chunk:
                 out.append(chunk)
             while window and (used > overlap or used + n > size):
-                used -= len(window.pop(0))
+                used -= length(window.pop(0))
         window.append(piece)
         used += n
     chunk = "".join(window).strip()
@@ -52,7 +52,9 @@ def _pack(pieces: list[str], size: int, overlap: int) -> list[str]:
 
 
 def split_text(text: str | None, size: int = 400, overlap: int = 50,
-               separators=DEFAULT_SEPARATORS) -> list[str]:
+               separators=DEFAULT_SEPARATORS, length=len) -> list[str]:
+    """Chunks of ``text``; ``length`` measures pieces (characters by default,
+    a token counter for token-sized chunks)."""
     if not text:
         return []
     if overlap >= size:
@@ -69,30 +71,30 @@ def split_text(text: str | None, size: int = 400, overlap: int = 50,
     out: list[str] = []
     small: list[str] = []
     for piece in _cut(text, sep):
-        if len(piece) < size:
+        if length(piece) < size:
             small.append(piece)
             continue
         if small:
-            out.extend(_pack(small, size, overlap))
+            out.extend(_pack(small, size, overlap, length))
             small = []
         if rest:
-            out.extend(split_text(piece, size, overlap, rest))
+            out.extend(split_text(piece, size, overlap, rest, length))
         else:
             out.append(piece)
     if small:
-        out.extend(_pack(small, size, overlap))
+        out.extend(_pack(small, size, overlap, length))
     return out
 
 
 def split_column(text, size: int = 400, overlap: int = 50,
-                 separators=DEFAULT_SEPARATORS) -> Column:
+                 separators=DEFAULT_SEPARATORS, length=len) -> Column:
     """``array<string>`` of chunks.  ``\\r\\n`` and lone ``\\r`` become ``\\n``
     first, as Python's text mode does when the files are read."""
     seps = tuple(separators)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def _split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_text(t, size, overlap, seps))
+        return texts.map(lambda t: split_text(t, size, overlap, seps, length))
 
     text = F.col(text) if isinstance(text, str) else text
     return _split(F.regexp_replace(text, "\r\n?", "\n"))
@@ -100,7 +102,7 @@ def split_column(text, size: int = 400, overlap: int = 50,
 
 def recursive_chunks(df: DataFrame, size: int = 400, overlap: int = 50,
                      text_col: str = "text", keep: tuple = ("doc_id",),
-                     separators=DEFAULT_SEPARATORS) -> DataFrame:
+                     separators=DEFAULT_SEPARATORS, length=len) -> DataFrame:
     """``(keep..., chunk_id, text)`` — chunk_id is 0-based per document."""
-    return df.select(*keep, F.posexplode(split_column(text_col, size, overlap, separators))
-                     .alias("chunk_id", "text"))
+    return df.select(*keep, F.posexplode(split_column(text_col, size, overlap, separators,
+                                                      length)).alias("chunk_id", "text"))

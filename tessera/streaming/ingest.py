@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+# schema of Spark's binaryFile source (a stream needs it up front)
+BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, "
+                      "content binary")
+
 
 def ingest_texts(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
                  suffix: str = ".txt", recursive: bool = True, transform=None) -> int:
@@ -38,8 +42,8 @@ def ingest_binary(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
         pages = extract_pages(batch_df, make_extractor)
         concat_pages(pages, "path", "page_no", "text").write.mode("append").parquet(sink_dir)
 
-    stream = (spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
-              .load(source_dir))
+    stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("pathGlobFilter", glob).load(source_dir))
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
