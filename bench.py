@@ -1,8 +1,10 @@
 """Benchmark the headline queries.
 
 Runs on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default sf0.1) and
-prints ONE JSON line: total seconds plus per-query seconds.  Each query is
-executed in full through the ``noop`` sink (no collect to the driver).
+prints ONE JSON line: total seconds plus per-query seconds.  Each query runs
+in full through the ``noop`` sink (no collect to the driver); an Observation
+counts its rows in the same pass, giving rows/s.  Extras: recall@5 of IVF
+(nprobe 1/4/8/16) and PQ against exact search, measured after the timings.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import Observation  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
 from tessera.plans.registry import QUERIES  # noqa: E402
 from tessera.session import get_session  # noqa: E402
 
@@ -27,22 +32,55 @@ HEADLINE = [
 ]
 
 
+def _recall(spark, sf_dir):
+    from tessera.operators import ivf, knn
+    emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").alias("row_id"), "embedding")
+    queries = emb.withColumnRenamed("row_id", "q_id")
+    exact = knn.knn_search(emb, queries, 5).checkpoint(eager=True)
+    cents = ivf.train_centroids(emb).checkpoint(eager=True)
+    filed = ivf.assign_cells(emb, cents).checkpoint(eager=True)
+    out = {}
+    for nprobe in (1, 4, 8, 16):
+        t0 = time.perf_counter()
+        hits = ivf.search_ivf(filed, cents, queries, 5, nprobe).checkpoint(eager=True)
+        out[f"ivf_nprobe{nprobe}"] = {"recall@5": round(ivf.recall_at_k(hits, exact), 4),
+                                      "sec": round(time.perf_counter() - t0, 3)}
+    book = ivf.train_pq(filed, cents, 8, 8).checkpoint(eager=True)
+    codes = ivf.encode_pq(filed, cents, book).checkpoint(eager=True)
+    for nprobe in (1, 8):
+        t0 = time.perf_counter()
+        hits = ivf.search_pq(codes, cents, book, queries, 5, nprobe).checkpoint(eager=True)
+        out[f"pq_nprobe{nprobe}"] = {"recall@5": round(ivf.recall_at_k(hits, exact), 4),
+                                     "sec": round(time.perf_counter() - t0, 3)}
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    names = sys.argv[1:] or HEADLINE
+    names = [a for a in sys.argv[1:] if a in QUERIES] or HEADLINE
     spark = get_session(f"local[{cpus}]", app="tessera-bench",
                         shuffle_partitions=int(cpus) * 2,
                         spark__driver__memory="16g")
     spark.range(1000).selectExpr("sum(id)").collect()          # JVM warm-up
     timings: dict[str, float] = {}
+    rows_per_sec: dict[str, float] = {}
     for name in names:
+        obs = Observation(name)
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
-    sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(timings.values()), 3),
-                      "unit": "sec", "queries": timings, "sf": sf, "cpus": int(cpus)}))
+        df = QUERIES[name](spark, sf_dir).observe(obs, F.count(F.lit(1)).alias("rows"))
+        df.write.format("noop").mode("overwrite").save()
+        dt = time.perf_counter() - t0
+        timings[name] = round(dt, 3)
+        rows_per_sec[name] = round(obs.get["rows"] / dt, 1)
+    result = {"metric": "headline_queries_total", "value": round(sum(timings.values()), 3),
+              "unit": "sec", "queries": timings,
+              "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1], "cpus": int(cpus),
+              "rows_per_sec": rows_per_sec}
+    if "--no-recall" not in sys.argv:
+        result["recall"] = _recall(spark, sf_dir)
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":

@@ -45,8 +45,11 @@ def _kmeans(df: DataFrame, vec_col: str, k: int, seed: int, max_iter: int,
     cap = k * MAX_POINTS_PER_CENTROID
     if n > cap:
         df = df.sample(fraction=min(1.0, 1.1 * cap / n), seed=seed)
-    data = df.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||").fit(data)
+    from tessera.functions.ordering import spread
+    data = spread(df).select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
+    # random initial centres, Lloyd iterations: the usual IVF training recipe;
+    # k-means|| costs several extra passes for the same final cost here
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode="random").fit(data)
     return np.asarray(model.clusterCenters(), dtype=np.float64)
 
 
@@ -130,10 +133,10 @@ def search_ivf(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: in
                q_id_col: str = "q_id", q_vec_col: str = "embedding",
                cell_col: str = "cell_id") -> DataFrame:
     """Exact top-k inside the ``nprobe`` nearest cells of every query."""
-    probes = probe_table(queries, centroids, nprobe, q_id_col, q_vec_col)
     return knn.knn_search(store, queries, k, id_col=id_col, vec_col=vec_col,
                           q_id_col=q_id_col, q_vec_col=q_vec_col, cell_col=cell_col,
-                          probes=probes)
+                          probe_fn=lambda block: probe_table(block, centroids, nprobe,
+                                                             q_id_col, q_vec_col))
 
 
 # ------------------------------------------------------------------ PQ
@@ -207,15 +210,29 @@ def search_pq(codes: DataFrame, centroids: DataFrame, codebook: DataFrame, queri
     spark = codes.sparkSession
     cents = _centroid_matrix(centroids)
     book = _codebook_array(codebook)
-    probes = probe_table(queries, centroids, nprobe, q_id_col, q_vec_col)
-    q_ids, q_mat = knn._collect_queries(queries, q_id_col, q_vec_col)
-    allowed = np.zeros((len(q_ids), cents.shape[0]), dtype=bool)
-    for i, q in enumerate(q_ids):
-        for c in probes.get(int(q), ()):
-            allowed[i, c] = True
-    cells = sorted({c for s in probes.values() for c in s})
-    bc = spark.sparkContext.broadcast((q_ids, q_mat, allowed, cents, book))
+    parts = []
+    for block, q_ids, q_mat in knn.query_blocks(queries, q_id_col, q_vec_col):
+        probes = probe_table(block, centroids, nprobe, q_id_col, q_vec_col)
+        allowed = np.zeros((len(q_ids), cents.shape[0]), dtype=bool)
+        for i, q in enumerate(q_ids):
+            for c in probes.get(int(q), ()):
+                allowed[i, c] = True
+        cells = sorted({c for s in probes.values() for c in s})
+        bc = spark.sparkContext.broadcast((q_ids, q_mat, allowed, cents, book))
+        scan = codes.filter(F.col(cell_col).isin(cells)).select(id_col, cell_col, "codes")
+        parts.append(scan.mapInArrow(_adc_kernel(bc, k, id_col, cell_col),
+                                     f"q_id long, {id_col} long, d2 double"))
+    if not parts:
+        return knn._empty_hits(spark, id_col)
+    cands = parts[0]
+    for p in parts[1:]:
+        cands = cands.unionByName(p)
+    return knn.rank_hits(cands, k, id_col).select("q_id", id_col, "rank", "d2", "similarity")
+
 
+def _adc_kernel(bc, k: int, id_col: str, cell_col: str):
+    """Arrow batch function: per probed cell, a (query, sub-space, code)
+    distance table; each vector's distance is the sum of ``m`` look-ups."""
     def run(batches):
         qi, qm, al, ce, bk = bc.value
         m, ksub, dsub = bk.shape
@@ -249,10 +266,7 @@ def search_pq(codes: DataFrame, centroids: DataFrame, codebook: DataFrame, queri
             yield pa.RecordBatch.from_arrays(
                 [pa.array(qq[ok], pa.int64()), pa.array(best_id[ok], pa.int64()),
                  pa.array(best_d[ok], pa.float64())], names=["q_id", id_col, "d2"])
-
-    scan = codes.filter(F.col(cell_col).isin(cells)).select(id_col, cell_col, "codes")
-    cands = scan.mapInArrow(run, f"q_id long, {id_col} long, d2 double")
-    return knn.rank_hits(cands, k, id_col).select("q_id", id_col, "rank", "d2", "similarity")
+    return run
 
 
 # ------------------------------------------------------------------ recall

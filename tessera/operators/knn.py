@@ -126,39 +126,51 @@ def rank_hits(candidates: DataFrame, k: int, id_col: str = "row_id") -> DataFram
             .withColumn("similarity", similarity_from_d2(F.col("d2"))))
 
 
+def query_blocks(queries: DataFrame, q_id_col: str = "q_id", q_vec_col: str = "embedding",
+                 max_block_bytes: int = MAX_QUERY_BLOCK_BYTES):
+    """Yield ``(block_df, q_ids, q_matrix)`` for bounded blocks of the query
+    table: each block's float64 matrix stays under ``max_block_bytes`` (the
+    checked size of what is broadcast).  Blocks are hash ranges of the id."""
+    n_q = queries.count()
+    if n_q == 0:
+        return
+    dim = len(queries.select(q_vec_col).first()[0])
+    n_blocks = max(1, math.ceil(n_q * dim * 8 / max_block_bytes))
+    for b in range(n_blocks):
+        block = queries if n_blocks == 1 else queries.filter(
+            F.pmod(F.xxhash64(F.col(q_id_col)), F.lit(n_blocks)) == b)
+        q_ids, q_mat = _collect_queries(block, q_id_col, q_vec_col)
+        if len(q_ids):
+            yield block, q_ids, q_mat
+
+
+def _empty_hits(spark, id_col: str) -> DataFrame:
+    return spark.createDataFrame([], f"q_id long, {id_col} long, rank int, d2 double, "
+                                     "similarity double")
+
+
 def knn_search(vectors: DataFrame, queries: DataFrame, k: int = 5, *,
                id_col: str = "row_id", vec_col: str = "embedding",
                q_id_col: str = "q_id", q_vec_col: str = "embedding",
-               cell_col: str | None = None, probes: dict | None = None,
+               cell_col: str | None = None, probe_fn=None,
                max_block_bytes: int = MAX_QUERY_BLOCK_BYTES) -> DataFrame:
     """Top-k rows of ``vectors`` for every row of ``queries``.
 
     Returns ``(q_id, <id_col>, rank, d2, similarity)``; rank is 1-based.
-    ``probes`` (IVF): ``{q_id: set(cell ids)}``; a vector is a candidate for a
-    query only when its ``cell_col`` is in the query's probe set.
+    ``probe_fn(block_df) -> {q_id: set(cell ids)}`` (IVF): a vector is a
+    candidate for a query only when its ``cell_col`` is in the query's probe
+    set; it is called per query block, so probe tables stay bounded too.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
     spark = vectors.sparkSession
-    n_q = queries.count()
-    if n_q == 0:
-        return spark.createDataFrame([], f"q_id long, {id_col} long, rank int, "
-                                         "d2 double, similarity double")
-    dim = len(queries.select(q_vec_col).first()[0])
-    n_blocks = max(1, math.ceil(n_q * dim * 8 / max_block_bytes))
-    if n_blocks > 1:
-        queries = queries.withColumn(
-            "_qb", F.pmod(F.xxhash64(F.col(q_id_col)), F.lit(n_blocks)))
     vec_in = vectors.select(id_col, vec_col, *([cell_col] if cell_col else []))
     parts = []
-    for b in range(n_blocks):
-        block = queries.filter(F.col("_qb") == b) if n_blocks > 1 else queries
-        q_ids, q_mat = _collect_queries(block, q_id_col, q_vec_col)
-        if len(q_ids) == 0:
-            continue
+    for block, q_ids, q_mat in query_blocks(queries, q_id_col, q_vec_col, max_block_bytes):
         allowed = None
         scan = vec_in
-        if probes is not None:
+        if probe_fn is not None:
+            probes = probe_fn(block)
             all_cells = sorted({c for q in q_ids for c in probes.get(int(q), ())})
             n_cells = (max(all_cells) + 1) if all_cells else 1
             allowed = np.zeros((len(q_ids), n_cells), dtype=bool)
@@ -175,10 +187,8 @@ def knn_search(vectors: DataFrame, queries: DataFrame, k: int = 5, *,
 
         parts.append(scan.mapInArrow(kernel, _hits_schema(id_col)))
     if not parts:
-        return spark.createDataFrame([], f"q_id long, {id_col} long, rank int, "
-                                         "d2 double, similarity double")
+        return _empty_hits(spark, id_col)
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
     return rank_hits(cands, k, id_col).select("q_id", id_col, "rank", "d2", "similarity")
-

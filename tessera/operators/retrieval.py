@@ -52,7 +52,7 @@ def hash_vectors(chunks: DataFrame, dim: int) -> DataFrame:
 
 def search(vectors: DataFrame, chunks: DataFrame, questions: DataFrame, k: int = 5, *,
            dim: int = 64, rerank: bool = False, q_id_col: str = "q_id",
-           question_col: str = "question", embed=None, probes=None,
+           question_col: str = "question", embed=None, probe_fn=None,
            cell_col: str | None = None) -> DataFrame:
     """``(q_id, question, rank, row_id, doc_id, chunk_id, text, metadata, d2,
     similarity[, prev_rank, overlap, score])``.  Questions whose search yields
@@ -61,7 +61,7 @@ def search(vectors: DataFrame, chunks: DataFrame, questions: DataFrame, k: int =
     q = questions.select(F.col(q_id_col).cast("long").alias("q_id"),
                          F.col(question_col).alias("question"))
     qv = q.select("q_id", embed(F.col("question")).alias("embedding"))
-    hits = knn.knn_search(vectors, qv, k, probes=probes, cell_col=cell_col)
+    hits = knn.knn_search(vectors, qv, k, probe_fn=probe_fn, cell_col=cell_col)
     small = q.count() * k <= MAX_BROADCAST_HITS
     hits = hits.join(F.broadcast(q) if small else q, "q_id")
     # the hit side is bounded by the checked count: broadcast it so the chunk

@@ -106,3 +106,13 @@ def test_calibrated_nprobe_reaches_target(spark, trained):
     emb, cents, filed, queries, exact = trained
     nprobe, curve = ivf.calibrate_nprobe(filed, cents, queries, 5, 0.8)
     assert curve[-1][1] >= 0.8 and curve[-1][0] == nprobe
+
+
+def test_query_blocks_give_the_same_answer(spark):
+    emb = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
+    q = emb.withColumnRenamed("vec_id", "q_id")
+    one = knn.knn_search(emb, q, 5, id_col="vec_id")
+    many = knn.knn_search(emb, q, 5, id_col="vec_id", max_block_bytes=64 * 8 * 60)  # ~9 blocks
+    a = sorted((r.q_id, r.vec_id, r.rank) for r in one.collect())
+    b = sorted((r.q_id, r.vec_id, r.rank) for r in many.collect())
+    assert a == b and len(a) == 2500
