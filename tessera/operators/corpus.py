@@ -20,16 +20,25 @@ from tessera.functions.text import file_stem, window_file_name  # noqa: F401
 
 def split_exact(df: DataFrame, key: str = "doc_id", ratio: float = 0.9, seed=42,
                 split_col: str = "split") -> DataFrame:
-    """Adds ``split`` in {'train', 'eval'} (the eval ratio is the remainder)."""
+    """Adds ``split`` in {'train', 'eval'} (the eval ratio is the remainder).
+
+    Only the boundary is global: the ``cut``-th key in the permutation order
+    is found by sorting the key columns alone; the table itself (text and
+    all) is then split by a narrow comparison with that key — no shuffle and
+    no copy of the wide rows.  ``key`` must be unique."""
     if not 0.0 <= ratio <= 1.0:
         raise ValueError("ratio must be in [0, 1]")
-    ordered = global_index(df.withColumn("_k", md5_order_key(seed, key)),
-                           [F.col("_k"), F.col(key)], "_i")
-    n = ordered.count()
+    order_key = md5_order_key(seed, key)
+    keys = df.select(F.col(key), order_key.alias("_k"))
+    n = keys.count()
     cut = int(n * ratio)
-    return (ordered.withColumn(split_col, F.when(F.col("_i") < cut, F.lit("train"))
-                               .otherwise(F.lit("eval")))
-            .drop("_k", "_i"))
+    if cut >= n:
+        return df.withColumn(split_col, F.lit("train"))
+    ranked = global_index(keys, [F.col("_k"), F.col(key)], "_i")
+    edge = ranked.filter(F.col("_i") == cut).select("_k", key).first()
+    before = (order_key < F.lit(edge["_k"])) | \
+        ((order_key == F.lit(edge["_k"])) & (F.col(key) < F.lit(edge[key])))
+    return df.withColumn(split_col, F.when(before, F.lit("train")).otherwise(F.lit("eval")))
 
 
 def split_fraction(df: DataFrame, key: str = "doc_id", ratio: float = 0.9, seed=42,

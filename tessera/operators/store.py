@@ -54,6 +54,13 @@ def chunk_documents(docs: DataFrame, chunker: str = "recursive", chunk_size: int
                                       F.col("chunk_id").cast("int").alias("chunk_id")).alias("metadata"))
 
 
+def _by_cell(df: DataFrame) -> DataFrame:
+    """Group rows of a cell into few files before a ``partitionBy(cell_id)``
+    write.  REBALANCE lets AQE split a hot cell (one cell may hold a third of
+    all vectors) over several tasks and merge small ones."""
+    return df.hint("rebalance", "cell_id")
+
+
 def build_store(docs: DataFrame, root: str, index_type: str = "Flat", *,
                 chunker: str = "recursive", chunk_size: int = 400, overlap: int = 50,
                 chunk_words: int = 64, dim: int = 64, embed=None, model: str = "hash",
@@ -81,15 +88,15 @@ def build_store(docs: DataFrame, root: str, index_type: str = "Flat", *,
         cents = spark.read.parquet(f"{root}/centroids")
         manifest["nlist"] = cents.count()
         manifest["nprobe"] = 1
-        (ivf.assign_cells(flat, cents).write.mode("overwrite").partitionBy("cell_id")
+        (_by_cell(ivf.assign_cells(flat, cents)).write.mode("overwrite").partitionBy("cell_id")
          .parquet(f"{root}/vectors"))
         stored = spark.read.parquet(f"{root}/vectors")
         if index_type == "PQ":
             book = ivf.train_pq(stored, cents, m, nbits, seed=seed)
             book.write.mode("overwrite").parquet(f"{root}/codebook")
             book = spark.read.parquet(f"{root}/codebook")
-            (ivf.encode_pq(stored, cents, book).write.mode("overwrite").partitionBy("cell_id")
-             .parquet(f"{root}/codes"))
+            (_by_cell(ivf.encode_pq(stored, cents, book)).write.mode("overwrite")
+             .partitionBy("cell_id").parquet(f"{root}/codes"))
             manifest.update(m=m, nbits=nbits)
         if index_type == "HNSW":
             sample = (stored.filter(md5_fraction(seed, "row_id") < 0.05)

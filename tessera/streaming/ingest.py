@@ -15,10 +15,14 @@ BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, "
 
 
 def ingest_texts(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
-                 suffix: str = ".txt", recursive: bool = True, transform=None) -> int:
-    """Run one incremental pass; returns the number of rows now in the sink."""
+                 suffix: str = ".txt", recursive: bool = True, transform=None,
+                 max_files_per_batch: int = 10_000) -> int:
+    """Run one incremental pass; returns the number of rows now in the sink.
+    New files are taken in micro-batches of at most ``max_files_per_batch``;
+    each committed batch survives a lost executor or driver restart."""
     reader = (spark.readStream.format("text").option("wholetext", True)
-              .option("pathGlobFilter", f"*{suffix}"))
+              .option("pathGlobFilter", f"*{suffix}")
+              .option("maxFilesPerTrigger", max_files_per_batch))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     stream = reader.load(source_dir).select(
@@ -32,7 +36,7 @@ def ingest_texts(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint
 
 
 def ingest_binary(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
-                  make_extractor, glob: str = "*.pdf") -> int:
+                  make_extractor, glob: str = "*.pdf", max_files_per_batch: int = 1_000) -> int:
     """ST1 for binary documents: new files -> extractor plug-in -> page texts
     glued per file (A6) -> parquet, incrementally."""
     from tessera.sources.files import extract_pages
@@ -43,7 +47,8 @@ def ingest_binary(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
         concat_pages(pages, "path", "page_no", "text").write.mode("append").parquet(sink_dir)
 
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", glob).load(source_dir))
+              .option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files_per_batch)
+              .load(source_dir))
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
