@@ -163,6 +163,10 @@ def train_pq(store: DataFrame, centroids: DataFrame, m: int = 8, nbits: int = 8,
     for s in range(m):
         sub = res.select(F.slice("_r", s * dsub + 1, dsub).alias("_s"))
         book = _kmeans(sub, "_s", ksub, seed + s, max_iter, n)
+        if book.shape[0] < ksub:
+            # k-means returns fewer centres when the data has fewer distinct
+            # points; repeat them so every sub-space has 2**nbits code words
+            book = book[np.arange(ksub) % book.shape[0]]
         rows.extend((s, j, book[j].tolist()) for j in range(book.shape[0]))
     res.unpersist()
     return store.sparkSession.createDataFrame(rows, "sub int, code int, centroid array<double>")
