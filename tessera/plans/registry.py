@@ -589,7 +589,7 @@ def q_store_build(spark, sf_dir):
     root = scratch_path(spark, "store")
     s = vstore.build_store(_t(spark, sf_dir, "documents"), root, "Flat", chunker="words",
                            chunk_words=SEARCH_CHUNK_WORDS, dim=DIM)
-    return s.select("n_documents", "n_chunks", "dim", "index_type")
+    return s.select("n_documents", "n_chunks", F.col("dim").cast("int").alias("dim"), "index_type")
 
 
 def q_store_roundtrip(spark, sf_dir):
