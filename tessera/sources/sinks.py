@@ -59,3 +59,23 @@ def observed(df: DataFrame, name: str, **aggs):
     obs = Observation(name)
     exprs = [F.count(F.lit(1)).alias("rows")] + [v.alias(k) for k, v in aggs.items()]
     return df.observe(obs, *exprs), obs
+
+
+def export_text_files(df: DataFrame, out_dir: str, name_col: str = "stem",
+                      text_col: str = "text", suffix: str = ".txt") -> None:
+    """K1 file layout: one ``<name><suffix>`` file per row in ``out_dir`` (a
+    shared POSIX folder), written by the executors in parallel.  Each file is
+    written to a temporary name and renamed, so a retried task never leaves a
+    half-written file and a re-run simply replaces files."""
+    def write_partition(rows):
+        import os
+        import uuid
+        os.makedirs(out_dir, exist_ok=True)
+        for r in rows:
+            target = os.path.join(out_dir, f"{r[0]}{suffix}")
+            tmp = f"{target}.{uuid.uuid4().hex}.tmp"
+            with open(tmp, "w", encoding="utf-8") as f:
+                f.write(r[1] or "")
+            os.replace(tmp, target)
+
+    df.select(name_col, text_col).foreachPartition(write_partition)

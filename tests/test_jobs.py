@@ -76,3 +76,26 @@ def test_token_windows_with_plugin_tokenizer(spark):
     w = jobs.token_windows(docs, None, 16, 4, make_tokenizer=Tok).orderBy("chunk_id").collect()
     assert w[0].input_ids[0] == 1 and all(len(r.input_ids) == 16 for r in w)
     assert w[-1].input_ids[-1] == 2          # padded with the eos id
+
+
+def test_export_text_files_and_rescan(spark):
+    from tessera.sources import files, sinks
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
+        F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("stem"), "text")
+    out = scratch_path(spark, "export")
+    sinks.export_text_files(docs, out)
+    sinks.export_text_files(docs, out)                   # a re-run replaces, never duplicates
+    back = files.read_texts(spark, out, ".txt")
+    assert back.count() == docs.count() == len(os.listdir(out))
+    joined = back.withColumn("stem", F.regexp_extract("path", r"([^/]*)\.txt$", 1)).join(
+        docs.withColumnRenamed("text", "orig"), "stem")
+    assert joined.filter(F.col("text") != F.col("orig")).count() == 0
+
+
+def test_add_vectors(spark):
+    from tessera.operators import store as vstore
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    root = scratch_path(spark, "add")
+    n = vstore.build_store(docs, root, "Flat", chunker="words", chunk_words=200).first().n_chunks
+    extra = spark.createDataFrame([(10**12, [0.0] * 64)], "row_id long, embedding array<double>")
+    assert vstore.add_vectors(root, extra) == n + 1
