@@ -24,6 +24,8 @@ from tessera.operators.rerank import rerank as rerank_hits
 ROW_ID_SHIFT = 20
 # largest hit table (questions x k rows) shipped to every task of the chunk scan
 MAX_BROADCAST_HITS = 2_000_000
+# largest id list turned into a pushed-down IN filter on the chunk table
+MAX_FETCH_IDS = 100_000
 
 
 def row_id(doc_id="doc_id", chunk_id="chunk_id") -> Column:
@@ -50,6 +52,29 @@ def hash_vectors(chunks: DataFrame, dim: int) -> DataFrame:
     return chunks.select("row_id", hash_embedding(F.col("text"), dim).alias("embedding"))
 
 
+def attach_chunks(hits: DataFrame, questions: DataFrame, chunks: DataFrame,
+                  n_hits: int) -> DataFrame:
+    """Hits ``(q_id, row_id, ...)`` + question text + chunk columns.
+
+    ``n_hits`` (questions x k) bounds the hit table.  Below ``MAX_FETCH_IDS``
+    the hit table is computed once (cached; a lost block is recomputed from
+    lineage) and only the hit documents are fetched: the IN filter on
+    ``doc_id`` reaches the chunk scan (row-group pruning on a stored table;
+    on a table chunked on the fly only the hit documents are chunked).  Below
+    ``MAX_BROADCAST_HITS`` the hit side is broadcast so the chunk table is
+    never shuffled; beyond it both sides shuffle on ``row_id``."""
+    small = n_hits <= MAX_BROADCAST_HITS
+    if n_hits <= MAX_FETCH_IDS:
+        hits = hits.persist()
+        ids = sorted(r[0] for r in hits.select("row_id").distinct().collect())
+        if "doc_id" in chunks.columns:
+            docs = sorted({i >> ROW_ID_SHIFT for i in ids})
+            chunks = chunks.filter(F.col("doc_id").isin(docs))
+        chunks = chunks.filter(F.col("row_id").isin(ids))
+    hits = hits.join(F.broadcast(questions) if small else questions, "q_id")
+    return (F.broadcast(hits) if small else hits).join(chunks, "row_id")
+
+
 def search(vectors: DataFrame, chunks: DataFrame, questions: DataFrame, k: int = 5, *,
            dim: int = 64, rerank: bool = False, q_id_col: str = "q_id",
            question_col: str = "question", embed=None, probe_fn=None,
@@ -62,11 +87,7 @@ def search(vectors: DataFrame, chunks: DataFrame, questions: DataFrame, k: int =
                          F.col(question_col).alias("question"))
     qv = q.select("q_id", embed(F.col("question")).alias("embedding"))
     hits = knn.knn_search(vectors, qv, k, probe_fn=probe_fn, cell_col=cell_col)
-    small = q.count() * k <= MAX_BROADCAST_HITS
-    hits = hits.join(F.broadcast(q) if small else q, "q_id")
-    # the hit side is bounded by the checked count: broadcast it so the chunk
-    # table is scanned in place; beyond the bound both sides shuffle on row_id
-    out = (F.broadcast(hits) if small else hits).join(chunks, "row_id")
+    out = attach_chunks(hits, q, chunks, q.count() * k)
     if rerank:
         out = rerank_hits(out)
     return out

@@ -72,7 +72,7 @@ def search(spark: SparkSession, root: str, questions: DataFrame, k: int = 5,
     q = questions.select(F.col("q_id").cast("long"), "question")
     qv = q.select("q_id", embed(F.col("question")).alias("embedding"))
     hits = vstore.search_store(st, qv, k, nprobe)
-    out = F.broadcast(hits.join(F.broadcast(q), "q_id")).join(st.chunks, "row_id")
+    out = retrieval.attach_chunks(hits, q, st.chunks, q.count() * k)
     if rerank:
         from tessera.operators.rerank import rerank as rr
         out = rr(out)

@@ -25,7 +25,7 @@ KEEP = re.compile(r"^\s*[:+\-| ]*(Scan|Exchange|BroadcastExchange|BroadcastHashJ
 def outline(df) -> list[str]:
     plan = df._jdf.queryExecution().executedPlan().toString()
     lines = [ln.rstrip() for ln in plan.splitlines() if KEEP.match(ln)]
-    schema = [m for m in re.findall(r"(ReadSchema: struct<[^>]*>|PushedFilters: \[[^\]]*\])",
+    schema = [m[:300] for m in re.findall(r"(ReadSchema: struct<[^>]*>|PushedFilters: \[.*?\], ReadSchema)",
                                     df._jdf.queryExecution().executedPlan().toString())]
     return lines + schema
 
