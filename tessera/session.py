@@ -73,6 +73,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             configured = None
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster; "
+                               "tessera cuts lineage and stages files there")
+        # single machine (tests, a laptop): a scratch folder is shared by definition
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
