@@ -431,21 +431,22 @@ def q_benchmark_grid(spark, sf_dir):
     return g.select("q_id", "k", "rerank", "answer", "n_words")
 
 
-def _stand_in_time(spark, sf_dir, offset):
-    ev = _t(spark, sf_dir, "events").select("event_id", "value")
-    return ev.withColumn("q_id", (F.col("event_id") - offset) / 2).filter(
-        F.pmod(F.col("event_id") - offset, F.lit(2)) == 0).select(
-        F.col("q_id").cast("long").alias("q_id"), F.col("value").alias("time"))
+def _stand_in_time(spark, sf_dir, answers, offset):
+    """Stand-in seconds for each answer: ``events.value`` of event
+    ``2 * q_id + offset`` (an equi-join from the question side)."""
+    ev = _t(spark, sf_dir, "events").select(F.col("event_id"), F.col("value").alias("time"))
+    keyed = answers.withColumn("event_id", F.col("q_id") * 2 + offset)
+    return keyed.join(ev, "event_id").drop("event_id")
 
 
 def q_compare_models(spark, sf_dir):
     """R9 + J5: RAG answers vs the plain-prompt model, times from events."""
     qs = _questions(spark, sf_dir)
     rag = _rag_answers(spark, sf_dir).select("q_id", "question", "answer")
-    rag = rag.join(_stand_in_time(spark, sf_dir, 0), "q_id")
+    rag = _stand_in_time(spark, sf_dir, rag, 0)
     ft = reports.answer_table(qs.select("q_id", "question",
                                         prompts.plain_prompt("question").alias("prompt")), _stub)
-    ft = ft.select("q_id", "question", "answer").join(_stand_in_time(spark, sf_dir, 1), "q_id")
+    ft = _stand_in_time(spark, sf_dir, ft.select("q_id", "question", "answer"), 1)
     rep = reports.compare_models(rag.drop("q_id"), ft.drop("q_id"))
     return rep.select("question", "rag_answer", "ft_answer",
                       *[F.round(c, 6).alias(c) for c in ("rag_time", "ft_time", "time_difference",
