@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.ordering import broadcast_if_small, global_index
+from tessera.functions.ordering import global_index
 from tessera.functions.text import words
 
 PAD_ID = 0
@@ -43,8 +43,15 @@ def encode(docs: DataFrame, vocab: DataFrame, text_col: str = "text", key: str =
            unk_id: int | None = None) -> DataFrame:
     """``(key, input_ids array<int>)`` in text order; unknown tokens map to
     ``unk_id`` or are dropped when it is None."""
+    v = vocab.select("token", "id")
+    small = v.limit(MAX_BROADCAST_VOCAB + 1).count() <= MAX_BROADCAST_VOCAB
+    if small:
+        v = F.broadcast(v)
+        # broadcast vocabulary: hash-partition the raw text by document (a few
+        # bytes per token) so explode -> join -> regroup needs no shuffle of
+        # the much wider token rows
+        docs = docs.select(key, text_col).repartition(key)
     occ = token_occurrences(docs, text_col, key)
-    v = broadcast_if_small(vocab.select("token", "id"), MAX_BROADCAST_VOCAB)
     joined = occ.join(v, "token", "left")
     if unk_id is not None:
         joined = joined.withColumn(
