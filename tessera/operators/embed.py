@@ -43,6 +43,33 @@ def _bucket_counts(sorted_and_reversed: Column, dim: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), count)
 
 
+def _bucket_vector(buckets: Column, dim: int) -> Column:
+    """Unit count vector of a bucket array (sorted natively, counted by
+    positional scans, normalised once)."""
+    srt = F.array_sort(buckets)
+    counts = let(srt, lambda b: let(F.struct(b.alias("s"), F.reverse(b).alias("r")),
+                                    lambda p: _bucket_counts(p, dim)))
+    return let(counts, l2_normalize)
+
+
+def word_buckets(text, dim: int = HASH_DIM) -> Column:
+    """Bucket of every lower-cased whitespace word of ``text``, in order."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.transform(lower_words(text), lambda w: hash_bucket(w, dim))
+
+
+def chunk_hash_embeddings(text, chunk_words: int, dim: int = HASH_DIM) -> Column:
+    """Hash embeddings of the disjoint ``chunk_words``-word chunks of ``text``
+    (same values as ``hash_embedding`` of each chunk's text): every word is
+    hashed once per document and each chunk counts its slice of buckets."""
+    def per_doc(b):
+        n = F.size(b)
+        starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(chunk_words))) \
+            .otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: _bucket_vector(F.slice(b, i + 1, chunk_words), dim))
+    return let(word_buckets(text, dim), per_doc)
+
+
 def hash_embedding(text, dim: int = HASH_DIM) -> Column:
     """``array<double>`` of unit length (zero vector for a text without words).
 

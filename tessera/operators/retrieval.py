@@ -52,6 +52,17 @@ def hash_vectors(chunks: DataFrame, dim: int) -> DataFrame:
     return chunks.select("row_id", hash_embedding(F.col("text"), dim).alias("embedding"))
 
 
+def word_chunk_vectors(docs: DataFrame, chunk_words: int, dim: int,
+                       text_col: str = "text") -> DataFrame:
+    """``(row_id, embedding)`` of the word chunks of ``docs`` with the default
+    embedder, straight from each document's words (no chunk text is built or
+    re-split).  Equal to ``hash_vectors(chunk_table(docs, chunk_words), dim)``."""
+    from tessera.operators.embed import chunk_hash_embeddings
+    return (docs.select("doc_id", F.posexplode(chunk_hash_embeddings(F.col(text_col), chunk_words,
+                                                                     dim)).alias("chunk_id", "embedding"))
+            .select(row_id(), "embedding"))
+
+
 def attach_chunks(hits: DataFrame, questions: DataFrame, chunks: DataFrame,
                   n_hits: int) -> DataFrame:
     """Hits ``(q_id, row_id, ...)`` + question text + chunk columns.

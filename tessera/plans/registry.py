@@ -147,8 +147,9 @@ def q_knn_similarity_filter(spark, sf_dir):
 
 # ---------------------------------------------------------------- search
 def _store(spark, sf_dir):
-    chunks = retrieval.chunk_table(_docs(spark, sf_dir), SEARCH_CHUNK_WORDS)
-    return retrieval.hash_vectors(chunks, DIM), chunks
+    docs = _docs(spark, sf_dir)
+    chunks = retrieval.chunk_table(docs, SEARCH_CHUNK_WORDS)
+    return retrieval.word_chunk_vectors(docs, SEARCH_CHUNK_WORDS, DIM), chunks
 
 
 def _search(spark, sf_dir, k=K, rerank=False):

@@ -116,3 +116,13 @@ def test_query_blocks_give_the_same_answer(spark):
     a = sorted((r.q_id, r.vec_id, r.rank) for r in one.collect())
     b = sorted((r.q_id, r.vec_id, r.rank) for r in many.collect())
     assert a == b and len(a) == 2500
+
+
+def test_fused_chunk_vectors_equal_text_path(spark):
+    from tessera.operators import retrieval
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    a = {r.row_id: r.embedding for r in retrieval.word_chunk_vectors(docs, 64, 64).collect()}
+    b = {r.row_id: r.embedding for r in
+         retrieval.hash_vectors(retrieval.chunk_table(docs, 64), 64).collect()}
+    assert a.keys() == b.keys() and len(a) > 60
+    assert all(a[k] == b[k] for k in a)
