@@ -87,7 +87,7 @@ def embed_with(df: DataFrame, make_model: Callable, text_col: str = "text",
                out_col: str = "embedding", batch_size: int = 8,
                max_chars: int | None = None) -> DataFrame:
     """Plug-in embedder: ``make_model()`` returns ``f(np.ndarray[str]) ->
-    np.ndarray[(n, dim)]``; outputs are L2-normalised like the reference."""
+    np.ndarray[(n, dim)]``; outputs are L2-normalised."""
     from pyspark.ml.functions import predict_batch_udf
 
     def make_predict():

@@ -1,4 +1,4 @@
-"""Fixed table schemas (checked on read; the reference's were implicit)."""
+"""Fixed table schemas, checked on read."""
 
 from pyspark.sql import types as T
 

@@ -63,8 +63,8 @@ def test_report_csv_and_summary(spark):
     sinks.write_report_csv(df, path)
     back = spark.read.option("header", True).csv(path)
     assert back.columns == df.columns and back.count() == 1
-    assert sinks.report_name("data/faiss_db/index.faiss", "models/llama-3b") == \
-        "benchmark_faiss_db_llama-3b.csv"
+    assert sinks.report_name("data/vector_db/index.bin", "models/gen-3b") == \
+        "benchmark_vector_db_gen-3b.csv"
     s = sinks.run_summary(spark, n_documents=3, seconds=1.5).first()
     assert (s.n_documents, s.seconds) == (3, 1.5)
     obs_df, obs = sinks.observed(df, "m", n_rerank=F.count_if("rerank"))
