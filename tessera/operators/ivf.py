@@ -153,16 +153,22 @@ def train_pq(store: DataFrame, centroids: DataFrame, m: int = 8, nbits: int = 8,
     n = store.count()
     if n < ksub:
         raise ValueError(f"PQ training needs at least {ksub} vectors")
+    # sample before anything else: each sub-quantizer sees at most
+    # MAX_POINTS_PER_CENTROID points per code word, so the cached residual
+    # table is bounded (2**nbits x 256 rows) whatever the number of vectors
+    cap = ksub * MAX_POINTS_PER_CENTROID
+    train = store if n <= cap else store.sample(fraction=min(1.0, 1.1 * cap / n), seed=seed)
     cdf = store.sparkSession.createDataFrame([(i, c.tolist()) for i, c in enumerate(cents)],
                                              f"{cell_col} int, _c array<double>")
-    res = (store.join(F.broadcast(cdf), cell_col)
+    res = (train.join(F.broadcast(cdf), cell_col)
            .select(F.zip_with(F.col(vec_col).cast("array<double>"), F.col("_c"),
                               lambda a, b: a - b).alias("_r")).persist())
+    n_res = res.count()
     dsub = dim // m
     rows = []
     for s in range(m):
         sub = res.select(F.slice("_r", s * dsub + 1, dsub).alias("_s"))
-        book = _kmeans(sub, "_s", ksub, seed + s, max_iter, n)
+        book = _kmeans(sub, "_s", ksub, seed + s, max_iter, n_res)
         if book.shape[0] < ksub:
             # k-means returns fewer centres when the data has fewer distinct
             # points; repeat them so every sub-space has 2**nbits code words

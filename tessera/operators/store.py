@@ -27,6 +27,8 @@ from tessera.operators import ivf, knn, retrieval, splitter
 from tessera.operators.embed import hash_embedding
 
 INDEX_TYPES = ("Flat", "IVF", "PQ", "HNSW")
+# size of the query sample used to calibrate nprobe for the HNSW re-aim
+CALIBRATION_QUERIES = 1000
 
 
 @dataclass
@@ -101,7 +103,10 @@ def build_store(docs: DataFrame, root: str, index_type: str = "Flat", *,
              .partitionBy("cell_id").parquet(f"{root}/codes"))
             manifest.update(m=m, nbits=nbits)
         if index_type == "HNSW":
-            sample = (stored.filter(md5_fraction(seed, "row_id") < 0.05)
+            # calibration queries: a repeatable sample of at most ~1,000 vectors
+            n_stored = stored.count()
+            share = min(0.05, CALIBRATION_QUERIES / max(n_stored, 1))
+            sample = (stored.filter(md5_fraction(seed, "row_id") < share)
                       .select(F.col("row_id").alias("q_id"), "embedding"))
             nprobe, _ = ivf.calibrate_nprobe(stored, cents, sample, k, recall_target)
             manifest["nprobe"] = nprobe

@@ -579,7 +579,8 @@ def q_knn_recall_target(spark, sf_dir):
     """V7: nprobe calibrated on sample queries until recall@5 >= target."""
     emb, cents, filed = _trained(spark, sf_dir)
     queries = emb.withColumnRenamed("row_id", "q_id")
-    sample = queries.filter(md5_fraction(SPLIT_SEED, "q_id") < 0.1)
+    share = min(0.1, vstore.CALIBRATION_QUERIES / max(emb.count(), 1))
+    sample = queries.filter(md5_fraction(SPLIT_SEED, "q_id") < share)
     nprobe, _ = ivf.calibrate_nprobe(filed, cents, sample, K, RECALL_TARGET)
     hits = ivf.search_ivf(filed, cents, queries, K, nprobe)
     return hits.select("q_id", F.col("row_id").alias("vec_id"), "rank",
