@@ -131,6 +131,7 @@ def query_blocks(queries: DataFrame, q_id_col: str = "q_id", q_vec_col: str = "e
     """Yield ``(block_df, q_ids, q_matrix)`` for bounded blocks of the query
     table: each block's float64 matrix stays under ``max_block_bytes`` (the
     checked size of what is broadcast).  Blocks are hash ranges of the id."""
+    queries = queries.filter(F.col(q_vec_col).isNotNull())
     n_q = queries.count()
     if n_q == 0:
         return
@@ -164,7 +165,8 @@ def knn_search(vectors: DataFrame, queries: DataFrame, k: int = 5, *,
     if k < 1:
         raise ValueError("k must be >= 1")
     spark = vectors.sparkSession
-    vec_in = vectors.select(id_col, vec_col, *([cell_col] if cell_col else []))
+    vec_in = (vectors.select(id_col, vec_col, *([cell_col] if cell_col else []))
+              .filter(F.col(vec_col).isNotNull()))
     parts = []
     for block, q_ids, q_mat in query_blocks(queries, q_id_col, q_vec_col, max_block_bytes):
         allowed = None
