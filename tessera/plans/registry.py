@@ -321,27 +321,23 @@ def q_metadata_json(spark, sf_dir):
                          F.length("r.text").alias("n_chars"), F.md5("r.text").alias("text_md5"))
 
 
-def _export_docs(spark, docs, path):
-    sinks.write_texts(docs, path, "doc_id", "text", one_file_per_key=True, mode="append")
+def _export_docs(docs, path):
+    """One ``doc<id>.txt`` file per document in one shared folder (K1 layout)."""
+    named = docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("stem"), "text")
+    sinks.export_text_files(named, path)
 
 
 def _doc_id_from_path(path_col):
-    return F.regexp_extract(path_col, r"doc_id=(\d+)/", 1).cast("long")
-
-
-def _strip_writer_newline(text_col):
-    # the text writer ends every value with one line separator
-    return F.expr(f"substring({text_col}, 1, length({text_col}) - 1)")
+    return F.regexp_extract(path_col, r"doc(\d+)\.txt$", 1).cast("long")
 
 
 def q_text_scan(spark, sf_dir):
     """S1/S2 + K1: documents exported one file per document, scanned back."""
     root = scratch_path(spark, "text-export")
-    _export_docs(spark, _docs(spark, sf_dir), root)
-    t = file_sources.read_texts(spark, root, ".txt", recursive=True)
-    text = _strip_writer_newline("text")
+    _export_docs(_docs(spark, sf_dir), root)
+    t = file_sources.read_texts(spark, root, ".txt")
     return t.select(_doc_id_from_path(F.col("path")).alias("doc_id"),
-                    F.length(text).alias("n_chars"), F.md5(text).alias("text_md5"))
+                    F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
 def q_ingest_stream(spark, sf_dir):
@@ -350,15 +346,14 @@ def q_ingest_stream(spark, sf_dir):
     root = scratch_path(spark, "ingest")
     src, sink, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
     docs = _docs(spark, sf_dir)
-    _export_docs(spark, docs.filter(F.col("lang") == "en"), src)
-    ingest.ingest_texts(spark, src, sink, ckpt)
-    _export_docs(spark, docs.filter(F.col("lang") != "en"), src)
-    ingest.ingest_texts(spark, src, sink, ckpt)
-    ingest.ingest_texts(spark, src, sink, ckpt)          # nothing new: no change
+    _export_docs(docs.filter(F.col("lang") == "en"), src)
+    ingest.ingest_texts(spark, src, sink, ckpt, recursive=False)
+    _export_docs(docs.filter(F.col("lang") != "en"), src)
+    ingest.ingest_texts(spark, src, sink, ckpt, recursive=False)
+    ingest.ingest_texts(spark, src, sink, ckpt, recursive=False)   # nothing new: no change
     out = spark.read.parquet(sink)
-    text = _strip_writer_newline("text")
     return out.select(_doc_id_from_path(F.col("path")).alias("doc_id"),
-                      F.length(text).alias("n_chars"))
+                      F.length("text").alias("n_chars"))
 
 
 def q_answer_word_counts(spark, sf_dir):
