@@ -165,15 +165,21 @@ def train_pq(store: DataFrame, centroids: DataFrame, m: int = 8, nbits: int = 8,
                               lambda a, b: a - b).alias("_r")).persist())
     n_res = res.count()
     dsub = dim // m
-    rows = []
-    for s in range(m):
+
+    def fit(s):
         sub = res.select(F.slice("_r", s * dsub + 1, dsub).alias("_s"))
         book = _kmeans(sub, "_s", ksub, seed + s, max_iter, n_res)
         if book.shape[0] < ksub:
             # k-means returns fewer centres when the data has fewer distinct
             # points; repeat them so every sub-space has 2**nbits code words
             book = book[np.arange(ksub) % book.shape[0]]
-        rows.extend((s, j, book[j].tolist()) for j in range(book.shape[0]))
+        return [(s, j, book[j].tolist()) for j in range(book.shape[0])]
+
+    # the m fits are independent Spark jobs: submit them concurrently so the
+    # cluster runs their tasks side by side instead of m rounds of small jobs
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=m) as pool:
+        rows = [r for part in pool.map(fit, range(m)) for r in part]
     res.unpersist()
     return store.sparkSession.createDataFrame(rows, "sub int, code int, centroid array<double>")
 
