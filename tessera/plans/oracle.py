@@ -185,7 +185,7 @@ SELECT doc_id, ({_EXTRACT} || {_NL2} || 'Text: ' || text) AS prompt FROM documen
     "retrieved_nested": _SEARCH_CTES + """
 SELECT q_id, CAST(count(*) AS INTEGER) AS n_chunks,
        string_agg(concat_ws('|', rank::VARCHAR, source, chunk_id::VARCHAR,
-                            round(score, 6)::VARCHAR, md5(text)), ';' ORDER BY rank) AS retrieved
+                            printf('%.6f', round(score, 6)), md5(text)), ';' ORDER BY rank) AS retrieved
 FROM rer GROUP BY q_id""",
 })
 

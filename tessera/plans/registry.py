@@ -210,7 +210,7 @@ def q_retrieved_nested(spark, sf_dir):
     nested = h.groupBy("q_id").agg(F.sort_array(F.collect_list(item)).alias("retrieved_chunks"))
     flat = F.transform("retrieved_chunks", lambda s: F.concat_ws(
         "|", s["rank"].cast("string"), s["metadata"]["source"],
-        s["metadata"]["chunk_id"].cast("string"), s["similarity"].cast("string"),
+        s["metadata"]["chunk_id"].cast("string"), F.format_string("%.6f", s["similarity"]),
         F.md5(s["text"])))
     return nested.select("q_id", F.size("retrieved_chunks").alias("n_chunks"),
                          F.array_join(flat, ";").alias("retrieved"))
