@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera import schemas
 from tessera.operators import chunking, corpus, prompts, reports, retrieval, vocab
 from tessera.operators import perplexity as ppl
 from tessera.operators import store as vstore
@@ -107,8 +108,7 @@ def benchmark(spark: SparkSession, root: str, questions: DataFrame, make_generat
     n_q = questions.count()
     hits, per_q = reports.timed_hits(search(spark, root, questions, max(k_values)), n_q)
     g = reports.benchmark_grid(questions, hits, make_generator, per_q, k_values, **params)
-    return g.select("question", "k", "rerank", "answer", "total_time", "retrieval_time",
-                    "generation_time", "time_per_token")
+    return schemas.conform(g, schemas.BENCHMARK_REPORT)
 
 
 def compare(spark: SparkSession, root: str, questions: DataFrame, make_rag_generator,
@@ -119,7 +119,7 @@ def compare(spark: SparkSession, root: str, questions: DataFrame, make_rag_gener
     plain = questions.select("question", prompts.plain_prompt("question").alias("prompt"))
     ft = reports.answer_table(plain, make_plain_generator, 0.0, **params).select(
         "question", "answer", F.col("generation_time").alias("time"))
-    return reports.compare_models(rag, ft)
+    return schemas.conform(reports.compare_models(rag, ft), schemas.COMPARISON_REPORT)
 
 
 def perplexity(train: DataFrame, held_out: DataFrame, chunk_words: int = 1500,

@@ -61,3 +61,9 @@ COMPARISON_REPORT = T.StructType([
     T.StructField("rag_time_per_token", T.DoubleType()),
     T.StructField("ft_time_per_token", T.DoubleType()),
 ])
+
+
+def conform(df, schema: T.StructType):
+    """Select and cast ``df`` to a fixed schema (column order and types)."""
+    from pyspark.sql import functions as F
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
