@@ -10,9 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import knn
-from tessera.session import prepare
+from tessera.functions.ordering import md5_fraction, spread
+from tessera.functions.text import words
+from tessera.operators import (batching, chunking, corpus, embed, ivf, knn, prompts, reports,
+                               retrieval, splitter, vocab)
+from tessera.operators import perplexity as ppl
+from tessera.operators import store as vstore
+from tessera.operators.generate import EchoExtract
+from tessera.operators.rerank import term_overlap
+from tessera.session import prepare, scratch_path
+from tessera.sources import files as file_sources
+from tessera.sources import sinks
 from tessera.sources.tables import load_table
+from tessera.streaming import ingest
 
 # Fixed parameters of the registered queries.
 K = 5
@@ -37,10 +47,6 @@ QUERIES = {
 
 
 # ---------------------------------------------------------------- chunk family
-from tessera.functions.ordering import md5_fraction, spread  # noqa: E402
-from tessera.functions.text import words  # noqa: E402
-from tessera.operators import chunking, embed, prompts, retrieval, splitter, vocab  # noqa: E402
-from tessera.operators.rerank import term_overlap  # noqa: E402
 
 EVAL_CHUNK_WORDS = 1500      # C3 size of the perplexity script
 WINDOW_MAX, WINDOW_STRIDE = 128, 32   # C2 at test scale (words as tokens)
@@ -241,11 +247,6 @@ QUERIES.update({
 
 
 # ---------------------------------------------------------------- corpus build
-from tessera.operators import corpus  # noqa: E402
-from tessera.sources import files as file_sources  # noqa: E402
-from tessera.sources import sinks  # noqa: E402
-from tessera.session import scratch_path  # noqa: E402
-from tessera.streaming import ingest  # noqa: E402
 
 SPLIT_RATIO, SPLIT_SEED = 0.9, 42
 
@@ -395,9 +396,6 @@ QUERIES.update({
 
 
 # ---------------------------------------------------------------- answers and reports
-from tessera.operators import batching, reports  # noqa: E402
-from tessera.operators import perplexity as ppl  # noqa: E402
-from tessera.operators.generate import EchoExtract  # noqa: E402
 
 STUB_WORDS = 16
 GRID_MAX_K = max(reports.K_VALUES)
@@ -518,7 +516,6 @@ QUERIES.update({
 
 
 # ---------------------------------------------------------------- approximate search and store
-from tessera.operators import ivf, store as vstore  # noqa: E402
 
 NPROBE_CELLS = 2
 RECALL_TARGET = 0.6
