@@ -131,12 +131,20 @@ def probe_table(queries: DataFrame, centroids: DataFrame, nprobe: int,
 def search_ivf(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
                nprobe: int = 1, *, id_col: str = "row_id", vec_col: str = "embedding",
                q_id_col: str = "q_id", q_vec_col: str = "embedding",
-               cell_col: str = "cell_id") -> DataFrame:
-    """Exact top-k inside the ``nprobe`` nearest cells of every query."""
-    return knn.knn_search(store, queries, k, id_col=id_col, vec_col=vec_col,
+               cell_col: str = "cell_id",
+               max_block_bytes: int = knn.MAX_QUERY_BLOCK_BYTES) -> DataFrame:
+    """Exact top-k inside the ``nprobe`` nearest cells of every query.
+
+    When the query set needs several broadcast blocks, blocks are runs of
+    queries ordered by their nearest cell, so each block probes few cells and
+    reads only those partitions of the store."""
+    q = queries.select(q_id_col, q_vec_col)
+    q = assign_cells(q, centroids, q_vec_col, 1, "_cell0")
+    return knn.knn_search(store, q, k, id_col=id_col, vec_col=vec_col,
                           q_id_col=q_id_col, q_vec_col=q_vec_col, cell_col=cell_col,
                           probe_fn=lambda block: probe_table(block, centroids, nprobe,
-                                                             q_id_col, q_vec_col))
+                                                             q_id_col, q_vec_col),
+                          max_block_bytes=max_block_bytes, block_order="_cell0")
 
 
 # ------------------------------------------------------------------ PQ

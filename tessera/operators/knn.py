@@ -127,19 +127,27 @@ def rank_hits(candidates: DataFrame, k: int, id_col: str = "row_id") -> DataFram
 
 
 def query_blocks(queries: DataFrame, q_id_col: str = "q_id", q_vec_col: str = "embedding",
-                 max_block_bytes: int = MAX_QUERY_BLOCK_BYTES):
+                 max_block_bytes: int = MAX_QUERY_BLOCK_BYTES, order_col: str | None = None):
     """Yield ``(block_df, q_ids, q_matrix)`` for bounded blocks of the query
     table: each block's float64 matrix stays under ``max_block_bytes`` (the
-    checked size of what is broadcast).  Blocks are hash ranges of the id."""
+    checked size of what is broadcast).  Blocks are hash ranges of the id, or
+    consecutive runs in ``order_col`` order (e.g. the nearest IVF cell, so a
+    block probes few cells and its scan is pruned to them)."""
     queries = queries.filter(F.col(q_vec_col).isNotNull())
     n_q = queries.count()
     if n_q == 0:
         return
     dim = len(queries.select(q_vec_col).first()[0])
     n_blocks = max(1, math.ceil(n_q * dim * 8 / max_block_bytes))
+    if n_blocks > 1 and order_col is not None:
+        from tessera.functions.ordering import global_index
+        per_block = math.ceil(n_q / n_blocks)
+        queries = (global_index(queries, [F.col(order_col), F.col(q_id_col)], "_qi")
+                   .withColumn("_qb", F.floor(F.col("_qi") / per_block)).drop("_qi"))
+    elif n_blocks > 1:
+        queries = queries.withColumn("_qb", F.pmod(F.xxhash64(F.col(q_id_col)), F.lit(n_blocks)))
     for b in range(n_blocks):
-        block = queries if n_blocks == 1 else queries.filter(
-            F.pmod(F.xxhash64(F.col(q_id_col)), F.lit(n_blocks)) == b)
+        block = queries if n_blocks == 1 else queries.filter(F.col("_qb") == b)
         q_ids, q_mat = _collect_queries(block, q_id_col, q_vec_col)
         if len(q_ids):
             yield block, q_ids, q_mat
@@ -154,7 +162,8 @@ def knn_search(vectors: DataFrame, queries: DataFrame, k: int = 5, *,
                id_col: str = "row_id", vec_col: str = "embedding",
                q_id_col: str = "q_id", q_vec_col: str = "embedding",
                cell_col: str | None = None, probe_fn=None,
-               max_block_bytes: int = MAX_QUERY_BLOCK_BYTES) -> DataFrame:
+               max_block_bytes: int = MAX_QUERY_BLOCK_BYTES,
+               block_order: str | None = None) -> DataFrame:
     """Top-k rows of ``vectors`` for every row of ``queries``.
 
     Returns ``(q_id, <id_col>, rank, d2, similarity)``; rank is 1-based.
@@ -168,7 +177,8 @@ def knn_search(vectors: DataFrame, queries: DataFrame, k: int = 5, *,
     vec_in = (vectors.select(id_col, vec_col, *([cell_col] if cell_col else []))
               .filter(F.col(vec_col).isNotNull()))
     parts = []
-    for block, q_ids, q_mat in query_blocks(queries, q_id_col, q_vec_col, max_block_bytes):
+    for block, q_ids, q_mat in query_blocks(queries, q_id_col, q_vec_col, max_block_bytes,
+                                            block_order):
         allowed = None
         scan = vec_in
         if probe_fn is not None:

@@ -126,3 +126,12 @@ def test_fused_chunk_vectors_equal_text_path(spark):
          retrieval.hash_vectors(retrieval.chunk_table(docs, 64), 64).collect()}
     assert a.keys() == b.keys() and len(a) > 60
     assert all(a[k] == b[k] for k in a)
+
+
+def test_ivf_blocks_by_cell_give_the_same_answer(spark, trained):
+    emb, cents, filed, queries, exact = trained
+    one = ivf.search_ivf(filed, cents, queries, 5, 3)
+    many = ivf.search_ivf(filed, cents, queries, 5, 3, max_block_bytes=64 * 8 * 70)  # ~8 blocks
+    a = sorted((r.q_id, r.row_id, r.rank) for r in one.collect())
+    b = sorted((r.q_id, r.row_id, r.rank) for r in many.collect())
+    assert a == b and len(a) > 2000
