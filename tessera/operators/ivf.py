@@ -138,13 +138,15 @@ def search_ivf(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: in
     When the query set needs several broadcast blocks, blocks are runs of
     queries ordered by their nearest cell, so each block probes few cells and
     reads only those partitions of the store."""
-    q = queries.select(q_id_col, q_vec_col)
-    q = assign_cells(q, centroids, q_vec_col, 1, "_cell0")
-    return knn.knn_search(store, q, k, id_col=id_col, vec_col=vec_col,
+    def by_cell(q):
+        return assign_cells(q.select(q_id_col, q_vec_col), centroids, q_vec_col, 1, "_cell0"), \
+            "_cell0"
+
+    return knn.knn_search(store, queries, k, id_col=id_col, vec_col=vec_col,
                           q_id_col=q_id_col, q_vec_col=q_vec_col, cell_col=cell_col,
                           probe_fn=lambda block: probe_table(block, centroids, nprobe,
                                                              q_id_col, q_vec_col),
-                          max_block_bytes=max_block_bytes, block_order="_cell0")
+                          max_block_bytes=max_block_bytes, block_order=by_cell)
 
 
 # ------------------------------------------------------------------ PQ

@@ -127,21 +127,24 @@ def rank_hits(candidates: DataFrame, k: int, id_col: str = "row_id") -> DataFram
 
 
 def query_blocks(queries: DataFrame, q_id_col: str = "q_id", q_vec_col: str = "embedding",
-                 max_block_bytes: int = MAX_QUERY_BLOCK_BYTES, order_col: str | None = None):
+                 max_block_bytes: int = MAX_QUERY_BLOCK_BYTES, order_by=None):
     """Yield ``(block_df, q_ids, q_matrix)`` for bounded blocks of the query
     table: each block's float64 matrix stays under ``max_block_bytes`` (the
     checked size of what is broadcast).  Blocks are hash ranges of the id, or
-    consecutive runs in ``order_col`` order (e.g. the nearest IVF cell, so a
-    block probes few cells and its scan is pruned to them)."""
+    consecutive runs in the order of the column that ``order_by(queries) ->
+    (queries, column)`` adds (e.g. the nearest IVF cell, so a block probes few
+    cells and its scan is pruned to them); it is only called when more than
+    one block is needed."""
     queries = queries.filter(F.col(q_vec_col).isNotNull())
     n_q = queries.count()
     if n_q == 0:
         return
     dim = len(queries.select(q_vec_col).first()[0])
     n_blocks = max(1, math.ceil(n_q * dim * 8 / max_block_bytes))
-    if n_blocks > 1 and order_col is not None:
+    if n_blocks > 1 and order_by is not None:
         from tessera.functions.ordering import global_index
         per_block = math.ceil(n_q / n_blocks)
+        queries, order_col = order_by(queries)
         queries = (global_index(queries, [F.col(order_col), F.col(q_id_col)], "_qi")
                    .withColumn("_qb", F.floor(F.col("_qi") / per_block)).drop("_qi"))
     elif n_blocks > 1:
@@ -163,7 +166,7 @@ def knn_search(vectors: DataFrame, queries: DataFrame, k: int = 5, *,
                q_id_col: str = "q_id", q_vec_col: str = "embedding",
                cell_col: str | None = None, probe_fn=None,
                max_block_bytes: int = MAX_QUERY_BLOCK_BYTES,
-               block_order: str | None = None) -> DataFrame:
+               block_order=None) -> DataFrame:
     """Top-k rows of ``vectors`` for every row of ``queries``.
 
     Returns ``(q_id, <id_col>, rank, d2, similarity)``; rank is 1-based.
