@@ -122,6 +122,25 @@ def compare(spark: SparkSession, root: str, questions: DataFrame, make_rag_gener
     return schemas.conform(reports.compare_models(rag, ft), schemas.COMPARISON_REPORT)
 
 
+def extract(docs: DataFrame, make_generator, instruction: str | None = None,
+            key: str = "doc_id", **params) -> DataFrame:
+    """R4 + R5: the triple-extraction instruction over every document, one
+    generation each: ``(key, prompt, answer, generation_time)``.  The reply is
+    returned as text (never parsed, like the original tool)."""
+    p = prompts.extract_prompt("text") if instruction is None else \
+        prompts.extract_prompt("text", instruction)
+    cells = docs.select(key, p.alias("prompt"))
+    out = reports.answer_table(cells, make_generator, 0.0, **params)
+    return out.select(key, "prompt", "answer", "generation_time")
+
+
+def run_prompt_file(spark: SparkSession, path: str, make_generator, **params) -> DataFrame:
+    """S7 + R5: a whole prompt file as one prompt, answered once."""
+    cells = files.read_prompt(spark, path).withColumn("doc_id", F.lit(0).cast("long"))
+    out = reports.answer_table(cells, make_generator, 0.0, **params)
+    return out.select("prompt", "answer", "generation_time")
+
+
 def perplexity(train: DataFrame, held_out: DataFrame, chunk_words: int = 1500,
                make_scorer=None) -> DataFrame:
     """Job E: ``(n_chunks, perplexity)``; the default scorer is the unigram model."""
@@ -132,4 +151,4 @@ def perplexity(train: DataFrame, held_out: DataFrame, chunk_words: int = 1500,
 
 
 __all__ = ["build_corpus", "token_windows", "build_store", "search", "answer", "benchmark",
-           "compare", "perplexity", "retrieval"]
+           "compare", "extract", "run_prompt_file", "perplexity", "retrieval"]

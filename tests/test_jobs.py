@@ -99,3 +99,15 @@ def test_add_vectors(spark):
     n = vstore.build_store(docs, root, "Flat", chunker="words", chunk_words=200).first().n_chunks
     extra = spark.createDataFrame([(10**12, [0.0] * 64)], "row_id long, embedding array<double>")
     assert vstore.add_vectors(root, extra) == n + 1
+
+
+def test_extract_and_prompt_file(spark):
+    docs = spark.createDataFrame([(1, "Droughts damage crops.")], "doc_id long, text string")
+    out = jobs.extract(docs, lambda: EchoExtract(3, marker="Text: ")).first()
+    assert out.prompt.endswith("\n\nText: Droughts damage crops.") and out.answer == "Droughts damage crops."
+    path = scratch_path(spark, "prompt")
+    os.makedirs(path)
+    with open(f"{path}/prompt.txt", "w") as f:
+        f.write("Question: why?\n\nAnswer:")
+    r = jobs.run_prompt_file(spark, f"{path}/prompt.txt", lambda: EchoExtract(2)).first()
+    assert r.answer == "Question: why?"
