@@ -4,9 +4,9 @@ optionally rerank, and build contexts.
 A *chunk store* is two tables keyed by ``row_id``: vectors ``(row_id,
 embedding[, cell_id])`` and chunks ``(row_id, doc_id, chunk_id, text,
 metadata)``.  Search reads only the vectors; text is fetched afterwards for
-the few hits by a join whose hit side (questions x k rows, bounded by the
-checked query block) is broadcast, so the chunk table is scanned once in
-place and never shuffled.
+the few hits: an IN filter on the hit documents is pushed into the chunk scan
+and the hit side (questions x k rows, checked) is broadcast, so the chunk
+table is never shuffled.
 """
 
 from __future__ import annotations
@@ -29,9 +29,13 @@ MAX_FETCH_IDS = 100_000
 
 
 def row_id(doc_id="doc_id", chunk_id="chunk_id") -> Column:
+    """``doc_id << 20 | chunk_id``; a document with more chunks is an error
+    rather than a silent id collision."""
     d = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     c = F.col(chunk_id) if isinstance(chunk_id, str) else chunk_id
-    return (F.shiftleft(d.cast("long"), ROW_ID_SHIFT) + c.cast("long")).alias("row_id")
+    rid = F.shiftleft(d.cast("long"), ROW_ID_SHIFT) + c.cast("long")
+    too_many = F.raise_error(F.lit(f"more than 2^{ROW_ID_SHIFT} chunks in one document"))
+    return F.when(c < (1 << ROW_ID_SHIFT), rid).otherwise(too_many.cast("long")).alias("row_id")
 
 
 def chunk_table(docs: DataFrame, chunk_words: int, text_col: str = "text",
