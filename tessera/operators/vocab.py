@@ -33,7 +33,7 @@ def build_vocabulary(docs: DataFrame, text_col: str = "text", first_id: int = 1,
                      key: str = "doc_id") -> DataFrame:
     """``(token, id, n)``.  The count is a partial+final aggregate (map-side
     combine), so hot tokens do not skew the shuffle."""
-    counts = (token_occurrences(docs, text_col, key).filter(F.col("token").isNotNull())
+    counts = (docs.select(F.explode(words(F.col(text_col))).alias("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     ranked = global_index(counts, [F.col("n").desc(), F.col("token").asc()], "id")
     return ranked.select("token", (F.col("id") + first_id).cast("int").alias("id"), "n")
