@@ -57,3 +57,17 @@ def test_compare_models(spark):
     ft = spark.createDataFrame([("q", "", 1.0)], "question string, answer string, time double")
     r = reports.compare_models(rag, ft).first()
     assert (r.time_difference, r.rag_time_per_token, r.ft_time_per_token) == (3.0, 2.0, 0.0)
+
+
+def test_batched_generator(spark):
+    class Batched:
+        calls = 0
+
+        def generate_batch(self, prompts, **params):
+            assert len(prompts) <= 4
+            return [p + " " + p.upper() for p in prompts]
+
+    df = spark.createDataFrame([(i, f"q{i}") for i in range(10)], "id long, prompt string")
+    out = generate.generate(df.coalesce(1), Batched, batch_size=4).orderBy("id").collect()
+    assert [r.output for r in out][:2] == ["q0 Q0", "q1 Q1"]
+    assert all(r.generation_time >= 0 for r in out)
