@@ -1,7 +1,7 @@
 """Column-expression helpers (all JVM-side, codegen-friendly)."""
 
 from tessera.functions.text import (  # noqa: F401
-    PY_WHITESPACE, words, py_strip, lower_words, file_stem, window_file_name,
+    PY_WHITESPACE, words, py_strip, lower_words, file_stem, window_file_name, let,
     strip_prefix, word_count,
 )
 from tessera.functions.vectors import (  # noqa: F401
