@@ -42,9 +42,12 @@ def ingest_binary(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
     from tessera.sources.files import extract_pages
     from tessera.operators.corpus import concat_pages
 
-    def per_batch(batch_df, _epoch):
+    def per_batch(batch_df, epoch):
+        # foreachBatch may replay a micro-batch after a failure: each batch owns
+        # one folder and overwrites it, so a replay never duplicates rows
         pages = extract_pages(batch_df, make_extractor)
-        concat_pages(pages, "path", "page_no", "text").write.mode("append").parquet(sink_dir)
+        (concat_pages(pages, "path", "page_no", "text").write.mode("overwrite")
+         .parquet(f"{sink_dir}/batch_id={epoch}"))
 
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files_per_batch)
