@@ -136,10 +136,10 @@ def query_blocks(queries: DataFrame, q_id_col: str = "q_id", q_vec_col: str = "e
     cells and its scan is pruned to them); it is only called when more than
     one block is needed."""
     queries = queries.filter(F.col(q_vec_col).isNotNull())
-    n_q = queries.count()
+    stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(q_vec_col)).alias("d")).first()
+    n_q, dim = stats["n"], stats["d"]
     if n_q == 0:
         return
-    dim = len(queries.select(q_vec_col).first()[0])
     n_blocks = max(1, math.ceil(n_q * dim * 8 / max_block_bytes))
     if n_blocks > 1 and order_by is not None:
         from tessera.functions.ordering import global_index
