@@ -24,6 +24,13 @@ def _factory(spec: str | None):
     return getattr(importlib.import_module(module), name)
 
 
+def _with_doc_ids(docs):
+    """Dense document ids from the sorted paths: stable for the same file set,
+    and inside the row-id layout (a 64-bit hash would overflow it)."""
+    from tessera.functions.ordering import global_index
+    return global_index(docs, [F.col("path")], "doc_id")
+
+
 def _questions(spark, path: str):
     """A parquet table with (q_id, question) or one question per line of text."""
     if path.endswith(".parquet"):
@@ -82,13 +89,12 @@ def main(argv=None) -> None:
         out = jobs.build_corpus(spark, a.input_dir, a.output_dir, ratio=a.ratio, seed=a.seed,
                                 binary_extractor=_factory(a.pdf_extractor))
     elif a.cmd == "token-windows":
-        docs = files.read_texts(spark, a.input_dir).withColumn(
-            "doc_id", F.xxhash64("path"))
+        docs = _with_doc_ids(files.read_texts(spark, a.input_dir))
         out = jobs.token_windows(docs, a.output_dir, a.max_length, a.stride,
                                  make_tokenizer=_factory(a.tokenizer)).groupBy().count()
     elif a.cmd == "build-store":
-        docs = files.read_texts(spark, a.data_dir, recursive=True).select(
-            F.xxhash64("path").alias("doc_id"), F.col("path").alias("source"), "text")
+        docs = _with_doc_ids(files.read_texts(spark, a.data_dir, recursive=True)).select(
+            "doc_id", F.col("path").alias("source"), "text")
         out = jobs.build_store(docs, a.output_dir, a.index_type, chunk_size=a.chunk_size,
                                overlap=a.chunk_overlap)
     elif a.cmd == "search":
@@ -99,8 +105,8 @@ def main(argv=None) -> None:
         gen = _factory(a.generator) or EchoExtract
         out = jobs.benchmark(spark, a.store, _questions(spark, a.questions), gen)
     else:
-        train = files.read_texts(spark, a.train_dir).withColumn("doc_id", F.xxhash64("path"))
-        held = files.read_texts(spark, a.eval_dir).withColumn("doc_id", F.xxhash64("path"))
+        train = _with_doc_ids(files.read_texts(spark, a.train_dir))
+        held = _with_doc_ids(files.read_texts(spark, a.eval_dir))
         out = jobs.perplexity(train, held, a.chunk_words, _factory(a.scorer))
 
     if getattr(a, "output", None):

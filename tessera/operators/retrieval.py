@@ -29,13 +29,15 @@ MAX_FETCH_IDS = 100_000
 
 
 def row_id(doc_id="doc_id", chunk_id="chunk_id") -> Column:
-    """``doc_id << 20 | chunk_id``; a document with more chunks is an error
-    rather than a silent id collision."""
+    """``doc_id << 20 | chunk_id``; a document with more chunks, or a doc id
+    outside ``[0, 2^43)``, is an error rather than a silent id collision."""
     d = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     c = F.col(chunk_id) if isinstance(chunk_id, str) else chunk_id
     rid = F.shiftleft(d.cast("long"), ROW_ID_SHIFT) + c.cast("long")
-    too_many = F.raise_error(F.lit(f"more than 2^{ROW_ID_SHIFT} chunks in one document"))
-    return F.when(c < (1 << ROW_ID_SHIFT), rid).otherwise(too_many.cast("long")).alias("row_id")
+    ok = (c < (1 << ROW_ID_SHIFT)) & (d >= 0) & (d < (1 << (63 - ROW_ID_SHIFT)))
+    bad = F.raise_error(F.lit(f"row id layout: doc_id must be in [0, 2^{63 - ROW_ID_SHIFT}) "
+                              f"and a document may hold at most 2^{ROW_ID_SHIFT} chunks"))
+    return F.when(ok, rid).otherwise(bad.cast("long")).alias("row_id")
 
 
 def chunk_table(docs: DataFrame, chunk_words: int, text_col: str = "text",

@@ -60,3 +60,9 @@ def test_missing_source_becomes_unknown(spark):
     assert [c.metadata.source for c in ch] == ["unknown", "unknown"]
     assert [c.metadata.chunk_id for c in ch] == [0, 1]
     assert ch[1].row_id == (0 << 20) + 1
+
+
+def test_row_id_layout_is_checked(spark):
+    bad = spark.createDataFrame([(1 << 50, "x")], "doc_id long, text string")
+    with pytest.raises(Exception):
+        retrieval.chunk_table(bad, 1).collect()
