@@ -36,7 +36,9 @@ def build_vocabulary(docs: DataFrame, text_col: str = "text", first_id: int = 1,
     counts = (docs.select(F.explode(words(F.col(text_col))).alias("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     ranked = global_index(counts, [F.col("n").desc(), F.col("token").asc()], "id")
-    return ranked.select("token", (F.col("id") + first_id).cast("int").alias("id"), "n")
+    # materialised once: every later use (size check, broadcast, joins) reads it
+    return ranked.select("token", (F.col("id") + first_id).cast("int").alias("id"),
+                         "n").checkpoint(eager=True)
 
 
 def encode(docs: DataFrame, vocab: DataFrame, text_col: str = "text", key: str = "doc_id",
