@@ -364,3 +364,15 @@ SELECT (SELECT count(*) FROM documents) AS n_documents, count(*) AS n_chunks, 64
     "store_roundtrip": ORACLE_SQL["search_text"],
     "samples_roundtrip": ORACLE_SQL["token_windows_padded"],
 })
+
+
+ORACLE_SQL.update({
+    "extract_answers": f"""
+WITH p AS (SELECT doc_id, ({_EXTRACT} || {_NL2} || 'Text: ' || text) AS prompt FROM documents),
+t AS (SELECT doc_id, CASE WHEN strpos(prompt, 'Text: ') > 0
+                          THEN substr(prompt, strpos(prompt, 'Text: ') + 6) ELSE prompt END AS tail
+      FROM p)
+SELECT doc_id, array_to_string({_words('tail')}[1:16], ' ') AS answer,
+       CAST(len({_words('tail')}[1:16]) AS INTEGER) AS n_words
+FROM t""",
+})

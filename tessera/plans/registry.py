@@ -467,6 +467,15 @@ def q_chunk_perplexity(spark, sf_dir):
                     F.round("loss", 9).alias("loss"), F.round("perplexity", 4).alias("perplexity"))
 
 
+def q_extract_answers(spark, sf_dir):
+    """R4 + R5 + R6 over every document: the extraction prompt, one generation
+    each (stub model reading after the "Text: " marker), echo stripped."""
+    docs = _docs(spark, sf_dir)
+    cells = docs.select("doc_id", prompts.extract_prompt("text").alias("prompt"))
+    out = reports.answer_table(cells, lambda: EchoExtract(STUB_WORDS, marker="Text: "))
+    return out.select("doc_id", "answer", "n_words")
+
+
 # ---------------------------------------------------------------- training data
 BATCH_SIZE, WORLD, ACCUM = 8, 3, 8
 
@@ -506,6 +515,7 @@ QUERIES.update({
     "answers": q_answers,
     "benchmark_grid": q_benchmark_grid,
     "compare_models": q_compare_models,
+    "extract_answers": q_extract_answers,
     "perplexity_unigram": q_perplexity_unigram,
     "chunk_perplexity": q_chunk_perplexity,
     "batch_assign": q_batch_assign,
