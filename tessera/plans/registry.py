@@ -66,6 +66,7 @@ def _questions(spark, sf_dir):
 
 
 def q_word_chunks(spark, sf_dir):
+    """C3 + P5 + W1: 1,500-word chunks of every document."""
     ch = chunking.word_chunks(_docs(spark, sf_dir), EVAL_CHUNK_WORDS)
     return ch.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"),
                      F.size(words("text")).alias("n_words"),
@@ -78,15 +79,18 @@ def _encoded(spark, sf_dir):
 
 
 def q_vocab_build(spark, sf_dir):
+    """C4: vocabulary of the corpus (ids by count desc, token asc)."""
     return vocab.build_vocabulary(_docs(spark, sf_dir))
 
 
 def q_vocab_encode(spark, sf_dir):
+    """C4: every document encoded with the corpus vocabulary."""
     enc = _encoded(spark, sf_dir)
     return enc.select("doc_id", F.size("input_ids").alias("n_tokens"), "input_ids")
 
 
 def q_token_windows(spark, sf_dir):
+    """C2 + P4 + W3: overlapping token windows (words as tokens)."""
     win = chunking.token_windows(_encoded(spark, sf_dir), "input_ids", WINDOW_MAX,
                                  WINDOW_STRIDE, MIN_WINDOW)
     return win.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"),
@@ -94,6 +98,7 @@ def q_token_windows(spark, sf_dir):
 
 
 def q_token_windows_padded(spark, sf_dir):
+    """C2 + P12 + P13: padded windows, labels = ids, default mask."""
     win = chunking.token_windows(_encoded(spark, sf_dir), "input_ids", WINDOW_MAX,
                                  WINDOW_STRIDE, MIN_WINDOW, pad_id=vocab.PAD_ID)
     win = chunking.default_attention_mask(win)
@@ -109,6 +114,7 @@ def q_truncate_tokens(spark, sf_dir):
 
 
 def q_recursive_chunks(spark, sf_dir):
+    """Recursive character splitter, 400 / 50."""
     ch = splitter.recursive_chunks(_docs(spark, sf_dir), 400, 50)
     return ch.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"),
                      F.length("text").alias("n_chars"), "text")
@@ -120,23 +126,27 @@ def _round_vec(c):
 
 
 def q_hash_embed(spark, sf_dir):
+    """V1 + V3: unit hash embedding of every document."""
     docs = _docs(spark, sf_dir)
     return docs.select("doc_id", _round_vec(embed.hash_embedding("text", DIM)).alias("embedding"))
 
 
 def q_l2_normalize(spark, sf_dir):
+    """V3: unit-length vectors."""
     emb = _t(spark, sf_dir, "embeddings")
     return embed.normalize(emb.select("vec_id", "embedding")).select(
         "vec_id", _round_vec(F.col("embedding")).alias("embedding"))
 
 
 def q_vector_norms(spark, sf_dir):
+    """L2 norm of every vector."""
     from tessera.functions.vectors import l2_norm
     emb = _t(spark, sf_dir, "embeddings")
     return emb.select("vec_id", F.round(l2_norm("embedding"), 6).alias("norm"))
 
 
 def q_mean_pool(spark, sf_dir):
+    """A5: mean of the vectors of each label."""
     emb = _t(spark, sf_dir, "embeddings")
     pooled = embed.mean_pool(emb.select("label", F.col("embedding").alias("vec")), "label",
                              "vec", None)
@@ -165,6 +175,7 @@ def _search(spark, sf_dir, k=K, rerank=False):
 
 
 def q_search_text(spark, sf_dir):
+    """V9 + J1 + P9: top-5 chunks of every benchmark question."""
     h = _search(spark, sf_dir)
     return h.select("q_id", "rank", "doc_id", "chunk_id",
                     F.col("metadata.source").alias("source"),
@@ -172,6 +183,7 @@ def q_search_text(spark, sf_dir):
 
 
 def q_search_rerank(spark, sf_dir):
+    """V9 + V10 + W2 + T4: search followed by the lexical rerank."""
     h = _search(spark, sf_dir, rerank=True)
     return h.select("q_id", "rank", "prev_rank", "doc_id", "chunk_id", "overlap",
                     F.round("similarity", 6).alias("similarity"),
@@ -179,6 +191,7 @@ def q_search_rerank(spark, sf_dir):
 
 
 def q_rerank_overlap(spark, sf_dir):
+    """Shared distinct words of question and hit."""
     h = _search(spark, sf_dir)
     return h.select("q_id", "doc_id", "chunk_id",
                     F.size(F.array_distinct(words(F.lower("question")))).alias("n_query_terms"),
@@ -192,19 +205,23 @@ def _contexts(spark, sf_dir, rerank=True):
 
 
 def q_rag_context(spark, sf_dir):
+    """The context block of every question."""
     return _contexts(spark, sf_dir).select("q_id", F.coalesce("context", F.lit("")).alias("context"))
 
 
 def q_rag_prompt(spark, sf_dir):
+    """R2: the retrieval prompt of every question."""
     c = _contexts(spark, sf_dir)
     return c.select("q_id", prompts.rag_prompt("question", "context").alias("prompt"))
 
 
 def q_plain_prompt(spark, sf_dir):
+    """The prompt without retrieval."""
     return _questions(spark, sf_dir).select("q_id", prompts.plain_prompt("question").alias("prompt"))
 
 
 def q_extract_prompt(spark, sf_dir):
+    """The extraction prompt over every document."""
     return _docs(spark, sf_dir).select("doc_id", prompts.extract_prompt("text").alias("prompt"))
 
 
@@ -252,16 +269,19 @@ SPLIT_RATIO, SPLIT_SEED = 0.9, 42
 
 
 def q_split_exact(spark, sf_dir):
+    """T1 + T2: repeatable permutation, first floor(0.9 n) train."""
     return corpus.split_exact(_docs(spark, sf_dir).select("doc_id"), "doc_id", SPLIT_RATIO,
                               SPLIT_SEED)
 
 
 def q_split_hash(spark, sf_dir):
+    """T2 (scale mode): md5 fraction below 0.9 is train."""
     return corpus.split_fraction(_t(spark, sf_dir, "documents").select("doc_id"), "doc_id",
                                  SPLIT_RATIO, SPLIT_SEED)
 
 
 def q_split_counts(spark, sf_dir):
+    """A4: sizes of both splits."""
     ex = q_split_exact(spark, sf_dir).withColumn("mode", F.lit("exact"))
     fr = q_split_hash(spark, sf_dir).withColumn("mode", F.lit("fraction"))
     return (ex.unionByName(fr).groupBy("mode", "split")
@@ -269,21 +289,25 @@ def q_split_counts(spark, sf_dir):
 
 
 def q_incremental_skip(spark, sf_dir):
+    """Documents not finished yet (labelled = finished)."""
     docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars")
     return corpus.skip_done(docs, _t(spark, sf_dir, "labels"))
 
 
 def q_skip_counts(spark, sf_dir):
+    """A1: processed and skipped counts."""
     return corpus.skip_counts(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
 
 
 def q_page_concat(spark, sf_dir):
+    """Turns of each conversation glued in order, no separator."""
     conv = _t(spark, sf_dir, "conversations")
     out = corpus.concat_pages(conv, "conv_id", "turn", "text")
     return out.select("conv_id", "n_pages", F.length("text").alias("n_chars"), "text")
 
 
 def q_stem_and_names(spark, sf_dir):
+    """P1 + P2: stems and window file names of page paths."""
     pages = _t(spark, sf_dir, "pages").select("page_id", "url")
     out = corpus.names(pages.withColumn("path", F.col("url")), "path")
     return out.select("page_id", "base", "stem",
@@ -300,6 +324,7 @@ def _meta_chunks(spark, sf_dir):
 
 
 def q_metadata_merge(spark, sf_dir):
+    """P7 + P8: chunk metadata merged with the chunk id."""
     m = _meta_chunks(spark, sf_dir)
     return m.select("doc_id", "chunk_id", F.col("metadata.source").alias("source"),
                     F.col("metadata.lang").alias("lang"),
@@ -492,20 +517,24 @@ def _batches(spark, sf_dir):
 
 
 def q_batch_assign(spark, sf_dir):
+    """Batches of 8 windows, incomplete last batch dropped."""
     return _batches(spark, sf_dir).select("doc_id", "chunk_id", "batch_id", "slot")
 
 
 def q_collate_batches(spark, sf_dir):
+    """Windows padded to the longest of their batch."""
     c = batching.collate(_batches(spark, sf_dir))
     return c.select("batch_id", "slot", "input_ids", "labels", "attention_mask")
 
 
 def q_shard_assign(spark, sf_dir):
+    """D3: documents sharded over 3 workers with wrap-around."""
     s = batching.shard(_t(spark, sf_dir, "documents").select("doc_id"), "doc_id", WORLD)
     return s.select("doc_id", "shard", "position")
 
 
 def q_step_plan(spark, sf_dir):
+    """Optimizer updates under accumulation 8."""
     b = _batches(spark, sf_dir).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
     return batching.step_plan(b, "batch_id", ACCUM).select("batch_id", "n_rows", "update_after",
                                                            "step")
