@@ -325,3 +325,77 @@ def calibrate_nprobe(store: DataFrame, centroids: DataFrame, sample_queries: Dat
             exact.unpersist()
             return nprobe, curve
         nprobe = min(nlist, nprobe * 2)
+
+
+# ------------------------------------------------------------------ shuffle form
+def search_ivf_grouped(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
+                       nprobe: int = 1, *, id_col: str = "row_id", vec_col: str = "embedding",
+                       q_id_col: str = "q_id", q_vec_col: str = "embedding",
+                       cell_col: str = "cell_id", vectors_per_group: int = 20_000,
+                       queries_per_group: int = 500) -> DataFrame:
+    """IVF search without any broadcast of queries, for query sets of any size.
+
+    Every (query, probed cell) pair and every stored vector get a block key
+    ``(cell, vector salt, query salt)``: a cell's vectors are cut into
+    ``ceil(n_cell / vectors_per_group)`` salts and its queries into
+    ``ceil(q_cell / queries_per_group)`` salts, and each side is repeated over
+    the other side's salts.  A co-grouped Arrow function then sees at most
+    ``vectors_per_group`` vectors and ``queries_per_group`` queries (a hot cell
+    only adds groups) and emits at most k rows per query; the final top-k is
+    the usual ``row_number``.  Only per-cell counts (≤ nlist rows) reach the
+    driver."""
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    probes = assign_cells(queries.select(q_id_col, q_vec_col), centroids, q_vec_col,
+                          max(nprobe, 2), "_cells")
+    qc = probes.select(F.col(q_id_col).alias("q_id"), F.col(q_vec_col).alias("_qv"),
+                       F.explode(F.slice("_cells", 1, nprobe)).alias(cell_col))
+    v_counts = {r[0]: r[1] for r in store.groupBy(cell_col).count().collect()}
+    q_counts = {r[0]: r[1] for r in qc.groupBy(cell_col).count().collect()}
+    spark = store.sparkSession
+    salts = spark.createDataFrame(
+        [(int(c), max(1, -(-v_counts.get(c, 0) // vectors_per_group)),
+          max(1, -(-q_counts.get(c, 0) // queries_per_group))) for c in q_counts],
+        f"{cell_col} int, _vs int, _qs int")
+    salts = F.broadcast(salts)          # one row per probed cell (≤ nlist)
+    v = (store.select(id_col, vec_col, cell_col).join(salts, cell_col)
+         .withColumn("_v", F.pmod(F.xxhash64(id_col), F.col("_vs")).cast("int"))
+         .withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_qs") - 1)))
+         .select(cell_col, "_v", "_q", id_col, vec_col))
+    q = (qc.join(salts, cell_col)
+         .withColumn("_q", F.pmod(F.xxhash64("q_id"), F.col("_qs")).cast("int"))
+         .withColumn("_v", F.explode(F.sequence(F.lit(0), F.col("_vs") - 1)))
+         .select(cell_col, "_v", "_q", "q_id", "_qv"))
+
+    def block(qdf: pd.DataFrame, vdf: pd.DataFrame) -> pd.DataFrame:
+        if len(qdf) == 0 or len(vdf) == 0:
+            return pd.DataFrame({"q_id": pd.Series([], dtype="int64"),
+                                 id_col: pd.Series([], dtype="int64"),
+                                 "d2": pd.Series([], dtype="float64")})
+        qm = np.stack(qdf["_qv"].to_numpy()).astype(np.float64)
+        vm = np.stack(vdf[vec_col].to_numpy()).astype(np.float64)
+        ids = vdf[id_col].to_numpy().astype(np.int64)
+        # product form for candidates (queries x vectors doubles), exact
+        # distances by difference for the survivors only
+        approx = (qm * qm).sum(axis=1)[:, None] + (vm * vm).sum(axis=1)[None, :] \
+            - 2.0 * (qm @ vm.T)
+        id_mat = np.broadcast_to(ids, approx.shape)
+        keep = min(k + 8, len(ids))
+        order = np.lexsort((id_mat, approx), axis=-1)[:, :keep]
+        cand_id = np.take_along_axis(id_mat, order, axis=1)
+        diff = qm[:, None, :] - vm[order]
+        exact = np.einsum("qkd,qkd->qk", diff, diff)
+        best = np.lexsort((cand_id, np.round(exact, 9)), axis=-1)[:, :k]
+        sel_d = np.take_along_axis(exact, best, axis=1)
+        sel_id = np.take_along_axis(cand_id, best, axis=1)
+        qi = np.broadcast_to(qdf["q_id"].to_numpy().astype(np.int64)[:, None], sel_d.shape)
+        return pd.DataFrame({"q_id": qi.ravel(), id_col: sel_id.ravel(), "d2": sel_d.ravel()})
+
+    out_schema = T.StructType([T.StructField("q_id", T.LongType()),
+                               T.StructField(id_col, T.LongType()),
+                               T.StructField("d2", T.DoubleType())])
+    cands = (q.groupBy(cell_col, "_v", "_q")
+             .cogroup(v.groupBy(cell_col, "_v", "_q"))
+             .applyInPandas(block, out_schema))
+    return knn.rank_hits(cands, k, id_col).select("q_id", id_col, "rank", "d2", "similarity")

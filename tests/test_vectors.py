@@ -135,3 +135,16 @@ def test_ivf_blocks_by_cell_give_the_same_answer(spark, trained):
     a = sorted((r.q_id, r.row_id, r.rank) for r in one.collect())
     b = sorted((r.q_id, r.row_id, r.rank) for r in many.collect())
     assert a == b and len(a) > 2000
+
+
+def test_grouped_ivf_equals_broadcast_ivf(spark, trained):
+    emb, cents, filed, queries, exact = trained
+    a = sorted((r.q_id, r.row_id, r.rank) for r in ivf.search_ivf(filed, cents, queries, 5, 2).collect())
+    # tiny group bounds force several salts per cell on both sides
+    g = ivf.search_ivf_grouped(filed, cents, queries, 5, 2, vectors_per_group=4,
+                               queries_per_group=7)
+    b = sorted((r.q_id, r.row_id, r.rank) for r in g.collect())
+    assert a == b and len(a) > 2000
+    c = sorted((r.q_id, r.row_id, r.rank)
+               for r in ivf.search_ivf_grouped(filed, cents, queries, 5, 2).collect())
+    assert a == c
