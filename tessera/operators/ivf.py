@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tessera.operators import knn
 
 MAX_NLIST = 4096
+# beyond this many broadcast query blocks, IVF search switches to its shuffle form
+MAX_BROADCAST_BLOCKS = 4
 # k-means sees at most this many points per centroid (a uniform sample beyond),
 # the same bound the usual IVF trainers apply; training cost stays bounded
 MAX_POINTS_PER_CENTROID = 256
@@ -138,7 +140,16 @@ def search_ivf(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: in
 
     When the query set needs several broadcast blocks, blocks are runs of
     queries ordered by their nearest cell, so each block probes few cells and
-    reads only those partitions of the store."""
+    reads only those partitions of the store.  Beyond ``MAX_BROADCAST_BLOCKS``
+    blocks the shuffle form (``search_ivf_grouped``) is used instead: no
+    query is broadcast and the store is read once."""
+    stats = queries.filter(F.col(q_vec_col).isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size(q_vec_col)).alias("d")).first()
+    if stats["n"] and stats["n"] * stats["d"] * 8 > MAX_BROADCAST_BLOCKS * max_block_bytes:
+        return search_ivf_grouped(store, centroids, queries, k, nprobe, id_col=id_col,
+                                  vec_col=vec_col, q_id_col=q_id_col, q_vec_col=q_vec_col,
+                                  cell_col=cell_col)
+
     def by_cell(q):
         return assign_cells(q.select(q_id_col, q_vec_col), centroids, q_vec_col, 1, "_cell0"), \
             "_cell0"

@@ -148,3 +148,13 @@ def test_grouped_ivf_equals_broadcast_ivf(spark, trained):
     c = sorted((r.q_id, r.row_id, r.rank)
                for r in ivf.search_ivf_grouped(filed, cents, queries, 5, 2).collect())
     assert a == c
+
+
+def test_ivf_switches_to_shuffle_form(spark, trained):
+    emb, cents, filed, queries, exact = trained
+    a = sorted((r.q_id, r.row_id, r.rank) for r in ivf.search_ivf(filed, cents, queries, 5, 2).collect())
+    # ~40 blocks would be needed: the grouped form runs instead, same answers
+    b = sorted((r.q_id, r.row_id, r.rank)
+               for r in ivf.search_ivf(filed, cents, queries, 5, 2,
+                                       max_block_bytes=64 * 8 * 12).collect())
+    assert a == b
