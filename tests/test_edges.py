@@ -66,3 +66,13 @@ def test_row_id_layout_is_checked(spark):
     bad = spark.createDataFrame([(1 << 50, "x")], "doc_id long, text string")
     with pytest.raises(Exception):
         retrieval.chunk_table(bad, 1).collect()
+
+
+def test_ivf_forms_with_no_queries(spark):
+    vec = spark.createDataFrame([(i, [float(i), float(i % 3)]) for i in range(30)],
+                                "row_id long, embedding array<double>")
+    cents = ivf.train_centroids(vec, nlist=3)
+    filed = ivf.assign_cells(vec, cents)
+    q = spark.createDataFrame([], "q_id long, embedding array<double>")
+    assert ivf.search_ivf(filed, cents, q, 3, 2).count() == 0
+    assert ivf.search_ivf_grouped(filed, cents, q, 3, 2).count() == 0
