@@ -2,7 +2,6 @@
 zero vectors, unknown tokens."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import chunking, embed, ivf, knn, retrieval, vocab
 
