@@ -4,17 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import common, quality_rules
+from tessera.llm import (byte_bpe, common, lang_cnn, quality_rules, secret_scan, token_count)
 from tessera.sources.tables import load_table
 
 
-def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    common.session(spark)
-    return quality_rules.op8(load_table(spark, sf_dir, "documents"))
+def _table(name: str, operator):
+    """A query that applies ``operator`` to the whole table ``name``."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        common.session(spark)
+        return operator(load_table(spark, sf_dir, name))
+
+    query.__doc__ = operator.__doc__
+    return query
 
 
 QUERIES = {
-    "op8_quality_rules": op8_quality_rules,
+    "op2_byte_bpe": _table("documents", byte_bpe.op2),
+    "op4_token_counts": _table("documents", token_count.op4),
+    "op7_secret_scan": _table("documents", secret_scan.op7),
+    "op8_quality_rules": _table("documents", quality_rules.op8),
+    "op10_language_id": _table("documents", lang_cnn.op10),
 }
 
 ORACLE_SQL = {
