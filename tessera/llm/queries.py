@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import (byte_bpe, common, lang_cnn, quality_rules, secret_scan, token_count)
+from tessera.llm import (byte_bpe, common, dart_minhash, lang_cnn, packing, quality_rules,
+                         secret_scan, token_count, warc)
 from tessera.sources.tables import load_table
 
 
@@ -22,11 +23,15 @@ def _table(name: str, operator):
 QUERIES = {
     "op2_byte_bpe": _table("documents", byte_bpe.op2),
     "op4_token_counts": _table("documents", token_count.op4),
+    "op5_dart_minhash": _table("documents", dart_minhash.op5),
+    "op6_pattern_packing": _table("documents", packing.op6),
     "op7_secret_scan": _table("documents", secret_scan.op7),
     "op8_quality_rules": _table("documents", quality_rules.op8),
+    "op9_warc": _table("pages", warc.op9),
     "op10_language_id": _table("documents", lang_cnn.op10),
 }
 
 ORACLE_SQL = {
     "op8_quality_rules": quality_rules.oracle_sql(),
+    "op9_warc": warc.ORACLE,
 }
