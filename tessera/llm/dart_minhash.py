@@ -244,12 +244,14 @@ def components(links: DataFrame) -> DataFrame:
     raise RuntimeError("the links did not settle")
 
 
-def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id",
-                    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-                    width: int = WIDTH) -> DataFrame:
-    """``key, class_id, class_size`` per row of ``df``."""
+def text_classes(df: DataFrame, text: str = "text", key: str = "doc_id",
+                 threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
+                 width: int = WIDTH) -> DataFrame:
+    """``doc_id, node, root`` per row of ``df``: the fingerprint of its text
+    and that of the first text of its class (null without words)."""
     base = df.select(col(df, key).alias("doc_id"), col(df, text).alias("text"))
     node = F.unhex(F.md5("text"))
+    texts = base.select(node.alias("node"), "text")
     signed = signatures(base.withColumn("node", node), "text", bands, rows, width)
     signed = written(signed.select("doc_id", "node", "bands"), "signatures")
     # one row per different text
@@ -259,14 +261,12 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id",
     buckets = keys.groupBy("band", "key").agg(
         F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     members = written(keys.join(buckets, ["band", "key"]), "buckets")
-    texts = base.select(node.alias("node"), "text")
-    stars = members.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    stars = written(stars, "pairs")
+    stars = written(members.filter("node <> a").select("a", F.col("node").alias("b")).distinct(),
+                    "pairs")
     links = written(verified(stars, texts, threshold, width), "links")
     roots = components(links)
     # buckets that still hold several classes: compare across them
-    placed = members.join(roots, "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("band", "key").agg(
         F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("band", "key")
     rest = written(placed.join(mixed, ["band", "key"]).select("band", "key", "node", "root"), "mixed")
@@ -279,17 +279,46 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id",
     if not across.isEmpty():
         more = written(verified(across, texts, threshold, width), "links")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = components(links)
-    # a row without words stands alone, whatever the others are
-    linked = signed.select("doc_id", F.when(F.col("bands").isNotNull(), F.col("node")).alias("node"))
-    named = linked.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = named.filter(F.col("root").isNotNull()).groupBy("root").agg(
+            roots = components(links.unionByName(more))
+    worded = signed.select("doc_id", F.when(F.col("bands").isNotNull(), F.col("node")).alias("node"))
+    return worded.join(roots, "node", "left").select(
+        "doc_id", "node", F.coalesce("root", "node").alias("root"))
+
+
+def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """``doc_id, class_id, class_size`` per row of ``df``."""
+    named = text_classes(df, text, key, **options)
+    worded = named.filter(F.col("root").isNotNull())
+    classes = worded.groupBy("root").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return (named.filter(F.col("root").isNotNull()).join(classes, "root")
-            .select("doc_id", "class_id", "class_size")
-            .unionByName(named.filter(F.col("root").isNull()).select(
-                "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))))
+    alone = named.filter(F.col("root").isNull()).select(
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
+    return worded.join(classes, "root").select("doc_id", "class_id", "class_size").unionByName(alone)
+
+
+def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``df`` that stay when every class keeps the row with its
+    smallest id (one of them, if that row is repeated).  Texts without words
+    all stay."""
+    named = text_classes(df, text, key, **options).filter(F.col("root").isNotNull())
+    rows = written(named.groupBy("root", "node", "doc_id").agg(F.count(F.lit(1)).alias("n")), "rows")
+    first = rows.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("first"))
+    ranked = rows.join(first, "root").select(
+        "node", "doc_id", "n", (F.col("node") == F.col("first.node")).alias("same"),
+        F.col("doc_id").eqNullSafe(F.col("first.doc_id")).alias("chosen"))
+    ranked = ranked.select("node", "doc_id", "n", (F.col("same") & F.col("chosen")).alias("stays"))
+    fate = written(ranked.filter("NOT stays OR n > 1").select(
+        F.col("node").alias("_node"), F.col("doc_id").alias("_id"), "stays"), "fate")
+    if fate.count() <= BROADCAST_ROWS:
+        fate = F.broadcast(fate)
+    marked = df.select(F.struct(*[col(df, c).alias(c) for c in df.columns]).alias("_row"),
+                       F.unhex(F.md5(col(df, text))).alias("_text"), col(df, key).alias("_key"))
+    met = marked.join(fate, F.col("_text").eqNullSafe(F.col("_node"))
+                      & F.col("_key").eqNullSafe(F.col("_id")), "left")
+    whole = met.filter(F.col("stays").isNull()).select("_row")
+    repeated = met.filter("stays").groupBy("_text").agg(F.first("_row").alias("_row")).select("_row")
+    return whole.unionByName(repeated).select(*[F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def op5(docs: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ PER_LANGUAGE = 500
 WINDOWS_PER_DOC = 4
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
+MIN_SCORE = 0.35
 
 
 @dataclass
@@ -235,6 +236,17 @@ def predict(df: DataFrame, net: Network | None, text: str = "text") -> DataFrame
     return add_arrow_columns(df, {"text": F.when(readable, body)}, schema, run)
 
 
+def keep_languages(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """Documents of a recognised language, with exactly their own columns; what
+    is ``und`` or hardly better than a guess goes."""
+    net = fit(docs.filter(col(docs, "doc_id").isNotNull() & ~held_out(col(docs, "doc_id"))))
+    marked = docs.select(F.struct(*[col(docs, c).alias(c) for c in docs.columns]).alias("_row"),
+                         col(docs, "text").alias("text"))
+    out = predict(marked, net)
+    return out.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(
+        *[F.col("_row")[c].alias(c) for c in docs.columns])
+
+
 def op10(docs: DataFrame) -> DataFrame:
     seen = docs.select("doc_id", "text", "lang").filter(
         F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import (byte_bpe, common, dart_minhash, lang_cnn, packing, quality_rules,
-                         secret_scan, token_count, warc)
+from tessera.llm import (byte_bpe, common, dart_minhash, lang_cnn, packing, posting_ann,
+                         quality_bayes, quality_rules, secret_scan, token_count, warc)
 from tessera.sources.tables import load_table
 
 
@@ -20,8 +20,17 @@ def _table(name: str, operator):
     return query
 
 
+def op1_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality classifier over all documents, fitted on ``labels``."""
+    common.session(spark)
+    return quality_bayes.op1(load_table(spark, sf_dir, "documents"),
+                             load_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_quality_bayes": op1_quality_bayes,
     "op2_byte_bpe": _table("documents", byte_bpe.op2),
+    "op3_posting_ann": _table("embeddings", posting_ann.op3),
     "op4_token_counts": _table("documents", token_count.op4),
     "op5_dart_minhash": _table("documents", dart_minhash.op5),
     "op6_pattern_packing": _table("documents", packing.op6),
