@@ -1,4 +1,4 @@
-"""Repeatable orders, global ordinals and size-checked broadcasts."""
+"""Repeatable orders and global ordinals."""
 
 from __future__ import annotations
 
@@ -20,8 +20,7 @@ def md5_fraction(seed, key) -> Column:
         / F.lit(4294967296.0)
 
 
-def global_index(df: DataFrame, order: list, name: str = "idx",
-                 small_rows: int | None = None) -> DataFrame:
+def global_index(df: DataFrame, order: list, name: str = "idx") -> DataFrame:
     """Attach a 0-based ordinal in the total order ``order`` (which must be a
     strict order for a repeatable result).
 
@@ -29,11 +28,7 @@ def global_index(df: DataFrame, order: list, name: str = "idx",
     partition's offset (a tiny per-partition count table, broadcast) plus its
     position inside the partition.  No single task ever sees all rows.  The
     sorted table is checkpointed so counts and rows come from one sort.
-    When the caller knows the input is small (``small_rows``) a plain
-    ``row_number()`` is used instead.
     """
-    if small_rows is not None:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) - 1)
     spark = df.sparkSession
     from tessera.session import checkpoint_dir
     checkpoint_dir(spark)
@@ -51,13 +46,6 @@ def global_index(df: DataFrame, order: list, name: str = "idx",
             .drop("_pid", "_mid", "_off"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only behind a checked bound on its row count; beyond the
-    bound it is returned as is and Spark shuffles (AQE may still convert)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy per-row work (chunking, embedding, splitting) at least
     one task per core.  A small table stored as one row group reads as a

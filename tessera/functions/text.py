@@ -25,11 +25,6 @@ def lower_words(c) -> Column:
     return words(F.lower(_col(c)))
 
 
-def word_count(c) -> Column:
-    """``len(text.split())``."""
-    return F.size(words(c))
-
-
 def py_strip(c) -> Column:
     """``text.strip()`` with Python's whitespace (``trim`` only removes spaces)."""
     return F.regexp_replace(_col(c), f"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$", "")

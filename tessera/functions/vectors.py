@@ -34,14 +34,6 @@ def l2_normalize(v) -> Column:
                        lambda s: unit(v, s))
 
 
-def squared_l2(a, b) -> Column:
-    """Squared Euclidean distance in double precision (expression form)."""
-    return F.aggregate(
-        F.zip_with(_col(a), _col(b), lambda x, y: (x.cast("double") - y.cast("double"))
-                   * (x.cast("double") - y.cast("double"))),
-        F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
-
 def similarity_from_d2(d2) -> Column:
     """``1 - d2/2``: cosine similarity when both vectors have unit length."""
     return F.lit(1.0) - _col(d2) / F.lit(2.0)

@@ -24,27 +24,72 @@ from tessera.functions.ordering import global_index, md5_order_key
 LABEL_PAD = -100
 
 
-def assign_batches(df: DataFrame, order: list, size: int = 2, drop_last: bool = True,
-                   small_rows: int | None = None) -> DataFrame:
-    if size < 1:
-        raise ValueError("batch size must be >= 1")
-    idx = global_index(df, order, "_i", small_rows=small_rows)
-    out = (idx.withColumn("batch_id", F.floor(F.col("_i") / size).cast("long"))
+def _batch_columns(df: DataFrame, n: int, size: int, drop_last: bool) -> DataFrame:
+    out = (df.withColumn("batch_id", F.floor(F.col("_i") / size).cast("long"))
            .withColumn("slot", F.pmod(F.col("_i"), F.lit(size)).cast("int")))
     if drop_last:
-        n = out.count()
         out = out.filter(F.col("batch_id") < F.lit(n // size))
     return out.drop("_i")
 
 
+def assign_batches(df: DataFrame, order: list, size: int = 2, drop_last: bool = True) -> DataFrame:
+    """Batches of ``size`` rows in any order; sorts the rows themselves.  For
+    numbered items of a document (windows) use ``assign_item_batches``."""
+    if size < 1:
+        raise ValueError("batch size must be >= 1")
+    idx = global_index(df, order, "_i")
+    return _batch_columns(idx, idx.count(), size, drop_last)
+
+
+def item_offsets(counts: DataFrame, key: str = "doc_id", count_col: str = "n") -> DataFrame:
+    """``(key, offset)``: how many items stand before each document when
+    documents are in key order.  Only ``(key, count)`` rows are sorted."""
+    ranked = global_index(counts.select(key, F.col(count_col).cast("long").alias("_n")),
+                          [F.col(key)], "_r")
+    # prefix sums in blocks: sums of blocks of keys, then inside each block
+    block = ranked.withColumn("_b", F.floor(F.col("_r") / 100_000))
+    sums = block.groupBy("_b").agg(F.sum("_n").alias("_s"))
+    before = sums.select("_b", (F.sum("_s").over(Window.orderBy("_b")) - F.col("_s")).alias("_o"))
+    inside = F.sum("_n").over(Window.partitionBy("_b").orderBy("_r")) - F.col("_n")
+    return (block.withColumn("_in", inside).join(before, "_b")
+            .select(key, (F.col("_o") + F.col("_in")).cast("long").alias("offset")))
+
+
+def assign_item_batches(docs: DataFrame, items: DataFrame, size: int = 2, drop_last: bool = True,
+                        key: str = "doc_id", ordinal: str = "chunk_id",
+                        count_col: str = "n") -> DataFrame:
+    """Batches over the numbered items of documents in ``(key, ordinal)`` order.
+
+    ``docs (key, n)`` says how many items a document has; the wide ``items``
+    are only joined with their document's offset, never sorted."""
+    if size < 1:
+        raise ValueError("batch size must be >= 1")
+    n = docs.agg(F.sum(count_col)).first()[0] or 0
+    idx = items.join(item_offsets(docs, key, count_col), key).withColumn(
+        "_i", F.col("offset") + F.col(ordinal)).drop("offset")
+    return _batch_columns(idx, n, size, drop_last)
+
+
+def batch_table(spark, n_rows: int, size: int, drop_last: bool = True) -> DataFrame:
+    """``(batch_id, n_rows)`` of ``n_rows`` rows cut into batches: arithmetic on
+    the count alone."""
+    whole, rest = divmod(n_rows, size)
+    n = whole + (1 if rest and not drop_last else 0)
+    return spark.range(n).select(F.col("id").alias("batch_id"), F.when(
+        F.col("id") < whole, F.lit(size)).otherwise(F.lit(rest)).cast("long").alias("n_rows"))
+
+
 def collate(df: DataFrame, batch_col: str = "batch_id", ids_col: str = "input_ids",
-            labels_col: str = "labels", pad_id: int = 0) -> DataFrame:
+            labels_col: str = "labels", pad_id: int = 0,
+            mask_col: str = "attention_mask") -> DataFrame:
+    """Pads ids, labels and the row's own mask (ones where it has none)."""
     longest = F.max(F.size(ids_col)).over(Window.partitionBy(batch_col))
     short = longest - F.size(ids_col)
     labels = F.col(labels_col) if labels_col in df.columns else F.col(ids_col)
+    ones = F.array_repeat(F.lit(1), F.size(ids_col))
+    mask = F.coalesce(F.col(mask_col), ones) if mask_col in df.columns else ones
     return (df.withColumn("_short", short)
-            .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), F.size(ids_col)),
-                                                   F.array_repeat(F.lit(0), F.col("_short"))))
+            .withColumn(mask_col, F.concat(mask, F.array_repeat(F.lit(0), F.col("_short"))))
             .withColumn("labels", F.concat(labels, F.array_repeat(F.lit(LABEL_PAD), F.col("_short"))))
             .withColumn(ids_col, F.concat(F.col(ids_col),
                                           F.array_repeat(F.lit(pad_id), F.col("_short"))))
@@ -52,16 +97,17 @@ def collate(df: DataFrame, batch_col: str = "batch_id", ids_col: str = "input_id
 
 
 def shard(df: DataFrame, key: str, world: int, seed=0, epoch: int = 0) -> DataFrame:
-    """``(df..., shard, position)``; rows repeated by the wrap-around appear twice."""
+    """``(df..., shard, position)``: rows are repeated from the start, as often
+    as it takes, until every worker has as many."""
     if world < 1:
         raise ValueError("world size must be >= 1")
     idx = global_index(df.withColumn("_k", md5_order_key(f"{seed}:{epoch}", key)),
                        [F.col("_k"), F.col(key)], "_i").drop("_k")
     n = idx.count()
-    pad = (-n) % world
-    wrapped = idx.filter(F.col("_i") < pad).withColumn("_i", F.col("_i") + F.lit(n))
-    allrows = idx.unionByName(wrapped)
-    return (allrows.withColumn("shard", F.pmod(F.col("_i"), F.lit(world)).cast("int"))
+    total = -(-n // world) * world
+    if n:
+        idx = idx.withColumn("_i", F.explode(F.sequence(F.col("_i"), F.lit(total - 1), F.lit(n))))
+    return (idx.withColumn("shard", F.pmod(F.col("_i"), F.lit(world)).cast("int"))
             .withColumn("position", F.floor(F.col("_i") / world).cast("long"))
             .drop("_i"))
 

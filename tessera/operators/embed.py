@@ -2,7 +2,7 @@
 
 * ``hash_embedding``: the built-in embedder (no weights needed): lower-cased
   whitespace words are hashed with MD5 into ``dim`` buckets, counted and
-  L2-normalised.  Pure expression, narrow, inside whole-stage codegen.
+  L2-normalised.  Pure built-in expressions, narrow, no Python.
 * ``embed_with``: a plug-in model given as a factory, run through
   ``predict_batch_udf`` (Arrow batches of ``batch_size`` rows; the model is
   built once per Python worker).
@@ -92,9 +92,12 @@ def embed_with(df: DataFrame, make_model: Callable, text_col: str = "text",
 
     def make_predict():
         import numpy as np
+        from tessera.operators.perplexity import cut_tokens
         model = make_model()
 
         def predict(texts):
+            if getattr(model, "max_tokens", None):  # T5: token cut before the model
+                texts = np.array([cut_tokens(model, t) for t in texts], dtype=object)
             v = np.asarray(model(texts), dtype=np.float32)
             n = np.linalg.norm(v, axis=1, keepdims=True)
             return np.where(n > 0, v / np.where(n > 0, n, 1), v)

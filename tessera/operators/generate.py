@@ -8,6 +8,9 @@ batches (``batch_size`` rows) at once; each row is then charged an equal share
 of its batch's time.  The built-in ``EchoExtract``
 stands in for a model in tests: deterministic, and its answers are a
 function of the prompt that SQL can recompute.
+
+Options follow the answering scripts (``max_tokens`` new tokens); a model that
+counts the prompt is given ``max_length`` (512 in the chat form) instead.
 """
 
 from __future__ import annotations
@@ -37,11 +40,35 @@ class EchoExtract:
         return prompt + " " + " ".join(tail.split()[: self.n_words])
 
 
+@dataclass(frozen=True)
+class DigestExtract:
+    """Stub model whose answer depends on all of its context: echoes the
+    prompt, then the MD5 of the words that follow ``marker`` in it (or of the
+    whole prompt), how many they are, and the last ``n_words`` of them."""
+    n_words: int = 8
+    marker: str = "Context:\n"
+
+    def __call__(self, prompt: str, **_params) -> str:
+        import hashlib
+        at = prompt.find(self.marker)
+        words = (prompt[at + len(self.marker):] if at >= 0 else prompt).split()
+        digest = hashlib.md5(" ".join(words).encode()).hexdigest()
+        return " ".join([prompt, digest, str(len(words)), *words[-self.n_words:]])
+
+
+def generation_params(**params) -> dict:
+    """Options a model gets: the defaults, the caller's, and ``do_sample``,
+    which holds if the temperature is above 0 (unless the caller sets it)."""
+    p = {**DEFAULT_PARAMS, **params}
+    p.setdefault("do_sample", p["temperature"] > 0)
+    return p
+
+
 def generate(df: DataFrame, make_generator: Callable, prompt_col: str = "prompt",
              out_col: str = "output", time_col: str = "generation_time",
              batch_size: int | None = None, **params) -> DataFrame:
     """Adds ``out_col`` (raw generation) and ``time_col`` (seconds per row)."""
-    p = {**DEFAULT_PARAMS, **params}
+    p = generation_params(**params)
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType()),
                                               T.StructField(time_col, T.DoubleType())])
 

@@ -2,17 +2,19 @@
 
 * ``train_centroids`` (A8): Spark ML k-means on the vectors; ``nlist`` defaults
   to ``min(4096, n // 10)``.  The centroid table is bounded (nlist x dim), so
-  it is the one side broadcast to every task.
+  it is the one side shipped to every task.
 * ``assign_cells``: nearest centroid(s) of every row by an Arrow batch
   function (ties -> lowest cell id).  The store is written partitioned by
   ``cell_id`` so a search reads only probed cells (partition pruning).
 * ``search_ivf`` (V5/J6): queries probe their ``nprobe`` nearest cells; exact
-  distances inside them (the Flat kernel with a per-query cell mask).
+  distances inside them, by the block join of ``knn``.
 * PQ (V6): residuals to the cell centre are cut into ``m`` sub-vectors, each
   quantised by its own 2**nbits-word k-means codebook; search adds ``m`` table
   look-ups per vector (asymmetric distance), no refinement.
 * ``calibrate_nprobe`` (V7, re-aimed HNSW): the smallest nprobe whose recall@k
-  against exact search on sample queries reaches a target.
+  against exact search on the given queries reaches a target.
+
+Rows with a null vector take no part.
 """
 
 from __future__ import annotations
@@ -25,11 +27,8 @@ from pyspark.sql import functions as F
 from tessera.operators import knn
 
 MAX_NLIST = 4096
-# beyond this many broadcast query blocks, IVF search switches to its shuffle form
-MAX_BROADCAST_BLOCKS = 4
-# k-means sees at most this many points per centroid (a uniform sample beyond),
-# the same bound the usual IVF trainers apply; training cost stays bounded
-MAX_POINTS_PER_CENTROID = 256
+# rows encoded at once inside a task
+_ENCODE_ROWS = 256
 
 
 def default_nlist(n: int) -> int:
@@ -40,28 +39,27 @@ def default_nlist(n: int) -> int:
 
 
 def _kmeans(df: DataFrame, vec_col: str, k: int, seed: int, max_iter: int,
-            n: int | None = None):
+            sample_fraction: float | None = None):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-    n = df.count() if n is None else n
-    cap = k * MAX_POINTS_PER_CENTROID
-    if n > cap:
-        df = df.sample(fraction=min(1.0, 1.1 * cap / n), seed=seed)
     from tessera.functions.ordering import spread
+    if sample_fraction is not None:
+        df = df.sample(fraction=sample_fraction, seed=seed)
     data = spread(df).select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
-    # k-means|| initialisation: a few extra passes over the (bounded) sample,
-    # but better-balanced cells than random centres (recall@5 0.72 vs 0.67 at
-    # nprobe 16 on the test vectors)
+    # k-means|| initialisation: a few extra passes, but better-balanced cells
+    # than random centres (recall@5 0.72 vs 0.67 at nprobe 16 on the test vectors)
     model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||").fit(data)
     return np.asarray(model.clusterCenters(), dtype=np.float64)
 
 
 def train_centroids(vectors: DataFrame, vec_col: str = "embedding", nlist: int | None = None,
-                    seed: int = 1, max_iter: int = 20) -> DataFrame:
-    """``(cell_id int, centroid array<double>)``."""
-    n = vectors.count()
-    k = nlist or default_nlist(n)
-    centers = _kmeans(vectors, vec_col, k, seed, max_iter, n)
+                    seed: int = 1, max_iter: int = 20,
+                    sample_fraction: float | None = None) -> DataFrame:
+    """``(cell_id int, centroid array<double>)``, trained on every vector or, if
+    the caller asks for it, on a seeded sample of ``sample_fraction``."""
+    vectors = vectors.filter(F.col(vec_col).isNotNull())
+    k = nlist or default_nlist(vectors.count())
+    centers = _kmeans(vectors, vec_col, k, seed, max_iter, sample_fraction)
     spark = vectors.sparkSession
     return spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)],
                                  "cell_id int, centroid array<double>")
@@ -76,28 +74,16 @@ def _centroid_matrix(centroids: DataFrame) -> np.ndarray:
     return mat
 
 
-def _nearest(vecs: np.ndarray, cents: np.ndarray, n: int, block: int = 512) -> np.ndarray:
-    """(rows, n) nearest centroid ids, ties to the lowest id.  Candidates come
-    from the product form (rows x nlist memory per block of rows); the order
-    is decided on distances recomputed by difference."""
-    c_sq = (cents * cents).sum(axis=1)
-    keep = min(cents.shape[0], n + 4)
-    out = np.empty((len(vecs), n), dtype=np.int64)
-    for lo in range(0, len(vecs), block):
-        v = vecs[lo:lo + block]
-        approx = (v * v).sum(axis=1)[:, None] + c_sq[None, :] - 2.0 * (v @ cents.T)
-        ids = np.broadcast_to(np.arange(cents.shape[0]), approx.shape)
-        cand = np.lexsort((ids, approx), axis=-1)[:, :keep]
-        diff = v[:, None, :] - cents[cand]
-        exact = np.round(np.einsum("rkd,rkd->rk", diff, diff), 9)
-        order = np.lexsort((cand, exact), axis=-1)[:, :n]
-        out[lo:lo + block] = np.take_along_axis(cand, order, axis=1)
-    return out
+def _nearest(vecs: np.ndarray, cents: np.ndarray, n: int) -> np.ndarray:
+    """(rows, n) nearest centroid ids, ties to the lowest id."""
+    _, ids, _ = knn.nearest_rows(vecs, cents, np.arange(len(cents)), n)
+    return ids.reshape(len(vecs), n)
 
 
 def assign_cells(df: DataFrame, centroids: DataFrame, vec_col: str = "embedding",
                  nprobe: int = 1, out_col: str = "cell_id") -> DataFrame:
-    """Adds ``cell_id`` (nprobe=1) or ``cells array<int>`` nearest first."""
+    """Adds ``cell_id`` (nprobe=1) or ``cells array<int>`` nearest first; rows
+    with a null vector have no cell and go."""
     cents = _centroid_matrix(centroids)
     bc = df.sparkSession.sparkContext.broadcast(cents)
     n = min(nprobe, cents.shape[0])
@@ -119,16 +105,31 @@ def assign_cells(df: DataFrame, centroids: DataFrame, vec_col: str = "embedding"
 
     from pyspark.sql import types as T
     out_type = T.IntegerType() if nprobe == 1 else T.ArrayType(T.IntegerType())
-    return df.mapInArrow(run, T.StructType(df.schema.fields + [T.StructField(out_col, out_type)]))
+    return df.filter(F.col(vec_col).isNotNull()).mapInArrow(
+        run, T.StructType(df.schema.fields + [T.StructField(out_col, out_type)]))
+
+
+def probes(queries: DataFrame, centroids: DataFrame, nprobe: int, q_id_col: str = "q_id",
+           q_vec_col: str = "embedding") -> DataFrame:
+    """``(cell, q_id, vector)``: one row per query and probed cell."""
+    near = assign_cells(queries.select(q_id_col, q_vec_col), centroids, q_vec_col,
+                        max(nprobe, 2), "_cells")
+    return near.select(F.explode(F.slice("_cells", 1, nprobe)).alias("cell"),
+                       F.col(q_id_col).cast("long").alias("q_id"), F.col(q_vec_col).alias("vector"))
 
 
-def probe_table(queries: DataFrame, centroids: DataFrame, nprobe: int,
-                q_id_col: str = "q_id", q_vec_col: str = "embedding") -> dict:
-    """``{q_id: cells}`` for a (checked, bounded) query block."""
-    a = assign_cells(queries.select(q_id_col, q_vec_col), centroids, q_vec_col, max(nprobe, 2),
-                     "cells")
-    rows = a.select(q_id_col, "cells").collect()
-    return {int(r[0]): set(r[1][:nprobe]) for r in rows}
+def search_ivf_grouped(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
+                       nprobe: int = 1, *, id_col: str = "row_id", vec_col: str = "embedding",
+                       q_id_col: str = "q_id", q_vec_col: str = "embedding",
+                       cell_col: str = "cell_id", vectors_per_group: int = knn.VECTORS_PER_BLOCK,
+                       queries_per_group: int = 500) -> DataFrame:
+    """Exact top-k inside the ``nprobe`` nearest cells of every query: the
+    block join, a cell's vectors and queries dealt into bounded groups."""
+    v = store.filter(F.col(vec_col).isNotNull()).select(
+        F.col(cell_col).alias("cell"), F.col(id_col).cast("long").alias("id"),
+        F.col(vec_col).alias("payload"))
+    return knn.block_search(v, probes(queries, centroids, nprobe, q_id_col, q_vec_col),
+                            knn.flat_kernel, k, id_col, vectors_per_group, queries_per_group)
 
 
 def search_ivf(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
@@ -136,37 +137,20 @@ def search_ivf(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: in
                q_id_col: str = "q_id", q_vec_col: str = "embedding",
                cell_col: str = "cell_id",
                max_block_bytes: int = knn.MAX_QUERY_BLOCK_BYTES) -> DataFrame:
-    """Exact top-k inside the ``nprobe`` nearest cells of every query.
-
-    When the query set needs several broadcast blocks, blocks are runs of
-    queries ordered by their nearest cell, so each block probes few cells and
-    reads only those partitions of the store.  Beyond ``MAX_BROADCAST_BLOCKS``
-    blocks the shuffle form (``search_ivf_grouped``) is used instead: no
-    query is broadcast and the store is read once."""
-    stats = queries.filter(F.col(q_vec_col).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size(q_vec_col)).alias("d")).first()
-    if stats["n"] and stats["n"] * stats["d"] * 8 > MAX_BROADCAST_BLOCKS * max_block_bytes:
-        return search_ivf_grouped(store, centroids, queries, k, nprobe, id_col=id_col,
-                                  vec_col=vec_col, q_id_col=q_id_col, q_vec_col=q_vec_col,
-                                  cell_col=cell_col)
-
-    def by_cell(q):
-        return assign_cells(q.select(q_id_col, q_vec_col), centroids, q_vec_col, 1, "_cell0"), \
-            "_cell0"
-
-    return knn.knn_search(store, queries, k, id_col=id_col, vec_col=vec_col,
-                          q_id_col=q_id_col, q_vec_col=q_vec_col, cell_col=cell_col,
-                          probe_fn=lambda block: probe_table(block, centroids, nprobe,
-                                                             q_id_col, q_vec_col),
-                          max_block_bytes=max_block_bytes, block_order=by_cell)
+    """``search_ivf_grouped`` with query blocks of at most ``max_block_bytes``."""
+    return search_ivf_grouped(
+        store, centroids, queries, k, nprobe, id_col=id_col, vec_col=vec_col, q_id_col=q_id_col,
+        q_vec_col=q_vec_col, cell_col=cell_col,
+        queries_per_group=knn.queries_per_block(queries, q_vec_col, max_block_bytes))
 
 
 # ------------------------------------------------------------------ PQ
 def train_pq(store: DataFrame, centroids: DataFrame, m: int = 8, nbits: int = 8,
              vec_col: str = "embedding", cell_col: str = "cell_id", seed: int = 1,
-             max_iter: int = 20) -> DataFrame:
+             max_iter: int = 20, sample_fraction: float | None = None) -> DataFrame:
     """``(sub int, code int, centroid array<double>)``: one codebook per
-    sub-space, trained on residuals to the cell centre."""
+    sub-space, trained on the residuals to the cell centre of every vector (or
+    of a seeded sample, if the caller asks for one)."""
     cents = _centroid_matrix(centroids)
     dim = cents.shape[1]
     if dim % m:
@@ -175,22 +159,17 @@ def train_pq(store: DataFrame, centroids: DataFrame, m: int = 8, nbits: int = 8,
     n = store.count()
     if n < ksub:
         raise ValueError(f"PQ training needs at least {ksub} vectors")
-    # sample before anything else: each sub-quantizer sees at most
-    # MAX_POINTS_PER_CENTROID points per code word, so the cached residual
-    # table is bounded (2**nbits x 256 rows) whatever the number of vectors
-    cap = ksub * MAX_POINTS_PER_CENTROID
-    train = store if n <= cap else store.sample(fraction=min(1.0, 1.1 * cap / n), seed=seed)
+    train = store if sample_fraction is None else store.sample(fraction=sample_fraction, seed=seed)
     cdf = store.sparkSession.createDataFrame([(i, c.tolist()) for i, c in enumerate(cents)],
                                              f"{cell_col} int, _c array<double>")
     res = (train.join(F.broadcast(cdf), cell_col)
            .select(F.zip_with(F.col(vec_col).cast("array<double>"), F.col("_c"),
-                              lambda a, b: a - b).alias("_r")).persist())
-    n_res = res.count()
+                              lambda a, b: a - b).alias("_r")).checkpoint(eager=True))
     dsub = dim // m
 
     def fit(s):
         sub = res.select(F.slice("_r", s * dsub + 1, dsub).alias("_s"))
-        book = _kmeans(sub, "_s", ksub, seed + s, max_iter, n_res)
+        book = _kmeans(sub, "_s", ksub, seed + s, max_iter)
         if book.shape[0] < ksub:
             # k-means returns fewer centres when the data has fewer distinct
             # points; repeat them so every sub-space has 2**nbits code words
@@ -202,7 +181,6 @@ def train_pq(store: DataFrame, centroids: DataFrame, m: int = 8, nbits: int = 8,
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=m) as pool:
         rows = [r for part in pool.map(fit, range(m)) for r in part]
-    res.unpersist()
     return store.sparkSession.createDataFrame(rows, "sub int, code int, centroid array<double>")
 
 
@@ -230,8 +208,12 @@ def encode_pq(store: DataFrame, centroids: DataFrame, codebook: DataFrame,
             vecs, _ = knn._flat_vectors(rb.column(vec_col), cents.shape[1])
             cells = rb.column(cell_col).to_numpy(zero_copy_only=False).astype(np.int64)
             r = (vecs - cents[cells]).reshape(len(vecs), m, dsub)
-            d = ((r[:, :, None, :] - book[None, :, :, :]) ** 2).sum(axis=3)
-            codes = d.argmin(axis=2).astype(np.int16)
+            codes = np.empty((len(vecs), m), np.int16)
+            for lo in range(0, len(vecs), _ENCODE_ROWS):
+                part = r[lo:lo + _ENCODE_ROWS]
+                for s in range(m):  # rows x code words x sub-dimension doubles at a time
+                    d = ((part[:, s, None, :] - book[s][None]) ** 2).sum(axis=2)
+                    codes[lo:lo + _ENCODE_ROWS, s] = d.argmin(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [rb.column(id_col), rb.column(cell_col), pa.array(list(codes), pa.list_(pa.int16()))],
                 names=[id_col, cell_col, "codes"])
@@ -242,69 +224,49 @@ def encode_pq(store: DataFrame, centroids: DataFrame, codebook: DataFrame,
 
 def search_pq(codes: DataFrame, centroids: DataFrame, codebook: DataFrame, queries: DataFrame,
               k: int = 5, nprobe: int = 1, *, id_col: str = "row_id", cell_col: str = "cell_id",
-              q_id_col: str = "q_id", q_vec_col: str = "embedding") -> DataFrame:
+              q_id_col: str = "q_id", q_vec_col: str = "embedding",
+              vectors_per_group: int = knn.VECTORS_PER_BLOCK,
+              queries_per_group: int = 500) -> DataFrame:
     """Approximate top-k by asymmetric distance: for each probed cell, a
     per-query table of sub-space distances; a vector costs ``m`` look-ups."""
-    spark = codes.sparkSession
-    cents = _centroid_matrix(centroids)
-    book = _codebook_array(codebook)
-    parts = []
-    for block, q_ids, q_mat in knn.query_blocks(queries, q_id_col, q_vec_col):
-        probes = probe_table(block, centroids, nprobe, q_id_col, q_vec_col)
-        allowed = np.zeros((len(q_ids), cents.shape[0]), dtype=bool)
-        for i, q in enumerate(q_ids):
-            for c in probes.get(int(q), ()):
-                allowed[i, c] = True
-        cells = sorted({c for s in probes.values() for c in s})
-        bc = spark.sparkContext.broadcast((q_ids, q_mat, allowed, cents, book))
-        scan = codes.filter(F.col(cell_col).isin(cells)).select(id_col, cell_col, "codes")
-        parts.append(scan.mapInArrow(_adc_kernel(bc, k, id_col, cell_col),
-                                     f"q_id long, {id_col} long, d2 double"))
-    if not parts:
-        return knn._empty_hits(spark, id_col)
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
-    return knn.rank_hits(cands, k, id_col).select("q_id", id_col, "rank", "d2", "similarity")
-
-
-def _adc_kernel(bc, k: int, id_col: str, cell_col: str):
-    """Arrow batch function: per probed cell, a (query, sub-space, code)
-    distance table; each vector's distance is the sum of ``m`` look-ups."""
-    def run(batches):
-        qi, qm, al, ce, bk = bc.value
-        m, ksub, dsub = bk.shape
-        best_d = np.full((len(qi), 0), np.inf)
-        best_id = np.empty((len(qi), 0), dtype=np.int64)
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            ids = rb.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64)
-            cl = rb.column(cell_col).to_numpy(zero_copy_only=False).astype(np.int64)
-            cd, _ = knn._flat_vectors(rb.column("codes"), m)
-            cd = cd.astype(np.int64)
-            dist = np.full((len(qi), len(ids)), np.inf)
-            for c in np.unique(cl):
-                rows = np.nonzero(cl == c)[0]
-                qs = np.nonzero(al[:, c])[0]
-                if len(qs) == 0:
-                    continue
-                rq = (qm[qs] - ce[c]).reshape(len(qs), m, 1, dsub)
-                table = ((rq - bk[None]) ** 2).sum(axis=3)          # (q, m, ksub)
-                look = table[:, np.arange(m)[None, :], cd[rows]]      # (q, rows, m)
-                dist[np.ix_(qs, rows)] = look.sum(axis=2)
-            cand_d = np.hstack([best_d, dist])
-            cand_id = np.hstack([best_id, np.broadcast_to(ids, dist.shape)])
-            order = np.lexsort((cand_id, np.round(cand_d, 9)), axis=-1)[:, :k]
-            best_d = np.take_along_axis(cand_d, order, axis=1)
-            best_id = np.take_along_axis(cand_id, order, axis=1)
-        ok = np.isfinite(best_d)
-        if ok.any():
-            qq = np.broadcast_to(qi[:, None], best_d.shape)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(qq[ok], pa.int64()), pa.array(best_id[ok], pa.int64()),
-                 pa.array(best_d[ok], pa.float64())], names=["q_id", id_col, "d2"])
-    return run
+    bc = codes.sparkSession.sparkContext.broadcast((_centroid_matrix(centroids),
+                                                    _codebook_array(codebook)))
+
+    def kernel(cell, q_mat, payload, ids, k):
+        cents, book = bc.value
+        return asymmetric_rows(q_mat - cents[cell], book, payload, ids, k)
+
+    v = codes.select(F.col(cell_col).alias("cell"), F.col(id_col).cast("long").alias("id"),
+                     F.col("codes").alias("payload"))
+    return knn.block_search(v, probes(queries, centroids, nprobe, q_id_col, q_vec_col), kernel, k,
+                            id_col, vectors_per_group, queries_per_group)
+
+
+def asymmetric_rows(residual: np.ndarray, book: np.ndarray, payload, ids: np.ndarray, k: int):
+    """``(query row, id, d2)``: the ``k`` best codes of one block for query
+    residuals.  A sub-block of queries holds its distance table (queries x m x
+    code words) and one queries x codes matrix, nothing larger."""
+    m, ksub, dsub = book.shape
+    code, _ = knn._flat_vectors(payload, m)
+    code = code.astype(np.int64)
+    out = []
+    step = knn._QUERY_SUB_BLOCK
+    for lo in range(0, len(residual), step):
+        rq = residual[lo:lo + step].reshape(-1, m, dsub)
+        d2 = np.zeros((len(rq), len(ids)))
+        for s in range(m):
+            table = np.zeros((len(rq), ksub))
+            for j in range(dsub):
+                table += (rq[:, s, j, None] - book[s][None, :, j]) ** 2
+            d2 += table[:, code[:, s]]
+        if len(ids) > k:
+            cut = np.partition(d2, k - 1, axis=1)[:, k - 1]
+            row, at = np.nonzero(d2 <= cut[:, None] + 10.0 ** -knn._DIGITS)
+        else:
+            row, at = np.divmod(np.arange(d2.size), max(1, len(ids)))
+        row, found, best = knn.first_k(row, ids[at], d2[row, at], k)
+        out.append((row + lo, found, best))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 # ------------------------------------------------------------------ recall
@@ -312,7 +274,9 @@ def recall_at_k(approx: DataFrame, exact: DataFrame, id_col: str = "row_id") ->
     """Share of exact top-k rows the approximate search also returned."""
     got = approx.select("q_id", id_col).join(exact.select("q_id", id_col), ["q_id", id_col]).count()
     total = exact.count()
-    return got / total if total else 1.0
+    if not total:
+        raise ValueError("recall of nothing: the exact search has no rows")
+    return got / total
 
 
 def calibrate_nprobe(store: DataFrame, centroids: DataFrame, sample_queries: DataFrame, k: int,
@@ -323,7 +287,7 @@ def calibrate_nprobe(store: DataFrame, centroids: DataFrame, sample_queries: Dat
     sample; ``nprobe = nlist`` is exact, so the target is always reachable."""
     nlist = centroids.count()
     exact = knn.knn_search(store, sample_queries, k, id_col=id_col, vec_col=vec_col,
-                           q_id_col=q_id_col, q_vec_col=q_vec_col).persist()
+                           q_id_col=q_id_col, q_vec_col=q_vec_col).checkpoint(eager=True)
     curve = []
     nprobe = 1
     while True:
@@ -333,80 +297,5 @@ def calibrate_nprobe(store: DataFrame, centroids: DataFrame, sample_queries: Dat
         r = recall_at_k(approx, exact, id_col)
         curve.append((nprobe, r))
         if r >= target or nprobe >= nlist:
-            exact.unpersist()
             return nprobe, curve
         nprobe = min(nlist, nprobe * 2)
-
-
-# ------------------------------------------------------------------ shuffle form
-def search_ivf_grouped(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
-                       nprobe: int = 1, *, id_col: str = "row_id", vec_col: str = "embedding",
-                       q_id_col: str = "q_id", q_vec_col: str = "embedding",
-                       cell_col: str = "cell_id", vectors_per_group: int = 20_000,
-                       queries_per_group: int = 500) -> DataFrame:
-    """IVF search without any broadcast of queries, for query sets of any size.
-
-    Every (query, probed cell) pair and every stored vector get a block key
-    ``(cell, vector salt, query salt)``: a cell's vectors are cut into
-    ``ceil(n_cell / vectors_per_group)`` salts and its queries into
-    ``ceil(q_cell / queries_per_group)`` salts, and each side is repeated over
-    the other side's salts.  A co-grouped Arrow function then sees at most
-    ``vectors_per_group`` vectors and ``queries_per_group`` queries (a hot cell
-    only adds groups) and emits at most k rows per query; the final top-k is
-    the usual ``row_number``.  Only per-cell counts (≤ nlist rows) reach the
-    driver."""
-    import pandas as pd
-    from pyspark.sql import types as T
-
-    probes = assign_cells(queries.select(q_id_col, q_vec_col), centroids, q_vec_col,
-                          max(nprobe, 2), "_cells")
-    qc = probes.select(F.col(q_id_col).alias("q_id"), F.col(q_vec_col).alias("_qv"),
-                       F.explode(F.slice("_cells", 1, nprobe)).alias(cell_col))
-    v_counts = {r[0]: r[1] for r in store.groupBy(cell_col).count().collect()}
-    q_counts = {r[0]: r[1] for r in qc.groupBy(cell_col).count().collect()}
-    spark = store.sparkSession
-    salts = spark.createDataFrame(
-        [(int(c), max(1, -(-v_counts.get(c, 0) // vectors_per_group)),
-          max(1, -(-q_counts.get(c, 0) // queries_per_group))) for c in q_counts],
-        f"{cell_col} int, _vs int, _qs int")
-    salts = F.broadcast(salts)          # one row per probed cell (≤ nlist)
-    v = (store.select(id_col, vec_col, cell_col).join(salts, cell_col)
-         .withColumn("_v", F.pmod(F.xxhash64(id_col), F.col("_vs")).cast("int"))
-         .withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_qs") - 1)))
-         .select(cell_col, "_v", "_q", id_col, vec_col))
-    q = (qc.join(salts, cell_col)
-         .withColumn("_q", F.pmod(F.xxhash64("q_id"), F.col("_qs")).cast("int"))
-         .withColumn("_v", F.explode(F.sequence(F.lit(0), F.col("_vs") - 1)))
-         .select(cell_col, "_v", "_q", "q_id", "_qv"))
-
-    def block(qdf: pd.DataFrame, vdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qdf) == 0 or len(vdf) == 0:
-            return pd.DataFrame({"q_id": pd.Series([], dtype="int64"),
-                                 id_col: pd.Series([], dtype="int64"),
-                                 "d2": pd.Series([], dtype="float64")})
-        qm = np.stack(qdf["_qv"].to_numpy()).astype(np.float64)
-        vm = np.stack(vdf[vec_col].to_numpy()).astype(np.float64)
-        ids = vdf[id_col].to_numpy().astype(np.int64)
-        # product form for candidates (queries x vectors doubles), exact
-        # distances by difference for the survivors only
-        approx = (qm * qm).sum(axis=1)[:, None] + (vm * vm).sum(axis=1)[None, :] \
-            - 2.0 * (qm @ vm.T)
-        id_mat = np.broadcast_to(ids, approx.shape)
-        keep = min(k + 8, len(ids))
-        order = np.lexsort((id_mat, approx), axis=-1)[:, :keep]
-        cand_id = np.take_along_axis(id_mat, order, axis=1)
-        diff = qm[:, None, :] - vm[order]
-        exact = np.einsum("qkd,qkd->qk", diff, diff)
-        best = np.lexsort((cand_id, np.round(exact, 9)), axis=-1)[:, :k]
-        sel_d = np.take_along_axis(exact, best, axis=1)
-        sel_id = np.take_along_axis(cand_id, best, axis=1)
-        qi = np.broadcast_to(qdf["q_id"].to_numpy().astype(np.int64)[:, None], sel_d.shape)
-        return pd.DataFrame({"q_id": qi.ravel(), id_col: sel_id.ravel(), "d2": sel_d.ravel()})
-
-    out_schema = T.StructType([T.StructField("q_id", T.LongType()),
-                               T.StructField(id_col, T.LongType()),
-                               T.StructField("d2", T.DoubleType())])
-    cands = (q.groupBy(cell_col, "_v", "_q")
-             .cogroup(v.groupBy(cell_col, "_v", "_q"))
-             .applyInPandas(block, out_schema))
-    return knn.rank_hits(cands, k, id_col).select("q_id", id_col, "rank", "d2", "similarity")

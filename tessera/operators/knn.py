@@ -1,43 +1,41 @@
-"""Exact k-nearest-neighbour search (squared L2) — the "Flat" index.
-
-The query block is broadcast once (its size is checked; larger query sets are
-cut into bounded blocks, one scan each), every vector partition is scanned by
-an Arrow batch function that multiplies a vector block with the query block
-and keeps a running per-query top-k.  Each task emits at most k rows per query,
-so the shuffle into the final ``row_number`` is ``queries x k x partitions``
-rows regardless of the number of vectors, and no (query, vector) pair ever
-materialises as a row (no cross join).
-
-Ordering is ``(round(d2, 9), row_id)``: ties are broken by id so results are
-repeatable on any partitioning and equal to an SQL oracle.
+"""Exact k-nearest-neighbour search (squared L2): the "Flat" index, and the
+block join that every index shares.
+
+Vectors and queries are dealt into blocks of bounded size and co-grouped block
+by block, so neither side is ever collected or broadcast.  Inside a group one
+matrix product gives the candidates and each query keeps at most k rows; the
+final ``row_number`` sees ``queries x k x vector blocks`` rows.  No (query,
+vector) pair materialises as a row.
+
+Ordering is ``(round(d2, 9), id)``.  The product form only proposes: every
+row within its rounding error of the k-th distance (and within the rounding of
+the order key) is measured again by difference, however many rows that are, so
+copies and near ties come out alike on any partitioning.
+
+Rows with a null vector take no part, as queries or as vectors.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.functions.vectors import similarity_from_d2
 
-# Upper bound on the bytes of one broadcast query block (float64 matrix).
-MAX_QUERY_BLOCK_BYTES = 64 << 20
-# Rows of the distance matrix computed at once inside a task.
-_QUERY_SUB_BLOCK = 512
-# Extra candidates kept from the product-form distances before the exact
-# recomputation decides; protects the cut against rounding of the product form.
-_MARGIN = 8
+#: Bytes of one query block (float64 matrix), and vectors of one vector block.
+MAX_QUERY_BLOCK_BYTES = 2 << 20
+VECTORS_PER_BLOCK = 20_000
+# rows of the distance matrix computed at once inside a task
+_QUERY_SUB_BLOCK = 256
+# digits of the order key
+_DIGITS = 9
 
 
-def _hits_schema(id_col: str) -> str:
-    return f"q_id long, {id_col} long, d2 double"
-
-
-def _flat_vectors(col: pa.Array, dim: int | None) -> tuple[np.ndarray, int]:
+def _flat_vectors(col, dim: int | None) -> tuple[np.ndarray, int]:
     """list<float> Arrow column -> (n, dim) float64 matrix without Python loops."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
@@ -54,156 +52,120 @@ def _flat_vectors(col: pa.Array, dim: int | None) -> tuple[np.ndarray, int]:
     return values.reshape(n, d), d
 
 
-def _topk_kernel(q_ids: np.ndarray, q_mat: np.ndarray, k: int, id_col: str, vec_col: str,
-                 cell_col: str | None, allowed: np.ndarray | None):
-    """Arrow batch function: running exact top-k per query over one partition."""
-    nq, dim = q_mat.shape
-    q_sq = (q_mat * q_mat).sum(axis=1)
-
-    def run(batches):
-        best_key = np.empty((nq, 0))
-        best_d = np.empty((nq, 0))
-        best_id = np.empty((nq, 0), dtype=np.int64)
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            ids = rb.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64)
-            vecs, _ = _flat_vectors(rb.column(vec_col), dim)
-            v_sq = (vecs * vecs).sum(axis=1)
-            cells = (rb.column(cell_col).to_numpy(zero_copy_only=False).astype(np.int64)
-                     if cell_col else None)
-            keep = min(k + _MARGIN, len(ids))
-            new_key, new_d, new_id = [], [], []
-            for lo in range(0, nq, _QUERY_SUB_BLOCK):
-                hi = min(nq, lo + _QUERY_SUB_BLOCK)
-                approx = q_sq[lo:hi, None] + v_sq[None, :] - 2.0 * (q_mat[lo:hi] @ vecs.T)
-                if allowed is not None:
-                    approx = np.where(allowed[lo:hi][:, cells], approx, np.inf)
-                id_mat = np.broadcast_to(ids, approx.shape)
-                order = np.lexsort((id_mat, approx), axis=-1)[:, :keep]
-                sel_ids = np.take_along_axis(id_mat, order, axis=1)
-                sel_ok = np.isfinite(np.take_along_axis(approx, order, axis=1))
-                # exact distance of the survivors, by difference
-                diff = q_mat[lo:hi, None, :] - vecs[order]
-                exact = np.einsum("qkd,qkd->qk", diff, diff)
-                exact = np.where(sel_ok, exact, np.inf)
-                new_key.append(np.round(exact, 9))
-                new_d.append(exact)
-                new_id.append(sel_ids)
-            cand_key = np.hstack([best_key, np.vstack(new_key)])
-            cand_d = np.hstack([best_d, np.vstack(new_d)])
-            cand_id = np.hstack([best_id, np.vstack(new_id)])
-            order = np.lexsort((cand_id, cand_key), axis=-1)[:, :k]
-            best_key = np.take_along_axis(cand_key, order, axis=1)
-            best_d = np.take_along_axis(cand_d, order, axis=1)
-            best_id = np.take_along_axis(cand_id, order, axis=1)
-        if best_d.shape[1] == 0:
-            return
-        ok = np.isfinite(best_d)
-        qi = np.broadcast_to(q_ids[:, None], best_d.shape)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(qi[ok], pa.int64()), pa.array(best_id[ok], pa.int64()),
-             pa.array(best_d[ok], pa.float64())],
-            names=["q_id", id_col, "d2"])
-
-    return run
-
-
-def _collect_queries(queries: DataFrame, q_id_col: str, q_vec_col: str):
-    rows = queries.select(F.col(q_id_col).cast("long").alias("q"),
-                          F.col(q_vec_col).alias("v")).toArrow()
-    ids = rows.column("q").to_numpy().astype(np.int64)
-    mat, _ = _flat_vectors(rows.column("v"), None)
-    return ids, mat
+def first_k(row: np.ndarray, ids: np.ndarray, d2: np.ndarray, k: int):
+    """Of ``(row, id, d2)`` triples the best ``k`` of every row, in order."""
+    order = np.lexsort((ids, np.round(d2, _DIGITS), row))
+    row, ids, d2 = row[order], ids[order], d2[order]
+    heads = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else row
+    nth = np.arange(len(row)) - np.repeat(heads, np.diff(np.concatenate((heads, [len(row)]))))
+    best = nth < k
+    return row[best], ids[best], d2[best]
+
+
+def nearest_rows(q: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int):
+    """``(query row, id, d2)`` of the ``k`` rows of ``v`` nearest to each row
+    of ``q``, ordered by ``(round(d2, 9), id)``."""
+    out = []
+    v_sq = (v * v).sum(axis=1)
+    for lo in range(0, len(q), _QUERY_SUB_BLOCK):
+        part = q[lo:lo + _QUERY_SUB_BLOCK]
+        q_sq = (part * part).sum(axis=1)
+        approx = q_sq[:, None] + v_sq[None, :] - 2.0 * (part @ v.T)
+        if len(ids) > k:
+            cut = np.partition(approx, k - 1, axis=1)[:, k - 1]
+            # twice the rounding error of the product form, and one step of the key
+            slack = 4e-16 * (v.shape[1] + 8) * (q_sq + v_sq.max()) * 2 + 10.0 ** -_DIGITS
+            row, at = np.nonzero(approx <= (cut + slack)[:, None])
+        else:
+            row, at = np.divmod(np.arange(approx.size), max(1, len(ids)))
+        d2 = np.zeros(len(row))
+        for j in range(q.shape[1]):  # a fixed order of summation
+            diff = part[row, j] - v[at, j]
+            d2 += diff * diff
+        row, found, d2 = first_k(row, ids[at], d2, k)
+        out.append((row + lo, found, d2))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def rank_hits(candidates: DataFrame, k: int, id_col: str = "row_id") -> DataFrame:
-    """Final top-k per query from per-task candidates (Catalyst plans a partial
+    """Final top-k per query from per-block candidates (Catalyst plans a partial
     ``WindowGroupLimit`` before the shuffle on ``q_id``)."""
-    w = Window.partitionBy("q_id").orderBy(F.round("d2", 9), F.col(id_col))
+    w = Window.partitionBy("q_id").orderBy(F.round("d2", _DIGITS), F.col(id_col))
     return (candidates.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= k)
-            .withColumn("similarity", similarity_from_d2(F.col("d2"))))
-
-
-def query_blocks(queries: DataFrame, q_id_col: str = "q_id", q_vec_col: str = "embedding",
-                 max_block_bytes: int = MAX_QUERY_BLOCK_BYTES, order_by=None):
-    """Yield ``(block_df, q_ids, q_matrix)`` for bounded blocks of the query
-    table: each block's float64 matrix stays under ``max_block_bytes`` (the
-    checked size of what is broadcast).  Blocks are hash ranges of the id, or
-    consecutive runs in the order of the column that ``order_by(queries) ->
-    (queries, column)`` adds (e.g. the nearest IVF cell, so a block probes few
-    cells and its scan is pruned to them); it is only called when more than
-    one block is needed."""
-    queries = queries.filter(F.col(q_vec_col).isNotNull())
-    stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(q_vec_col)).alias("d")).first()
-    n_q, dim = stats["n"], stats["d"]
-    if n_q == 0:
-        return
-    n_blocks = max(1, math.ceil(n_q * dim * 8 / max_block_bytes))
-    if n_blocks > 1 and order_by is not None:
-        from tessera.functions.ordering import global_index
-        per_block = math.ceil(n_q / n_blocks)
-        queries, order_col = order_by(queries)
-        queries = (global_index(queries, [F.col(order_col), F.col(q_id_col)], "_qi")
-                   .withColumn("_qb", F.floor(F.col("_qi") / per_block)).drop("_qi"))
-    elif n_blocks > 1:
-        queries = queries.withColumn("_qb", F.pmod(F.xxhash64(F.col(q_id_col)), F.lit(n_blocks)))
-    for b in range(n_blocks):
-        block = queries if n_blocks == 1 else queries.filter(F.col("_qb") == b)
-        q_ids, q_mat = _collect_queries(block, q_id_col, q_vec_col)
-        if len(q_ids):
-            yield block, q_ids, q_mat
-
-
-def _empty_hits(spark, id_col: str) -> DataFrame:
-    return spark.createDataFrame([], f"q_id long, {id_col} long, rank int, d2 double, "
-                                     "similarity double")
+            .withColumn("similarity", similarity_from_d2(F.col("d2")))
+            .select("q_id", id_col, "rank", "d2", "similarity"))
+
+
+def block_search(vectors: DataFrame, queries: DataFrame, kernel, k: int, id_col: str,
+                 vectors_per_group: int, queries_per_group: int) -> DataFrame:
+    """The block join.  ``vectors (cell, id, payload)`` and ``queries (cell,
+    q_id, vector)``: a cell's vectors are cut into blocks of about
+    ``vectors_per_group`` and its queries into blocks of ``queries_per_group``;
+    each side is repeated over the other side's blocks, so a hot cell only adds
+    groups.  ``kernel(cell, query matrix, payload column, ids, k)`` returns
+    ``(query row, id, d2)`` arrays.  Only per-cell counts (one row per cell)
+    reach the driver."""
+    spark = vectors.sparkSession
+    v_counts = {r[0]: r[1] for r in vectors.groupBy("cell").count().collect()}
+    q_counts = {r[0]: r[1] for r in queries.groupBy("cell").count().collect()}
+    rows = [(int(c), max(1, -(-v_counts[c] // vectors_per_group)),
+             max(1, -(-n // queries_per_group))) for c, n in q_counts.items() if c in v_counts]
+    salts = F.broadcast(spark.createDataFrame(rows, "cell int, _vs int, _qs int"))
+    # a cell-partitioned store reads the probed cells only
+    v = (vectors.filter(F.col("cell").isin([c for c, *_ in rows])).join(salts, "cell")
+         .withColumn("_v", F.pmod(F.xxhash64("id"), F.col("_vs")).cast("int"))
+         .withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_qs") - 1)))
+         .select("cell", "_v", "_q", "id", "payload"))
+    q = (queries.join(salts, "cell")
+         .withColumn("_q", F.pmod(F.xxhash64("q_id"), F.col("_qs")).cast("int"))
+         .withColumn("_v", F.explode(F.sequence(F.lit(0), F.col("_vs") - 1)))
+         .select("cell", "_v", "_q", "q_id", "vector"))
+
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["q_id", id_col, "d2"]
+        if not len(left) or not len(right):
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()),
+                             pa.array([], pa.float64())], names)
+        q_mat, _ = _flat_vectors(left.column("vector"), None)
+        row, ids, d2 = kernel(left.column("cell")[0].as_py(), q_mat, right.column("payload"),
+                              right.column("id").to_numpy(), k)
+        return pa.table([pa.array(left.column("q_id").to_numpy()[row], pa.int64()),
+                         pa.array(ids, pa.int64()), pa.array(d2, pa.float64())], names)
+
+    schema = T.StructType([T.StructField("q_id", T.LongType()), T.StructField(id_col, T.LongType()),
+                           T.StructField("d2", T.DoubleType())])
+    by = ("cell", "_v", "_q")
+    found = q.groupBy(*by).cogroup(v.groupBy(*by)).applyInArrow(block, schema)
+    return rank_hits(found, k, id_col)
+
+
+def flat_kernel(cell, q_mat, payload, ids, k):
+    vecs, _ = _flat_vectors(payload, q_mat.shape[1])
+    return nearest_rows(q_mat, vecs, ids, k)
+
+
+def queries_per_block(queries: DataFrame, vec_col: str, max_block_bytes: int) -> int:
+    """Queries that fit a block of ``max_block_bytes``."""
+    dim = queries.select(F.max(F.size(vec_col))).first()[0] or 1
+    return max(1, max_block_bytes // (8 * max(1, dim)))
 
 
 def knn_search(vectors: DataFrame, queries: DataFrame, k: int = 5, *,
                id_col: str = "row_id", vec_col: str = "embedding",
                q_id_col: str = "q_id", q_vec_col: str = "embedding",
-               cell_col: str | None = None, probe_fn=None,
                max_block_bytes: int = MAX_QUERY_BLOCK_BYTES,
-               block_order=None) -> DataFrame:
-    """Top-k rows of ``vectors`` for every row of ``queries``.
-
-    Returns ``(q_id, <id_col>, rank, d2, similarity)``; rank is 1-based.
-    ``probe_fn(block_df) -> {q_id: set(cell ids)}`` (IVF): a vector is a
-    candidate for a query only when its ``cell_col`` is in the query's probe
-    set; it is called per query block, so probe tables stay bounded too.
-    """
+               vectors_per_group: int = VECTORS_PER_BLOCK) -> DataFrame:
+    """Top-k rows of ``vectors`` for every row of ``queries``:
+    ``(q_id, <id_col>, rank, d2, similarity)``; rank is 1-based."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    spark = vectors.sparkSession
-    vec_in = (vectors.select(id_col, vec_col, *([cell_col] if cell_col else []))
-              .filter(F.col(vec_col).isNotNull()))
-    parts = []
-    for block, q_ids, q_mat in query_blocks(queries, q_id_col, q_vec_col, max_block_bytes,
-                                            block_order):
-        allowed = None
-        scan = vec_in
-        if probe_fn is not None:
-            probes = probe_fn(block)
-            all_cells = sorted({c for q in q_ids for c in probes.get(int(q), ())})
-            n_cells = (max(all_cells) + 1) if all_cells else 1
-            allowed = np.zeros((len(q_ids), n_cells), dtype=bool)
-            for i, q in enumerate(q_ids):
-                for c in probes.get(int(q), ()):
-                    allowed[i, c] = True
-            # only probed cells are read (partition pruning on a cell-partitioned store)
-            scan = vec_in.filter(F.col(cell_col).isin(all_cells))
-        bq = spark.sparkContext.broadcast((q_ids, q_mat, allowed))
-
-        def kernel(batches, _bq=bq):
-            qi, qm, al = _bq.value
-            yield from _topk_kernel(qi, qm, k, id_col, vec_col, cell_col, al)(batches)
-
-        parts.append(scan.mapInArrow(kernel, _hits_schema(id_col)))
-    if not parts:
-        return _empty_hits(spark, id_col)
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
-    return rank_hits(cands, k, id_col).select("q_id", id_col, "rank", "d2", "similarity")
+    one_cell = F.lit(0).alias("cell")
+    v = vectors.filter(F.col(vec_col).isNotNull()).select(
+        one_cell, F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("payload"))
+    q = queries.filter(F.col(q_vec_col).isNotNull()).select(
+        one_cell, F.col(q_id_col).cast("long").alias("q_id"), F.col(q_vec_col).alias("vector"))
+    return block_search(v, q, flat_kernel, k, id_col, vectors_per_group,
+                        queries_per_block(q, "vector", max_block_bytes))

@@ -7,14 +7,14 @@ chunks (A2), infinity when there is no chunk.
 The scorer is a plug-in (``make_scorer() -> f(list[str]) -> list[float]``
 mean losses, run as an Arrow batch UDF).  The built-in default is a unigram
 model with add-one smoothing counted from the train split, so the whole job
-stays in Spark SQL: token occurrences join the (aggregated) train counts —
-broadcast below a checked size, otherwise a shuffle join where AQE splits hot
-tokens — then average per chunk and over chunks.
+stays in Spark SQL: token occurrences join the (aggregated) train counts — AQE
+broadcasts them where their measured size allows and splits hot tokens
+otherwise — then average per chunk and over chunks.
 """
 
 from __future__ import annotations
 
-from typing import Callable
+from typing import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,8 +24,6 @@ from pyspark.sql import types as T
 from tessera.functions.text import lower_words
 from tessera.operators.chunking import word_chunks
 
-MAX_BROADCAST_COUNTS = 2_000_000
-
 
 def unigram_losses(train: DataFrame, eval_chunks: DataFrame, text_col: str = "text",
                    key=("doc_id", "chunk_id")) -> DataFrame:
@@ -38,19 +36,31 @@ def unigram_losses(train: DataFrame, eval_chunks: DataFrame, text_col: str = "te
     n_total, v = (stats["N"] or 0), stats["V"]
     denom = float(n_total + v + 1)
     occ = eval_chunks.select(*key, F.explode(lower_words(F.col(text_col))).alias("token"))
-    side = F.broadcast(counts) if v <= MAX_BROADCAST_COUNTS else counts
-    j = occ.join(side, "token", "left")
+    j = occ.join(counts, "token", "left")
     nll = -F.log((F.coalesce(F.col("c"), F.lit(0)) + F.lit(1.0)) / F.lit(denom))
     return j.groupBy(*key).agg(F.count(F.lit(1)).alias("n_tokens"), F.avg(nll).alias("loss"))
 
 
+def cut_tokens(model, text):
+    """T5 in front of a plug-in: at most ``model.max_tokens`` of its tokens."""
+    limit = getattr(model, "max_tokens", None)
+    if text is None or not limit or not hasattr(model, "tokenize"):
+        return text
+    tokens = model.tokenize(text)
+    return text if len(tokens) <= limit else model.detokenize(tokens[:limit])
+
+
 def plugin_losses(eval_chunks: DataFrame, make_scorer: Callable, text_col: str = "text",
                   key=("doc_id", "chunk_id")) -> DataFrame:
-    """``(key..., loss)`` from a model scorer (one mean loss per chunk)."""
+    """``(key..., loss)`` from a model scorer (one mean loss per chunk), built
+    once per task.  A scorer with a ``tokenize(text) -> list`` and a
+    ``max_tokens`` gets its texts cut to that many tokens (T5) if it also has
+    ``detokenize(tokens) -> text``."""
     @F.pandas_udf(T.DoubleType())
-    def score(texts: pd.Series) -> pd.Series:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         f = make_scorer()
-        return pd.Series(f(list(texts)), dtype="float64")
+        for texts in batches:
+            yield pd.Series(f([cut_tokens(f, t) for t in texts]), dtype="float64")
     return eval_chunks.select(*key, score(F.col(text_col)).alias("loss"))
 
 

@@ -82,10 +82,14 @@ def benchmark_grid(questions: DataFrame, hits_at_max_k: DataFrame, make_generato
 
 def compare_models(rag: DataFrame, ft: DataFrame) -> DataFrame:
     """``rag (question, answer, time)`` vs ``ft (question, answer, time)``
-    -> the 8-column comparison report."""
-    r = rag.select("question", F.col("answer").alias("rag_answer"), F.col("time").alias("rag_time"))
-    f = ft.select("question", F.col("answer").alias("ft_answer"), F.col("time").alias("ft_time"))
-    j = r.join(f, "question")
+    -> the 8-column comparison report, one row per question asked: tables that
+    carry ``q_id`` are joined on it, so a repeated question stays one row each;
+    without it questions must be distinct."""
+    by_id = "q_id" in rag.columns and "q_id" in ft.columns
+    key = ["q_id"] if by_id else ["question"]
+    r = rag.select(*key, *(["question"] if by_id else []), F.col("answer").alias("rag_answer"), F.col("time").alias("rag_time"))
+    f = ft.select(*key, F.col("answer").alias("ft_answer"), F.col("time").alias("ft_time"))
+    j = r.join(f, key)
     return j.select(
         "question", "rag_answer", "ft_answer", "rag_time", "ft_time",
         (F.col("rag_time") - F.col("ft_time")).alias("time_difference"),

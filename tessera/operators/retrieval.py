@@ -3,10 +3,8 @@ optionally rerank, and build contexts.
 
 A *chunk store* is two tables keyed by ``row_id``: vectors ``(row_id,
 embedding[, cell_id])`` and chunks ``(row_id, doc_id, chunk_id, text,
-metadata)``.  Search reads only the vectors; text is fetched afterwards for
-the few hits: an IN filter on the hit documents is pushed into the chunk scan
-and the hit side (questions x k rows, checked) is broadcast, so the chunk
-table is never shuffled.
+metadata)``.  Search reads only the vectors; text is joined afterwards for
+the few hits (questions x k rows).
 """
 
 from __future__ import annotations
@@ -22,10 +20,6 @@ from tessera.operators.rerank import rerank as rerank_hits
 # row_id = doc_id * 2**20 + chunk_id: stable across re-runs and partitionings
 # (never monotonically_increasing_id).  Holds up to 2**20 chunks per document.
 ROW_ID_SHIFT = 20
-# largest hit table (questions x k rows) shipped to every task of the chunk scan
-MAX_BROADCAST_HITS = 2_000_000
-# largest id list turned into a pushed-down IN filter on the chunk table
-MAX_FETCH_IDS = 100_000
 
 
 def row_id(doc_id="doc_id", chunk_id="chunk_id") -> Column:
@@ -69,33 +63,16 @@ def word_chunk_vectors(docs: DataFrame, chunk_words: int, dim: int,
             .select(row_id(), "embedding"))
 
 
-def attach_chunks(hits: DataFrame, questions: DataFrame, chunks: DataFrame,
-                  n_hits: int) -> DataFrame:
-    """Hits ``(q_id, row_id, ...)`` + question text + chunk columns.
-
-    ``n_hits`` (questions x k) bounds the hit table.  Below ``MAX_FETCH_IDS``
-    the hit table is computed once (cached; a lost block is recomputed from
-    lineage) and only the hit documents are fetched: the IN filter on
-    ``doc_id`` reaches the chunk scan (row-group pruning on a stored table;
-    on a table chunked on the fly only the hit documents are chunked).  Below
-    ``MAX_BROADCAST_HITS`` the hit side is broadcast so the chunk table is
-    never shuffled; beyond it both sides shuffle on ``row_id``."""
-    small = n_hits <= MAX_BROADCAST_HITS
-    if n_hits <= MAX_FETCH_IDS:
-        hits = hits.persist()
-        ids = sorted(r[0] for r in hits.select("row_id").distinct().collect())
-        if "doc_id" in chunks.columns:
-            docs = sorted({i >> ROW_ID_SHIFT for i in ids})
-            chunks = chunks.filter(F.col("doc_id").isin(docs))
-        chunks = chunks.filter(F.col("row_id").isin(ids))
-    hits = hits.join(F.broadcast(questions) if small else questions, "q_id")
-    return (F.broadcast(hits) if small else hits).join(chunks, "row_id")
+def attach_chunks(hits: DataFrame, questions: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Hits ``(q_id, row_id, ...)`` + question text + chunk columns: plain
+    equi joins.  The hit side is questions x k rows; AQE broadcasts it where
+    its measured size allows and shuffles on ``row_id`` otherwise."""
+    return hits.join(questions, "q_id").join(chunks, "row_id")
 
 
 def search(vectors: DataFrame, chunks: DataFrame, questions: DataFrame, k: int = 5, *,
            dim: int = 64, rerank: bool = False, q_id_col: str = "q_id",
-           question_col: str = "question", embed=None, probe_fn=None,
-           cell_col: str | None = None) -> DataFrame:
+           question_col: str = "question", embed=None) -> DataFrame:
     """``(q_id, question, rank, row_id, doc_id, chunk_id, text, metadata, d2,
     similarity[, prev_rank, overlap, score])``.  Questions whose search yields
     fewer than k hits simply get fewer rows (P6)."""
@@ -103,8 +80,8 @@ def search(vectors: DataFrame, chunks: DataFrame, questions: DataFrame, k: int =
     q = questions.select(F.col(q_id_col).cast("long").alias("q_id"),
                          F.col(question_col).alias("question"))
     qv = q.select("q_id", embed(F.col("question")).alias("embedding"))
-    hits = knn.knn_search(vectors, qv, k, probe_fn=probe_fn, cell_col=cell_col)
-    out = attach_chunks(hits, q, chunks, q.count() * k)
+    hits = knn.knn_search(vectors, qv, k)
+    out = attach_chunks(hits, q, chunks)
     if rerank:
         out = rerank_hits(out)
     return out

@@ -3,7 +3,8 @@
 Layout under one root (a shared folder)::
 
     chunks/     row_id, doc_id, chunk_id, text, metadata       (text lives here only)
-    vectors/    row_id, embedding[, cell_id]                    (partitioned by cell_id)
+    vectors/    row_id, embedding[, cell_id]                    (partitioned by cell_id;
+                PQ keeps them so that vectors can be added and measured)
     centroids/  cell_id, centroid                               (IVF, PQ, HNSW)
     codebook/   sub, code, centroid                             (PQ)
     codes/      row_id, cell_id, codes                          (PQ, partitioned by cell_id)
@@ -22,12 +23,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.ordering import md5_fraction, spread
+from tessera.functions.ordering import md5_order_key, spread
 from tessera.operators import ivf, knn, retrieval, splitter
-from tessera.operators.embed import hash_embedding
+from tessera.session import scratch_path
+from tessera.operators.embed import embed_with, hash_embedding
 
 INDEX_TYPES = ("Flat", "IVF", "PQ", "HNSW")
-# size of the query sample used to calibrate nprobe for the HNSW re-aim
+# queries that calibrate nprobe for the HNSW re-aim (the first ones in md5 order)
 CALIBRATION_QUERIES = 1000
 
 
@@ -63,12 +65,25 @@ def _by_cell(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "cell_id")
 
 
+def embedded(df: DataFrame, text_col: str, embed=None, make_embedder=None,
+             dim: int = 64) -> DataFrame:
+    """``df`` plus ``embedding``: a plug-in factory, a column function, or the
+    built-in hash embedder."""
+    if make_embedder is not None:
+        return embed_with(df, make_embedder, text_col, "embedding")
+    embed = embed or (lambda c: hash_embedding(c, dim))
+    return df.withColumn("embedding", embed(F.col(text_col)))
+
+
 def build_store(docs: DataFrame, root: str, index_type: str = "Flat", *,
                 chunker: str = "recursive", chunk_size: int = 400, overlap: int = 50,
                 chunk_words: int = 64, dim: int = 64, embed=None, model: str = "hash",
                 nlist: int | None = None, m: int = 8, nbits: int = 8,
-                recall_target: float = 0.9, k: int = 5, seed: int = 1) -> DataFrame:
-    """Load -> split -> embed -> index -> save -> one-row summary (K6)."""
+                recall_target: float = 0.9, k: int = 5, seed: int = 1,
+                make_embedder=None) -> DataFrame:
+    """Load -> split -> embed -> index -> save -> one-row summary (K6).
+    ``dim`` sizes the built-in embedder; the manifest records the width that
+    the vectors have."""
     if index_type not in INDEX_TYPES:
         raise ValueError(f"unknown index type {index_type!r}; one of {INDEX_TYPES}")
     spark = docs.sparkSession
@@ -78,15 +93,16 @@ def build_store(docs: DataFrame, root: str, index_type: str = "Flat", *,
     # the IN filter of a search skip everything but the hit chunks
     chunks.sortWithinPartitions("row_id").write.mode("overwrite").parquet(f"{root}/chunks")
     chunks = spark.read.parquet(f"{root}/chunks")
-    embed = embed or (lambda c: hash_embedding(c, dim))
-    vec = chunks.select("row_id", embed(F.col("text")).alias("embedding"))
+    vec = embedded(chunks, "text", embed, make_embedder, dim).select("row_id", "embedding")
     manifest = {"index_type": index_type, "dim": dim, "nlist": 0, "nprobe": 0, "m": 0,
                 "nbits": 0, "model": model}
     if index_type == "Flat":
         vec.write.mode("overwrite").parquet(f"{root}/vectors")
     else:
-        vec.write.mode("overwrite").parquet(f"{root}/vectors_flat")
-        flat = spark.read.parquet(f"{root}/vectors_flat")
+        # embedded once, in the scratch folder: the store keeps one copy by cell
+        flat_dir = scratch_path(spark, "vectors")
+        vec.write.parquet(flat_dir)
+        flat = spark.read.parquet(flat_dir)
         cents = ivf.train_centroids(flat, "embedding", nlist, seed)
         cents.write.mode("overwrite").parquet(f"{root}/centroids")
         cents = spark.read.parquet(f"{root}/centroids")
@@ -103,18 +119,18 @@ def build_store(docs: DataFrame, root: str, index_type: str = "Flat", *,
              .partitionBy("cell_id").parquet(f"{root}/codes"))
             manifest.update(m=m, nbits=nbits)
         if index_type == "HNSW":
-            # calibration queries: a repeatable sample of at most ~1,000 vectors
-            n_stored = stored.count()
-            share = min(0.05, CALIBRATION_QUERIES / max(n_stored, 1))
-            sample = (stored.filter(md5_fraction(seed, "row_id") < share)
-                      .select(F.col("row_id").alias("q_id"), "embedding"))
+            sample = (stored.orderBy(md5_order_key(seed, "row_id"), "row_id")
+                      .limit(CALIBRATION_QUERIES)
+                      .select(F.col("row_id").alias("q_id"), "embedding").checkpoint(eager=True))
             nprobe, _ = ivf.calibrate_nprobe(stored, cents, sample, k, recall_target)
             manifest["nprobe"] = nprobe
-    n_vec = spark.read.parquet(f"{root}/vectors").count()
-    manifest["n_vectors"] = n_vec
-    spark.createDataFrame([manifest]).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest")
+    size = spark.read.parquet(f"{root}/vectors").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
+    n_vec = size["n"]
+    manifest["n_vectors"], manifest["dim"] = n_vec, size["d"] or dim
+    _write_manifest(spark, root, manifest)
     return spark.createDataFrame([{
-        "n_documents": docs.count(), "n_chunks": n_vec, "dim": dim, "index_type": index_type,
+        "n_documents": docs.count(), "n_chunks": n_vec, "dim": manifest["dim"], "index_type": index_type,
         "seconds": time.perf_counter() - t0, "store_path": root}])
 
 
@@ -131,10 +147,50 @@ def load_store(spark: SparkSession, root: str) -> Store:
     return st
 
 
-def add_vectors(root: str, new_vectors: DataFrame) -> int:
-    """V8 for a Flat store: append ``(row_id, embedding)`` rows; returns ntotal."""
-    new_vectors.select("row_id", "embedding").write.mode("append").parquet(f"{root}/vectors")
-    return new_vectors.sparkSession.read.parquet(f"{root}/vectors").count()
+def _write_manifest(spark: SparkSession, root: str, manifest: dict) -> None:
+    spark.createDataFrame([manifest]).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest")
+
+
+def add_vectors(root: str, new_vectors: DataFrame, new_chunks: DataFrame | None = None) -> int:
+    """V8: append ``(row_id, embedding)`` rows, and the chunk rows that searches
+    return for them, to a store of any index type; returns ntotal.  New vectors
+    are filed under the store's cells (and coded with its codebook); the index
+    is not trained again."""
+    spark = new_vectors.sparkSession
+    st = load_store(spark, root)
+    kind = st.manifest["index_type"]
+    new = new_vectors.select("row_id", "embedding")
+    if kind == "Flat":
+        new.write.mode("append").parquet(f"{root}/vectors")
+    elif kind in INDEX_TYPES:
+        filed_dir = scratch_path(spark, "filed")
+        ivf.assign_cells(new, st.centroids).write.parquet(filed_dir)
+        filed = spark.read.parquet(filed_dir)
+        if kind == "PQ":
+            (_by_cell(ivf.encode_pq(filed, st.centroids, st.codebook)).write.mode("append")
+             .partitionBy("cell_id").parquet(f"{root}/codes"))
+        _by_cell(filed).write.mode("append").partitionBy("cell_id").parquet(f"{root}/vectors")
+    else:
+        raise ValueError(f"unknown index type {kind!r}")
+    if new_chunks is not None:
+        (new_chunks.select(*st.chunks.columns).sortWithinPartitions("row_id")
+         .write.mode("append").parquet(f"{root}/chunks"))
+    total = spark.read.parquet(f"{root}/vectors").count()
+    _write_manifest(spark, root, {**st.manifest, "n_vectors": total})
+    return total
+
+
+def add_documents(root: str, docs: DataFrame, *, chunker: str = "recursive", chunk_size: int = 400,
+                  overlap: int = 50, chunk_words: int = 64, embed=None,
+                  make_embedder=None) -> int:
+    """Documents -> chunks -> vectors -> ``add_vectors``, as ``build_store``
+    makes them (give the same chunker and embedder)."""
+    spark = docs.sparkSession
+    chunk_dir = scratch_path(spark, "new-chunks")
+    chunk_documents(spread(docs), chunker, chunk_size, overlap, chunk_words).write.parquet(chunk_dir)
+    chunks = spark.read.parquet(chunk_dir)
+    dim = load_store(spark, root).manifest["dim"]
+    return add_vectors(root, embedded(chunks, "text", embed, make_embedder, dim), chunks)
 
 
 def search_store(store: Store, queries: DataFrame, k: int = 5, nprobe: int | None = None,

@@ -3,14 +3,16 @@
 Tokens are the whitespace words of the text (case kept).  Ids are ranks by
 (count desc, token asc), starting at ``first_id`` (0 is the pad id).  The
 ranking uses a distributed sort with per-partition offsets, never one task.
-Encoding joins token occurrences with the vocabulary: broadcast when the
-vocabulary is below a checked bound, otherwise a shuffle join where AQE's
-skew-join splits hot tokens ("the" may be a large share of all rows), then
-regroups by document (one document = one group, bounded by the row itself).
+Encoding looks tokens up where the text lies, with the vocabulary broadcast
+after a check of its bytes; a larger vocabulary is joined by shuffle, where
+AQE's skew join splits hot tokens, and regrouped by document (one document =
+one group, bounded by the row itself).
 """
 
 from __future__ import annotations
 
+from typing import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,13 +22,14 @@ from tessera.functions.ordering import global_index
 from tessera.functions.text import words
 
 PAD_ID = 0
-# largest vocabulary shipped to every task as a broadcast hash table
-MAX_BROADCAST_VOCAB = 2_000_000
+# bytes of token text that are shipped to every task (about six times as much
+# as a Python dictionary)
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def token_occurrences(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(key, pos, token)``; documents without words give one row with null token."""
-    return docs.select(key, F.posexplode_outer(words(F.col(text_col))).alias("pos", "token"))
+    """``(key, pos, token)`` of every word."""
+    return docs.select(key, F.posexplode(words(F.col(text_col))).alias("pos", "token"))
 
 
 def build_vocabulary(docs: DataFrame, text_col: str = "text", first_id: int = 1,
@@ -42,38 +45,63 @@ def build_vocabulary(docs: DataFrame, text_col: str = "text", first_id: int = 1,
 
 
 def encode(docs: DataFrame, vocab: DataFrame, text_col: str = "text", key: str = "doc_id",
-           unk_id: int | None = None) -> DataFrame:
+           unk_id: int | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``(key, input_ids array<int>)`` in text order; unknown tokens map to
     ``unk_id`` or are dropped when it is None."""
-    v = vocab.select("token", "id")
-    small = v.limit(MAX_BROADCAST_VOCAB + 1).count() <= MAX_BROADCAST_VOCAB
-    if small:
-        v = F.broadcast(v)
-        # broadcast vocabulary: hash-partition the raw text by document (a few
-        # bytes per token) so explode -> join -> regroup needs no shuffle of
-        # the much wider token rows
-        docs = docs.select(key, text_col).repartition(key)
-    occ = token_occurrences(docs, text_col, key)
-    joined = occ.join(v, "token", "left")
+    size = vocab.agg(F.sum(F.octet_length("token") + 16)).first()[0] or 0
+    if size <= max_broadcast_bytes:
+        return _encode_in_place(docs, vocab, text_col, key, unk_id)
+    return _encode_by_join(docs, vocab, text_col, key, unk_id)
+
+
+def _encode_in_place(docs, vocab, text_col, key, unk_id) -> DataFrame:
+    """One scan of the text and no shuffle: each task holds the vocabulary."""
+    table = vocab.select("token", "id").toArrow()
+    bc = docs.sparkSession.sparkContext.broadcast(
+        (table.column("token").to_pylist(), table.column("id").to_pylist()))
+    schema = T.StructType([T.StructField(key, docs.schema[key].dataType),
+                           T.StructField("input_ids", T.ArrayType(T.IntegerType()))])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        find = dict(zip(*bc.value)).get
+        for batch in batches:
+            ids = []
+            for text in batch.column(1).to_pylist():
+                found = [find(w, unk_id) for w in (text or "").split()]
+                ids.append(np.array([i for i in found if i is not None], np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "input_ids"])
+
+    return docs.select(key, text_col).mapInArrow(run, schema)
+
+
+def _encode_by_join(docs, vocab, text_col, key, unk_id) -> DataFrame:
+    """Token rows joined with the vocabulary and regrouped; documents without
+    known words never enter the join."""
+    joined = token_occurrences(docs, text_col, key).join(vocab.select("token", "id"), "token", "left")
     if unk_id is not None:
-        joined = joined.withColumn(
-            "id", F.when(F.col("token").isNotNull(), F.coalesce("id", F.lit(unk_id))))
-    return (joined.groupBy(key)
-            .agg(F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(),
-                                                    F.struct("pos", "id")))).alias("_p"))
-            .select(key, F.transform("_p", lambda s: s["id"]).alias("input_ids")))
+        joined = joined.withColumn("id", F.coalesce("id", F.lit(unk_id)))
+    ids = (joined.filter(F.col("id").isNotNull()).groupBy(key)
+           .agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
+           .select(key, F.transform("_p", lambda s: s["id"]).alias("_ids")))
+    return docs.select(key).join(ids, key, "left").select(
+        key, F.coalesce("_ids", F.array().cast("array<int>")).alias("input_ids"))
 
 
 def encode_with(docs: DataFrame, make_tokenizer, text_col: str = "text",
                 out_col: str = "input_ids", add_special_tokens: bool = True) -> DataFrame:
     """C4 with a plug-in tokenizer: ``make_tokenizer()`` returns an object with
-    ``encode(text, add_special_tokens=...) -> list[int]`` (built once per
-    Python worker batch stream); Arrow batches in, ``array<int>`` out."""
+    ``encode(text, add_special_tokens=...) -> list[int]``, built once per task;
+    Arrow batches in, ``array<int>`` out."""
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _encode(texts: pd.Series) -> pd.Series:
+    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tok = make_tokenizer()
-        return texts.map(lambda t: [] if t is None else
-                         list(tok.encode(t, add_special_tokens=add_special_tokens)))
+        for texts in batches:
+            yield texts.map(lambda t: [] if t is None else
+                            list(tok.encode(t, add_special_tokens=add_special_tokens)))
 
     return docs.withColumn(out_col, _encode(F.col(text_col)))
 

@@ -4,7 +4,7 @@ Each takes DataFrames or paths and returns DataFrames; nothing is collected
 to the driver except bounded query blocks and small reports.
 
 * ``build_corpus``  — text files (or binary documents + extractor) -> skip done
-  -> split -> written ``split=train|eval`` table and a summary.
+  -> split -> appended to a ``split=train|eval`` table, with counts of the run.
 * ``token_windows`` — documents -> ids (vocabulary or plug-in tokenizer) ->
   overlapping padded windows -> JSON lines.
 * ``build_store`` / ``search`` / ``answer`` / ``benchmark`` / ``compare`` —
@@ -14,6 +14,7 @@ to the driver except bounded query blocks and small reports.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,24 +22,70 @@ from tessera import schemas
 from tessera.operators import chunking, corpus, prompts, reports, retrieval, vocab
 from tessera.operators import perplexity as ppl
 from tessera.operators import store as vstore
-from tessera.operators.embed import hash_embedding
+from tessera.session import scratch_path
 from tessera.sources import files, sinks
 
 
+def finished(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``(stem)`` of the documents that ``out_dir`` holds (none if it is new)."""
+    try:
+        return spark.read.parquet(out_dir).select("stem")
+    except AnalysisException:  # no folder yet, or one without files
+        return spark.createDataFrame([], "stem string")
+
+
+def add_to_corpus(docs: DataFrame, out_dir: str, done: DataFrame | None = None,
+                  ratio: float = 0.9, seed=42, exact: bool = True) -> DataFrame:
+    """One incremental run over ``docs (stem, path, text)``: what ``out_dir`` or
+    ``done`` already has is skipped, the rest is split and appended; finished
+    documents are never rewritten.  Returns ``(processed, skipped)``."""
+    spark = docs.sparkSession
+    have = finished(spark, out_dir)
+    if done is not None:
+        have = have.unionByName(done.select("stem"))
+    have = have.distinct().checkpoint(eager=True)
+    counts = corpus.skip_counts(docs, have, "stem").checkpoint(eager=True)
+    todo = corpus.skip_done(docs, have, "stem")
+    split = (corpus.split_exact if exact else corpus.split_fraction)(todo, "stem", ratio, seed)
+    sinks.append_split(split.select("stem", "path", "text", "split"), out_dir)
+    return counts
+
+
+def run_corpus(spark: SparkSession, source_dir: str, out_dir: str, done: DataFrame | None = None,
+               ratio: float = 0.9, seed=42, exact: bool = True, binary_extractor=None) -> DataFrame:
+    """Job A over a folder; returns ``(processed, skipped, failed)``.  Binary
+    documents are extracted once, into the shared scratch folder; those that
+    the extractor rejects are counted and tried again by the next run."""
+    failed = 0
+    if binary_extractor is not None:
+        binary = files.read_binary(spark, source_dir).withColumn(
+            "stem", corpus.file_stem(F.col("path")))
+        have = finished(spark, out_dir)
+        have = have if done is None else have.unionByName(done.select("stem"))
+        n_all = binary.count()
+        todo = corpus.skip_done(binary, have.distinct(), "stem")
+        pages_dir = scratch_path(spark, "pages")
+        files.extract_pages(todo, binary_extractor).write.parquet(pages_dir)
+        pages = spark.read.parquet(pages_dir)
+        failed = pages.filter(F.col("error").isNotNull()).count()
+        docs = corpus.concat_pages(pages.filter(F.col("error").isNull()), "path", "page_no", "text")
+        docs = docs.withColumn("stem", corpus.file_stem(F.col("path")))
+        got = add_to_corpus(docs, out_dir, None, ratio, seed, exact).first()
+        return spark.createDataFrame(
+            [(got["processed"], n_all - got["processed"] - failed, failed)],
+            "processed long, skipped long, failed long")
+    docs = files.read_texts(spark, source_dir, ".txt").withColumn(
+        "stem", corpus.file_stem(F.col("path")))
+    got = add_to_corpus(docs, out_dir, done, ratio, seed, exact)
+    return got.withColumn("failed", F.lit(failed).cast("long"))
+
+
 def build_corpus(spark: SparkSession, source_dir: str, out_dir: str, done: DataFrame | None = None,
                  ratio: float = 0.9, seed=42, exact: bool = True,
                  binary_extractor=None) -> DataFrame:
-    """Job A.  Returns a summary ``(split, n)``; input files are never moved."""
-    if binary_extractor is not None:
-        pages = files.extract_pages(files.read_binary(spark, source_dir), binary_extractor)
-        docs = corpus.concat_pages(pages, "path", "page_no", "text")
-    else:
-        docs = files.read_texts(spark, source_dir, ".txt")
-    docs = docs.withColumn("stem", corpus.file_stem(F.col("path")))
-    if done is not None:
-        docs = corpus.skip_done(docs, done, "stem")
-    split = (corpus.split_exact if exact else corpus.split_fraction)(docs, "stem", ratio, seed)
-    sinks.write_split(split.select("stem", "path", "text", "split"), out_dir)
+    """Job A, then the sizes ``(split, count)`` of the whole corpus; input
+    files are never moved, finished documents never touched."""
+    run_corpus(spark, source_dir, out_dir, done, ratio, seed, exact, binary_extractor)
     return spark.read.parquet(out_dir).groupBy("split").count()
 
 
@@ -65,15 +112,16 @@ def build_store(docs: DataFrame, root: str, index_type: str = "Flat", **options)
 
 def search(spark: SparkSession, root: str, questions: DataFrame, k: int = 5,
            rerank: bool = False, dim: int | None = None, embed=None,
-           nprobe: int | None = None) -> DataFrame:
-    """Questions ``(q_id, question)`` against a saved store."""
+           nprobe: int | None = None, make_embedder=None) -> DataFrame:
+    """Questions ``(q_id, question)`` against a saved store.  The embedder must
+    be the store's: ``embed`` (Column -> Column) or the plug-in factory
+    ``make_embedder`` (see ``embed.embed_with``)."""
     st = vstore.load_store(spark, root)
-    d = dim or st.manifest["dim"]
-    embed = embed or (lambda c: hash_embedding(c, d))
     q = questions.select(F.col("q_id").cast("long"), "question")
-    qv = q.select("q_id", embed(F.col("question")).alias("embedding"))
+    qv = vstore.embedded(q, "question", embed, make_embedder, dim or st.manifest["dim"]).select(
+        "q_id", "embedding")
     hits = vstore.search_store(st, qv, k, nprobe)
-    out = retrieval.attach_chunks(hits, q, st.chunks, q.count() * k)
+    out = retrieval.attach_chunks(hits, q, st.chunks)
     if rerank:
         from tessera.operators.rerank import rerank as rr
         out = rr(out)
@@ -81,11 +129,13 @@ def search(spark: SparkSession, root: str, questions: DataFrame, k: int = 5,
 
 
 def answer(spark: SparkSession, root: str, questions: DataFrame, make_generator, k: int = 5,
-           rerank: bool = True, show_retrieved: bool = False, **params) -> DataFrame:
+           rerank: bool = True, show_retrieved: bool = False, make_embedder=None,
+           **params) -> DataFrame:
     """R7 over a question table: ``question, answer, performance{...}
     [, retrieved_chunks]``."""
     n_q = questions.count()
-    hits, per_q = reports.timed_hits(search(spark, root, questions, k, rerank), n_q)
+    hits, per_q = reports.timed_hits(search(spark, root, questions, k, rerank,
+                                            make_embedder=make_embedder), n_q)
     ctx = prompts.contexts(hits)
     cells = (questions.select("q_id", "question").join(ctx, "q_id", "left")
              .withColumn("prompt", prompts.rag_prompt("question", "context")))
@@ -103,22 +153,26 @@ def answer(spark: SparkSession, root: str, questions: DataFrame, make_generator,
 
 
 def benchmark(spark: SparkSession, root: str, questions: DataFrame, make_generator,
-              k_values=reports.K_VALUES, **params) -> DataFrame:
+              k_values=reports.K_VALUES, make_embedder=None, **params) -> DataFrame:
     """One search at max(k), the 8-column grid report."""
     n_q = questions.count()
-    hits, per_q = reports.timed_hits(search(spark, root, questions, max(k_values)), n_q)
+    hits, per_q = reports.timed_hits(search(spark, root, questions, max(k_values),
+                                            make_embedder=make_embedder), n_q)
     g = reports.benchmark_grid(questions, hits, make_generator, per_q, k_values, **params)
     return schemas.conform(g, schemas.BENCHMARK_REPORT)
 
 
 def compare(spark: SparkSession, root: str, questions: DataFrame, make_rag_generator,
-            make_plain_generator, **params) -> DataFrame:
-    """RAG answers vs a second model on the plain prompt."""
-    rag = answer(spark, root, questions, make_rag_generator, **params).select(
-        "question", "answer", F.col("performance.total_time").alias("time"))
-    plain = questions.select("question", prompts.plain_prompt("question").alias("prompt"))
+            make_plain_generator, k: int = 5, rerank: bool = True, make_embedder=None,
+            **params) -> DataFrame:
+    """RAG answers vs a second model on the plain prompt; ``params`` are
+    generation options for both."""
+    rag = answer(spark, root, questions, make_rag_generator, k, rerank,
+                 make_embedder=make_embedder, **params).select(
+        "q_id", "question", "answer", F.col("performance.total_time").alias("time"))
+    plain = questions.select("q_id", "question", prompts.plain_prompt("question").alias("prompt"))
     ft = reports.answer_table(plain, make_plain_generator, 0.0, **params).select(
-        "question", "answer", F.col("generation_time").alias("time"))
+        "q_id", "answer", F.col("generation_time").alias("time"))
     return schemas.conform(reports.compare_models(rag, ft), schemas.COMPARISON_REPORT)
 
 

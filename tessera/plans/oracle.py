@@ -102,6 +102,7 @@ qctx AS (SELECT b.item_id AS q_id, b.text AS question, coalesce(c.context, '') A
 
 _SEARCH_CTES = _search_ctes(5)
 
+# The prompt wording (see operators/prompts.py).
 _RAG_HEAD = ("'You are a helpful assistant. Answer the question based on the provided context.' "
              "|| chr(10) || 'If the context doesn''t contain relevant information, say \"I don''t "
              "have enough information to answer this question.\"' || chr(10) || chr(10) || "
@@ -248,10 +249,16 @@ FROM o""",
 
 
 def _stub_answer(prompt: str) -> str:
-    """SQL twin of the EchoExtract stub after the echo is stripped."""
+    """SQL twin of the DigestExtract stub after the echo is stripped."""
     tail = f"substr({prompt}, strpos({prompt}, 'Context:' || chr(10)) + 9)"
     tail = f"CASE WHEN strpos({prompt}, 'Context:' || chr(10)) > 0 THEN {tail} ELSE {prompt} END"
-    return f"array_to_string({_words(tail)}[1:16], ' ')"
+    return _digest_answer(tail)
+
+
+def _digest_answer(tail: str) -> str:
+    ws = f"({_words(tail)})"
+    return (f"trim(md5(array_to_string({ws}, ' ')) || ' ' || len({ws}) || ' ' || "
+            f"array_to_string({ws}[greatest(len({ws}) - 7, 1):len({ws})], ' '))")
 
 
 _GRID = _search_ctes(7) + f""",
@@ -304,11 +311,11 @@ SELECT q_id, k, rerank, answer, CAST(len({_words('answer')}) AS INTEGER) AS n_wo
 ev AS (SELECT event_id, value FROM events),
 fa AS (SELECT item_id AS q_id, text AS question,
               {_stub_answer(_plain_prompt('text'))} AS answer FROM benchmark),
-j AS (SELECT r.question, r.answer AS rag_answer, f.answer AS ft_answer, e1.value AS rag_time,
-             e2.value AS ft_time
-      FROM rans r JOIN ev e1 ON e1.event_id = 2 * r.q_id
-      JOIN fa f ON f.question = r.question
-      JOIN ev e2 ON e2.event_id = 2 * f.q_id + 1)
+j AS (SELECT r.question, r.answer AS rag_answer, f.answer AS ft_answer,
+             coalesce(e1.value, 0) AS rag_time, coalesce(e2.value, 0) AS ft_time
+      FROM rans r LEFT JOIN ev e1 ON e1.event_id = 2 * r.q_id
+      JOIN fa f ON f.q_id = r.q_id
+      LEFT JOIN ev e2 ON e2.event_id = 2 * f.q_id + 1)
 SELECT question, rag_answer, ft_answer, round(rag_time, 6) AS rag_time, round(ft_time, 6) AS ft_time,
        round(rag_time - ft_time, 6) AS time_difference,
        round(CASE WHEN len({_words('rag_answer')}) > 0 THEN rag_time / len({_words('rag_answer')})
@@ -372,7 +379,65 @@ WITH p AS (SELECT doc_id, ({_EXTRACT} || {_NL2} || 'Text: ' || text) AS prompt F
 t AS (SELECT doc_id, CASE WHEN strpos(prompt, 'Text: ') > 0
                           THEN substr(prompt, strpos(prompt, 'Text: ') + 6) ELSE prompt END AS tail
       FROM p)
-SELECT doc_id, array_to_string({_words('tail')}[1:16], ' ') AS answer,
-       CAST(len({_words('tail')}[1:16]) AS INTEGER) AS n_words
-FROM t""",
+SELECT doc_id, answer, CAST(len({_words('answer')}) AS INTEGER) AS n_words
+FROM (SELECT doc_id, {_digest_answer('tail')} AS answer FROM t)""",
+})
+
+
+def _split_exact_of(source: str) -> str:
+    return f"""
+SELECT stem, text_md5, CASE WHEN i < floor(n * 0.9) THEN 'train' ELSE 'eval' END AS split
+FROM (SELECT stem, text_md5, row_number() OVER (ORDER BY md5('42:' || stem), stem) - 1 AS i,
+             count(*) OVER () AS n FROM {source})"""
+
+
+ORACLE_SQL.update({
+    "knn_near_ties": "WITH " + _hash_embed_cte(
+        "qe", "(SELECT item_id AS q_id, text AS question FROM benchmark)", "q_id", "question").strip() + f""",
+v AS (SELECT q_id * 100 + r AS row_id, e FROM qe, (SELECT unnest(range(1, 25)) AS r)),
+d AS (SELECT q.q_id, v.row_id, {_D2.format(a='q.e', b='v.e')} AS d2 FROM qe q, v),
+r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(d2, 9), row_id) AS rk FROM d)
+SELECT q_id, row_id, CAST(rk AS INTEGER) AS rank, round(d2, 6) AS d2 FROM r WHERE rk <= 5""",
+    "corpus_incremental": f"""
+WITH d AS (SELECT 'doc' || doc_id AS stem, md5(text) AS text_md5,
+                  doc_id IN (SELECT doc_id FROM labels) AS l FROM documents),
+a AS (SELECT * FROM d WHERE l), b AS (SELECT * FROM d WHERE NOT l)
+SELECT *, (SELECT count(*) FROM a) AS first_processed, (SELECT count(*) FROM b) AS second_processed,
+       (SELECT count(*) FROM a) AS second_skipped
+FROM ({_split_exact_of('a')} UNION ALL {_split_exact_of('b')})""",
+    "store_append": ORACLE_SQL["search_text"],
+    "collate_given_mask": _WINDOW_BATCHES + """,
+c AS (SELECT batch_id, slot, input_ids, max(len(input_ids)) OVER (PARTITION BY batch_id) - len(input_ids)
+             AS short FROM bt)
+SELECT batch_id, slot,
+       (list_transform(range(len(input_ids)), lambda i: CASE WHEN i % 3 = 2 THEN 0 ELSE 1 END)
+        || list_transform(range(short), lambda x: 0))::INTEGER[] AS attention_mask
+FROM c""",
+    "shard_small": """
+WITH o AS (SELECT doc_id, row_number() OVER (ORDER BY md5('0:0:' || doc_id), doc_id) - 1 AS i,
+                  count(*) OVER () AS n FROM documents),
+w AS (SELECT doc_id, unnest(range(i, 2 * n + 1, n)) AS p FROM o)
+SELECT doc_id, CAST(p AS INTEGER) AS shard, CAST(0 AS BIGINT) AS position FROM w""",
+    "compare_repeated": f"""
+WITH q AS (SELECT item_id AS q_id, text AS question FROM benchmark
+           UNION ALL SELECT item_id + 1000000, text FROM benchmark),
+p AS (SELECT q_id, question, {_rag_prompt('question', 'question')} AS rp,
+             {_plain_prompt('question')} AS pp FROM q)
+SELECT question, {_stub_answer('rp')} AS rag_answer, {_stub_answer('pp')} AS ft_answer,
+       round(q_id * 0.5::DOUBLE - q_id * 0.25::DOUBLE, 6) AS time_difference FROM p""",
+    "mean_pool_masked": """
+WITH t AS (SELECT label, CAST(vec_id % 3 <> 0 AS INTEGER) AS m, unnest(embedding)::DOUBLE AS x,
+                  generate_subscripts(embedding, 1) AS d FROM embeddings),
+s AS (SELECT label, d, sum(x * m) / greatest(sum(m)::DOUBLE, 1e-9) AS v FROM t GROUP BY label, d)
+SELECT label, list(round(v, 6) ORDER BY d) AS pooled FROM s GROUP BY label""",
+    "split_written": f"SELECT doc_id, n_chars, split FROM ({_SPLIT_HASH}) JOIN documents USING (doc_id)",
+    "report_csv": f"""
+SELECT lang, count(*) AS n_docs, CAST(sum(len({_words('text')})) AS BIGINT) AS n_words
+FROM documents GROUP BY lang""",
+    "documents_scan": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
+    "chunk_metadata_scan": "WITH " + _chunks_cte("mc", 1500, ", source, lang").strip() + """
+SELECT md5(text) AS text_md5, coalesce(source, 'unknown') AS source, chunk_id FROM mc""",
+    "recursive_chunk_rules": f"""
+SELECT doc_id, true AS all_short, true AS all_contained, true AS words_kept
+FROM documents WHERE len({_words('text')}) > 0""",
 })

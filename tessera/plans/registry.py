@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.ordering import md5_fraction, spread
+from tessera.functions.ordering import md5_order_key, spread
 from tessera.functions.text import words
 from tessera.operators import (batching, chunking, corpus, embed, ivf, knn, prompts, reports,
                                retrieval, splitter, vocab)
 from tessera.operators import perplexity as ppl
 from tessera.operators import store as vstore
-from tessera.operators.generate import EchoExtract
+from tessera.operators.generate import DigestExtract
 from tessera.operators.rerank import term_overlap
 from tessera.session import prepare, scratch_path
 from tessera.sources import files as file_sources
@@ -165,7 +165,10 @@ def q_knn_similarity_filter(spark, sf_dir):
 def _store(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     chunks = retrieval.chunk_table(docs, SEARCH_CHUNK_WORDS)
-    return retrieval.word_chunk_vectors(docs, SEARCH_CHUNK_WORDS, DIM), chunks
+    # embedded once; the search's passes read the written vectors
+    root = scratch_path(spark, "chunk-vectors")
+    retrieval.word_chunk_vectors(docs, SEARCH_CHUNK_WORDS, DIM).write.parquet(root)
+    return spark.read.parquet(root), chunks
 
 
 def _search(spark, sf_dir, k=K, rerank=False):
@@ -340,7 +343,8 @@ def q_metadata_json(spark, sf_dir):
                .agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("chunk_id", rec.alias("r")))),
                                           lambda s: s["r"])).alias("json")))
     schema = "array<struct<text:string,metadata:struct<source:string,lang:string,chunk_id:int>>>"
-    parsed = per_doc.select("doc_id", F.posexplode(F.from_json("json", schema)).alias("pos", "r"))
+    parsed = per_doc.select("doc_id", F.posexplode(
+        file_sources.parse_metadata_json("json", schema)).alias("pos", "r"))
     return parsed.select("doc_id", F.col("pos").alias("chunk_id"),
                          F.col("r.metadata.chunk_id").alias("meta_chunk_id"),
                          F.col("r.metadata.source").alias("source"),
@@ -383,8 +387,8 @@ def q_ingest_stream(spark, sf_dir):
 
 
 def q_answer_word_counts(spark, sf_dir):
-    """A9 + report arithmetic: words of each answer turn and seconds per word
-    (0 when an answer has no words); times stand in from ``events.value``."""
+    """A9 + report arithmetic: words of each answer turn and time per word (0
+    when an answer has no words); the text's length stands in for the time."""
     conv = _t(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
     n = F.size(words("text"))
     return conv.select("conv_id", "turn", n.alias("n_words"),
@@ -422,12 +426,12 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- answers and reports
 
-STUB_WORDS = 16
+STUB_WORDS = 8
 GRID_MAX_K = max(reports.K_VALUES)
 
 
 def _stub():
-    return EchoExtract(STUB_WORDS)
+    return DigestExtract(STUB_WORDS)
 
 
 def _rag_answers(spark, sf_dir):
@@ -452,10 +456,11 @@ def q_benchmark_grid(spark, sf_dir):
 
 def _stand_in_time(spark, sf_dir, answers, offset):
     """Stand-in seconds for each answer: ``events.value`` of event
-    ``2 * q_id + offset`` (an equi-join from the question side)."""
+    ``2 * q_id + offset`` (an equi-join from the question side), 0 without one."""
     ev = _t(spark, sf_dir, "events").select(F.col("event_id"), F.col("value").alias("time"))
     keyed = answers.withColumn("event_id", F.col("q_id") * 2 + offset)
-    return keyed.join(ev, "event_id").drop("event_id")
+    return keyed.join(ev, "event_id", "left").drop("event_id").withColumn(
+        "time", F.coalesce("time", F.lit(0.0)))
 
 
 def q_compare_models(spark, sf_dir):
@@ -466,7 +471,7 @@ def q_compare_models(spark, sf_dir):
     ft = reports.answer_table(qs.select("q_id", "question",
                                         prompts.plain_prompt("question").alias("prompt")), _stub)
     ft = _stand_in_time(spark, sf_dir, ft.select("q_id", "question", "answer"), 1)
-    rep = reports.compare_models(rag.drop("q_id"), ft.drop("q_id"))
+    rep = reports.compare_models(rag, ft)
     return rep.select("question", "rag_answer", "ft_answer",
                       *[F.round(c, 6).alias(c) for c in ("rag_time", "ft_time", "time_difference",
                                                          "rag_time_per_token", "ft_time_per_token")])
@@ -497,7 +502,7 @@ def q_extract_answers(spark, sf_dir):
     each (stub model reading after the "Text: " marker), echo stripped."""
     docs = _docs(spark, sf_dir)
     cells = docs.select("doc_id", prompts.extract_prompt("text").alias("prompt"))
-    out = reports.answer_table(cells, lambda: EchoExtract(STUB_WORDS, marker="Text: "))
+    out = reports.answer_table(cells, lambda: DigestExtract(STUB_WORDS, marker="Text: "))
     return out.select("doc_id", "answer", "n_words")
 
 
@@ -511,9 +516,15 @@ def _windows(spark, sf_dir):
         "doc_id", F.col("chunk_id").cast("int").alias("chunk_id"), "input_ids", "labels")
 
 
+def _window_counts(spark, sf_dir):
+    """``(doc_id, n)``: windows of each document."""
+    return _encoded(spark, sf_dir).select("doc_id", F.size(chunking.window_array(
+        "input_ids", WINDOW_MAX, WINDOW_STRIDE, MIN_WINDOW)).alias("n"))
+
+
 def _batches(spark, sf_dir):
-    return batching.assign_batches(_windows(spark, sf_dir), [F.col("doc_id"), F.col("chunk_id")],
-                                   BATCH_SIZE, drop_last=True)
+    return batching.assign_item_batches(_window_counts(spark, sf_dir), _windows(spark, sf_dir),
+                                        BATCH_SIZE, drop_last=True)
 
 
 def q_batch_assign(spark, sf_dir):
@@ -535,7 +546,8 @@ def q_shard_assign(spark, sf_dir):
 
 def q_step_plan(spark, sf_dir):
     """Optimizer updates under accumulation 8."""
-    b = _batches(spark, sf_dir).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    n = _window_counts(spark, sf_dir).agg(F.sum("n")).first()[0] or 0
+    b = batching.batch_table(spark, n, BATCH_SIZE, drop_last=True)
     return batching.step_plan(b, "batch_id", ACCUM).select("batch_id", "n_rows", "update_after",
                                                            "step")
 
@@ -610,8 +622,8 @@ def q_knn_recall_target(spark, sf_dir):
     """V7: nprobe calibrated on sample queries until recall@5 >= target."""
     emb, cents, filed = _trained(spark, sf_dir)
     queries = emb.withColumnRenamed("row_id", "q_id")
-    share = min(0.1, vstore.CALIBRATION_QUERIES / max(emb.count(), 1))
-    sample = queries.filter(md5_fraction(SPLIT_SEED, "q_id") < share)
+    sample = queries.orderBy(md5_order_key(SPLIT_SEED, "q_id"), "q_id").limit(
+        vstore.CALIBRATION_QUERIES).checkpoint(eager=True)
     nprobe, _ = ivf.calibrate_nprobe(filed, cents, sample, K, RECALL_TARGET)
     hits = ivf.search_ivf(filed, cents, queries, K, nprobe)
     return hits.select("q_id", F.col("row_id").alias("vec_id"), "rank",
@@ -645,11 +657,9 @@ def q_samples_roundtrip(spark, sf_dir):
                                  WINDOW_STRIDE, MIN_WINDOW, pad_id=vocab.PAD_ID)
     sinks.write_windows(win.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"),
                                    "input_ids", "labels"), root)
-    schema = "doc_id long, chunk_id int, input_ids array<int>, labels array<int>, " \
-             "attention_mask array<int>"
-    back = spark.read.schema(schema).json(root)
-    return chunking.default_attention_mask(back).select("doc_id", "chunk_id", "input_ids",
-                                                        "labels", "attention_mask")
+    back = file_sources.read_samples(spark, root, keys="doc_id long, chunk_id int")
+    return chunking.default_attention_mask(back).select("doc_id", "chunk_id", *[
+        F.col(c).cast("array<int>").alias(c) for c in ("input_ids", "labels", "attention_mask")])
 
 
 QUERIES.update({
@@ -661,3 +671,157 @@ QUERIES.update({
     "store_roundtrip": q_store_roundtrip,
     "samples_roundtrip": q_samples_roundtrip,
 })
+
+
+# ---------------------------------------------------------------- further forms
+
+NEAR_COPIES = 24
+
+
+def q_knn_near_ties(spark, sf_dir):
+    """V4 + T3: every question text repeated 1..24 times gives vectors that
+    differ in the last bit only; the order is by id among them."""
+    qs = _questions(spark, sf_dir)
+    copies = qs.withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(NEAR_COPIES))))
+    vectors = copies.select((F.col("q_id") * 100 + F.col("r")).alias("row_id"), embed.hash_embedding(
+        F.repeat(F.concat("question", F.lit(" ")), F.col("r")), DIM).alias("embedding"))
+    root = scratch_path(spark, "near-ties")
+    vectors.write.parquet(root)
+    asked = qs.select("q_id", embed.hash_embedding("question", DIM).alias("embedding"))
+    hits = knn.knn_search(spark.read.parquet(root), asked, K)
+    return hits.select("q_id", "row_id", "rank", F.round("d2", 6).alias("d2"))
+
+
+def q_corpus_incremental(spark, sf_dir):
+    """E1 + J4 + K5: two runs of the incremental corpus build.  The first sees
+    the labelled documents, the second all of them; finished ones stay."""
+    from tessera.plans import jobs
+    docs = _t(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("stem"),
+        F.lit("").alias("path"), "text")
+    root = scratch_path(spark, "corpus")
+    labelled = docs.join(_t(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    first = jobs.add_to_corpus(labelled, root, ratio=SPLIT_RATIO, seed=SPLIT_SEED).first()
+    second = jobs.add_to_corpus(docs, root, ratio=SPLIT_RATIO, seed=SPLIT_SEED).first()
+    out = spark.read.parquet(root)
+    return out.select("stem", "split", F.md5("text").alias("text_md5"),
+                      F.lit(first["processed"]).cast("long").alias("first_processed"),
+                      F.lit(second["processed"]).cast("long").alias("second_processed"),
+                      F.lit(second["skipped"]).cast("long").alias("second_skipped"))
+
+
+def q_store_append(spark, sf_dir):
+    """V8: a store of the English documents, the others added later, answers
+    like a store of all documents."""
+    docs = _t(spark, sf_dir, "documents")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    root = scratch_path(spark, "store")
+    options = {"chunker": "words", "chunk_words": SEARCH_CHUNK_WORDS}
+    vstore.build_store(docs.filter(english), root, "Flat", dim=DIM, **options)
+    vstore.add_documents(root, docs.filter(~english), **options)
+    st = vstore.load_store(spark, root)
+    h = retrieval.search(st.vectors, st.chunks, _questions(spark, sf_dir), K, dim=DIM)
+    return h.select("q_id", "rank", "doc_id", "chunk_id", F.col("metadata.source").alias("source"),
+                    F.round("similarity", 6).alias("similarity"))
+
+
+def q_collate_given_mask(spark, sf_dir):
+    """Windows that bring their own mask keep it under the padding."""
+    b = _batches(spark, sf_dir).withColumn("attention_mask", F.transform(
+        "input_ids", lambda x, i: F.when(i % 3 == 2, 0).otherwise(1)))
+    return batching.collate(b).select("batch_id", "slot", "attention_mask")
+
+
+def q_shard_small(spark, sf_dir):
+    """D3: more workers than documents; every worker gets one."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id")
+    return batching.shard(docs, "doc_id", 2 * docs.count() + 1).select("doc_id", "shard", "position")
+
+
+def q_compare_repeated(spark, sf_dir):
+    """Questions asked twice give one report row each time."""
+    qs = _questions(spark, sf_dir)
+    twice = qs.unionByName(qs.withColumn("q_id", F.col("q_id") + 1_000_000))
+    rag = reports.answer_table(twice.select("q_id", "question", prompts.rag_prompt(
+        "question", "question").alias("prompt")), _stub)
+    ft = reports.answer_table(twice.select("q_id", "question", prompts.plain_prompt(
+        "question").alias("prompt")), _stub)
+    timed = [t.select("q_id", "question", "answer", (F.col("q_id") * f).alias("time"))
+             for t, f in ((rag, 0.5), (ft, 0.25))]
+    return reports.compare_models(*timed).select(
+        "question", "rag_answer", "ft_answer", F.round("time_difference", 6).alias("time_difference"))
+
+
+def q_mean_pool_masked(spark, sf_dir):
+    """A5 with a mask: every third vector is left out."""
+    emb = _t(spark, sf_dir, "embeddings").select(
+        "label", F.col("embedding").alias("vec"), (F.col("vec_id") % 3 != 0).cast("int").alias("mask"))
+    return embed.mean_pool(emb, "label", "vec", "mask").select(
+        "label", _round_vec(F.col("pooled")).alias("pooled"))
+
+
+def q_split_written(spark, sf_dir):
+    """K5: the split written as directories and read back."""
+    root = scratch_path(spark, "split")
+    docs = corpus.split_fraction(_t(spark, sf_dir, "documents"), "doc_id", SPLIT_RATIO, SPLIT_SEED)
+    sinks.write_split(docs.select("doc_id", "n_chars", "split"), root)
+    return spark.read.parquet(root).select("doc_id", "n_chars", "split")
+
+
+def q_report_csv(spark, sf_dir):
+    """K4: a report of documents by language, written as CSV and read back."""
+    root = scratch_path(spark, "report")
+    rep = _t(spark, sf_dir, "documents").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum(F.size(words("text"))).alias("n_words"))
+    sinks.write_report_csv(rep, root)
+    return spark.read.option("header", True).schema("lang string, n_docs long, n_words long").csv(root)
+
+
+def q_documents_scan(spark, sf_dir):
+    """Documents exported as files, scanned recursively with their source."""
+    root = scratch_path(spark, "documents")
+    _export_docs(_docs(spark, sf_dir), root)
+    t = file_sources.read_documents(spark, root)
+    return t.select(_doc_id_from_path(F.col("metadata")["source"]).alias("doc_id"),
+                    F.md5("text").alias("text_md5"))
+
+
+def q_chunk_metadata_scan(spark, sf_dir):
+    """Chunk metadata written as JSON lines and read with the fixed schema."""
+    root = scratch_path(spark, "metadata")
+    _meta_chunks(spark, sf_dir).select("text", "metadata").write.json(root)
+    back = file_sources.read_chunk_metadata(spark, root, json_array=False)
+    return back.select(F.md5("text").alias("text_md5"), F.col("metadata")["source"].alias("source"),
+                       F.col("metadata")["chunk_id"].cast("int").alias("chunk_id"))
+
+
+def q_recursive_chunk_rules(spark, sf_dir):
+    """C1 as rules: chunks are short, stand in their document, start in order,
+    and keep every word that a chunk can hold."""
+    docs = _docs(spark, sf_dir)
+    ch = splitter.recursive_chunks(docs, 400, 50)
+    per = ch.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("chunk_id", "text"))).alias("c"))
+    j = docs.select("doc_id", "text").join(per, "doc_id")
+    body = F.col("text")
+    fits = F.filter(words(body), lambda w: F.length(w) < 350)
+    kept = F.flatten(F.transform("c", lambda s: words(s["text"])))
+    return j.select(
+        "doc_id", F.forall("c", lambda s: F.length(s["text"]) <= 400).alias("all_short"),
+        F.forall("c", lambda s: F.contains(body, s["text"])).alias("all_contained"),
+        (F.size(F.array_except(fits, kept)) == 0).alias("words_kept"))
+
+
+QUERIES.update({
+    "knn_near_ties": q_knn_near_ties,
+    "corpus_incremental": q_corpus_incremental,
+    "store_append": q_store_append,
+    "collate_given_mask": q_collate_given_mask,
+    "shard_small": q_shard_small,
+    "compare_repeated": q_compare_repeated,
+    "mean_pool_masked": q_mean_pool_masked,
+    "split_written": q_split_written,
+    "report_csv": q_report_csv,
+    "documents_scan": q_documents_scan,
+    "chunk_metadata_scan": q_chunk_metadata_scan,
+    "recursive_chunk_rules": q_recursive_chunk_rules,
+})

@@ -37,8 +37,9 @@ def extract_pages(binary: DataFrame, make_extractor: Callable) -> DataFrame:
     """S3: document bytes -> ordered page texts via a plug-in extractor.
 
     ``make_extractor()`` returns ``f(bytes) -> list[str]`` (one string per
-    page); it is built once per Arrow batch stream.  Output
-    ``(path, page_no, text)``; a file the extractor rejects yields no rows."""
+    page); it is built once per task.  Output ``(path, page_no, text, error)``:
+    a file without pages gives one empty page, a file that the extractor
+    rejects one row without text that says why."""
     def run(batches):
         import pandas as pd
         extract = make_extractor()
@@ -47,18 +48,24 @@ def extract_pages(binary: DataFrame, make_extractor: Callable) -> DataFrame:
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
                     pages = extract(bytes(content))
-                except Exception:  # a broken file is skipped, like the original
+                except Exception as e:  # kept as a row: a broken file is counted, not lost
+                    rows.append((path, 0, None, f"{type(e).__name__}: {e}"))
                     continue
-                rows.extend((path, i, p or "") for i, p in enumerate(pages))
-            yield pd.DataFrame(rows, columns=["path", "page_no", "text"])
+                rows.extend((path, i, p or "", None) for i, p in enumerate(pages or [""]))
+            yield pd.DataFrame(rows, columns=["path", "page_no", "text", "error"])
     return binary.select("path", "content").mapInPandas(
-        run, "path string, page_no int, text string")
-
-
-def read_samples(spark: SparkSession, path: str, suffix: str = ".jsonl") -> DataFrame:
-    """Token samples, one JSON object per file/line, fixed schema."""
-    return (spark.read.schema(schemas.TRAIN_SAMPLES).option("pathGlobFilter", f"*{suffix}")
-            .json(path))
+        run, "path string, page_no int, text string, error string")
+
+
+def read_samples(spark: SparkSession, path: str, suffix: str = ".json*",
+                 keys: str | None = None) -> DataFrame:
+    """Token samples, one JSON object per file/line, fixed schema.  The
+    suffix rule takes what ``write_windows`` writes (``.json``) and ``.jsonl``
+    files; ``keys`` names further columns to read (a DDL string)."""
+    schema = schemas.TRAIN_SAMPLES
+    if keys:
+        schema = T.StructType([*T._parse_datatype_string(keys).fields, *schema.fields])
+    return spark.read.schema(schema).option("pathGlobFilter", f"*{suffix}").json(path)
 
 
 def read_chunk_metadata(spark: SparkSession, path: str, json_array: bool = True) -> DataFrame:

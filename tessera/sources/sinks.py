@@ -20,6 +20,12 @@ def write_texts(df: DataFrame, path: str, key: str = "doc_id", text_col: str = "
         df.select(key, text_col).write.mode(mode).parquet(path)
 
 
+def append_split(df: DataFrame, path: str, split_col: str = "split") -> None:
+    """K5, incremental: add rows to ``split=...`` directories.  What is there
+    stays; the writer commits the new files together."""
+    df.write.mode("append").partitionBy(split_col).parquet(path)
+
+
 def write_windows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K2: token windows as JSON lines ``(source, chunk_id, input_ids, labels)``."""
     df.write.mode(mode).json(path)
@@ -37,9 +43,14 @@ def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
 
 
+# File-name prefixes of the two reports.
+REPORT_PREFIXES = {"benchmark": "benchmark_results", "compare": "comparison_results"}
+
+
 def report_name(index_path: str, model_name: str, prefix: str = "benchmark") -> str:
     """K4 file name from the index location and the model name (last path
-    parts), e.g. ``benchmark_<index>_<model>.csv``."""
+    parts), e.g. ``benchmark_<index>_<model>.csv``; the answering scripts'
+    reports have the prefixes ``REPORT_PREFIXES``."""
     index = os.path.basename(os.path.dirname(index_path.rstrip("/"))) or \
         os.path.basename(index_path.rstrip("/"))
     model = os.path.basename(model_name.rstrip("/"))
@@ -66,7 +77,15 @@ def export_text_files(df: DataFrame, out_dir: str, name_col: str = "stem",
     """K1 file layout: one ``<name><suffix>`` file per row in ``out_dir`` (a
     shared POSIX folder), written by the executors in parallel.  Each file is
     written to a temporary name and renamed, so a retried task never leaves a
-    half-written file and a re-run simply replaces files."""
+    half-written file and a re-run simply replaces files.  Spark's writers do
+    not make one file per row; on a store without a mounted path (``hdfs://``,
+    ``s3a://``) use ``write_texts``."""
+    scheme, _, rest = out_dir.rpartition("://")
+    if scheme not in ("", "file"):
+        raise ValueError(f"export_text_files needs a mounted folder, not {scheme}://; "
+                         "use write_texts there")
+    out_dir = rest if scheme else out_dir.removeprefix("file:")
+
     def write_partition(rows):
         import os
         import uuid

@@ -6,6 +6,7 @@ sink commits atomically, so a half-written output is never mistaken for done.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,8 @@ BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, "
 def ingest_texts(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
                  suffix: str = ".txt", recursive: bool = True, transform=None,
                  max_files_per_batch: int = 10_000) -> int:
-    """Run one incremental pass; returns the number of rows now in the sink.
+    """Run one incremental pass; returns the number of rows now in the sink (0
+    while nothing has arrived).
     New files are taken in micro-batches of at most ``max_files_per_batch``;
     each committed batch survives a lost executor or driver restart."""
     reader = (spark.readStream.format("text").option("wholetext", True)
@@ -32,7 +34,15 @@ def ingest_texts(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint
     q = (stream.writeStream.format("parquet").option("path", sink_dir)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink_dir).count()
+    return _rows(spark, sink_dir)
+
+
+def _rows(spark: SparkSession, sink_dir: str) -> int:
+    """Rows of a sink from its files' footers; an empty sink has none."""
+    try:
+        return spark.read.parquet(sink_dir).count()
+    except AnalysisException:  # nothing has been written yet
+        return 0
 
 
 def ingest_binary(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
@@ -45,7 +55,7 @@ def ingest_binary(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
     def per_batch(batch_df, epoch):
         # foreachBatch may replay a micro-batch after a failure: each batch owns
         # one folder and overwrites it, so a replay never duplicates rows
-        pages = extract_pages(batch_df, make_extractor)
+        pages = extract_pages(batch_df, make_extractor).filter("error IS NULL")
         (concat_pages(pages, "path", "page_no", "text").write.mode("overwrite")
          .parquet(f"{sink_dir}/batch_id={epoch}"))
 
@@ -55,4 +65,4 @@ def ingest_binary(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink_dir).count()
+    return _rows(spark, sink_dir)
