@@ -13,9 +13,10 @@ the weighted Jaccard similarity ``sum(min) / sum(max)``; documents linked at
   filled by doubling the rank.  Cost: shingles plus darts, not their product.
 * Banding: ``BANDS`` x ``ROWS`` coordinates are joined on equal bands.  Exact
   copies are folded into one node first.  In a bucket every node is compared
-  with the bucket's first node only (a star); where a bucket then still holds
-  several classes, nodes of different classes are compared with each other.
-  Nothing is capped.
+  with the bucket's most connected node only (a star); where a bucket then
+  still holds several classes, nodes of different classes are compared if
+  their sizes and unshared shingles allow the similarity at all (an exact
+  bound, see ``possible_pairs``).  Nothing is capped.
 * Every candidate link is verified exactly on the two texts' shingles.
 * Classes are connected components of the verified links.
 
@@ -40,6 +41,8 @@ WIDTH = 5
 BANDS, ROWS = 28, 5
 SLICE_BYTES = 2 << 20
 MAX_ROUNDS = 60
+#: Second sketch, for nodes of mixed buckets only.
+SKETCH_BITS, SKETCH_SIGMAS = 2048, 4.5
 #: A node takes about 60 bytes in a broadcast table.
 BROADCAST_ROWS = 400_000
 
@@ -186,17 +189,9 @@ def shingle_sets(df: DataFrame, width: int = WIDTH) -> DataFrame:
     return add_arrow_columns(df, {"text": F.col("text")}, schema, run).select("node", "items")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float,
-             width: int = WIDTH) -> DataFrame:
-    """Those of ``pairs (a, b)`` whose texts have the similarity.  ``texts``
-    holds ``node, text`` rows; copies of a node are folded."""
-    wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(),
-                     "wanted")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)  # else a shuffle join; the text then moves once
-    once = (texts.join(wanted, "node", "left_semi").groupBy("node")
-            .agg(F.first("text").alias("text")))
-    sets = written(shingle_sets(once, width), "shingles")
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Those of ``pairs (a, b)`` whose item sets (``node, items``) have the
+    similarity."""
     # each member's items move once; a hot leader's are only joined at the end
     both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a"))
@@ -222,6 +217,85 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float,
     return scored.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
 
 
+def item_sets(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``node, items`` of the listed nodes; copies of a text are folded."""
+    wanted = written(nodes.select("node").distinct(), "wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)  # else a shuffle join; the text then moves once
+    once = (texts.join(wanted, "node", "left_semi").groupBy("node")
+            .agg(F.first("text").alias("text")))
+    return written(shingle_sets(once, width), "shingles")
+
+
+def bit_sketches(sets: DataFrame) -> DataFrame:
+    """``node, bits``: one bit of the earliest dart of ``SKETCH_BITS`` coordinates."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            lists = batch.column(1)
+            flat = np.asarray(lists.flatten()).view(np.uint64)
+            ends = np.concatenate(([0], np.cumsum(np.asarray(lists.value_lengths()))))
+            for a in range(0, len(lists), 64):
+                b = min(len(lists), a + 64)
+                size = np.diff(ends[a:b + 1])
+                items = flat[ends[a]:ends[b]]
+                darts = dart_sketch(np.repeat(np.arange(b - a), size), items, np.ones(len(items)),
+                                    b - a, SKETCH_BITS)
+                bits = (bytescan.splitmix(darts) & np.uint64(1)).astype(np.uint8)
+                out.append(np.packbits(bits, axis=1).view(np.int64))
+            if out:
+                words = np.concatenate(out)
+                at = (np.arange(len(words) + 1) * words.shape[1]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.ListArray.from_arrays(at, words.ravel())], ["node", "bits"])
+
+    return written(sets.select("node", "items").mapInArrow(run, "node binary, bits array<long>"),
+                   "bits")
+
+
+def possible_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``(a, b)`` of different classes that share a bucket of ``rest
+    (band, key, node, root)`` and may still have the similarity.
+
+    Items that no other node of ``rest`` has can be in no overlap.  With ``n``
+    items of which ``m`` are not a node's own, ``min(m) >= t / (1 + t) (n + n')``
+    must hold for a pair.  First nodes go that cannot meet this even with the
+    smallest other node of their buckets, then pairs are formed under the same
+    condition (exact bounds) and if their long bit sketches differ no more than
+    a pair at the threshold does within ``SKETCH_SIGMAS`` deviations (chance
+    of losing such a pair: 3 in a million)."""
+    share = threshold / (1 + threshold)
+    items = sets.join(rest.select("node").distinct(), "node", "left_semi").select(
+        "node", F.size("items").alias("n"), F.explode("items").alias("item"))
+    own = (items.groupBy("item").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node"))
+           .filter("c = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own")))
+    sizes = sets.select("node", F.size("items").alias("n")).join(own, "node", "left").select(
+        "node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("m"))
+    left = written(rest.join(sizes, "node"), "bounds")
+    for _ in range(2):
+        buckets = left.groupBy("band", "key").agg(
+            F.min("n").alias("least"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+        left = written(left.join(buckets.filter("r1 <> r2").drop("r1", "r2"), ["band", "key"]).filter(
+            F.col("m") + 1e-9 >= share * (F.col("n") + F.col("least"))).drop("least"), "bounds")
+    left = left.join(bit_sketches(sets.join(left.select("node").distinct(), "node", "left_semi")),
+                     "node")
+    other = left.select("band", "key", F.col("node").alias("b"), F.col("root").alias("root_b"),
+                        F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("bits").alias("bits_b"))
+    feasible = F.least("m", "m_b") + 1e-9 >= share * (F.col("n") + F.col("n_b"))
+    # bits agree with probability (1 + similarity) / 2
+    differ = F.aggregate(F.zip_with("bits", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda a, c: a + c)
+    agree = (1 + threshold) / 2
+    spread = SKETCH_SIGMAS * float(np.sqrt(agree * (1 - agree) / SKETCH_BITS))
+    feasible = feasible & (differ <= F.lit(int(np.ceil((1 - agree + spread) * SKETCH_BITS))))
+    return (left.join(other, (left["band"] == other["band"]) & (left["key"] == other["key"])
+                      & (F.col("root") < F.col("root_b")) & feasible)
+            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` of every node of ``links (a, b)``: the smallest node it
     is connected with.  Labels travel along links and are then shortened by
@@ -258,26 +332,29 @@ def text_classes(df: DataFrame, text: str = "text", key: str = "doc_id",
     nodes = signed.filter(F.col("bands").isNotNull()).groupBy("node").agg(
         F.first("bands").alias("bands"))
     keys = written(nodes.select("node", F.posexplode("bands").alias("band", "key")), "bands")
-    buckets = keys.groupBy("band", "key").agg(
-        F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    members = written(keys.join(buckets, ["band", "key"]), "buckets")
-    stars = written(members.filter("node <> a").select("a", F.col("node").alias("b")).distinct(),
-                    "pairs")
-    links = written(verified(stars, texts, threshold, width), "links")
+    counts = keys.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = written(keys.join(counts, ["band", "key"]), "buckets")
+    # the first node of a bucket is the one that meets most others in all bands
+    score = shared.groupBy("node").agg(F.sum("n").alias("score"))
+    members = written(shared.drop("n").join(score, "node"), "members")
+    first = members.groupBy("band", "key").agg(
+        F.max(F.struct("score", "node"))["node"].alias("a"))
+    stars = written(members.join(first, ["band", "key"]).filter("node <> a").select(
+        "a", F.col("node").alias("b")).distinct(), "pairs")
+    sets = item_sets(members, texts, width)
+    links = written(verified(stars, sets, threshold), "links")
     roots = components(links)
     # buckets that still hold several classes: compare across them
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = members.drop("score").join(roots, "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
     mixed = placed.groupBy("band", "key").agg(
         F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("band", "key")
     rest = written(placed.join(mixed, ["band", "key"]).select("band", "key", "node", "root"), "mixed")
-    other = rest.select("band", "key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    across = (rest.join(other, ["band", "key"]).filter("root < root_b")
-              .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-              .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
-                    ["a", "b"], "left_anti"))
-    across = written(across, "across")
+    checked = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    across = written(possible_pairs(rest, sets, threshold).join(checked, ["a", "b"], "left_anti"),
+                     "across")
     if not across.isEmpty():
-        more = written(verified(across, texts, threshold, width), "links")
+        more = written(verified(across, sets, threshold), "links")
         if not more.isEmpty():
             roots = components(links.unionByName(more))
     worded = signed.select("doc_id", F.when(F.col("bands").isNotNull(), F.col("node")).alias("node"))
