@@ -35,70 +35,101 @@ from tessera.llm.common import col, tokenizer_file, worker_cache, written
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 CLOSING_ID = 0
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 
-# The vocabulary's split pattern, restricted to ASCII and Latin-1.
-_PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+\Z")
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+# The vocabulary's split pattern for Latin-1 text in lower case
+# (letters, a contraction, one number, a run of others; white space is dropped).
+_PARTS = re.compile("[a-zªµºß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼½¾]"
+                    "|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 #: Separators that only Python's ``split`` takes for white space, and the
 #: vocabulary's special strings: such texts are encoded whole.
-_ODD = re.compile("[\x1c-\x1f]|<\\|(?:start|end)oftext\\|>")
+_SPECIAL = re.compile("<\\|(?:start|end)oftext\\|>")
+_ODD = re.compile("[\x1c-\x1f]")
 
 
 class WordEncoder:
-    """The tokenizer behind a cache of words.  The vocabulary drops white space
-    and never merges across it, so a text's ids are its words' ids."""
+    """The tokenizer behind a cache of text parts.  The vocabulary drops white
+    space and never merges across its split pattern, so a text's ids are its
+    parts' ids: the pattern's own matches for Latin-1 text, words otherwise."""
 
     def __init__(self, path: str):
+        import os
+
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[str, list[int]] = {}
+        known = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(known.values()) + 1, bool)
+        self.ends_word[[i for t, i in known.items() if t.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self):
-        self.words: dict[str, int] = {}
+        self.parts: dict[str, int] = {}
         self.ids = np.zeros(0, np.int32)
         self.at, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: list[str]) -> None:
-        """Ids of new words, by way of their lower-case parts where the split
-        into parts is plain, else by the library on the whole word."""
-        if len(self.parts) > CACHE_WORDS:
-            self.parts = {}
-        split = [_PARTS.findall(w.lower()) if _PLAIN.match(w) else [w] for w in words]
-        new = list({p for s in split for p in s if p not in self.parts})
-        self.parts.update(zip(new, self._library(new)))
-        ids = [[i for p in s for i in self.parts[p]] for s in split]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        n = len(self.words)
-        self.words.update(zip(words, range(n, n + len(words))))
+    def _parts_together(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and id counts of single parts, encoded many to a text: a part's
+        last id, and no other, is one that ends a word."""
+        texts = [" ".join(parts[i:i + 64]) for i in range(0, len(parts), 64)]
+        ids = np.concatenate([np.array(x, np.int32) for x in self._library(texts)])
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(parts):
+            raise ValueError("the vocabulary does not mark the ends of parts")
+        return ids, np.diff(ends, prepend=0)
+
+    def learn(self, new: list[str]) -> None:
+        single = [p for p in new if _PARTS.fullmatch(p) and p == p.lower()]
+        rest = list(set(new).difference(single))
+        if single:
+            self._extend(single, *self._parts_together(single))
+        if rest:
+            ids = self._library(rest)
+            self._extend(rest, np.array([i for x in ids for i in x], np.int32),
+                         np.array([len(x) for x in ids], np.int64))
+
+    def _extend(self, parts: list[str], ids: np.ndarray, count: np.ndarray) -> None:
+        n = len(self.parts)
+        self.parts.update(zip(parts, range(n, n + len(parts))))
         self.at = np.concatenate((self.at, len(self.ids) + np.cumsum(count) - count))
         self.count = np.concatenate((self.count, count))
-        self.ids = np.concatenate((self.ids, np.fromiter(
-            (i for x in ids for i in x), np.int32, int(count.sum()))))
+        self.ids = np.concatenate((self.ids, ids))
+
+    @staticmethod
+    def split(text: str) -> list[str] | None:
+        """Parts of a text; None if it must be encoded whole."""
+        if "<|" in text and _SPECIAL.search(text):
+            return None
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None if _ODD.search(text) else text.split()
+        return _PARTS.findall(text.lower())
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.words) > CACHE_WORDS:
+        if len(self.parts) > CACHE_WORDS:
             self._clear()
-        odd = {i: t for i, t in enumerate(texts) if _ODD.search(t)}
-        split = [[] if i in odd else t.split() for i, t in enumerate(texts)]
-        flat = [w for s in split for w in s]
-        found = list(map(self.words.get, flat))
+        split = [self.split(t) for t in texts]
+        odd = [i for i, s in enumerate(split) if s is None]
+        flat: list[str] = []
+        for s in split:
+            flat += s or ()
+        found = list(map(self.parts.get, flat))
         if None in found:
             self.learn(list({w for w, i in zip(flat, found) if i is None}))
-            found = map(self.words.__getitem__, flat)
-        word = np.fromiter(found, np.int64, len(flat))
-        count = self.count[word]
+            found = map(self.parts.__getitem__, flat)
+        part = np.fromiter(found, np.int64, len(flat))
+        count = self.count[part]
         ends = np.concatenate(([0], np.cumsum(count)))
-        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.at[word] - ends[:-1], count)]
-        per_text = ends[np.concatenate(([0], np.cumsum([len(s) for s in split])))]
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.at[part] - ends[:-1], count)]
+        per_text = ends[np.cumsum([0] + [len(s or ()) for s in split])]
         out = np.split(ids, per_text[1:-1]) if texts else []
-        for i, ids_of in zip(odd, self._library(list(odd.values())) if odd else []):
-            out[i] = np.array(ids_of, np.int32)
+        for i, whole in zip(odd, self._library([texts[i] for i in odd]) if odd else []):
+            out[i] = np.array(whole, np.int32)
         return out
 
 
