@@ -83,7 +83,7 @@ class WordEncoder:
         return ids, np.diff(ends, prepend=0)
 
     def learn(self, new: list[str]) -> None:
-        single = [p for p in new if _PARTS.fullmatch(p) and p == p.lower()]
+        single = [p for p in new if _PARTS.fullmatch(p) and p == p.lower() and max(p) < "\u0100"]
         rest = list(set(new).difference(single))
         if single:
             self._extend(single, *self._parts_together(single))

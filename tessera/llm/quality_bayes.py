@@ -192,7 +192,10 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None,
         F.avg("y").alias("y"))
     narrow = add_arrow_columns(base, {"text": F.col("text")}, schema, run).drop("text")
     rows = written(narrow.join(known, "doc_id", "left"), "features")
-    sample = (rows.filter("y IS NOT NULL").select("features", "y", F.xxhash64("doc_id").alias("h"))
+    labelled = rows.filter("y IS NOT NULL").select("features", "y", F.xxhash64("doc_id").alias("h"))
+    # thinned before the sort, so that the tasks together send little more than is kept
+    share = min(1 << 30, -(-(max_labelled * 5 << 28) // max(1, labelled.count())))
+    sample = (labelled.filter(F.pmod("h", F.lit(1 << 30)) < share)
               .orderBy("h").limit(max_labelled).collect())
     model = Classifier.fit(np.array([r["features"] for r in sample], float).reshape(-1, len(FEATURES)),
                            np.array([r["y"] for r in sample], float))
