@@ -36,7 +36,11 @@ def session(spark: SparkSession) -> SparkSession:
 def worker_cache(key, make: Callable):
     """``make()`` once per Python worker and key.  The store lives in a
     synthetic module, because this package travels by value and its own
-    globals are rebuilt for every task."""
+    globals are rebuilt for every task.  It holds one operator's tables: a
+    worker that Spark reuses for another operator first gives back the memory
+    of the one before."""
+    import ctypes
+    import gc
     import sys
     import types
 
@@ -45,6 +49,13 @@ def worker_cache(key, make: Callable):
         store = sys.modules["_tessera_worker_cache"] = types.ModuleType("_tessera_worker_cache")
         store.items = {}
     if key not in store.items:
+        if store.items:
+            store.items.clear()
+            gc.collect()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
         store.items[key] = make()
     return store.items[key]
 

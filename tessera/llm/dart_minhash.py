@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import bytescan
-from tessera.llm.common import add_arrow_columns, col, written
+from tessera.llm.common import add_arrow_columns, col, worker_cache, written
 
 THRESHOLD = 0.8
 WIDTH = 5
@@ -139,6 +139,7 @@ def signatures(df: DataFrame, text: str = "text", bands: int = BANDS, rows: int
     def run(batches):
         import pyarrow as pa
 
+        worker_cache("dart_minhash", dict)  # gives back what another operator held
         for batch in batches:
             buf, off = bytescan.text_buffer(batch.field("text"))
             n = len(off) - 1
@@ -163,6 +164,7 @@ def shingle_sets(df: DataFrame, width: int = WIDTH) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        worker_cache("dart_minhash", dict)  # gives back what another operator held
         for batch in batches:
             buf, off = bytescan.text_buffer(batch.field("text"))
             chunks, counts = [np.zeros(0, np.uint64)], np.zeros(len(off) - 1, np.int64)
@@ -200,6 +202,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        worker_cache("dart_minhash", dict)  # gives back what another operator held
         for batch in batches:
             out = np.zeros(len(batch))
             sides = [batch.field(n) for n in ("x", "y")]
@@ -233,6 +236,7 @@ def bit_sketches(sets: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        worker_cache("dart_minhash", dict)  # gives back what another operator held
         for batch in batches:
             out = []
             lists = batch.column(1)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import bytescan
-from tessera.llm.common import add_arrow_columns, col
+from tessera.llm.common import add_arrow_columns, col, worker_cache
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -47,6 +47,9 @@ class Network:
     out: np.ndarray          # FILTERS * len(WIDTHS) x languages
     out_bias: np.ndarray
 
+    def digest(self) -> int:
+        return hash((*self.languages, self.out.tobytes(), self.embed.tobytes()))
+
     def tables(self) -> np.ndarray:
         """Embedding and filters folded into one table per position offset:
         ``tables[o][byte]`` is the byte's share of every filter."""
@@ -212,7 +215,7 @@ def predict(df: DataFrame, net: Network | None, text: str = "text") -> DataFrame
     def run(batches):
         import pyarrow as pa
 
-        tables = net.tables()
+        tables = worker_cache(("language", net.digest()), net.tables)
         names = np.array(net.languages, object)
         for batch in batches:
             buf, off = bytescan.text_buffer(batch.field("text"))
