@@ -20,9 +20,9 @@ from pyspark.sql import types as T
 
 from tessera.session import prepare, scratch_path
 
-#: Rows of one Arrow batch; the byte bound of the session (64 MB by default)
-#: holds as well, so a batch of very long texts is cut earlier.
+#: Rows and bytes of one Arrow batch: a batch of very long texts is cut earlier.
 ARROW_ROWS = 1000
+ARROW_BYTES = 16 << 20
 
 
 def session(spark: SparkSession) -> SparkSession:
@@ -30,6 +30,7 @@ def session(spark: SparkSession) -> SparkSession:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > ARROW_ROWS or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 

@@ -35,7 +35,7 @@ from tessera.llm.common import col, tokenizer_file, worker_cache, written
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 CLOSING_ID = 0
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 # The vocabulary's split pattern for Latin-1 text in lower case
 # (letters, a contraction, one number, a run of others; white space is dropped).
@@ -155,7 +155,7 @@ def pieces(df: DataFrame, text: str = "text", key: str = "doc_id", capacity: int
             a = 0
             while a < len(bodies):
                 b, size = a, 0
-                while b < len(bodies) and (b == a or size + len(bodies[b]) <= 1 << 21):
+                while b < len(bodies) and (b == a or size + len(bodies[b]) <= 1 << 19):
                     size += len(bodies[b])
                     b += 1
                 for i, ids in enumerate(encoder.encode(bodies[a:b]), a):
