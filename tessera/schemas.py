@@ -1,4 +1,4 @@
-"""Fixed table schemas, checked on read."""
+"""Fixed table schemas: given to readers, and to reports by ``conform``."""
 
 from pyspark.sql import types as T
 
@@ -7,19 +7,6 @@ CHUNK_METADATA = T.StructType([
     T.StructField("chunk_id", T.IntegerType()),
 ])
 
-CHUNKS = T.StructType([
-    T.StructField("row_id", T.LongType(), False),
-    T.StructField("text", T.StringType()),
-    T.StructField("metadata", CHUNK_METADATA),
-])
-
-TOKEN_WINDOWS = T.StructType([
-    T.StructField("source", T.StringType()),
-    T.StructField("chunk_id", T.IntegerType()),
-    T.StructField("input_ids", T.ArrayType(T.IntegerType())),
-    T.StructField("labels", T.ArrayType(T.IntegerType())),
-])
-
 TRAIN_SAMPLES = T.StructType([
     T.StructField("input_ids", T.ArrayType(T.LongType())),
     T.StructField("labels", T.ArrayType(T.LongType())),
@@ -32,14 +19,6 @@ METADATA_RECORD = T.StructType([
     T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
 ])
 
-HITS = T.StructType([
-    T.StructField("q_id", T.LongType(), False),
-    T.StructField("row_id", T.LongType(), False),
-    T.StructField("rank", T.IntegerType(), False),
-    T.StructField("d2", T.DoubleType()),
-    T.StructField("similarity", T.DoubleType()),
-])
-
 BENCHMARK_REPORT = T.StructType([
     T.StructField("question", T.StringType()),
     T.StructField("k", T.IntegerType()),
