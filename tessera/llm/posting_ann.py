@@ -362,6 +362,10 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
         shard_of[c] = len(blocks) - 1
         held += n
         blocks[-1] = max(1, -(-held // BLOCK_ROWS))
+    # lists are taken, nearest first, until k rows are sure to be among them:
+    # a row stands in at most REPLICAS lists, and one may be the query itself
+    rows_in = np.array([counts.get(c, 0) for c in range(len(index.centroids))])
+    enough = REPLICAS * (k + 1)
     n_queries = asked.count()
     q_blocks = max(1, -(-n_queries // QUERY_BLOCK))
     shard = F.array(*[F.lit(int(s)) for s in shard_of])
@@ -382,8 +386,12 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
             for a in range(0, len(batch), 1024):
                 part = batch.slice(a, 1024)
                 x = _matrix(part.column(1), dim)
-                node, dist = index.nearest(np.concatenate((x, np.zeros((len(x), 1))), 1), beam)
-                ok = (dist <= np.maximum(dist[:, :1], floor) * limit) | (np.arange(dist.shape[1]) == 0)
+                lifted = np.concatenate((x, np.zeros((len(x), 1))), 1)
+                node, dist = index.nearest(lifted, beam)
+                if (rows_in[node].sum(axis=1) < enough).any():  # too few rows in reach
+                    node, dist = index.nearest(lifted, len(index.centroids))
+                before = np.cumsum(rows_in[node], axis=1) - rows_in[node]
+                ok = (dist <= np.maximum(dist[:, :1], floor) * limit) | (before < enough)
                 row, shards, lists = [], [], []
                 for i in range(len(x)):
                     own = node[i][ok[i]]
