@@ -61,13 +61,18 @@ STOP_WORDS = (
 ).split()
 
 
-def _ratio_fails(rule: Rule) -> Column:
-    below = F.col(rule.denominator) if rule.denominator else F.lit(1)
-    left, right = F.col(rule.numerator) * F.lit(rule.scale), below * F.lit(rule.limit)
+def _ratio_fails(rule: Rule, count) -> Column:
+    """``count(name)`` gives a measure's column."""
+    below = count(rule.denominator) if rule.denominator else F.lit(1)
+    left, right = count(rule.numerator) * F.lit(rule.scale), below * F.lit(rule.limit)
     bad = left < right if rule.at_least else left > right
     return F.coalesce(bad & (below > 0), F.lit(False))
 
 
+def _base_fails(count) -> Column:
+    return (count("n_words") < 20) | (count("n_repeat_words") * 100 > count("n_words") * 30)
+
+
 def repeated_window_words(words: Column, width: int = WINDOW) -> Column:
     """Words that stand in a ``width``-word window occurring at least twice in
     the same array, the first occurrence included.
@@ -99,32 +104,41 @@ def repeated_window_words(words: Column, width: int = WINDOW) -> Column:
     return F.when(F.size(words) > width, let(words, count)).otherwise(F.lit(0))
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
+          "n_marks", "n_stop")
+
+
+def split_words(body: Column) -> Column:
+    return F.array_remove(F.split(body, SPACE), "")
+
+
+def split_lines(body: Column) -> Column:
+    """Lines that hold a word."""
+    return F.filter(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "")
+
+
+def counts(words: Column, lines: Column, body: Column) -> list[Column]:
+    """The measures, in the order of ``COUNTS``."""
+    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
+    values = (
+        F.size(words), F.length(F.array_join(words, "")),
+        F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")), F.size(lines),
+        F.size(lines) - F.size(F.array_distinct(lines)), repeated_window_words(words),
+        F.length(F.regexp_replace(body, "[^!]+", "")),
+        F.size(F.array_intersect(F.transform(words, F.lower), stop)))
+    return [v.cast("long").alias(n) for n, v in zip(COUNTS, values)]
+
+
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` plus the counts the rules read.  Columns of ``df`` that carry a
     count's name are replaced."""
-    names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
-             "n_repeat_words", "n_marks", "n_stop")
-    keep = [c for c in df.columns if c.lower() not in names or c == text]
+    keep = [c for c in df.columns if c.lower() not in COUNTS or c == text]
     whole = F.coalesce(col(df, text), F.lit(""))
-    base = df.select(*[col(df, c) for c in keep],
-                     F.array_remove(F.split(whole, SPACE), "").alias("_words"),
-                     F.filter(F.split(whole, "\n"),
-                              lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "").alias("_lines"))
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    words = F.col("_words")
+    base = df.select(*[col(df, c) for c in keep], split_words(whole).alias("_words"),
+                     split_lines(whole).alias("_lines"))
     body = F.coalesce(F.col(_q(text)), F.lit(""))
-    counted = base.select(
-        *[F.col(_q(c)) for c in keep if c.lower() not in names],
-        F.size(words).cast("long").alias("n_words"),
-        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        repeated_window_words(words).cast("long").alias("n_repeat_words"),
-        F.length(F.regexp_replace(body, "[^!]+", "")).cast("long").alias("n_marks"),
-        F.size(F.array_intersect(F.transform(words, F.lower), stop)).cast("long").alias("n_stop"),
-    )
-    return counted
+    return base.select(*[F.col(_q(c)) for c in keep if c.lower() not in COUNTS],
+                       *counts(F.col("_words"), F.col("_lines"), body))
 
 
 def _q(name: str) -> str:
@@ -136,12 +150,27 @@ def apply_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     own = ("base_failed", "failed_rules", "kept")
     m = measure(df.select(*[col(df, c) for c in df.columns
                             if c.lower() not in own or c == text]), text)
-    base = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
-    failed = F.array_compact(F.array(*[F.when(_ratio_fails(r), F.lit(r.name)) for r in rules]))
-    return (m.withColumn("base_failed", base).withColumn("failed_rules", failed)
+    failed = F.array_compact(F.array(*[F.when(_ratio_fails(r, F.col), F.lit(r.name)) for r in rules]))
+    return (m.withColumn("base_failed", _base_fails(F.col)).withColumn("failed_rules", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))
 
 
+def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """``kept`` as one expression that computes each measure once, wherever the
+    optimizer moves it (a filter on columns of ``apply_rules`` would be pushed
+    below them and repeat their expressions)."""
+    body = F.coalesce(text, F.lit(""))
+
+    def decide(c: Column) -> Column:
+        bad = _base_fails(lambda n: c[n])
+        for r in rules:
+            bad = bad | _ratio_fails(r, lambda n: c[n])
+        return ~bad
+
+    parts = F.struct(split_words(body).alias("w"), split_lines(body).alias("l"))
+    return let(parts, lambda p: let(F.struct(*counts(p["w"], p["l"], body)), decide))
+
+
 def op8(docs: DataFrame) -> DataFrame:
     """Counts and verdict of every document."""
     out = apply_rules(docs.select("doc_id", "text"))
@@ -151,9 +180,7 @@ def op8(docs: DataFrame) -> DataFrame:
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """Documents the rules keep, with exactly their own columns."""
-    marked = docs.withColumn("_row", F.struct(*[col(docs, c).alias(c) for c in docs.columns]))
-    out = apply_rules(marked.select("_row", col(marked, "text")))
-    return out.filter("kept").select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    return docs.filter(verdict(col(docs, "text")))
 
 
 _WORD = r"[ \t\n\x0b\f\r]+"
