@@ -16,7 +16,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tessera.operators import prompts, reports, retrieval  # noqa: E402
-from tessera.operators.generate import EchoExtract  # noqa: E402
 from tessera.plans import registry as R  # noqa: E402
 from tessera.session import get_session  # noqa: E402
 
@@ -33,7 +32,7 @@ def six_searches(spark, sf_dir):
                      .withColumn("prompt", prompts.rag_prompt("question", "context"))
                      .withColumn("k", F.lit(k)).withColumn("rerank", F.lit(rr)))
             parts.append(reports.answer_table(cells.select("q_id", "k", "rerank", "prompt"),
-                                              lambda: EchoExtract(R.STUB_WORDS)))
+                                              R._stub))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
