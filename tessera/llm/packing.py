@@ -35,7 +35,7 @@ from tessera.llm.common import col, tokenizer_file, worker_cache, written
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 CLOSING_ID = 0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 
 # The vocabulary's split pattern for Latin-1 text in lower case
 # (letters, a contraction, one number, a run of others; white space is dropped).
