@@ -46,7 +46,7 @@ class Rule:
 RULES = (
     Rule("word_length_low", "word_chars", "n_words", 1, 2, at_least=True),
     Rule("word_length_high", "word_chars", "n_words", 1, 40),
-    Rule("symbols", "n_symbols", "n_words", 100, 50),
+    Rule("symbols", "n_symbols", "n_words", 100, 10),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", 100, 70),
     Rule("shouted_words", "n_marks", "n_words", 100, 70),
     Rule("stop_words", "n_stop", "", 1, 1, at_least=True),

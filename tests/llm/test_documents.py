@@ -297,6 +297,18 @@ def test_op8_edges(ready):
     assert quality_rules.op8(empty(ready)).count() == 0
 
 
+def test_table_junk_is_rejected(ready):
+    words = [f"the{i}" for i in range(19)] + ["the"]
+    rows = [(1, " ".join(words)), (2, " ".join(words).replace("the1 ", "|the1| ")),
+            (3, " ".join(words).replace("the1 ", "|the1|| ")), (4, " | ".join(words))]
+    kept = {r.doc_id: r.kept for r in quality_rules.op8(documents(ready, rows)).collect()}
+    assert kept == {1: True, 2: True, 3: False, 4: False}
+    docs, labels = (ready.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_rules.op8(docs).join(labels, "doc_id").groupBy("quality", "kept").count().collect()
+    count = {(r.quality, r.kept): r["count"] for r in got}
+    assert count.get((0, True), 0) <= 1 and count[1, True] == 333
+
+
 # -- operator 10 --------------------------------------------------------------
 
 def test_held_out_accuracy(ready):
