@@ -4,9 +4,10 @@ Three fixed patterns find assigned credentials, access keys and long
 hexadecimal strings.  On top of them the method looks at every long unbroken
 run of credential characters: a run that a tiktoken vocabulary can only spell
 with very few characters per token is a random string.  Known digests
-(hexadecimal of a digest's length), UUIDs, plain words, numbers and web
-addresses are excluded before the test, and what a base span covers is not
-reported again.
+(hexadecimal of a digest's length), UUIDs and numbers are excluded before the
+test, words of one letter case have to pass a stricter one, and a run with many
+separators is a path or web address where its segments are spelled efficiently.
+What a base span covers is not reported again.
 
 A batch is screened with compiled set scans (Arrow, on the whole batch); only
 texts that can hold a finding are looked at one by one.
@@ -38,8 +39,13 @@ HEX = r"[0-9a-f]+"
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 8, 16, 32
 
 #: Runs that the token-efficiency test looks at, and its threshold.
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN_MIN = 20
+RUN = r"[A-Za-z0-9+/_=-]{%d,}" % RUN_MIN
 MAX_CHARS_PER_TOKEN = 2.0
+#: Stricter thresholds of runs without digits that are of one letter case (or
+#: have at most two letters of the other), since words may be spelled so, and
+#: the least ratio of the segments of a path.
+LOWER_CHARS_PER_TOKEN, UPPER_CHARS_PER_TOKEN, PATH_CHARS_PER_TOKEN = 1.85, 1.8, 1.8
 #: Hexadecimal lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 
@@ -51,6 +57,9 @@ _COMPILED = {
     "run": re.compile(RUN),
     "hex_any": re.compile(r"[0-9a-fA-F]+\Z"),
     "uuid": re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z"),
+    "uuid_in": re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])"),
+    "letter": re.compile(r"[A-Za-z]"),
+    "separator": re.compile(r"[/+=_-]+"),
 }
 #: Screens for Arrow's linear-time matcher: supersets of what can match.
 SCREEN = (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
@@ -68,27 +77,50 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def known_identifier(run: str) -> bool:
-    """Digests, UUIDs, numbers, plain words and paths are no secrets."""
+    """Digests, UUIDs, numbers and rules of dashes are no secrets."""
     if _COMPILED["hex_any"].match(run) and len(run) in DIGEST_LENGTHS:
         return True
-    if _COMPILED["uuid"].match(run):
-        return True
+    return bool(_COMPILED["uuid"].match(run)) or not _COMPILED["letter"].search(run)
+
+
+def ratio_limit(run: str, max_chars_per_token: float = MAX_CHARS_PER_TOKEN) -> float:
+    """Characters per token up to which ``run`` counts as random."""
     upper, lower = sum("A" <= c <= "Z" for c in run), sum("a" <= c <= "z" for c in run)
-    digits = sum("0" <= c <= "9" for c in run)
-    if not (digits and upper + lower or upper >= 3 and lower >= 3):
-        return True  # words, dashes, rules and numbers
-    return run.count("/") > 2 or "//" in run or run.count("-") > 3 or run.count("_") > 3
+    if any("0" <= c <= "9" for c in run) or upper >= 3 and lower >= 3:
+        return max_chars_per_token
+    return min(max_chars_per_token, UPPER_CHARS_PER_TOKEN if upper > lower else LOWER_CHARS_PER_TOKEN)
+
+
+def path_like(run: str, tokens, max_chars_per_token: float = MAX_CHARS_PER_TOKEN) -> bool:
+    """Whether ``run`` is a path, address or chain of words: many separators,
+    and efficient segments between them.  Known identifiers among the segments
+    and single tokens of one or two characters say nothing; a segment that is
+    itself random makes the run no path."""
+    if not (run.count("/") > 2 or "//" in run or run.count("-") > 3 or run.count("_") > 3):
+        return False
+    parts = [p for p in _COMPILED["separator"].split(_COMPILED["uuid_in"].sub("", run))
+             if p and not known_identifier(p)]
+    sizes = [(p, tokens(p)) for p in parts]
+    if any(len(p) >= RUN_MIN and len(p) <= ratio_limit(p, max_chars_per_token) * n for p, n in sizes):
+        return False
+    told = [(len(p), n) for p, n in sizes if n > 1 or len(p) > 2]
+    return sum(n for n, _ in told) >= PATH_CHARS_PER_TOKEN * sum(n for _, n in told)
 
 
 def random_spans(text: str, encoder, taken: list[tuple[int, int, str]],
                  max_chars_per_token: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int, str]]:
     """Long runs outside ``taken`` that the vocabulary spells inefficiently."""
+
+    def tokens(part: str) -> int:
+        return len(encoder.encode_ordinary(part))
+
     out = []
     for m in _COMPILED["run"].finditer(text):
         run = m.group()
         if known_identifier(run) or any(a < m.end() and m.start() < b for a, b, _ in taken):
             continue
-        if len(run) <= max_chars_per_token * len(encoder.encode_ordinary(run)):
+        if (len(run) <= ratio_limit(run, max_chars_per_token) * tokens(run)
+                and not path_like(run, tokens, max_chars_per_token)):
             out.append((m.start(), m.end(), "random"))
     return out
 

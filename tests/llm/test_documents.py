@@ -243,6 +243,39 @@ def test_base_spans_of_whole_tables(ready):
         assert found[d.doc_id].base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
 
 
+def planted(alphabet, n, count=200):
+    draw = np.random.default_rng(n)
+    return ["".join(draw.choice(list(alphabet), n)) for _ in range(count)]
+
+
+def test_long_random_runs_are_found(ready):
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    runs = {(kind, n): planted(upper + lower + "0123456789" + tail, n)
+            for kind, tail in (("base64", "+/"), ("base64url", "-_")) for n in (64, 88, 128, 172, 256)}
+    runs |= {(case, n): planted(case, n) for case in (upper, lower) for n in (20, 32, 64)}
+    rows = [(i, f"see {r} here") for i, r in enumerate(r for group in runs.values() for r in group)]
+    got = {r.doc_id: r.spans for r in secret_scan.op7(documents(ready, rows)).collect()}
+    found = [got[i] == f"random:4:{len(t) - 5}" for i, t in rows]
+    for k, (kind, n) in enumerate(runs):
+        share = np.mean(found[200 * k:200 * k + 200])
+        assert share >= (1 if kind.startswith("base64") else 0.85), (kind, n, share)
+
+
+def test_words_and_paths_are_no_secrets(ready):
+    digest = hashlib.sha1(b"x").hexdigest()
+    plain = ["internationalization", "INTERNATIONALIZATION", "Rechtsschutzversicherungsgesellschaften",
+             "RECHTSSCHUTZVERSICHERUNGSGESELLSCHAFTEN", "usr/local/lib/python/site-packages/numpy/core",
+             "//example/2024/01/15/some-article-title-here", "a/b/c/d/e/f/g/h/i/j/k/l",
+             "/api/v1/items/123e4567-e89b-12d3-a456-426614174000", f"/objects/v2/xy/{digest}",
+             "x86_64-pc-linux-gnu-gcc-12-base", "MAX_RETRY_COUNT_PER_HOST_V2", "2024-01-15-10-30-00-UTC",
+             "UTF-8/ISO-8859-1/CP-1252/KOI8-R", "en_US/de_DE/fr_FR/es_ES/it_IT", "=" * 50, "x" * 70_000]
+    hidden = f"//hooks/a/b/{RANDOM}"  # a random segment makes the run no path
+    rows = list(enumerate([*plain, hidden]))
+    got = {r.doc_id: r.spans for r in secret_scan.op7(documents(ready, rows)).collect()}
+    assert [plain[i] for i in range(len(plain)) if "random" in got[i]] == []
+    assert got[len(plain)] == f"random:0:{len(hidden)}"
+
+
 def test_redaction(ready):
     out = {r.doc_id: r.text for r in secret_scan.redact(documents(ready, SECRETS, clash=True)).collect()}
     assert out[4] == "plain [SECRET] text" and out[7] == "[SECRET]" and out[8] is None and out[9] == ""
