@@ -5,8 +5,8 @@ Tokens are the whitespace words of the text (case kept).  Ids are ranks by
 ranking uses a distributed sort with per-partition offsets, never one task.
 Encoding looks tokens up where the text lies, with the vocabulary broadcast
 after a check of its bytes; a larger vocabulary is joined by shuffle, where
-AQE's skew join splits hot tokens, and regrouped by document (one document =
-one group, bounded by the row itself).
+AQE's skew join splits hot tokens, and regrouped by row (one document = one
+group, bounded by the row itself).
 """
 
 from __future__ import annotations
@@ -79,16 +79,19 @@ def _encode_in_place(docs, vocab, text_col, key, unk_id) -> DataFrame:
 
 
 def _encode_by_join(docs, vocab, text_col, key, unk_id) -> DataFrame:
-    """Token rows joined with the vocabulary and regrouped; documents without
-    known words never enter the join."""
-    joined = token_occurrences(docs, text_col, key).join(vocab.select("token", "id"), "token", "left")
+    """Token rows joined with the vocabulary and regrouped by a number per row
+    (keys may repeat or be null); rows without words never enter the join."""
+    n_words = F.coalesce(F.size(words(F.col(text_col))), F.lit(0))
+    numbered = docs.filter(n_words > 0).select(  # numbered before the words are
+        key, text_col, F.monotonically_increasing_id().alias("_row")).select(
+        key, "_row", F.posexplode(words(F.col(text_col))).alias("pos", "token"))
+    joined = numbered.join(vocab.select("token", "id"), "token", "left")
     if unk_id is not None:
         joined = joined.withColumn("id", F.coalesce("id", F.lit(unk_id)))
-    ids = (joined.filter(F.col("id").isNotNull()).groupBy(key)
-           .agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-           .select(key, F.transform("_p", lambda s: s["id"]).alias("_ids")))
-    return docs.select(key).join(ids, key, "left").select(
-        key, F.coalesce("_ids", F.array().cast("array<int>")).alias("input_ids"))
+    known = F.when(F.col("id").isNotNull(), F.struct("pos", "id"))  # null entries are not collected
+    ids = joined.groupBy("_row", key).agg(F.sort_array(F.collect_list(known)).alias("_p"))
+    none = docs.filter(n_words <= 0).select(key, F.array().cast("array<int>").alias("input_ids"))
+    return ids.select(key, F.transform("_p", lambda s: s["id"]).alias("input_ids")).unionByName(none)
 
 
 def encode_with(docs: DataFrame, make_tokenizer, text_col: str = "text",

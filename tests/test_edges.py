@@ -75,3 +75,15 @@ def test_ivf_forms_with_no_queries(spark):
     q = spark.createDataFrame([], "q_id long, embedding array<double>")
     assert ivf.search_ivf(filed, cents, q, 3, 2).count() == 0
     assert ivf.search_ivf_grouped(filed, cents, q, 3, 2).count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, vocab.MAX_BROADCAST_BYTES])
+def test_encoding_keeps_repeated_and_null_ids_apart(spark, limit):
+    rows = [(1, "a b"), (1, "c a a"), (None, "b c"), (None, ""), (2, None), (1, "a b"), (3, "b zz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ids = {"a": 1, "b": 2, "c": 3}
+    v = spark.createDataFrame(list(ids.items()), "token string, id int")
+    for unk in (None, 9):
+        got = vocab.encode(docs, v, unk_id=unk, max_broadcast_bytes=limit).collect()
+        want = [(i, [ids.get(w, unk) for w in (t or "").split() if unk or w in ids]) for i, t in rows]
+        assert sorted(map(repr, ((r.doc_id, r.input_ids) for r in got))) == sorted(map(repr, want))
