@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import (byte_bpe, common, dart_minhash, lang_cnn, packing, posting_ann,
-                         quality_bayes, quality_rules, secret_scan, token_count, warc)
+from tessera.llm import (byte_bpe, common, dart_minhash, lang_cnn, lexical_rank, merkle, packing,
+                         posting_ann, quality_bayes, quality_rules, secret_scan, token_count,
+                         warc)
 from tessera.sources.tables import load_table
 
 
@@ -27,6 +28,13 @@ def op1_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
                              load_table(spark, sf_dir, "labels"))
 
 
+def op13_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item, over all documents."""
+    common.session(spark)
+    return lexical_rank.op13(load_table(spark, sf_dir, "documents"),
+                             load_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_bayes": op1_quality_bayes,
     "op2_byte_bpe": _table("documents", byte_bpe.op2),
@@ -38,9 +46,13 @@ QUERIES = {
     "op8_quality_rules": _table("documents", quality_rules.op8),
     "op9_warc": _table("pages", warc.op9),
     "op10_language_id": _table("documents", lang_cnn.op10),
+    "op12_merkle_manifest": _table("documents", merkle.op12),
+    "op13_lexical_rank": op13_lexical_rank,
 }
 
 ORACLE_SQL = {
     "op8_quality_rules": quality_rules.oracle_sql(),
     "op9_warc": warc.ORACLE,
+    "op12_merkle_manifest": merkle.oracle_sql(),
+    "op13_lexical_rank": lexical_rank.ORACLE,
 }
