@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (byte_bpe, common, dart_minhash, lang_cnn, lexical_rank, merkle, packing,
-                         posting_ann, quality_bayes, quality_rules, secret_scan, token_count,
-                         warc)
+                         posting_ann, quality_bayes, quality_rules, secret_scan, suffix_dedup,
+                         token_count, warc)
 from tessera.sources.tables import load_table
 
 
@@ -46,6 +46,7 @@ QUERIES = {
     "op8_quality_rules": _table("documents", quality_rules.op8),
     "op9_warc": _table("pages", warc.op9),
     "op10_language_id": _table("documents", lang_cnn.op10),
+    "op11_suffix_dedup": _table("documents", suffix_dedup.op11),
     "op12_merkle_manifest": _table("documents", merkle.op12),
     "op13_lexical_rank": op13_lexical_rank,
 }
@@ -53,6 +54,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op8_quality_rules": quality_rules.oracle_sql(),
     "op9_warc": warc.ORACLE,
+    "op11_suffix_dedup": suffix_dedup.ORACLE,
     "op12_merkle_manifest": merkle.oracle_sql(),
     "op13_lexical_rank": lexical_rank.ORACLE,
 }
