@@ -94,8 +94,9 @@ def word_hashes(buf, starts, ends, seed=1):
     low = seeded(1 << 12, seed + 1)
     with np.errstate(over="ignore"):
         val = val * low[pos & 4095]
-        if int(size.max()) > 4096:
-            val = val * (splitmix((pos >> 12).astype(np.uint64)) | np.uint64(1))
+        if int(size.max()) > 4096:  # a word's hash must not depend on its neighbours
+            far = pos > 4095
+            val[far] *= splitmix((pos[far] >> 12).astype(np.uint64)) | np.uint64(1)
         total = np.add.reduceat(val, at)
         return splitmix(total ^ size.astype(np.uint64))
 
