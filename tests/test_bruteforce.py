@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from tessera.operators import ivf, splitter
 from tessera.plans.registry import QUERIES
 

@@ -82,7 +82,7 @@ def test_splitter_on_corpus():
 
 def test_word_chunk_property(spark):
     """Chunks joined by a space give back the words, in order."""
-    from conftest import SF
+    from sf_paths import SF
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
     ch = chunking.word_chunks(docs, 37)
     got = (ch.groupBy("doc_id").agg(F.array_join(F.sort_array(F.collect_list(

@@ -2,7 +2,7 @@
 
 import __spark_entry__ as entry
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def test_entry_smoke(spark):

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF
+from sf_paths import SF
 from tessera.operators import batching, corpus
 from tessera.operators import perplexity as ppl
 from tessera.session import scratch_path

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from tessera.operators import batching, perplexity, reports, vocab
 from tessera.operators import store as vstore
 from tessera.operators.generate import DigestExtract, generation_params

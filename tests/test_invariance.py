@@ -3,7 +3,7 @@ input partitioning and shuffle width (SURVEY section 5, item 4)."""
 
 import pytest
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from tessera.plans.registry import QUERIES
 
 NAMES = ["word_chunks", "token_windows", "search_rerank", "split_exact", "shard_assign",

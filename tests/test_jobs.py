@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from tessera.operators.generate import EchoExtract
 from tessera.plans import jobs
 from tessera.session import scratch_path

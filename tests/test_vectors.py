@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF
+from sf_paths import SF
 from tessera.operators import embed, ivf, knn
 
 
