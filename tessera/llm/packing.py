@@ -30,107 +30,168 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm import bytescan
 from tessera.llm.common import col, tokenizer_file, worker_cache, written
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 CLOSING_ID = 0
-CACHE_WORDS = 800_000
-
-# The vocabulary's split pattern for Latin-1 text in lower case
-# (letters, a contraction, one number, a run of others; white space is dropped).
-_PARTS = re.compile("[a-zªµºß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼½¾]"
-                    "|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
-#: Separators that only Python's ``split`` takes for white space, and the
-#: vocabulary's special strings: such texts are encoded whole.
+#: Bytes of cached units in a worker, and of text worked on at once.
+CACHE_BYTES = 24 << 20
+SLICE_BYTES = 1 << 20
+
+# The vocabulary's contractions and special strings.
+_CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")
 _SPECIAL = re.compile("<\\|(?:start|end)oftext\\|>")
-_ODD = re.compile("[\x1c-\x1f]")
+
+# Byte classes of the vocabulary's split pattern: white space is dropped, runs of
+# letters and runs of others stay together, a digit stands alone.
+_SPACE, _LETTER, _DIGIT, _OTHER, _WIDE = range(5)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[32, *range(9, 14)]] = _SPACE
+_CLASS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_CLASS[48:58] = _DIGIT
+_CLASS[128:] = _WIDE
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def units(buf, offsets):
+    """Lower-cased bytes, and start, end and row of every unit: the split
+    pattern's matches in ASCII words; words with other bytes stay whole, as they
+    are.  The vocabulary never merges across units."""
+    starts, ends, rows = bytescan.word_spans(buf, offsets)
+    if not len(starts):
+        return buf, starts, ends, rows
+    wide = np.logical_or.reduceat(buf > 127, starts)  # up to the next word: white space
+    step = np.zeros(len(buf) + 1, np.int8)
+    step[starts[wide]] = 1
+    step[ends[wide]] -= 1
+    whole = np.cumsum(step[:-1], dtype=np.int8) > 0
+    low = np.where(whole, buf, _LOWER[buf])
+    buf = low
+    kind = _CLASS[buf]
+    edge = np.zeros(len(buf) + 1, bool)
+    edge[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    # an apostrophe alone between other classes takes a contraction's letters
+    lone = np.flatnonzero((buf[:-1] == 39) & (kind[1:] == _LETTER))
+    end = offsets[np.searchsorted(offsets, lone, "right")]
+    opens = (kind[lone - 1] != _OTHER) | np.isin(lone, offsets)
+    lone, end = lone[opens], end[opens]
+    take = np.zeros(len(lone), np.int64)
+    for c in _CONTRACTIONS:
+        hit = (buf[lone + 1] == ord(c[0])) & (lone + 1 + len(c) <= end)
+        if len(c) == 2:
+            hit &= buf[np.minimum(lone + 2, len(buf) - 1)] == ord(c[1])
+        take[hit] = len(c)
+    lone, take = lone[take > 0], take[take > 0]
+    edge[lone + 1] = False
+    edge[lone + 1 + take] = True
+    edge[1:-1] &= ~(whole[1:] & whole[:-1])
+    edge[offsets] = True
+    edge[starts] = True
+    edge[ends] = True
+    at = np.flatnonzero(edge)
+    begin, stop = at[:-1], at[1:]
+    ok = kind[begin] != _SPACE
+    begin, stop = begin[ok], stop[ok]
+    return low, begin, stop, np.searchsorted(offsets, begin, "right") - 1
 
 
 class WordEncoder:
-    """The tokenizer behind a cache of text parts.  The vocabulary drops white
-    space and never merges across its split pattern, so a text's ids are its
-    parts' ids: the pattern's own matches for Latin-1 text, words otherwise."""
+    """The tokenizer behind a cache of units: sorted 64-bit hashes and the ids
+    they stand for, bounded in bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         import os
 
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
         self.tokenizer = Tokenizer.from_file(path)
+        self.cache_bytes = cache_bytes
         known = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(known.values()) + 1, bool)
         self.ends_word[[i for t, i in known.items() if t.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self):
-        self.parts: dict[str, int] = {}
+        self.keys = np.zeros(0, np.uint64)
+        self.at, self.count = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.int32)
-        self.at, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _parts_together(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and id counts of single parts, encoded many to a text: a part's
-        last id, and no other, is one that ends a word."""
+    def _together(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and id counts of single ASCII units, encoded many to a text: a
+        unit's last id, and no other, is one that ends a word."""
         texts = [" ".join(parts[i:i + 64]) for i in range(0, len(parts), 64)]
         ids = np.concatenate([np.array(x, np.int32) for x in self._library(texts)])
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(parts):
-            raise ValueError("the vocabulary does not mark the ends of parts")
+            raise ValueError("the vocabulary does not mark the ends of units")
         return ids, np.diff(ends, prepend=0)
 
-    def learn(self, new: list[str]) -> None:
-        single = [p for p in new if _PARTS.fullmatch(p) and p == p.lower() and max(p) < "\u0100"]
-        rest = list(set(new).difference(single))
-        if single:
-            self._extend(single, *self._parts_together(single))
-        if rest:
-            ids = self._library(rest)
-            self._extend(rest, np.array([i for x in ids for i in x], np.int32),
-                         np.array([len(x) for x in ids], np.int64))
-
-    def _extend(self, parts: list[str], ids: np.ndarray, count: np.ndarray) -> None:
-        n = len(self.parts)
-        self.parts.update(zip(parts, range(n, n + len(parts))))
-        self.at = np.concatenate((self.at, len(self.ids) + np.cumsum(count) - count))
-        self.count = np.concatenate((self.count, count))
-        self.ids = np.concatenate((self.ids, ids))
-
-    @staticmethod
-    def split(text: str) -> list[str] | None:
-        """Parts of a text; None if it must be encoded whole."""
-        if "<|" in text and _SPECIAL.search(text):
-            return None
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return None if _ODD.search(text) else text.split()
-        return _PARTS.findall(text.lower())
+    def _learn(self, keys: np.ndarray, parts: list[bytes]) -> None:
+        text = [p.decode() for p in parts]
+        single = np.array([t.isascii() for t in text])
+        order = np.argsort(~single, kind="stable")
+        keys, text = keys[order], [text[i] for i in order]
+        n = int(single.sum())
+        flat, count = self._together(text[:n]) if n else (np.zeros(0, np.int32),) * 2
+        rest = self._library(text[n:]) if n < len(text) else []
+        count = np.concatenate((count, [len(x) for x in rest])).astype(np.int64)
+        ids = [flat, np.array([i for x in rest for i in x], np.int32)]
+        at = len(self.ids) + np.cumsum(count) - count
+        self.ids = np.concatenate((self.ids, *ids)).astype(np.int32)
+        order = np.argsort(np.concatenate((self.keys, keys)), kind="stable")
+        self.keys = np.concatenate((self.keys, keys))[order]
+        self.at = np.concatenate((self.at, at))[order]
+        self.count = np.concatenate((self.count, count)).astype(np.int32)[order]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.parts) > CACHE_WORDS:
+        import pyarrow as pa
+
+        return self.encode_rows(*bytescan.text_buffer(pa.array(texts, pa.large_string())))
+
+    def encode_rows(self, buf: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of every text of a buffer."""
+        flat, cut = self._encode(buf, offsets)
+        out = np.split(flat, cut[1:-1]) if len(offsets) > 1 else []
+        for r in _special_rows(buf, offsets):
+            text = buf[offsets[r]:offsets[r + 1]].tobytes().decode()
+            out[r] = np.array(self._library([text])[0], np.int32)
+        return out
+
+    def _encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids of all texts, where each text's ids begin)``."""
+        if 20 * len(self.keys) + 4 * len(self.ids) > self.cache_bytes:
             self._clear()
-        split = [self.split(t) for t in texts]
-        odd = [i for i, s in enumerate(split) if s is None]
-        flat: list[str] = []
-        for s in split:
-            flat += s or ()
-        found = list(map(self.parts.get, flat))
-        if None in found:
-            self.learn(list({w for w, i in zip(flat, found) if i is None}))
-            found = map(self.parts.__getitem__, flat)
-        part = np.fromiter(found, np.int64, len(flat))
+        buf, starts, ends, rows = units(buf, offsets)
+        key, first, back = np.unique(bytescan.word_hashes(buf, starts, ends), return_index=True,
+                                     return_inverse=True)
+        spot = np.searchsorted(self.keys, key)
+        old = np.zeros(len(key), bool)
+        if len(self.keys):
+            old = self.keys[np.minimum(spot, len(self.keys) - 1)] == key
+        if not old.all():
+            new = first[~old]
+            self._learn(key[~old], [buf[a:b].tobytes() for a, b in zip(starts[new], ends[new])])
+            spot = np.searchsorted(self.keys, key)
+        part = spot[back]
         count = self.count[part]
-        ends = np.concatenate(([0], np.cumsum(count)))
-        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.at[part] - ends[:-1], count)]
-        per_text = ends[np.cumsum([0] + [len(s or ()) for s in split])]
-        out = np.split(ids, per_text[1:-1]) if texts else []
-        for i, whole in zip(odd, self._library([texts[i] for i in odd]) if odd else []):
-            out[i] = np.array(whole, np.int32)
-        return out
+        stop = np.concatenate(([0], np.cumsum(count, dtype=np.int64)))
+        ids = self.ids[np.arange(stop[-1]) + np.repeat(self.at[part] - stop[:-1], count)]
+        return ids, stop[np.searchsorted(rows, np.arange(len(offsets)))]
+
+
+def _special_rows(buf, offsets) -> set[int]:
+    """Rows that hold one of the vocabulary's special strings."""
+    at = np.flatnonzero((buf[:-1] == ord("<")) & (buf[1:] == ord("|")))
+    rows = np.unique(np.searchsorted(offsets, at, "right") - 1)
+    return {int(r) for r in rows if _SPECIAL.search(
+        buf[offsets[r]:offsets[r + 1]].tobytes().decode())}
 
 
 def pieces(df: DataFrame, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY,
@@ -150,26 +211,21 @@ def pieces(df: DataFrame, text: str = "text", key: str = "doc_id", capacity: int
         path = vocabulary or tokenizer_file(VOCABULARY)
         encoder = worker_cache(("words", path), lambda: WordEncoder(path))
         for batch in batches:
-            bodies = [t or "" for t in batch.column(1).to_pylist()]
+            buf, off = bytescan.text_buffer(batch.column(1))
             row, nth, start, length, crc, ids_out = [], [], [], [], [], []
-            a = 0
-            while a < len(bodies):
-                b, size = a, 0
-                while b < len(bodies) and (b == a or size + len(bodies[b]) <= 1 << 19):
-                    size += len(bodies[b])
-                    b += 1
-                for i, ids in enumerate(encoder.encode(bodies[a:b]), a):
+            for a, b in bytescan.row_slices(off, SLICE_BYTES):
+                rows = encoder.encode_rows(buf[off[a]:off[b]], off[a:b + 1] - off[a])
+                for i, ids in enumerate(rows, a):
                     ids = np.concatenate((ids, [CLOSING_ID])).astype("<u4")
                     for n, s in enumerate(range(0, len(ids), capacity)):
-                        part = ids[s:s + capacity]
+                        chunk = ids[s:s + capacity]
                         row.append(i)
                         nth.append(n)
                         start.append(s)
-                        length.append(len(part))
-                        crc.append(zlib.crc32(part.tobytes()))
+                        length.append(len(chunk))
+                        crc.append(zlib.crc32(chunk.tobytes()))
                         if with_ids:
-                            ids_out.append(part.astype(np.int32))
-                a = b
+                            ids_out.append(chunk.astype(np.int32))
             cols = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(nth, pa.int32()),
                     pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                     pa.array(crc, pa.int64())]
@@ -300,15 +356,14 @@ def recipe(groups: list[Group]) -> np.ndarray:
 
 
 def place(piece_rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``piece_rows`` (a written table with ``doc_id, piece, length``) plus
-    ``sequence_id`` and ``offset``."""
+    """``piece_rows`` (a written table with ``length`` and a distinct ``row``)
+    plus ``sequence_id`` and ``offset``."""
     counts = {r["length"]: r["count"] for r in piece_rows.groupBy("length").count().collect()}
     table = recipe(plan(counts, capacity))
     salts = max(64, sum(counts.values()) // 200_000)
-    salted = piece_rows.withColumn(
-        "_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    salted = piece_rows.withColumn("_salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
     ranked = salted.withColumn("_rank", F.row_number().over(
-        Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")))
+        Window.partitionBy("length", "_salt").orderBy("row")))
     sizes = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select("length", "_salt", (F.sum("_n").over(
         Window.partitionBy("length").orderBy("_salt")) - F.col("_n")).alias("_before"))
@@ -338,8 +393,9 @@ def place(piece_rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack(df: DataFrame, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY,
          vocabulary: str | None = None) -> DataFrame:
     """Every piece of every text with its sequence and its place there."""
-    rows = written(pieces(df, text, key, capacity, vocabulary), "pieces")
-    return place(rows, capacity)
+    rows = pieces(df, text, key, capacity, vocabulary)
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    return place(rows, capacity).drop("row")
 
 
 def op6(docs: DataFrame) -> DataFrame:
