@@ -19,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +31,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBED = 8
 #: Bounds of the training sample (documented parameters).
-PER_LANGUAGE = 500
+PER_LANGUAGE = 1000
 WINDOWS_PER_DOC = 4
-MAX_LANGUAGES = 256
 UNKNOWN = "und"
 MIN_SCORE = 0.35
 
@@ -159,23 +158,24 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-        per_language: int = PER_LANGUAGE, windows_per_doc: int = WINDOWS_PER_DOC,
-        max_languages: int = MAX_LANGUAGES) -> Network | None:
-    """Train on ``labelled``: at most ``per_language`` documents of each of the
-    ``max_languages`` most frequent languages.  The driver receives that many
-    windows of ``WINDOW`` bytes, whatever the size of the table."""
+        per_language: int = PER_LANGUAGE, windows_per_doc: int = WINDOWS_PER_DOC
+        ) -> Network | None:
+    """Train on ``labelled``: at most ``per_language`` documents of each language
+    that occurs.  The driver receives that many windows of ``WINDOW`` bytes,
+    whatever the size of the table."""
     rows = labelled.select(col(labelled, text).alias("text"), col(labelled, lang).alias("lang"),
                            F.xxhash64(col(labelled, key)).alias("h")).filter(
         F.col("lang").isNotNull() & (F.coalesce(F.octet_length("text"), F.lit(0)) > 0))
-    counts = (rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-              .limit(max_languages).collect())
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return None
     languages = sorted(r["lang"] for r in counts)
     share = {r["lang"]: min(1 << 20, -(-(per_language * 2 << 20) // r["count"])) for r in counts}
     part = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])
-    drawn = (rows.filter(F.pmod(F.col("h"), F.lit(1 << 20)) < part[F.col("lang")])
-             .orderBy("h").limit(2 * per_language * len(languages)))
+    # thinned to about twice the number, then the first by hash
+    drawn = rows.filter(F.pmod(F.col("h"), F.lit(1 << 20)) < part[F.col("lang")]).withColumn(
+        "nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
+    drawn = drawn.filter(F.col("nth") <= per_language).select("text", "lang", "h")
 
     def cut(batches):
         import pyarrow as pa

@@ -49,7 +49,7 @@ RULES = (
     Rule("symbols", "n_symbols", "n_words", 100, 10),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", 100, 70),
     Rule("shouted_words", "n_marks", "n_words", 100, 70),
-    Rule("stop_words", "n_stop", "", 1, 1, at_least=True),
+    Rule("stop_words", "n_stop", "n_words", 100, 2, at_least=True),
 )
 
 #: Frequent function words of the four languages, lower case.
@@ -119,13 +119,12 @@ def split_lines(body: Column) -> Column:
 
 def counts(words: Column, lines: Column, body: Column) -> list[Column]:
     """The measures, in the order of ``COUNTS``."""
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
     values = (
         F.size(words), F.length(F.array_join(words, "")),
         F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")), F.size(lines),
         F.size(lines) - F.size(F.array_distinct(lines)), repeated_window_words(words),
         F.length(F.regexp_replace(body, "[^!]+", "")),
-        F.size(F.array_intersect(F.transform(words, F.lower), stop)))
+        F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))))
     return [v.cast("long").alias(n) for n, v in zip(COUNTS, values)]
 
 
@@ -213,7 +212,7 @@ def oracle_sql() -> str:
             CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
             coalesce(n, 0) AS n_repeat_words,
             CAST(length(regexp_replace(text, '[^!]+', '', 'g')) AS BIGINT) AS n_marks,
-            CAST(len(list_intersect(list_transform(ws, lambda x: lower(x)), [{stops}])) AS BIGINT) AS n_stop
+            CAST(len(list_filter(ws, lambda x: lower(x) IN ({stops}))) AS BIGINT) AS n_stop
           FROM w LEFT JOIN rep ON w.r = rep.r),
     b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -107,6 +107,17 @@ def path_like(run: str, tokens, max_chars_per_token: float = MAX_CHARS_PER_TOKEN
     return sum(n for n, _ in told) >= PATH_CHARS_PER_TOKEN * sum(n for _, n in told)
 
 
+def merged_spans(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The spans' union as ascending, disjoint stretches."""
+    out: list[tuple[int, int]] = []
+    for a, b, _ in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def random_spans(text: str, encoder, taken: list[tuple[int, int, str]],
                  max_chars_per_token: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int, str]]:
     """Long runs outside ``taken`` that the vocabulary spells inefficiently."""
@@ -115,9 +126,12 @@ def random_spans(text: str, encoder, taken: list[tuple[int, int, str]],
         return len(encoder.encode_ordinary(part))
 
     out = []
+    covered, at = merged_spans(taken), 0
     for m in _COMPILED["run"].finditer(text):
         run = m.group()
-        if known_identifier(run) or any(a < m.end() and m.start() < b for a, b, _ in taken):
+        while at < len(covered) and covered[at][1] <= m.start():
+            at += 1
+        if at < len(covered) and covered[at][0] < m.end() or known_identifier(run):
             continue
         if (len(run) <= ratio_limit(run, max_chars_per_token) * tokens(run)
                 and not path_like(run, tokens, max_chars_per_token)):

@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from tessera.llm.common import col, shared_path, written
 
 REVISIT_BYTES = 1000
-SEGMENT_BYTES = 32 << 10
-FRAME_BYTES = 8 << 10
+SEGMENT_BYTES = 4 << 10
+FRAME_BYTES = 3 << 10
 RECORDS_PER_FILE = 512
 #: A repeated digest takes about 100 bytes in a broadcast table.
 BROADCAST_ROWS = 200_000
@@ -193,6 +193,20 @@ def parse_records(data: bytes):
         at = begin + size + 4
 
 
+def gunzip(data: bytes) -> bytes:
+    """All members of a gzip file; archives often hold one record to a member."""
+    import zlib
+
+    out = []
+    while data:
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(data))
+        if not member.eof:
+            raise ValueError("the last gzip member is cut short")
+        data = member.unused_data.lstrip(b"\0")
+    return b"".join(out)
+
+
 def _ident(value: str | None) -> str | None:
     return value.strip("<>").removeprefix(URN) if value else None
 
@@ -201,15 +215,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the archives below ``path``, continuations included."""
 
     def run(batches):
-        import zlib
-
         import pyarrow as pa
 
         for batch in batches:
             for content in batch.column(0):
                 raw = content.as_py()
                 if raw[:2] == b"\x1f\x8b":
-                    raw = zlib.decompress(raw, 31)
+                    raw = gunzip(raw)
                 rows, size = [], 0
                 for f, block in parse_records(raw):
                     kind = f["warc-type"]
@@ -260,8 +272,11 @@ def reassemble(records: DataFrame) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
-    """One row per archived page; ``with_payload`` adds its html bytes."""
-    whole = reassemble(read_records(spark, path))
+    """One row per archived page; ``with_payload`` adds its html bytes.  Records
+    that hold no page (``warcinfo``, ``request``, ``metadata``) are passed over."""
+    records = read_records(spark, path).filter(
+        F.col("record_type").isin("response", "revisit", "continuation"))
+    whole = reassemble(records)
     schema = T.StructType([*PAGE.fields, *([T.StructField("payload", T.BinaryType())]
                                            if with_payload else [])])
 
