@@ -188,6 +188,7 @@ class PairTable:
         self.vals = np.zeros(1 << self.bits, np.int32)
         keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
         vals = np.fromiter(pairs.values(), np.int32, len(pairs))
+        self.singly = None
         slot = self._slot(keys)
         while len(keys):
             free = self.keys[slot] == -1
@@ -201,6 +202,14 @@ class PairTable:
             mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
+    def one_by_one(self):
+        """Look-up of single keys, for words too long to merge side by side; its
+        table is built when the first such word comes."""
+        if self.singly is None:
+            used = self.keys != -1
+            self.singly = dict(zip(self.keys[used].tolist(), self.vals[used].tolist()))
+        return self.singly.get
+
     def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair, or a value above every rank."""
         keys = (a.astype(np.int64) << 32) | b
@@ -291,13 +300,11 @@ class Vocabulary:
         heapq.heapify(heap)
         ids, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
         alive = [True] * n
-        one = np.zeros(1, np.int64)
+        look = self.pairs.one_by_one()
 
         def pair(i):
             j = after[i]
-            if j >= n:
-                return NO_MERGE
-            return int(self.pairs.find(one + ids[i], one + ids[j])[0])
+            return look((ids[i] << 32) | ids[j], NO_MERGE) if j < n else NO_MERGE
 
         current = rank.tolist() + [NO_MERGE]
         while heap:
