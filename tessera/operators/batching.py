@@ -41,6 +41,13 @@ def assign_batches(df: DataFrame, order: list, size: int = 2, drop_last: bool =
     return _batch_columns(idx, idx.count(), size, drop_last)
 
 
+def number_documents(df: DataFrame, order: list, name: str = "doc_row") -> DataFrame:
+    """``df`` plus a row number in ``order``: a key for documents whose ids are
+    null or repeated.  The numbered table is checkpointed once, so everything
+    derived from it (counts, windows) agrees on the numbers."""
+    return global_index(df, order, name).checkpoint(eager=True)
+
+
 def item_offsets(counts: DataFrame, key: str = "doc_id", count_col: str = "n") -> DataFrame:
     """``(key, offset)``: how many items stand before each document when
     documents are in key order.  Only ``(key, count)`` rows are sorted."""
@@ -61,9 +68,15 @@ def assign_item_batches(docs: DataFrame, items: DataFrame, size: int = 2, drop_l
     """Batches over the numbered items of documents in ``(key, ordinal)`` order.
 
     ``docs (key, n)`` says how many items a document has; the wide ``items``
-    are only joined with their document's offset, never sorted."""
+    are only joined with their document's offset, never sorted.  ``key`` tells
+    rows apart; ids that may be null or repeated are numbered first
+    (``number_documents``), and counts and items carry the number."""
     if size < 1:
         raise ValueError("batch size must be >= 1")
+    shared = docs.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull())
+    if shared.limit(1).collect():
+        raise ValueError(f"{key} is null or repeated: number the rows first (number_documents) "
+                         "and pass that number as key")
     n = docs.agg(F.sum(count_col)).first()[0] or 0
     idx = items.join(item_offsets(docs, key, count_col), key).withColumn(
         "_i", F.col("offset") + F.col(ordinal)).drop("offset")

@@ -144,6 +144,111 @@ def search_ivf(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: in
         queries_per_group=knn.queries_per_block(queries, q_vec_col, max_block_bytes))
 
 
+# ------------------------------------------------------------------ certified search
+def cell_radii(store: DataFrame, centroids: DataFrame, vec_col: str = "embedding",
+               cell_col: str = "cell_id") -> DataFrame:
+    """``(cell, radius)``: how far a cell's farthest row lies from its centre
+    (partial maxima, one row per cell)."""
+    bc = store.sparkSession.sparkContext.broadcast(_centroid_matrix(centroids))
+
+    def run(batches):
+        far: dict[int, float] = {}
+        for batch in batches:
+            if batch.num_rows:
+                vecs, _ = knn._flat_vectors(batch.column("v"), bc.value.shape[1])
+                cell = batch.column("cell").to_numpy().astype(np.int64)
+                dist = np.sqrt(((vecs - bc.value[cell]) ** 2).sum(axis=1))
+                for c in np.unique(cell):
+                    far[int(c)] = max(far.get(int(c), 0.0), float(dist[cell == c].max()))
+        yield pa.RecordBatch.from_arrays([pa.array(list(far), pa.int32()),
+                                          pa.array(list(far.values()), pa.float64())],
+                                         ["cell", "radius"])
+
+    v = store.filter(F.col(vec_col).isNotNull()).select(F.col(cell_col).alias("cell"),
+                                                        F.col(vec_col).alias("v"))
+    return v.mapInArrow(run, "cell int, radius double").groupBy("cell").agg(
+        F.max("radius").alias("radius"))
+
+
+def search_ivf_exact(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5, *,
+                     radii: DataFrame | None = None, first: int = 2, id_col: str = "row_id",
+                     vec_col: str = "embedding", q_id_col: str = "q_id",
+                     q_vec_col: str = "embedding", cell_col: str = "cell_id",
+                     max_block_bytes: int = knn.MAX_QUERY_BLOCK_BYTES
+                     ) -> tuple[DataFrame, DataFrame]:
+    """Exact top-k by cells: ``(hits, cells read per query)``.
+
+    The ``first`` nearest cells give every query an upper bound on its k-th
+    distance.  By the triangle inequality no row of a cell lies nearer than the
+    distance to its centre less its radius; cells whose bound is beyond the k-th
+    distance are never read, all others are.  ``radii`` (``cell_radii``) may be
+    kept with the store."""
+    radius = {r["cell"]: r["radius"] for r in
+              (radii or cell_radii(store, centroids, vec_col, cell_col)).collect()}
+    cents = _centroid_matrix(centroids)  # bounded: nlist x dim
+    reach = np.array([radius.get(c, -1.0) for c in range(len(cents))])
+    bc = queries.sparkSession.sparkContext.broadcast((cents, reach))
+    q = queries.filter(F.col(q_vec_col).isNotNull()).select(
+        F.col(q_id_col).cast("long").alias("q_id"), F.col(q_vec_col).alias("vector"))
+
+    def ways(wanted):
+        """``(cell, q_id, vector)`` of the cells that ``wanted(distances, bounds,
+        limit)`` marks, given each query's k-th distance so far."""
+        def run(batches):
+            mat, far = bc.value
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                vecs, _ = knn._flat_vectors(batch.column("vector"), mat.shape[1])
+                for lo in range(0, len(vecs), _ENCODE_ROWS):
+                    part = vecs[lo:lo + _ENCODE_ROWS]
+                    dist = np.zeros((len(part), len(mat)))
+                    for j in range(mat.shape[1]):
+                        dist += (part[:, j, None] - mat[None, :, j]) ** 2
+                    dist = np.sqrt(dist)
+                    dist[:, far < 0] = np.inf  # empty cells
+                    # a margin for rounding keeps the bound on the safe side
+                    low = np.maximum(0, dist - far[None] - 1e-6 * (1 + dist))
+                    limit = batch.column("limit").to_numpy(zero_copy_only=False)[
+                        lo:lo + _ENCODE_ROWS]
+                    row, cell = np.nonzero(wanted(dist, low, limit))
+                    take = pa.array(row + lo)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cell, pa.int32()), batch.column("q_id").take(take),
+                         batch.column("vector").take(take)], ["cell", "q_id", "vector"])
+        return run
+
+    def nearest(dist, low, limit):
+        rank = np.argsort(np.argsort(dist, axis=1, kind="stable"), axis=1, kind="stable")
+        return (rank < first) & np.isfinite(dist)
+
+    def remaining(dist, low, limit):
+        return ~nearest(dist, low, limit) & np.isfinite(dist) & (low <= limit[:, None])
+
+    kind = q.schema["vector"].dataType.simpleString()
+    schema = f"cell int, q_id long, vector {kind}"
+    v = store.filter(F.col(vec_col).isNotNull()).select(
+        F.col(cell_col).alias("cell"), F.col(id_col).cast("long").alias("id"),
+        F.col(vec_col).alias("payload"))
+    per_block = knn.queries_per_block(q, "vector", max_block_bytes)
+
+    def look(probed):
+        return knn.block_search(v, probed, knn.flat_kernel, k, id_col, knn.VECTORS_PER_BLOCK,
+                                per_block).checkpoint(eager=True)
+
+    start = q.withColumn("limit", F.lit(float("inf"))).mapInArrow(ways(nearest), schema)
+    start = start.checkpoint(eager=True)
+    near = look(start)
+    kth = near.filter(F.col("rank") == k).select("q_id", F.sqrt("d2").alias("limit"))
+    known = q.join(kth, "q_id", "left").select(
+        "q_id", "vector", F.coalesce("limit", F.lit(float("inf"))).alias("limit"))
+    rest = known.mapInArrow(ways(remaining), schema).checkpoint(eager=True)
+    both = near.unionByName(look(rest)).select("q_id", id_col, "d2")
+    read = start.select("q_id").unionAll(rest.select("q_id")).groupBy("q_id").agg(
+        F.count(F.lit(1)).alias("cells_read"))
+    return knn.rank_hits(both, k, id_col), read
+
+
 # ------------------------------------------------------------------ PQ
 def train_pq(store: DataFrame, centroids: DataFrame, m: int = 8, nbits: int = 8,
              vec_col: str = "embedding", cell_col: str = "cell_id", seed: int = 1,
@@ -269,6 +374,56 @@ def asymmetric_rows(residual: np.ndarray, book: np.ndarray, payload, ids: np.nda
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def search_pq_refined(codes: DataFrame, store: DataFrame, centroids: DataFrame,
+                      codebook: DataFrame, queries: DataFrame, k: int = 5, nprobe: int = 1,
+                      expand: int = 8, *, id_col: str = "row_id", vec_col: str = "embedding",
+                      cell_col: str = "cell_id", q_id_col: str = "q_id",
+                      q_vec_col: str = "embedding") -> DataFrame:
+    """Two phases: the codes propose ``expand * k`` rows a query, the stored
+    vectors of these rows are scored again and the best ``k`` stay.  The second
+    phase moves ``queries x expand x k`` rows, never the table: it joins on the
+    row id."""
+    proposed = search_pq(codes, centroids, codebook, queries, expand * k, nprobe, id_col=id_col,
+                         cell_col=cell_col, q_id_col=q_id_col, q_vec_col=q_vec_col)
+    q = queries.select(F.col(q_id_col).cast("long").alias("q_id"), F.col(q_vec_col).alias("_q"))
+    rows = (proposed.select("q_id", id_col).join(store.select(id_col, vec_col), id_col)
+            .join(q, "q_id"))
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                a, dim = knn._flat_vectors(batch.column("_q"), None)
+                b, _ = knn._flat_vectors(batch.column(vec_col), dim)
+                d2 = np.zeros(len(a))
+                for j in range(dim):  # the fixed order of the exact search
+                    d2 += (a[:, j] - b[:, j]) ** 2
+                yield pa.RecordBatch.from_arrays([batch.column("q_id"), batch.column(id_col),
+                                                  pa.array(d2)], ["q_id", id_col, "d2"])
+
+    scored = rows.select("q_id", F.col(id_col).cast("long").alias(id_col), "_q", vec_col)
+    return knn.rank_hits(scored.mapInArrow(run, f"q_id long, `{id_col}` long, d2 double"), k, id_col)
+
+
+def calibrate_refined(codes: DataFrame, store: DataFrame, centroids: DataFrame, codebook: DataFrame,
+                      sample_queries: DataFrame, k: int, target: float,
+                      **names: str) -> tuple[int, int, list]:
+    """``(nprobe, expand, curve)``: the cheapest of the doubling steps whose
+    measured recall@k on the sample reaches ``target``.  Probes first: cells
+    that the exact search inside them cannot do without; then candidates."""
+    nprobe, _ = calibrate_nprobe(store, centroids, sample_queries, k, (1 + target) / 2, **names)
+    exact = knn.knn_search(store, sample_queries, k, **{
+        n: v for n, v in names.items() if n != "cell_col"}).checkpoint(eager=True)
+    expand, curve = 4, []
+    most = max(1, -(-store.count() // k))
+    while True:
+        got = search_pq_refined(codes, store, centroids, codebook, sample_queries, k, nprobe,
+                                expand, **names)
+        curve.append((expand, recall_at_k(got, exact, names.get("id_col", "row_id"))))
+        if curve[-1][1] >= target or expand >= most:
+            return nprobe, expand, curve
+        expand = min(most, expand * 2)
+
+
 # ------------------------------------------------------------------ recall
 def recall_at_k(approx: DataFrame, exact: DataFrame, id_col: str = "row_id") -> float:
     """Share of exact top-k rows the approximate search also returned."""

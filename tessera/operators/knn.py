@@ -1,7 +1,10 @@
 """Exact k-nearest-neighbour search (squared L2): the "Flat" index, and the
 block join that every index shares.
 
-Vectors and queries are dealt into blocks of bounded size and co-grouped block
+Few queries (at most ``FEW_QUERY_BYTES`` of them, measured) go to the vectors:
+every task runs over its vectors once, keeps the best k rows per query, and
+only these rows move.  Beyond that bound
+vectors and queries are dealt into blocks of bounded size and co-grouped block
 by block, so neither side is ever collected or broadcast.  Inside a group one
 matrix product gives the candidates and each query keeps at most k rows; the
 final ``row_number`` sees ``queries x k x vector blocks`` rows.  No (query,
@@ -29,6 +32,8 @@ from tessera.functions.vectors import similarity_from_d2
 #: Bytes of one query block (float64 matrix), and vectors of one vector block.
 MAX_QUERY_BLOCK_BYTES = 2 << 20
 VECTORS_PER_BLOCK = 20_000
+#: Query vectors up to this many bytes travel to the vectors, not both to a shuffle.
+FEW_QUERY_BYTES = 8 << 20
 # rows of the distance matrix computed at once inside a task
 _QUERY_SUB_BLOCK = 256
 # digits of the order key
@@ -147,6 +152,40 @@ def flat_kernel(cell, q_mat, payload, ids, k):
     return nearest_rows(q_mat, vecs, ids, k)
 
 
+def running_search(vectors: DataFrame, q_ids: np.ndarray, q_mat: np.ndarray, k: int,
+                   id_col: str) -> DataFrame:
+    """Top-k of a few queries by one pass over ``vectors (id, payload)``: a task
+    keeps a running top-k over its whole partition, partial results merge in
+    ``rank_hits``.  No vector is exchanged.  Partial lists are mergeable because
+    ``nearest_rows`` measures in a fixed order and ``first_k`` orders totally."""
+    packed = vectors.sparkSession.sparkContext.broadcast((q_ids, q_mat))
+
+    def run(batches):
+        ids, mat = packed.value
+        row, best, d2 = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for batch in batches:
+            if not batch.num_rows or not len(ids):
+                continue
+            vecs, _ = _flat_vectors(batch.column("payload"), mat.shape[1])
+            new = nearest_rows(mat, vecs, batch.column("id").to_numpy(), k)
+            row, best, d2 = first_k(*(np.concatenate(x) for x in zip((row, best, d2), new)), k)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[row], pa.int64()), pa.array(best, pa.int64()),
+                                          pa.array(d2, pa.float64())], ["q_id", id_col, "d2"])
+
+    return rank_hits(vectors.mapInArrow(run, f"q_id long, `{id_col}` long, d2 double"), k, id_col)
+
+
+def few_queries(queries: DataFrame, max_bytes: int):
+    """``(ids, matrix)`` of ``queries (q_id, vector)`` if they take at most
+    ``max_bytes``, else None."""
+    n, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    if 8 * n * max(1, dim or 1) > max_bytes:
+        return None
+    t = queries.toArrow()
+    mat, _ = _flat_vectors(t.column("vector"), None)
+    return t.column("q_id").to_numpy(), mat
+
+
 def queries_per_block(queries: DataFrame, vec_col: str, max_block_bytes: int) -> int:
     """Queries that fit a block of ``max_block_bytes``."""
     dim = queries.select(F.max(F.size(vec_col))).first()[0] or 1
@@ -157,9 +196,12 @@ def knn_search(vectors: DataFrame, queries: DataFrame, k: int = 5, *,
                id_col: str = "row_id", vec_col: str = "embedding",
                q_id_col: str = "q_id", q_vec_col: str = "embedding",
                max_block_bytes: int = MAX_QUERY_BLOCK_BYTES,
-               vectors_per_group: int = VECTORS_PER_BLOCK) -> DataFrame:
+               vectors_per_group: int = VECTORS_PER_BLOCK,
+               few_query_bytes: int = FEW_QUERY_BYTES) -> DataFrame:
     """Top-k rows of ``vectors`` for every row of ``queries``:
-    ``(q_id, <id_col>, rank, d2, similarity)``; rank is 1-based."""
+    ``(q_id, <id_col>, rank, d2, similarity)``; rank is 1-based.  Query vectors
+    of at most ``few_query_bytes`` go to the vectors; more meet them in blocks.
+    Both ways give the same rows."""
     if k < 1:
         raise ValueError("k must be >= 1")
     one_cell = F.lit(0).alias("cell")
@@ -167,5 +209,8 @@ def knn_search(vectors: DataFrame, queries: DataFrame, k: int = 5, *,
         one_cell, F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("payload"))
     q = queries.filter(F.col(q_vec_col).isNotNull()).select(
         one_cell, F.col(q_id_col).cast("long").alias("q_id"), F.col(q_vec_col).alias("vector"))
+    few = few_queries(q.select("q_id", "vector"), few_query_bytes)
+    if few is not None:
+        return running_search(v.select("id", "payload"), *few, k, id_col)
     return block_search(v, q, flat_kernel, k, id_col, vectors_per_group,
                         queries_per_block(q, "vector", max_block_bytes))

@@ -30,7 +30,10 @@ def finished(spark: SparkSession, out_dir: str) -> DataFrame:
     """``(stem)`` of the documents that ``out_dir`` holds (none if it is new)."""
     try:
         return spark.read.parquet(out_dir).select("stem")
-    except AnalysisException:  # no folder yet, or one without files
+    except AnalysisException as e:
+        # no folder yet, or one without files; anything else is not "nothing done"
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.createDataFrame([], "stem string")
 
 

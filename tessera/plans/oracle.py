@@ -441,3 +441,26 @@ SELECT md5(text) AS text_md5, coalesce(source, 'unknown') AS source, chunk_id FR
 SELECT doc_id, true AS all_short, true AS all_contained, true AS words_kept
 FROM documents WHERE len({_words('text')}) > 0""",
 })
+
+
+ORACLE_SQL.update({
+    "loader_text": """
+SELECT doc_id, CAST(0 AS INTEGER) AS page_no, CAST(length(text) AS INTEGER) AS n_chars,
+       md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL""",
+    "loader_paged": """
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1 AS INTEGER) AS page_no,
+       CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS text_md5
+FROM conversations WHERE text IS NOT NULL""",
+    "loader_jsonl": """
+SELECT doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL""",
+    "knn_ivf_exact": ORACLE_SQL["knn_flat"],
+    "batch_null_repeated": f"""
+WITH d AS (SELECT *, row_number() OVER (ORDER BY given_id NULLS FIRST, orig) - 1 AS doc_row FROM (
+  SELECT CASE WHEN doc_id % 5 <> 0 THEN doc_id // 2 END AS given_id, doc_id AS orig, text FROM documents)),
+w AS (SELECT given_id, doc_row, {_words('text')} AS ws FROM d),
+c AS (SELECT given_id, doc_row, chunk_id, array_to_string(ws[chunk_id * 64 + 1:chunk_id * 64 + 64], ' ') AS text
+      FROM (SELECT *, unnest(range(0, (len(ws) + 63) // 64)) AS chunk_id FROM w)),
+o AS (SELECT *, row_number() OVER (ORDER BY doc_row, chunk_id) - 1 AS i, count(*) OVER () AS n FROM c)
+SELECT given_id AS doc_id, doc_row, CAST(chunk_id AS INTEGER) AS chunk_id, i // 8 AS batch_id,
+       CAST(i % 8 AS INTEGER) AS slot, md5(text) AS text_md5 FROM o WHERE i // 8 < n // 8""",
+})

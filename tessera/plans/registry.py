@@ -20,7 +20,7 @@ from tessera.operators.generate import DigestExtract
 from tessera.operators.rerank import term_overlap
 from tessera.session import prepare, scratch_path
 from tessera.sources import files as file_sources
-from tessera.sources import sinks
+from tessera.sources import loaders, sinks
 from tessera.sources.tables import load_table
 from tessera.streaming import ingest
 
@@ -825,3 +825,92 @@ QUERIES.update({
     "chunk_metadata_scan": q_chunk_metadata_scan,
     "recursive_chunk_rules": q_recursive_chunk_rules,
 })
+
+
+# ---------------------------------------------------------------- loaders, certified search, ids
+ITEM_WORDS = 64             # words of an item in batch_null_repeated
+PQ_RECALL_TARGET = 0.9
+CALIBRATION_SAMPLE = 100
+
+
+def q_loader_text(spark, sf_dir):
+    """X1 + K1: documents written one file each, read through the text loader."""
+    root = scratch_path(spark, "loader-text")
+    _export_docs(_docs(spark, sf_dir), root)
+    t = loaders.load_pages(spark, root, "text", on_error="raise")
+    return t.select(_doc_id_from_path(F.col("path")).alias("doc_id"), "page_no",
+                    F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+def q_loader_paged(spark, sf_dir):
+    """Every conversation written as one file of pages (form feeds),
+    read page by page."""
+    root = scratch_path(spark, "loader-paged")
+    turns = _t(spark, sf_dir, "conversations").filter("text IS NOT NULL")
+    one = turns.groupBy("conv_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda s: s["text"]), "\f").alias("text"))
+    sinks.export_text_files(one.withColumn("stem", F.concat(F.lit("doc"), F.col("conv_id").cast(
+        "string"))), root)
+    t = loaders.load_pages(spark, root, "paged_text", on_error="raise")
+    return t.select(_doc_id_from_path(F.col("path")).alias("conv_id"), "page_no",
+                    F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+def q_loader_jsonl(spark, sf_dir):
+    """Documents written as JSON lines, read through the JSON-lines loader;
+    the keys beside the text are metadata."""
+    root = scratch_path(spark, "loader-jsonl")
+    _t(spark, sf_dir, "documents").filter("text IS NOT NULL").write.json(root)
+    t = loaders.load_pages(spark, root, "jsonl", glob="*.json", on_error="raise")
+    m = F.col("metadata")
+    return t.select(m["doc_id"].cast("long").alias("doc_id"), m["lang"].alias("lang"),
+                    m["n_chars"].cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+def q_knn_ivf_exact(spark, sf_dir):
+    """V5 / V7 certified: k-means cells, radius per cell, a per-query stop by the
+    triangle inequality; equal to the flat search."""
+    emb, cents, filed = _trained(spark, sf_dir)
+    hits, _ = ivf.search_ivf_exact(filed, cents, emb.withColumnRenamed("row_id", "q_id"), K)
+    return hits.select("q_id", F.col("row_id").alias("vec_id"), "rank",
+                       F.round("d2", 6).alias("d2"), F.round("similarity", 6).alias("similarity"))
+
+
+def q_knn_pq_refined(spark, sf_dir):
+    """V6 with refinement: the codes propose, the stored vectors decide; probes
+    and candidates follow from the recall measured on a sample of queries."""
+    emb, cents, filed = _trained(spark, sf_dir)
+    book = ivf.train_pq(filed, cents, 8, 8).checkpoint(eager=True)
+    codes = ivf.encode_pq(filed, cents, book).checkpoint(eager=True)
+    queries = emb.withColumnRenamed("row_id", "q_id")
+    sample = queries.orderBy(md5_order_key(SPLIT_SEED, "q_id"), "q_id").limit(
+        CALIBRATION_SAMPLE).checkpoint(eager=True)
+    nprobe, expand, _ = ivf.calibrate_refined(codes, filed, cents, book, sample, K,
+                                              PQ_RECALL_TARGET)
+    hits = ivf.search_pq_refined(codes, filed, cents, book, queries, K, nprobe, expand)
+    return hits.select("q_id", F.col("row_id").alias("vec_id"), "rank", F.round("d2", 6).alias("d2"))
+
+
+def q_batch_null_repeated(spark, sf_dir):
+    """D2 over documents whose ids are null or repeated: rows are numbered, and
+    counts and items carry the number."""
+    raw = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = F.when(F.col("doc_id") % 5 != 0, F.floor(F.col("doc_id") / 2)).cast("long")
+    docs = raw.withColumn("given_id", ids)
+    docs = batching.number_documents(docs, [F.col("given_id").asc_nulls_first(), "doc_id"])
+    items = chunking.word_chunks(docs, ITEM_WORDS, keep=("doc_row", "given_id"))
+    counts = docs.select("doc_row", F.ceil(F.size(words("text")) / ITEM_WORDS).alias("n"))
+    b = batching.assign_item_batches(counts, items, BATCH_SIZE, key="doc_row")
+    return b.select(F.col("given_id").alias("doc_id"), F.col("doc_row").cast("long").alias("doc_row"),
+                    F.col("chunk_id").cast("int").alias("chunk_id"), "batch_id", "slot",
+                    F.md5("text").alias("text_md5"))
+
+
+QUERIES.update({
+    "loader_text": q_loader_text,
+    "loader_paged": q_loader_paged,
+    "loader_jsonl": q_loader_jsonl,
+    "knn_ivf_exact": q_knn_ivf_exact,
+    "knn_pq_refined": q_knn_pq_refined,
+    "batch_null_repeated": q_batch_null_repeated,
+})

@@ -73,28 +73,9 @@ def observed(df: DataFrame, name: str, **aggs):
 
 
 def export_text_files(df: DataFrame, out_dir: str, name_col: str = "stem",
-                      text_col: str = "text", suffix: str = ".txt") -> None:
+                      text_col: str = "text", suffix: str = ".txt") -> int:
     """K1 file layout: one ``<name><suffix>`` file per row in ``out_dir`` (a
-    shared POSIX folder), written by the executors in parallel.  Each file is
-    written to a temporary name and renamed, so a retried task never leaves a
-    half-written file and a re-run simply replaces files.  Spark's writers do
-    not make one file per row; on a store without a mounted path (``hdfs://``,
-    ``s3a://``) use ``write_texts``."""
-    scheme, _, rest = out_dir.rpartition("://")
-    if scheme not in ("", "file"):
-        raise ValueError(f"export_text_files needs a mounted folder, not {scheme}://; "
-                         "use write_texts there")
-    out_dir = rest if scheme else out_dir.removeprefix("file:")
-
-    def write_partition(rows):
-        import os
-        import uuid
-        os.makedirs(out_dir, exist_ok=True)
-        for r in rows:
-            target = os.path.join(out_dir, f"{r[0]}{suffix}")
-            tmp = f"{target}.{uuid.uuid4().hex}.tmp"
-            with open(tmp, "w", encoding="utf-8") as f:
-                f.write(r[1] or "")
-            os.replace(tmp, target)
-
-    df.select(name_col, text_col).foreachPartition(write_partition)
+    mounted folder or an object store), staged by the executors and moved into
+    place when all of them are done; returns the number of files."""
+    from tessera.sources.textfiles import write_text_files
+    return write_text_files(df, out_dir, name_col, text_col, suffix)

@@ -6,6 +6,8 @@ sink commits atomically, so a half-written output is never mistaken for done.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -41,23 +43,120 @@ def _rows(spark: SparkSession, sink_dir: str) -> int:
     """Rows of a sink from its files' footers; an empty sink has none."""
     try:
         return spark.read.parquet(sink_dir).count()
-    except AnalysisException:  # nothing has been written yet
-        return 0
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return 0  # nothing has been written yet
 
 
-def ingest_binary(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
-                  make_extractor, glob: str = "*.pdf", max_files_per_batch: int = 1_000) -> int:
-    """ST1 for binary documents: new files -> extractor plug-in -> page texts
-    glued per file (A6) -> parquet, incrementally."""
+#: How often a file that its extractor rejects is taken up again.
+MAX_ATTEMPTS = 3
+
+DEAD_LETTERS = "path string, modified timestamp, attempt int, error string, state string"
+
+
+def dead_letters(spark: SparkSession, sink_dir: str):
+    """The latest state of every file that was rejected: ``failed`` files are
+    tried again on the next pass, ``given_up`` ones when they change."""
+    try:
+        log = spark.read.schema(DEAD_LETTERS).parquet(_letters(sink_dir))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log = spark.createDataFrame([], DEAD_LETTERS)
+    latest = F.max(F.struct("modified", "attempt", "state", "error")).alias("s")
+    return log.groupBy("path").agg(latest).select("path", "s.modified", "s.attempt", "s.state",
+                                                  "s.error")
+
+
+def _letters(sink_dir: str) -> str:
+    return f"{sink_dir.rstrip('/')}/_dead_letters"
+
+
+def _extracted(files, make_extractor, target: str):
+    """Extract ``files`` once into a written page table."""
     from tessera.sources.files import extract_pages
+
+    extract_pages(files, make_extractor).write.mode("overwrite").parquet(target)
+    return files.sparkSession.read.schema(
+        "path string, page_no int, text string, error string").parquet(target)
+
+
+def _file_results(pages, files, attempts, max_attempts: int):
+    """Good files' page texts, and a dead-letter row per rejected one."""
     from tessera.operators.corpus import concat_pages
 
+    bad = pages.filter("error IS NOT NULL").groupBy("path").agg(F.max("error").alias("error"))
+    good = concat_pages(pages.join(bad.select("path"), "path", "left_anti"), "path", "page_no",
+                        "text")
+    nth = F.coalesce("attempt", F.lit(0)) + 1
+    letters = bad.join(files, "path").join(attempts, "path", "left").select(
+        "path", F.col("modificationTime").alias("modified"), nth.cast("int").alias("attempt"),
+        "error", F.when(nth >= max_attempts, "given_up").otherwise("failed").alias("state"))
+    return good, letters
+
+
+def ingest_binary(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
+                  make_extractor, glob: str = "*.pdf", max_files_per_batch: int = 1_000,
+                  max_attempts: int = MAX_ATTEMPTS) -> int:
+    """ST1 for binary documents: new files -> extractor plug-in -> page texts
+    glued per file (A6) -> parquet, incrementally; returns the rows in the sink."""
+    return ingest_binary_counts(spark, source_dir, sink_dir, checkpoint, make_extractor, glob,
+                                max_files_per_batch, max_attempts)["rows"]
+
+
+def ingest_binary_counts(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
+                         make_extractor, glob: str = "*.pdf", max_files_per_batch: int = 1_000,
+                         max_attempts: int = MAX_ATTEMPTS) -> dict:
+    """One pass; ``ok, failed, given_up, retried, rows``.
+
+    The checkpoint remembers files as seen, whether or not they could be read.
+    So a rejected file goes to a dead-letter table under its path, modification
+    time and attempt, and every pass first takes up again what is there: files
+    that failed fewer than ``max_attempts`` times, and files that changed since.
+    What a replayed micro-batch writes has a folder of its own and is
+    overwritten, so nothing is doubled; a file that goes in by a retry is marked
+    ``done`` in the same table."""
+    letters_dir, sink = _letters(sink_dir), sink_dir.rstrip("/")
+    totals = {"ok": 0, "failed": 0, "given_up": 0, "retried": 0}
+
+    def settle(files, attempts, name: str, retry: bool) -> None:
+        listing = files.select("path", "modificationTime").checkpoint(eager=True)
+        pages = _extracted(files, make_extractor, f"{sink}/_pages/{name}")
+        good, letters = _file_results(pages, listing, attempts, max_attempts)
+        good.write.mode("overwrite").parquet(f"{sink}/batch_id={name}")
+        if retry:  # entered now: closes the file's entry
+            nth = (F.coalesce("attempt", F.lit(0)) + 1).cast("int")
+            done = good.select("path").join(listing, "path").join(attempts, "path", "left").select(
+                "path", F.col("modificationTime").alias("modified"), nth.alias("attempt"),
+                F.lit(None).cast("string").alias("error"), F.lit("done").alias("state"))
+            letters = letters.unionByName(done)
+        letters.write.mode("overwrite").parquet(f"{letters_dir}/batch={name}")
+        per = {r["state"]: r["count"] for r in spark.read.schema(DEAD_LETTERS).parquet(
+            f"{letters_dir}/batch={name}").groupBy("state").count().collect()}
+        n = listing.count()
+        bad = per.get("failed", 0) + per.get("given_up", 0)
+        totals["ok"] += n - bad
+        totals["failed"] += per.get("failed", 0)
+        totals["given_up"] += per.get("given_up", 0)
+        totals["retried"] += n if retry else 0
+
+    waiting = dead_letters(spark, sink).filter("state <> 'done'").checkpoint(eager=True)
+    if waiting.limit(1).count():
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(source_dir)
+        again = listed.join(waiting.select("path", "modified", "attempt", "state"), "path").filter(
+            (F.col("state") == "failed") | (F.col("modificationTime") > F.col("modified")))
+        # a changed file starts over
+        attempts = again.select("path", F.when(F.col("modificationTime") > F.col("modified"), 0)
+                                .otherwise(F.col("attempt")).alias("attempt")).checkpoint(eager=True)
+        if attempts.limit(1).count():
+            files = listed.join(attempts.select("path"), "path", "left_semi")
+            settle(files, attempts, f"retry-{uuid.uuid4().hex[:12]}", True)
+
+    none = spark.createDataFrame([], "path string, attempt int")
+
     def per_batch(batch_df, epoch):
-        # foreachBatch may replay a micro-batch after a failure: each batch owns
-        # one folder and overwrites it, so a replay never duplicates rows
-        pages = extract_pages(batch_df, make_extractor).filter("error IS NULL")
-        (concat_pages(pages, "path", "page_no", "text").write.mode("overwrite")
-         .parquet(f"{sink_dir}/batch_id={epoch}"))
+        settle(batch_df, none, str(epoch), False)
 
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files_per_batch)
@@ -65,4 +164,4 @@ def ingest_binary(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return _rows(spark, sink_dir)
+    return {**totals, "rows": _rows(spark, sink_dir)}
