@@ -5,11 +5,15 @@
   joined by a neighbour graph that every task searches in memory.
 * Index: *every* vector is filed.  A vector near a boundary is replicated to
   several lists: those whose centroid is at most ``1 + CLOSE`` times as far as
-  the nearest one and not shadowed by a closer chosen centroid.
-* Search: a query walks the graph and keeps the lists whose distance ratio to
-  its nearest centroid is within a limit.  The limit is calibrated: it covers
-  ``coverage`` of the true neighbours of a bounded set of queries, found by
-  brute force.  Neighbouring lists form shards of bounded size, an overfull
+  the nearest one and not shadowed: no chosen centroid lies nearer to it than
+  centroids usually lie to their nearest neighbour (``spacing``).  In high
+  dimensions a vector is farther from every centroid than these are from each
+  other, so the gap is measured against their own spacing.
+* Search: a query walks the graph for the ``beam`` nearest centroids and keeps
+  those whose distance ratio to the nearest one is within a limit.  Both are
+  calibrated on the true neighbours, found by brute force, of a bounded set of
+  queries: the beam reaches ``coverage`` of them, the ratio prunes lists that
+  hold the last 1 in 100 only.  Neighbouring lists form shards of bounded size, an overfull
   list is dealt over several blocks; each block answers its queries by one
   matrix product and returns at most k rows per query.
 
@@ -39,13 +43,15 @@ from tessera.llm.common import col, written
 FIT_ROWS = 16_384
 MAX_LISTS = 2_048
 CALIBRATION_QUERIES = 96
-COVERAGE = 0.975
+COVERAGE = 0.955
+RATIO_COVERAGE = 0.99
 LIST_ROWS = 128
 BLOCK_ROWS = 8_192
 QUERY_BLOCK = 4_096
-CLOSE = 0.06
+CLOSE = 0.1
 REPLICAS = 4
 DEGREE = 24
+WALK = 24
 
 VECTOR = "id long, vec binary"
 
@@ -75,19 +81,23 @@ def bisect(x: np.ndarray, lists: int, seed: int = 5) -> list[np.ndarray]:
 
 @dataclass
 class Index:
-    """Centroids, their neighbour graph and the radius that lifts vectors."""
+    """Centroids, their neighbour graph, the radius that lifts vectors and the
+    usual distance of a centroid to its nearest neighbour."""
 
     centroids: np.ndarray
     graph: np.ndarray
     radius2: float
     dim: int
+    spacing: float
 
     @staticmethod
     def fit(sample: np.ndarray, radius2: float, rows: int) -> "Index":
         lifted = lift(sample, radius2)
         lists = int(np.clip(rows // LIST_ROWS, 1, min(MAX_LISTS, max(1, len(sample) // 8))))
         cents = np.array([lifted[r].mean(0) for r in bisect(lifted, lists)])
-        return Index(cents, neighbour_graph(cents), radius2, sample.shape[1])
+        graph = neighbour_graph(cents)
+        gap = np.sqrt(((cents - cents[graph[:, 0]]) ** 2).sum(1))
+        return Index(cents, graph, radius2, sample.shape[1], float(np.median(gap)))
 
     def nearest(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Beam search on the graph: the ``beam`` nearest centroids found for
@@ -144,7 +154,7 @@ class Index:
                 if len(chosen) == REPLICAS or not d <= ds[0] * (1 + CLOSE):
                     break
                 gap = np.sqrt(((self.centroids[chosen] - self.centroids[c]) ** 2).sum(1))
-                if (gap > d).all():
+                if (gap >= self.spacing).all():
                     chosen.append(int(c))
             out.append(chosen)
         return out
@@ -282,9 +292,9 @@ def exact(vectors: DataFrame, q_ids: np.ndarray, queries: np.ndarray, k: int) ->
 
 def calibrate(index: Index, vectors: DataFrame, queries: DataFrame, k: int,
               coverage: float = COVERAGE) -> tuple[float, float, int]:
-    """Distance ratio that covers ``coverage`` of the true neighbours of a
-    bounded set of queries, the least distance that ratios are taken of, and a
-    beam that holds as many lists."""
+    """``(ratio limit, least distance that ratios are taken of, beam)`` from the
+    true neighbours of a bounded set of queries: the beam is the number of lists
+    that reaches ``coverage`` of them, the ratio covers ``RATIO_COVERAGE``."""
     q_ids, q = _collect(queries.orderBy(F.xxhash64("id"), "id").limit(CALIBRATION_QUERIES), index.dim)
     if not len(q_ids):
         return 1.0, 0.0, 1
@@ -296,13 +306,36 @@ def calibrate(index: Index, vectors: DataFrame, queries: DataFrame, k: int,
     # a query that sits on a centroid must not shut out every other list
     floor = max(float(np.median(to.min(axis=1))) / 2, 1e-12)
     ratio = to / np.maximum(to.min(axis=1, keepdims=True), floor)
+    place = np.argsort(np.argsort(to, axis=1, kind="stable"), axis=1, kind="stable")
     row = {i: n for n, i in enumerate(q_ids.tolist())}
     x = np.frombuffer(b"".join(bytes(h["vec"]) for h in hits), np.float64).reshape(-1, index.dim)
-    need = sorted(min(ratio[row[h["query_id"]], c] for c in lists)
-                  for h, lists in zip(hits, index.file(x)))
-    limit = float(need[min(len(need) - 1, int(np.ceil(coverage * len(need))))]) + 1e-9
-    widest = int((ratio <= limit).sum(axis=1).max())
-    return limit, floor, min(len(index.centroids), widest + widest // 2 + 8)
+    filed = [(row[h["query_id"]], lists) for h, lists in zip(hits, index.file(x))]
+
+    def covering(table, share):
+        need = sorted(min(table[r, c] for c in lists) for r, lists in filed)
+        return need[min(len(need) - 1, int(np.ceil(share * len(need))))]
+
+    limit = float(covering(ratio, max(coverage, RATIO_COVERAGE))) + 1e-9
+    wide = int(covering(place, coverage)) + 1
+    return limit, floor, min(len(index.centroids), wide + wide // 8)
+
+
+def chosen_lists(index: Index, lifted: np.ndarray, rule: tuple[float, float, int],
+                 rows_in: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lists nearest first for each query, and which of them it probes: those of
+    the walk that the ratio does not prune, and more, nearest first, until
+    ``enough`` rows are in reach."""
+    limit, floor, take = rule
+    beam = max(take, WALK)  # a walk that keeps few nodes goes astray
+    while True:
+        node, dist = index.nearest(lifted, beam)
+        if beam >= len(index.centroids) or (rows_in[node].sum(axis=1) >= enough).all():
+            break
+        beam *= 2
+    before = np.cumsum(rows_in[node], axis=1) - rows_in[node]
+    pruned = dist > np.maximum(dist[:, :1], floor) * limit
+    beyond = np.arange(node.shape[1])[None] >= take
+    return node, ~(pruned | beyond) | (before < enough)
 
 
 def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
@@ -336,7 +369,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
     if not len(sample):
         _, sample = _collect(vectors.limit(fit_rows), dim)
     index = Index.fit(sample, float(stats[1]), stats[0])
-    limit, floor, beam = calibrate(index, vectors, asked, k, coverage)
+    rule = calibrate(index, vectors, asked, k, coverage)
 
     def file(batches):
         import pyarrow as pa
@@ -387,11 +420,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
                 part = batch.slice(a, 1024)
                 x = _matrix(part.column(1), dim)
                 lifted = np.concatenate((x, np.zeros((len(x), 1))), 1)
-                node, dist = index.nearest(lifted, beam)
-                if (rows_in[node].sum(axis=1) < enough).any():  # too few rows in reach
-                    node, dist = index.nearest(lifted, len(index.centroids))
-                before = np.cumsum(rows_in[node], axis=1) - rows_in[node]
-                ok = (dist <= np.maximum(dist[:, :1], floor) * limit) | (before < enough)
+                node, ok = chosen_lists(index, lifted, rule, rows_in, enough)
                 row, shards, lists = [], [], []
                 for i in range(len(x)):
                     own = node[i][ok[i]]

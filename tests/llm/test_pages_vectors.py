@@ -63,6 +63,46 @@ def test_recall_on_the_embeddings(ready):
             assert s == dot(vec[q], vec[i])
 
 
+def clusters(n, dim=64, centres=400):
+    rng = np.random.default_rng(11)
+    c = rng.normal(size=(centres, dim))
+    x = c[rng.integers(0, centres, n)] + rng.normal(size=(n, dim)) * 0.5
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("table", ["sf0.1", "clustered"])
+def test_a_third_of_the_lists_reaches_the_recall(ready, table):
+    """The walk, the replicas and the pruning at work, on the query's own parts."""
+    if table == "sf0.1":
+        df = ready.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+        x = np.array([r.embedding for r in df.orderBy("vec_id").collect()], float)
+        share_limit = 0.36  # nearly random vectors, 15 lists
+    else:
+        x = clusters(50_000)
+        share_limit = 1 / 3
+    some = np.random.default_rng(1).choice(len(x), min(len(x), posting_ann.FIT_ROWS), replace=False)
+    index = posting_ann.Index.fit(x[some], float((x * x).sum(1).max()), len(x))
+    rows = ready.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "id long, vec binary")
+    rows = rows.checkpoint(eager=True)
+    rule = posting_ann.calibrate(index, rows, rows.filter("id % 20 = 0"), 20)
+    assert rule[2] < len(index.centroids)  # the graph is walked
+    lists = index.file(x)
+    replicas = np.mean([len(r) > 1 for r in lists])
+    assert replicas > (0.5 if table == "sf0.1" else 0.1)
+    rows_in = np.bincount(np.concatenate(lists), minlength=len(index.centroids))
+    asked = np.arange(0, len(x), 20)[:400]
+    lifted = np.concatenate((x[asked], np.zeros((len(asked), 1))), 1)
+    node, ok = posting_ann.chosen_lists(index, lifted, rule, rows_in, 4 * 21)
+    share = ok.sum(axis=1).mean() / len(index.centroids)
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    near = np.argsort(-score, axis=1)[:, :20]
+    hit = np.mean([any(c in probed for c in lists[v]) for a in range(len(asked))
+                   for probed in [set(node[a][ok[a]].tolist())] for v in near[a]])
+    print(f"{table}: recall {hit:.3f}, lists probed {share:.3f}, replicated {replicas:.2f}")
+    assert hit >= 0.9 and share <= share_limit
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, rank int").repartition(3)
 
