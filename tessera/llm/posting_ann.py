@@ -46,8 +46,10 @@ CALIBRATION_QUERIES = 96
 COVERAGE = 0.955
 RATIO_COVERAGE = 0.99
 LIST_ROWS = 128
-BLOCK_ROWS = 8_192
+#: Bytes of one block of vectors (float64) and cells of a score matrix.
+BLOCK_BYTES, CELLS = 32 << 20, 4 << 20
 QUERY_BLOCK = 4_096
+EXACT_ROWS = 8_192
 CLOSE = 0.1
 REPLICAS = 4
 DEGREE = 24
@@ -185,15 +187,20 @@ def neighbour_graph(cents: np.ndarray, degree: int = DEGREE) -> np.ndarray:
 def top_k(queries: np.ndarray, q_ids: np.ndarray, vectors: np.ndarray, v_ids: np.ndarray, k: int,
           allowed: np.ndarray | None = None, list_of: np.ndarray | None = None):
     """Best ``k`` rows of a block for every query, as ``(query_id, vec_id,
-    score)``.  ``allowed[q, list_of[v]]`` says which rows a query may see."""
+    score)``.  A query sees the rows for which ``allowed[q, l]`` holds with one
+    of their lists ``l`` in ``list_of[v]``."""
     out_q, out_v, out_s = [], [], []
     size = np.sqrt((vectors * vectors).sum(1)).max(initial=0.0)
-    for a in range(0, len(queries), 256):
-        q = queries[a:a + 256]
+    step = max(1, min(256, CELLS // max(1, len(vectors))))
+    for a in range(0, len(queries), step):
+        q = queries[a:a + step]
         s = q @ vectors.T
         if allowed is not None:
-            s[~allowed[a:a + 256][:, list_of]] = -np.inf
-        s[q_ids[a:a + 256, None] == v_ids[None, :]] = -np.inf
+            seen = allowed[a:a + step][:, list_of[:, 0]]
+            for more in list_of.T[1:]:
+                seen |= allowed[a:a + step][:, more]
+            s[~seen] = -np.inf
+        s[q_ids[a:a + step, None] == v_ids[None, :]] = -np.inf
         slack = 1e-12 * size * np.sqrt((q * q).sum(1))
         if s.shape[1] > k:
             # repeated ids may share places: look as deep as the block has them
@@ -216,7 +223,7 @@ def top_k(queries: np.ndarray, q_ids: np.ndarray, vectors: np.ndarray, v_ids: np
         heads = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1]))) if len(r) else np.zeros(0, int)
         nth = np.arange(len(r)) - np.repeat(heads, np.diff(np.concatenate((heads, [len(r)]))))
         best = nth < k
-        out_q.append(q_ids[a:a + 256][r[best]])
+        out_q.append(q_ids[a:a + step][r[best]])
         out_v.append(ids[best])
         out_s.append(score[best])
     if not out_q:
@@ -234,6 +241,15 @@ def _matrix(column, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
 
 
+def _places(column):
+    """Row, place in the row and value of every element of a list column."""
+    lists = column.combine_chunks()
+    size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(size)), size)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size), (
+        lists.flatten().to_numpy(zero_copy_only=False))
+
+
 def vectors_of(df: DataFrame, key: str = "vec_id", embedding: str = "embedding",
                dim: int | None = None) -> DataFrame:
     """``id, vec`` (float64 bytes) of the rows that take part."""
@@ -277,8 +293,8 @@ def exact(vectors: DataFrame, q_ids: np.ndarray, queries: np.ndarray, k: int) ->
         for batch in batches:
             v = _matrix(batch.column(1), dim)
             ids = batch.column(0).to_numpy()
-            for a in range(0, len(v), BLOCK_ROWS):
-                q, w, s = top_k(queries, q_ids, v[a:a + BLOCK_ROWS], ids[a:a + BLOCK_ROWS], k)
+            for a in range(0, len(v), EXACT_ROWS):
+                q, w, s = top_k(queries, q_ids, v[a:a + EXACT_ROWS], ids[a:a + EXACT_ROWS], k)
                 at = dict(zip(ids.tolist(), range(len(ids))))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q), pa.array(w), pa.array(s),
@@ -369,6 +385,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
     if not len(sample):
         _, sample = _collect(vectors.limit(fit_rows), dim)
     index = Index.fit(sample, float(stats[1]), stats[0])
+    n_lists, block_rows = len(index.centroids), max(1, BLOCK_BYTES // (8 * dim))
     rule = calibrate(index, vectors, asked, k, coverage)
 
     def file(batches):
@@ -389,12 +406,12 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
     shard_of, blocks, held = np.zeros(len(index.centroids), np.int64), [1], 0
     for c in range(len(index.centroids)):
         n = counts.get(c, 0)
-        if held and held + n > BLOCK_ROWS:
+        if held and held + n > block_rows:
             blocks.append(1)
             held = 0
         shard_of[c] = len(blocks) - 1
         held += n
-        blocks[-1] = max(1, -(-held // BLOCK_ROWS))
+        blocks[-1] = max(1, -(-held // block_rows))
     # lists are taken, nearest first, until k rows are sure to be among them:
     # a row stands in at most REPLICAS lists, and one may be the query itself
     rows_in = np.array([counts.get(c, 0) for c in range(len(index.centroids))])
@@ -449,12 +466,13 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
                              pa.array([], pa.float64())], names)
         v, q = (_matrix(t.column("vec"), dim) for t in (left, right))
         ids, q_ids = left.column("id").to_numpy(), right.column("id").to_numpy()
-        probed = [set(x) for x in right.column("lists").to_pylist()]
-        # equal list sets share a column of the permission matrix
-        kinds: dict[tuple, int] = {}
-        list_of = np.array([kinds.setdefault(tuple(x), len(kinds))
-                            for x in left.column("lists").to_pylist()])
-        allowed = np.array([[not p.isdisjoint(kind) for kind in kinds] for p in probed])
+        # rows x lists, padded with one list that nobody probes
+        list_of = np.full((len(ids), REPLICAS), n_lists)
+        r, at, flat = _places(left.column("lists"))
+        list_of[r, at] = flat
+        allowed = np.zeros((len(q_ids), n_lists + 1), bool)
+        r, _, flat = _places(right.column("lists"))
+        allowed[r, flat] = True
         a, b, s = top_k(q, q_ids, v, ids, k, allowed, list_of)
         return pa.table([pa.array(a), pa.array(b), pa.array(s)], names)
 

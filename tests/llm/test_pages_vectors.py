@@ -124,7 +124,7 @@ def test_unequal_norms_copies_and_ties(ready):
 def test_blocks_do_not_change_the_answer(ready, monkeypatch):
     df = ready.read.parquet(f"{SMALL}/embeddings.parquet")
     want = found(posting_ann.op3(df))
-    monkeypatch.setattr(posting_ann, "BLOCK_ROWS", 37)
+    monkeypatch.setattr(posting_ann, "BLOCK_BYTES", 37 * 8 * 64)
     monkeypatch.setattr(posting_ann, "QUERY_BLOCK", 3)
     assert found(posting_ann.op3(df)) == want
 
