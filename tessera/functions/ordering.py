@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -46,6 +46,47 @@ def global_index(df: DataFrame, order: list, name: str = "idx") -> DataFrame:
             .drop("_pid", "_mid", "_off"))
 
 
+# hexadecimal digits that one histogram of ``order_boundary`` resolves, and the
+# keys that are sorted once so few are left
+_DIGITS_PER_ROUND = 3
+_LAST_KEYS = 16 ** _DIGITS_PER_ROUND
+
+
+def order_boundary(keys: DataFrame, hash_col: str, key: str, rank_of) -> Row | None:
+    """The row of 0-based rank ``rank_of(n)`` in the order ``(hash_col, key)``
+    of the ``n`` rows of ``keys``; null hashes come last, and a rank among or
+    behind them gives None.
+
+    ``hash_col`` holds hexadecimal digests.  A histogram of their first digits
+    tells the bin in which the rank lies, the next one splits that bin, until
+    at most 4,096 keys are left.  Each round reads the key column and moves
+    4,096 counts a task; nothing is sorted or copied, and a table of 10^11 rows
+    takes three rounds."""
+    prefix, skipped, rank, last = "", 0, None, False
+    while not last:
+        width = len(prefix) + _DIGITS_PER_ROUND
+        inside = keys.filter(F.col(hash_col).startswith(prefix)) if prefix else keys
+        bins = sorted(((r["b"], r["n"]) for r in inside.groupBy(
+            F.substring(hash_col, 1, width).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()),
+            key=lambda bin_: (bin_[0] is None, bin_[0]))
+        if rank is None:
+            rank = rank_of(sum(n for _, n in bins))
+        for prefix, n in bins:
+            if rank < skipped + n:
+                break
+            skipped += n
+        else:
+            return None
+        if prefix is None:
+            return None
+        # equal digests end the search as well: their keys are equal as texts
+        last = n <= _LAST_KEYS or len(prefix) < width
+    left = keys.filter(F.col(hash_col).startswith(prefix)).select(hash_col, key)
+    if n > _LAST_KEYS:
+        return left.agg(F.min(hash_col).alias(hash_col), F.min(key).alias(key)).first()
+    return left.orderBy(hash_col, key).limit(rank - skipped + 1).collect()[-1]
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy per-row work (chunking, embedding, splitting) at least
     one task per core.  A small table stored as one row group reads as a

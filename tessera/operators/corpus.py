@@ -1,8 +1,8 @@
 """Corpus build (job A): split, skip finished work, page concatenation, names.
 
 * ``split_exact`` (T1/T2): a repeatable permutation (md5 of seed and key),
-  the first ``floor(n * ratio)`` rows are train, the rest eval.  One global
-  order is needed; it is a distributed range sort with per-partition offsets.
+  the first ``floor(n * ratio)`` rows are train, the rest eval.  The boundary
+  key is selected by digit histograms; there is no sort.
 * ``split_fraction`` (T2, scale mode): train iff md5 fraction < ratio.  Narrow,
   no shuffle at all; the train share is ``ratio`` only approximately.
 * ``skip_done`` (J4): left-anti join against what is finished.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.ordering import global_index, md5_fraction, md5_order_key
+from tessera.functions.ordering import md5_fraction, md5_order_key, order_boundary
 from tessera.functions.text import file_stem, window_file_name  # noqa: F401
 
 
@@ -22,22 +22,29 @@ def split_exact(df: DataFrame, key: str = "doc_id", ratio: float = 0.9, seed=42,
                 split_col: str = "split") -> DataFrame:
     """Adds ``split`` in {'train', 'eval'} (the eval ratio is the remainder).
 
-    Only the boundary is global: the ``cut``-th key in the permutation order
-    is found by sorting the key columns alone; the table itself (text and
-    all) is then split by a narrow comparison with that key — no shuffle and
-    no copy of the wide rows.  ``key`` must be unique."""
+    Only the boundary is global: the ``cut``-th key in the permutation order is
+    found by histograms of its md5 digits (``order_boundary``), without a sort;
+    the table itself (text and all) is then split by a narrow comparison with
+    that key, with no shuffle and no copy of the wide rows.  ``key`` should be
+    unique: rows of one key always share a side.  Rows with a null key count
+    towards the size and are eval unless everything is train."""
     if not 0.0 <= ratio <= 1.0:
         raise ValueError("ratio must be in [0, 1]")
     order_key = md5_order_key(seed, key)
-    keys = df.select(F.col(key), order_key.alias("_k"))
-    n = keys.count()
-    cut = int(n * ratio)
-    if cut >= n:
+    size = {}
+
+    def cut(n):
+        size["n"], size["cut"] = n, int(n * ratio)
+        return size["cut"]
+
+    edge = order_boundary(df.select(F.col(key), order_key.alias("_k")), "_k", key, cut)
+    if size["cut"] >= size["n"]:
         return df.withColumn(split_col, F.lit("train"))
-    ranked = global_index(keys, [F.col("_k"), F.col(key)], "_i")
-    edge = ranked.filter(F.col("_i") == cut).select("_k", key).first()
-    before = (order_key < F.lit(edge["_k"])) | \
-        ((order_key == F.lit(edge["_k"])) & (F.col(key) < F.lit(edge[key])))
+    if edge is None:  # the boundary lies among the null keys
+        before = order_key.isNotNull()
+    else:
+        before = (order_key < F.lit(edge["_k"])) | \
+            ((order_key == F.lit(edge["_k"])) & (F.col(key) < F.lit(edge[key])))
     return df.withColumn(split_col, F.when(before, F.lit("train")).otherwise(F.lit("eval")))
 
 
