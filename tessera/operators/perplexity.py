@@ -4,12 +4,14 @@ Chunks of ``chunk_words`` words are scored; a chunk's perplexity is
 ``exp(mean token loss)`` (A3) and the report is the unweighted mean over
 chunks (A2), infinity when there is no chunk.
 
-The scorer is a plug-in (``make_scorer() -> f(list[str]) -> list[float]``
-mean losses, run as an Arrow batch UDF).  The built-in default is a unigram
-model with add-one smoothing counted from the train split, so the whole job
-stays in Spark SQL: token occurrences join the (aggregated) train counts — AQE
-broadcasts them where their measured size allows and splits hot tokens
-otherwise — then average per chunk and over chunks.
+Two built-in scorers are counted from the train split and stay in Spark SQL:
+unigrams with add-one smoothing, and interpolated back-off bigrams whose
+back-off weighs a word by the number of words it follows.
+
+The scorer may also be a plug-in (``make_scorer() -> f(list[str]) -> list[float]``
+mean losses, run as an Arrow batch UDF).  Token occurrences join the
+(aggregated) train counts, which AQE broadcasts where their measured size allows
+and otherwise splits at hot tokens, then average per chunk and over chunks.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +43,56 @@ def unigram_losses(train: DataFrame, eval_chunks: DataFrame, text_col: str = "te
     return j.groupBy(*key).agg(F.count(F.lit(1)).alias("n_tokens"), F.avg(nll).alias("loss"))
 
 
+def _word_pairs(words) -> Column:
+    """``array<struct<v, w>>``: every word ``w`` with the word ``v`` before it
+    (null before the first)."""
+    return F.transform(words, lambda w, i: F.struct(
+        F.when(i > 0, F.get(words, i - 1)).alias("v"), w.alias("w")))
+
+
+def bigram_losses(train: DataFrame, eval_chunks: DataFrame, text_col: str = "text",
+                  key=("doc_id", "chunk_id"), discount: float = 0.75) -> DataFrame:
+    """``(key..., n_tokens, loss)`` under interpolated bigrams with absolute
+    discount d.  With c(v,w) the train pairs, c(v) their sum over w, t(v) and
+    f(w) the different words after v and before w, and T(x) how many words have
+    an f, B the different pairs:
+
+        low(w)   = (max(f(w) - d, 0) + d * T / (T + 1)) / B
+        p(w | v) = (max(c(v,w) - d, 0) + d * t(v) * low(w)) / c(v)
+
+    p is low where v never came before a word in train or w opens a chunk, and
+    low is 1 where train holds no pair at all.  ``T + 1`` leaves room for one unseen word.  Pairs
+    do not cross documents or chunks.  A chunk's pairs are counted before they
+    are joined, so a frequent pair costs one row a chunk."""
+    if not 0.0 < discount < 1.0:
+        raise ValueError("discount must be between 0 and 1")
+    from tessera.session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)
+
+    def pairs(df, *keep):
+        split = df.select(*keep, lower_words(F.col(text_col)).alias("_words"))
+        return split.select(*keep, F.explode(_word_pairs(F.col("_words"))).alias("_x")).select(
+            *keep, "_x.v", "_x.w")
+
+    one = F.count(F.lit(1))
+    seen = (pairs(train).filter(F.col("v").isNotNull()).groupBy("v", "w").agg(one.alias("c"))
+            .checkpoint(eager=True))
+    before = seen.groupBy("v").agg(F.sum("c").alias("cv"), one.alias("tv"))
+    follows = seen.groupBy("w").agg(one.alias("f")).checkpoint(eager=True)
+    total = follows.agg(F.sum("f").alias("B"), one.alias("T")).first()
+    b, t = total["B"] or 0, total["T"]
+    asked = pairs(eval_chunks, *key).groupBy(*key, "v", "w").agg(one.alias("_n"))
+    j = asked.join(seen, ["v", "w"], "left").join(before, "v", "left").join(follows, "w", "left")
+    d = F.lit(float(discount))
+    zero = F.lit(0.0)
+    low = (F.greatest(F.coalesce("f", F.lit(0)) - d, zero) + d * F.lit(t / (t + 1.0))) / F.lit(float(b)) \
+        if b else F.lit(1.0)
+    p = F.when(F.col("cv").isNull(), low).otherwise(
+        (F.greatest(F.coalesce("c", F.lit(0)) - d, zero) + d * F.col("tv") * low) / F.col("cv"))
+    return j.groupBy(*key).agg(F.sum("_n").alias("n_tokens"),
+                               (F.sum(-F.log(p) * F.col("_n")) / F.sum("_n")).alias("loss"))
+
+
 def cut_tokens(model, text):
     """T5 in front of a plug-in: at most ``model.max_tokens`` of its tokens."""
     limit = getattr(model, "max_tokens", None)

@@ -464,3 +464,33 @@ o AS (SELECT *, row_number() OVER (ORDER BY doc_row, chunk_id) - 1 AS i, count(*
 SELECT given_id AS doc_id, doc_row, CAST(chunk_id AS INTEGER) AS chunk_id, i // 8 AS batch_id,
        CAST(i % 8 AS INTEGER) AS slot, md5(text) AS text_md5 FROM o WHERE i // 8 < n // 8""",
 })
+
+
+def _pairs_of(source: str, keys: str) -> str:
+    """Words of ``ws`` with the word before (null before the first)."""
+    return f"""SELECT {keys}CASE WHEN i > 1 THEN ws[i - 1] END AS v, ws[i] AS w
+      FROM (SELECT {keys}ws, unnest(range(1, len(ws) + 1)) AS i FROM {source})"""
+
+
+# back-off bigrams, discount 0.75
+ORACLE_SQL["perplexity_bigram"] = "WITH " + f"""
+sp AS ({_SPLIT_HASH}),
+dsp AS (SELECT d.*, sp.split FROM documents d JOIN sp USING (doc_id)),
+evd AS (SELECT * FROM dsp WHERE split = 'eval'),""" + _chunks_cte("ev", 1500, "", "evd").strip() + f""",
+tw AS (SELECT {_lwords('text')} AS ws FROM dsp WHERE split = 'train'),
+ew AS (SELECT doc_id, chunk_id, {_lwords('text')} AS ws FROM ev),
+tp AS ({_pairs_of('tw', '')}),
+ep AS ({_pairs_of('ew', 'doc_id, chunk_id, ')}),
+seen AS (SELECT v, w, count(*) AS c FROM tp WHERE v IS NOT NULL GROUP BY v, w),
+bef AS (SELECT v, sum(c) AS cv, count(*) AS tv FROM seen GROUP BY v),
+fol AS (SELECT w, count(*) AS f FROM seen GROUP BY w),
+tot AS (SELECT sum(f)::DOUBLE AS b, count(*)::DOUBLE AS t FROM fol),
+lw AS (SELECT doc_id, chunk_id, c, cv, tv,
+              (greatest(coalesce(f, 0) - 0.75::DOUBLE, 0) + 0.75::DOUBLE * t / (t + 1)) / b AS low
+       FROM ep LEFT JOIN seen ON ep.v = seen.v AND ep.w = seen.w
+       LEFT JOIN bef ON ep.v = bef.v LEFT JOIN fol ON ep.w = fol.w CROSS JOIN tot),
+lo AS (SELECT doc_id, chunk_id, count(*) AS n_tokens,
+              avg(-ln(CASE WHEN cv IS NULL THEN low ELSE
+                (greatest(coalesce(c, 0) - 0.75::DOUBLE, 0) + 0.75::DOUBLE * tv * low) / cv END)) AS loss
+       FROM lw GROUP BY doc_id, chunk_id)
+SELECT doc_id, chunk_id, n_tokens, round(loss, 7) AS loss, round(exp(loss), 3) AS perplexity FROM lo"""

@@ -906,7 +906,21 @@ def q_batch_null_repeated(spark, sf_dir):
                     F.md5("text").alias("text_md5"))
 
 
+def _bigram_chunks(spark, sf_dir):
+    docs = corpus.split_fraction(_docs(spark, sf_dir), "doc_id", SPLIT_RATIO, SPLIT_SEED)
+    chunks = ppl.eval_chunks(docs.filter(F.col("split") == "eval"), EVAL_CHUNK_WORDS)
+    return ppl.chunk_perplexity(ppl.bigram_losses(docs.filter(F.col("split") == "train"), chunks))
+
+
+def q_perplexity_bigram(spark, sf_dir):
+    """R10 + A3: perplexity of every eval chunk under back-off bigrams."""
+    return _bigram_chunks(spark, sf_dir).select(
+        "doc_id", F.col("chunk_id").cast("int").alias("chunk_id"), "n_tokens",
+        F.round("loss", 7).alias("loss"), F.round("perplexity", 3).alias("perplexity"))
+
+
 QUERIES.update({
+    "perplexity_bigram": q_perplexity_bigram,
     "loader_text": q_loader_text,
     "loader_paged": q_loader_paged,
     "loader_jsonl": q_loader_jsonl,
