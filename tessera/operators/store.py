@@ -8,7 +8,9 @@ Layout under one root (a shared folder)::
     centroids/  cell_id, centroid                               (IVF, PQ, HNSW)
     codebook/   sub, code, centroid                             (PQ)
     codes/      row_id, cell_id, codes                          (PQ, partitioned by cell_id)
-    manifest/   one row: index_type, dim, nlist, nprobe, m, nbits, n_vectors, model
+    manifest/   index_type, dim, nlist, nprobe, m, nbits, n_vectors, model, version;
+                one row a version, the highest counts
+    batches/    batch_id, state ('begun' or 'done') of named appends
 
 Search reads ``vectors`` (or ``codes``) only; a cell-partitioned table gets
 partition pruning from the probed cell list.  ``HNSW`` is re-aimed as an IVF
@@ -20,6 +22,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,7 +139,7 @@ def build_store(docs: DataFrame, root: str, index_type: str = "Flat", *,
 
 def load_store(spark: SparkSession, root: str) -> Store:
     """The store's tables and its manifest (the index type is restored)."""
-    manifest = spark.read.parquet(f"{root}/manifest").first().asDict()
+    manifest = _read_manifest(spark, root)
     kind = manifest["index_type"]
     st = Store(manifest, spark.read.parquet(f"{root}/chunks"), spark.read.parquet(f"{root}/vectors"))
     if kind != "Flat":
@@ -147,50 +150,97 @@ def load_store(spark: SparkSession, root: str) -> Store:
     return st
 
 
-def _write_manifest(spark: SparkSession, root: str, manifest: dict) -> None:
-    spark.createDataFrame([manifest]).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest")
+def _read_manifest(spark: SparkSession, root: str) -> dict:
+    rows = spark.read.option("mergeSchema", True).parquet(f"{root}/manifest")
+    if "version" in rows.columns:
+        rows = rows.orderBy(F.col("version").desc_nulls_last())
+    return rows.first().asDict()
 
 
-def add_vectors(root: str, new_vectors: DataFrame, new_chunks: DataFrame | None = None) -> int:
+def _write_manifest(spark: SparkSession, root: str, manifest: dict, mode: str = "overwrite") -> None:
+    """An append adds a row with the next version, so that the store never
+    stands without a manifest."""
+    row = {**manifest, "version": 0 if mode == "overwrite" else (manifest.get("version") or 0) + 1}
+    spark.createDataFrame([row]).coalesce(1).write.mode(mode).parquet(f"{root}/manifest")
+
+
+def _batch_state(spark: SparkSession, root: str, batch_id: str) -> str | None:
+    """'done', 'begun' or None: what became of earlier attempts at a batch."""
+    try:
+        log = spark.read.parquet(f"{root}/batches")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    states = {r["state"] for r in log.filter(F.col("batch_id") == batch_id).select("state")
+              .distinct().collect()}
+    return "done" if "done" in states else "begun" if states else None
+
+
+def _log_batch(spark: SparkSession, root: str, batch_id: str, state: str) -> None:
+    spark.createDataFrame([(batch_id, state)], "batch_id string, state string").coalesce(1) \
+        .write.mode("append").parquet(f"{root}/batches")
+
+
+def add_vectors(root: str, new_vectors: DataFrame, new_chunks: DataFrame | None = None,
+                batch_id: str | None = None) -> int:
     """V8: append ``(row_id, embedding)`` rows, and the chunk rows that searches
     return for them, to a store of any index type; returns ntotal.  New vectors
     are filed under the store's cells (and coded with its codebook); the index
-    is not trained again."""
+    is not trained again.
+
+    A named batch is added once: when it is done a further call changes
+    nothing, and after an attempt that broke off only the rows that a table
+    lacks are written (told by ``row_id``, which a batch must give alike every
+    time).  Attempts at one batch must not run side by side."""
     spark = new_vectors.sparkSession
     st = load_store(spark, root)
     kind = st.manifest["index_type"]
+    if kind not in INDEX_TYPES:
+        raise ValueError(f"unknown index type {kind!r}")
+    state = None if batch_id is None else _batch_state(spark, root, batch_id)
+    if state == "done":
+        return st.manifest["n_vectors"]
+    if batch_id is not None and state is None:
+        _log_batch(spark, root, batch_id, "begun")
+
+    def lacking(rows: DataFrame, table: DataFrame) -> DataFrame:
+        return rows if state is None else rows.join(table.select("row_id"), "row_id", "left_anti")
+
     new = new_vectors.select("row_id", "embedding")
     if kind == "Flat":
-        new.write.mode("append").parquet(f"{root}/vectors")
-    elif kind in INDEX_TYPES:
+        lacking(new, st.vectors).write.mode("append").parquet(f"{root}/vectors")
+    else:
         filed_dir = scratch_path(spark, "filed")
         ivf.assign_cells(new, st.centroids).write.parquet(filed_dir)
         filed = spark.read.parquet(filed_dir)
         if kind == "PQ":
-            (_by_cell(ivf.encode_pq(filed, st.centroids, st.codebook)).write.mode("append")
-             .partitionBy("cell_id").parquet(f"{root}/codes"))
-        _by_cell(filed).write.mode("append").partitionBy("cell_id").parquet(f"{root}/vectors")
-    else:
-        raise ValueError(f"unknown index type {kind!r}")
+            (_by_cell(lacking(ivf.encode_pq(filed, st.centroids, st.codebook), st.codes))
+             .write.mode("append").partitionBy("cell_id").parquet(f"{root}/codes"))
+        _by_cell(lacking(filed, st.vectors)).write.mode("append").partitionBy("cell_id") \
+            .parquet(f"{root}/vectors")
     if new_chunks is not None:
-        (new_chunks.select(*st.chunks.columns).sortWithinPartitions("row_id")
+        (lacking(new_chunks.select(*st.chunks.columns), st.chunks).sortWithinPartitions("row_id")
          .write.mode("append").parquet(f"{root}/chunks"))
     total = spark.read.parquet(f"{root}/vectors").count()
-    _write_manifest(spark, root, {**st.manifest, "n_vectors": total})
+    _write_manifest(spark, root, {**st.manifest, "n_vectors": total}, "append")
+    if batch_id is not None:
+        _log_batch(spark, root, batch_id, "done")
     return total
 
 
 def add_documents(root: str, docs: DataFrame, *, chunker: str = "recursive", chunk_size: int = 400,
                   overlap: int = 50, chunk_words: int = 64, embed=None,
-                  make_embedder=None) -> int:
+                  make_embedder=None, batch_id: str | None = None) -> int:
     """Documents -> chunks -> vectors -> ``add_vectors``, as ``build_store``
-    makes them (give the same chunker and embedder)."""
+    makes them (give the same chunker and embedder).  Row ids follow from
+    document and chunk, so a named batch may be tried again."""
     spark = docs.sparkSession
     chunk_dir = scratch_path(spark, "new-chunks")
     chunk_documents(spread(docs), chunker, chunk_size, overlap, chunk_words).write.parquet(chunk_dir)
     chunks = spark.read.parquet(chunk_dir)
     dim = load_store(spark, root).manifest["dim"]
-    return add_vectors(root, embedded(chunks, "text", embed, make_embedder, dim), chunks)
+    return add_vectors(root, embedded(chunks, "text", embed, make_embedder, dim), chunks, batch_id)
 
 
 def search_store(store: Store, queries: DataFrame, k: int = 5, nprobe: int | None = None,

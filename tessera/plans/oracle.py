@@ -494,3 +494,33 @@ lo AS (SELECT doc_id, chunk_id, count(*) AS n_tokens,
                 (greatest(coalesce(c, 0) - 0.75::DOUBLE, 0) + 0.75::DOUBLE * tv * low) / cv END)) AS loss
        FROM lw GROUP BY doc_id, chunk_id)
 SELECT doc_id, chunk_id, n_tokens, round(loss, 7) AS loss, round(exp(loss), 3) AS perplexity FROM lo"""
+
+
+ORACLE_SQL.update({
+    "job_windows": ORACLE_SQL["token_windows_padded"],
+    "job_search": ORACLE_SQL["search_rerank"],
+    "job_answer": _ANSWERS + """
+SELECT q_id, question, answer, CAST(5 AS INTEGER) AS n_chunks, true AS timed FROM rans""",
+    "job_benchmark": _GRID + """
+SELECT b.text AS question, k, rerank, answer FROM ans JOIN benchmark b ON b.item_id = q_id""",
+    "job_compare": _ANSWERS + f"""
+SELECT question, answer AS rag_answer, ft_answer FROM rans JOIN (
+  SELECT item_id, {_stub_answer(_plain_prompt('text'))} AS ft_answer FROM benchmark) ON item_id = q_id""",
+    "job_perplexity": ORACLE_SQL["perplexity_unigram"],
+    "job_extract": f"""
+WITH p AS (SELECT doc_id, ({_EXTRACT} || {_NL2} || 'Text: ' || text) AS prompt FROM documents)
+SELECT doc_id, md5(prompt) AS prompt_md5, {_digest_answer("substr(prompt, strpos(prompt, 'Text: ') + 6)")} AS answer
+FROM p""",
+    "prompt_files": f"""
+SELECT prompt, {_stub_answer('prompt')} AS answer
+FROM (SELECT {_plain_prompt('text')} AS prompt FROM benchmark)""",
+    "knn_few_rows": f"""
+WITH x AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+m AS (SELECT label, list(a ORDER BY i) AS e FROM (SELECT label, i, avg(x) AS a FROM x GROUP BY label, i)
+      GROUP BY label),
+d AS (SELECT vec_id AS q_id, m.label, {_D2.format(a='q.embedding', b='m.e')} AS d2 FROM embeddings q, m)
+SELECT q_id, CAST(label AS BIGINT) AS label,
+       CAST(row_number() OVER (PARTITION BY q_id ORDER BY round(d2, 9), label) AS INTEGER) AS rank,
+       round(d2, 6) AS d2 FROM d""",
+    "store_append_named": ORACLE_SQL["search_text"],
+})

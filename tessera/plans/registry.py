@@ -18,6 +18,7 @@ from tessera.operators import perplexity as ppl
 from tessera.operators import store as vstore
 from tessera.operators.generate import DigestExtract
 from tessera.operators.rerank import term_overlap
+from tessera.plans import jobs
 from tessera.session import prepare, scratch_path
 from tessera.sources import files as file_sources
 from tessera.sources import loaders, sinks
@@ -919,7 +920,111 @@ def q_perplexity_bigram(spark, sf_dir):
         F.round("loss", 7).alias("loss"), F.round("perplexity", 3).alias("perplexity"))
 
 
+# ---------------------------------------------------------------- jobs
+def _saved_store(spark, sf_dir):
+    root = scratch_path(spark, "store")
+    vstore.build_store(_t(spark, sf_dir, "documents"), root, "Flat", chunker="words",
+                       chunk_words=SEARCH_CHUNK_WORDS, dim=DIM)
+    return root
+
+
+def q_job_windows(spark, sf_dir):
+    """The window job writes JSON lines, which are read again."""
+    root = scratch_path(spark, "windows")
+    jobs.token_windows(_docs(spark, sf_dir), root, WINDOW_MAX, WINDOW_STRIDE)
+    back = file_sources.read_samples(spark, root, keys="doc_id long, chunk_id int")
+    return chunking.default_attention_mask(back).select("doc_id", "chunk_id", *[
+        F.col(c).cast("array<int>").alias(c) for c in ("input_ids", "labels", "attention_mask")])
+
+
+def q_job_search(spark, sf_dir):
+    """The search job over a saved store, with the rerank."""
+    h = jobs.search(spark, _saved_store(spark, sf_dir), _questions(spark, sf_dir), K, rerank=True)
+    return h.select("q_id", "rank", "prev_rank", "doc_id", "chunk_id", "overlap",
+                    F.round("similarity", 6).alias("similarity"), F.round("score", 6).alias("score"))
+
+
+def q_job_answer(spark, sf_dir):
+    """E5: answers over a saved store; every answer has its seconds and its hits."""
+    a = jobs.answer(spark, _saved_store(spark, sf_dir), _questions(spark, sf_dir), _stub, K,
+                    show_retrieved=True)
+    timed = (F.col("performance.total_time") >= F.col("performance.generation_time")) & \
+        (F.col("performance.retrieval_time") > 0)
+    return a.select("q_id", "question", "answer", F.size("retrieved_chunks").alias("n_chunks"),
+                    timed.alias("timed"))
+
+
+def q_job_benchmark(spark, sf_dir):
+    """The eight-column grid report over a saved store (seconds left out)."""
+    g = jobs.benchmark(spark, _saved_store(spark, sf_dir), _questions(spark, sf_dir), _stub)
+    return g.select("question", F.col("k").cast("int").alias("k"), "rerank", "answer")
+
+
+def q_job_compare(spark, sf_dir):
+    """Answers over a saved store beside a second model's (seconds left out)."""
+    c = jobs.compare(spark, _saved_store(spark, sf_dir), _questions(spark, sf_dir), _stub, _stub, K)
+    return c.select("question", "rag_answer", "ft_answer")
+
+
+def q_job_perplexity(spark, sf_dir):
+    """The perplexity job on the hashed split."""
+    docs = corpus.split_fraction(_docs(spark, sf_dir), "doc_id", SPLIT_RATIO, SPLIT_SEED)
+    m = jobs.perplexity(docs.filter(F.col("split") == "train"),
+                        docs.filter(F.col("split") == "eval"), EVAL_CHUNK_WORDS)
+    return m.select("n_chunks", F.round("perplexity", 4).alias("perplexity"))
+
+
+def q_job_extract(spark, sf_dir):
+    """R4 + R5: the extraction job over every document."""
+    out = jobs.extract(_docs(spark, sf_dir), lambda: DigestExtract(STUB_WORDS, marker="Text: "))
+    return out.select("doc_id", F.md5("prompt").alias("prompt_md5"), "answer")
+
+
+def q_prompt_files(spark, sf_dir):
+    """S7 + R5: prompt files, each read whole and answered once."""
+    root = scratch_path(spark, "prompts")
+    sinks.export_text_files(_questions(spark, sf_dir).select(
+        F.concat(F.lit("prompt"), F.col("q_id").cast("string")).alias("stem"),
+        prompts.plain_prompt("question").alias("text")), root)
+    return jobs.run_prompt_file(spark, root, _stub).select("prompt", "answer")
+
+
+def q_knn_few_rows(spark, sf_dir):
+    """Fewer rows in the index (one mean vector per label) than hits asked
+    for; no padding hit is returned."""
+    emb = _emb(spark, sf_dir)
+    means = embed.mean_pool(emb.select("label", F.col("embedding").alias("vec")), "label", "vec", None)
+    hits = knn.knn_search(means.select(F.col("label").cast("long").alias("label"),
+                                       F.col("pooled").alias("embedding")).checkpoint(eager=True),
+                          emb.select(F.col("vec_id").alias("q_id"), "embedding"), 1000, id_col="label")
+    return hits.select("q_id", "label", "rank", F.round("d2", 6).alias("d2"))
+
+
+def q_store_append_named(spark, sf_dir):
+    """V8: a named batch added twice is in the store once."""
+    docs = _t(spark, sf_dir, "documents")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    root = scratch_path(spark, "store")
+    options = {"chunker": "words", "chunk_words": SEARCH_CHUNK_WORDS}
+    vstore.build_store(docs.filter(english), root, "Flat", dim=DIM, **options)
+    for _ in range(2):
+        vstore.add_documents(root, docs.filter(~english), batch_id="others", **options)
+    h = jobs.search(spark, root, _questions(spark, sf_dir), K)
+    return h.select("q_id", "rank", "doc_id", "chunk_id", F.col("metadata.source").alias("source"),
+                    F.round("similarity", 6).alias("similarity"))
+
+
 QUERIES.update({
+    "job_windows": q_job_windows,
+    "job_search": q_job_search,
+    "job_answer": q_job_answer,
+    "job_benchmark": q_job_benchmark,
+    "job_compare": q_job_compare,
+    "job_perplexity": q_job_perplexity,
+    "job_extract": q_job_extract,
+    "prompt_files": q_prompt_files,
+    "knn_few_rows": q_knn_few_rows,
+    "store_append_named": q_store_append_named,
     "perplexity_bigram": q_perplexity_bigram,
     "loader_text": q_loader_text,
     "loader_paged": q_loader_paged,

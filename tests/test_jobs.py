@@ -111,3 +111,34 @@ def test_extract_and_prompt_file(spark):
         f.write("Question: why?\n\nAnswer:")
     r = jobs.run_prompt_file(spark, f"{path}/prompt.txt", lambda: EchoExtract(2)).first()
     assert r.answer == "Question: why?"
+
+
+def test_named_batch_is_added_once_after_a_broken_attempt(spark, monkeypatch):
+    import pytest
+    from tessera.operators import store as vstore
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    old, new = docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1")
+    options = {"chunker": "words", "chunk_words": 100}
+    for kind in ("Flat", "PQ"):
+        root = scratch_path(spark, f"named-{kind}")
+        first = vstore.build_store(old, root, kind, nlist=4, nbits=4, **options).first().n_chunks
+        chunks = vstore.chunk_documents(new, **options).checkpoint(eager=True)
+        vectors = vstore.embedded(chunks, "text")
+        total = first + chunks.count()
+
+        def tables():
+            names = ("vectors", "chunks") + (("codes",) if kind == "PQ" else ())
+            return [spark.read.parquet(f"{root}/{n}").select("row_id").distinct().count() for n in names] + \
+                [spark.read.parquet(f"{root}/{n}").count() for n in names]
+
+        with pytest.raises(Exception):  # vectors are written, chunks are not
+            vstore.add_vectors(root, vectors, chunks.drop("text"), batch_id="b1")
+        with monkeypatch.context() as m:  # all tables are written, the manifest is not
+            m.setattr(vstore, "_write_manifest", lambda *a: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                vstore.add_vectors(root, vectors, chunks, batch_id="b1")
+        assert vstore.load_store(spark, root).manifest["n_vectors"] == first
+        for _ in range(2):
+            assert vstore.add_vectors(root, vectors, chunks, batch_id="b1") == total
+            assert set(tables()) == {total}
+        assert vstore.load_store(spark, root).manifest["n_vectors"] == total
