@@ -30,6 +30,7 @@ from tessera.functions.ordering import md5_order_key, spread
 from tessera.operators import ivf, knn, retrieval, splitter
 from tessera.session import scratch_path
 from tessera.operators.embed import embed_with, hash_embedding
+from tessera.sources.tables import NOTHING_WRITTEN
 
 INDEX_TYPES = ("Flat", "IVF", "PQ", "HNSW")
 # queries that calibrate nprobe for the HNSW re-aim (the first ones in md5 order)
@@ -169,7 +170,7 @@ def _batch_state(spark: SparkSession, root: str, batch_id: str) -> str | None:
     try:
         log = spark.read.parquet(f"{root}/batches")
     except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() not in NOTHING_WRITTEN:
             raise
         return None
     states = {r["state"] for r in log.filter(F.col("batch_id") == batch_id).select("state")

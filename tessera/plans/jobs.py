@@ -24,6 +24,7 @@ from tessera.operators import perplexity as ppl
 from tessera.operators import store as vstore
 from tessera.session import scratch_path
 from tessera.sources import files, sinks
+from tessera.sources.tables import NOTHING_WRITTEN
 
 
 def finished(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -32,7 +33,7 @@ def finished(spark: SparkSession, out_dir: str) -> DataFrame:
         return spark.read.parquet(out_dir).select("stem")
     except AnalysisException as e:
         # no folder yet, or one without files; anything else is not "nothing done"
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() not in NOTHING_WRITTEN:
             raise
         return spark.createDataFrame([], "stem string")
 

@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.tables import NOTHING_WRITTEN
+
 # schema of Spark's binaryFile source (a stream needs it up front)
 BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, "
                       "content binary")
@@ -44,7 +46,7 @@ def _rows(spark: SparkSession, sink_dir: str) -> int:
     try:
         return spark.read.parquet(sink_dir).count()
     except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() not in NOTHING_WRITTEN:
             raise
         return 0  # nothing has been written yet
 
