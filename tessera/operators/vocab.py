@@ -3,10 +3,10 @@
 Tokens are the whitespace words of the text (case kept).  Ids are ranks by
 (count desc, token asc), starting at ``first_id`` (0 is the pad id).  The
 ranking uses a distributed sort with per-partition offsets, never one task.
-Encoding looks tokens up where the text lies, with the vocabulary broadcast
-after a check of its bytes; a larger vocabulary is joined by shuffle, where
-AQE's skew join splits hot tokens, and regrouped by row (one document = one
-group, bounded by the row itself).
+Encoding looks the commonest tokens, a table bounded in bytes, up where the text
+lies; only the distinct rarer tokens of a row are joined, by shuffle, with the
+rest of the vocabulary and regrouped by row (bounded by the row itself).  A
+vocabulary within the bound has no rest: nothing is shuffled then.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,11 @@ from tessera.functions.text import words
 PAD_ID = 0
 # bytes of token text that are shipped to every task (about six times as much
 # as a Python dictionary)
-MAX_BROADCAST_BYTES = 32 << 20
+MAX_BROADCAST_BYTES = 16 << 20
+# spans of ids in which the hot tokens' bytes are counted
+ID_SPANS = 4096
+# a cold token's place in its row's list, told from ids (32 bits) by this offset
+_COLD = 1 << 32
 
 
 def token_occurrences(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
@@ -47,20 +51,64 @@ def build_vocabulary(docs: DataFrame, text_col: str = "text", first_id: int = 1,
 def encode(docs: DataFrame, vocab: DataFrame, text_col: str = "text", key: str = "doc_id",
            unk_id: int | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``(key, input_ids array<int>)`` in text order; unknown tokens map to
-    ``unk_id`` or are dropped when it is None."""
-    size = vocab.agg(F.sum(F.octet_length("token") + 16)).first()[0] or 0
-    if size <= max_broadcast_bytes:
-        return _encode_in_place(docs, vocab, text_col, key, unk_id)
-    return _encode_by_join(docs, vocab, text_col, key, unk_id)
-
-
-def _encode_in_place(docs, vocab, text_col, key, unk_id) -> DataFrame:
-    """One scan of the text and no shuffle: each task holds the vocabulary."""
-    table = vocab.select("token", "id").toArrow()
+    ``unk_id`` or are dropped when it is None.  ``vocab`` has distinct tokens, the
+    commonest with the smallest ids; the bound decides where a token is looked up,
+    never the result.  Keys may repeat or be null."""
+    vocab = vocab.select("token", F.col("id").cast("long").alias("id")).filter("id IS NOT NULL")
+    cut = _first_cold_id(vocab, max_broadcast_bytes)
+    if cut is None:
+        return _look_up(docs, vocab, text_col, key, unk_id).select(key, _as_ids(F.col("_ids")))
+    # read twice below: the rows and their numbers are fixed here
+    coded = _look_up(docs, vocab.filter(F.col("id") < cut), text_col, key, None,
+                     keep_cold=True).checkpoint(eager=True)
+    tokens = coded.select("_row", F.posexplode("_cold").alias("_nth", "token"))
+    rest = vocab.filter(F.col("id") >= cut).withColumnRenamed("id", "_id")
+    found = (tokens.join(rest, "token", "left").groupBy("_row")
+             .agg(F.sort_array(F.collect_list(F.struct("_nth", "_id"))).alias("_found")))
+    place = lambda x: (x - F.lit(_COLD)).cast("int")
+    filled = F.transform("_ids", lambda x: F.when(x < _COLD, x).otherwise(
+        F.coalesce(F.get("_found", place(x))["_id"], F.lit(unk_id).cast("long"))))
+    if unk_id is None:
+        filled = F.filter(filled, lambda x: x.isNotNull())
+    cold = F.size("_cold") > 0
+    return (coded.filter(cold).join(found, "_row").select(key, _as_ids(filled))
+            .unionByName(coded.filter(~cold).select(key, _as_ids(F.col("_ids")))))
+
+
+def _as_ids(ids) -> Column:
+    return ids.cast("array<int>").alias("input_ids")
+
+
+def _first_cold_id(vocab: DataFrame, max_bytes: int) -> int | None:
+    """The smallest id beyond the tokens that fit into ``max_bytes`` in order of
+    their ids; None when all fit.  At most ``ID_SPANS`` + 1 sums are collected."""
+    low, high, total = vocab.agg(F.min("id"), F.max("id"),
+                                 F.sum(F.octet_length("token") + 16)).first()
+    if total is None or total <= max_bytes:
+        return None
+    step = (high - low) // ID_SPANS + 1
+    sums = (vocab.groupBy(F.floor((F.col("id") - low) / step).alias("span"))
+            .agg(F.sum(F.octet_length("token") + 16).alias("bytes")).orderBy("span").collect())
+    used = 0
+    for r in sums:
+        used += r.bytes
+        if used > max_bytes:
+            return low + r.span * step
+    return None
+
+
+def _look_up(docs, vocab, text_col, key, unk_id, keep_cold=False) -> DataFrame:
+    """One scan of the text and no shuffle: each task holds the table ``vocab``.
+    With ``keep_cold`` a row also has a number, the distinct words that the table
+    lacks, and ``_COLD`` + their place there among its ids."""
+    table = vocab.toArrow()
     bc = docs.sparkSession.sparkContext.broadcast(
         (table.column("token").to_pylist(), table.column("id").to_pylist()))
-    schema = T.StructType([T.StructField(key, docs.schema[key].dataType),
-                           T.StructField("input_ids", T.ArrayType(T.IntegerType()))])
+    fields = [T.StructField(key, docs.schema[key].dataType),
+              T.StructField("_ids", T.ArrayType(T.LongType()))]
+    if keep_cold:
+        fields += [T.StructField("_row", T.LongType()),
+                   T.StructField("_cold", T.ArrayType(T.StringType()))]
 
     def run(batches):
         import numpy as np
@@ -68,30 +116,24 @@ def _encode_in_place(docs, vocab, text_col, key, unk_id) -> DataFrame:
 
         find = dict(zip(*bc.value)).get
         for batch in batches:
-            ids = []
+            ids, cold = [], []
             for text in batch.column(1).to_pylist():
-                found = [find(w, unk_id) for w in (text or "").split()]
-                ids.append(np.array([i for i in found if i is not None], np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "input_ids"])
-
-    return docs.select(key, text_col).mapInArrow(run, schema)
-
-
-def _encode_by_join(docs, vocab, text_col, key, unk_id) -> DataFrame:
-    """Token rows joined with the vocabulary and regrouped by a number per row
-    (keys may repeat or be null); rows without words never enter the join."""
-    n_words = F.coalesce(F.size(words(F.col(text_col))), F.lit(0))
-    numbered = docs.filter(n_words > 0).select(  # numbered before the words are
-        key, text_col, F.monotonically_increasing_id().alias("_row")).select(
-        key, "_row", F.posexplode(words(F.col(text_col))).alias("pos", "token"))
-    joined = numbered.join(vocab.select("token", "id"), "token", "left")
-    if unk_id is not None:
-        joined = joined.withColumn("id", F.coalesce("id", F.lit(unk_id)))
-    known = F.when(F.col("id").isNotNull(), F.struct("pos", "id"))  # null entries are not collected
-    ids = joined.groupBy("_row", key).agg(F.sort_array(F.collect_list(known)).alias("_p"))
-    none = docs.filter(n_words <= 0).select(key, F.array().cast("array<int>").alias("input_ids"))
-    return ids.select(key, F.transform("_p", lambda s: s["id"]).alias("input_ids")).unionByName(none)
+                tokens = (text or "").split()
+                if keep_cold:
+                    new = {}
+                    found = [new.setdefault(w, _COLD + len(new)) if i is None else i
+                             for w, i in zip(tokens, map(find, tokens))]
+                    cold.append(list(new))
+                else:
+                    found = [i for i in (find(w, unk_id) for w in tokens) if i is not None]
+                ids.append(np.array(found, np.int64))
+            cols = [batch.column(0), pa.array(ids, pa.list_(pa.int64()))]
+            if keep_cold:
+                cols += [batch.column(2), pa.array(cold, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(cols, [f.name for f in fields])
+
+    number = [F.monotonically_increasing_id().alias("_row")] if keep_cold else []
+    return docs.select(key, text_col, *number).mapInArrow(run, T.StructType(fields))
 
 
 def encode_with(docs: DataFrame, make_tokenizer, text_col: str = "text",

@@ -523,4 +523,5 @@ SELECT q_id, CAST(label AS BIGINT) AS label,
        CAST(row_number() OVER (PARTITION BY q_id ORDER BY round(d2, 9), label) AS INTEGER) AS rank,
        round(d2, 6) AS d2 FROM d""",
     "store_append_named": ORACLE_SQL["search_text"],
+    "vocab_encode_cold": ORACLE_SQL["vocab_encode"],
 })

@@ -90,6 +90,14 @@ def q_vocab_encode(spark, sf_dir):
     return enc.select("doc_id", F.size("input_ids").alias("n_tokens"), "input_ids")
 
 
+def q_vocab_encode_cold(spark, sf_dir):
+    """C4: as ``vocab_encode``, with a hot table of 4 KB: most words of the
+    vocabulary lie beyond it and are joined."""
+    docs = _docs(spark, sf_dir)
+    enc = vocab.encode(docs, vocab.build_vocabulary(docs), max_broadcast_bytes=4096)
+    return enc.select("doc_id", F.size("input_ids").alias("n_tokens"), "input_ids")
+
+
 def q_token_windows(spark, sf_dir):
     """C2 + P4 + W3: overlapping token windows (words as tokens)."""
     win = chunking.token_windows(_encoded(spark, sf_dir), "input_ids", WINDOW_MAX,
@@ -247,6 +255,7 @@ QUERIES.update({
     "word_chunks": q_word_chunks,
     "vocab_build": q_vocab_build,
     "vocab_encode": q_vocab_encode,
+    "vocab_encode_cold": q_vocab_encode_cold,
     "token_windows": q_token_windows,
     "token_windows_padded": q_token_windows_padded,
     "truncate_tokens": q_truncate_tokens,

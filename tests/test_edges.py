@@ -77,7 +77,7 @@ def test_ivf_forms_with_no_queries(spark):
     assert ivf.search_ivf_grouped(filed, cents, q, 3, 2).count() == 0
 
 
-@pytest.mark.parametrize("limit", [0, vocab.MAX_BROADCAST_BYTES])
+@pytest.mark.parametrize("limit", [0, 17, 40, vocab.MAX_BROADCAST_BYTES])
 def test_encoding_keeps_repeated_and_null_ids_apart(spark, limit):
     rows = [(1, "a b"), (1, "c a a"), (None, "b c"), (None, ""), (2, None), (1, "a b"), (3, "b zz")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)

@@ -132,12 +132,32 @@ def test_encode_forms_agree(spark):
     for unk in (None, 7):
         some = v.filter("id % 5 <> 0")
         a = {r.doc_id: r.input_ids for r in vocab.encode(docs, some, unk_id=unk).collect()}
-        b = {r.doc_id: r.input_ids for r in vocab.encode(docs, some, unk_id=unk, max_broadcast_bytes=0).collect()}
-        assert a == b and a[-1] == a[-2] == a[-3] == []
+        assert a[-1] == a[-2] == a[-3] == []
+        for limit in (0, 1500):
+            coded = vocab.encode(docs, some, unk_id=unk, max_broadcast_bytes=limit)
+            assert a == {r.doc_id: r.input_ids for r in coded.collect()}
     plan = vocab.encode(docs, v)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
 
+def test_hot_tokens_fill_their_bytes(spark):
+    v = spark.createDataFrame([(f"w{i:04d}", i) for i in range(1, 9001)], "token string, id int")
+    size = 5 + 16
+    for limit in (0, size, 100 * size, 4500 * size, 9000 * size - 1):
+        cut = vocab._first_cold_id(v, limit)
+        hot = v.filter(v.id < cut).count()
+        assert hot * size <= limit < (hot + 3) * size + size  # whole spans of 3 ids
+    assert vocab._first_cold_id(v, 9000 * size) is None
+    assert vocab._first_cold_id(v.limit(0), 0) is None
+
+
+def test_rows_without_cold_words_are_not_joined(spark):
+    v = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "token string, id int")
+    docs = spark.createDataFrame([(1, "a a"), (2, "a c b c"), (3, "x")], "doc_id long, text string")
+    got = vocab.encode(docs, v, max_broadcast_bytes=34)
+    assert sorted(map(tuple, got.collect())) == [(1, [1, 1]), (2, [1, 3, 2, 3]), (3, [])]
+
+
 def _count_builds(spark, make_udf_frame):
     """Model builds in one partition of many Arrow batches."""
     acc = spark.sparkContext.accumulator(0)
