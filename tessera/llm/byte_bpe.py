@@ -40,7 +40,7 @@ LETTER, NUMBER, OTHER, SHORT_MARK, LONG_MARK, SPACE_RUN, LAST_SPACE, LAST_BLANK
 DONE, IN_LETTERS, IN_NUMBERS, IN_OTHERS, OPEN_SPACE, IN_SPACES, ONE_MORE, TWO_MORE = range(8)
 
 BLOCK = 128
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 1 << 20
 CACHE_PIECES = 300_000
 CACHE_BYTES = 24 << 20
 VECTOR_LIMIT = 64
@@ -384,6 +384,29 @@ def _vocabulary(path: str) -> Vocabulary:
     return worker_cache(("byte_bpe", path), lambda: Vocabulary(path))
 
 
+def _encoded(voc: Vocabulary, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(where each text's ids end, ids, byte positions)`` of an Arrow column."""
+    buf, off = bytescan.text_buffer(texts)
+    ids, begins, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [[0]]
+    for a, b in bytescan.row_slices(off, BATCH_BYTES):
+        i, o, c = voc.encode(buf[off[a]:off[b]], off[a:b + 1] - off[a])
+        ids.append(i)
+        begins.append(o)
+        counts.append(c)
+    ends = np.concatenate(counts).cumsum().astype(np.int32)
+    return ends, np.concatenate(ids), np.concatenate(begins)
+
+
+def _decoded(voc: Vocabulary, ends: np.ndarray, flat: np.ndarray):
+    """Arrow binary array: the bytes of every list of ids."""
+    import pyarrow as pa
+
+    data = voc.decode(flat)
+    at = np.concatenate(([0], np.cumsum(voc.length[flat])))[ends].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+        None, pa.py_buffer(at.tobytes()), pa.py_buffer(data.tobytes())])
+
+
 def encode(df: DataFrame, text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """``df`` plus ``ids array<int>`` and ``token_offsets array<int>`` (byte
     position of each token in its text).  ``vocabulary`` is a rank file that
@@ -396,15 +419,8 @@ def encode(df: DataFrame, text: str = "text", vocabulary: str | None = None) ->
 
         voc = _vocabulary(vocabulary or tokenizer_file(VOCABULARY))
         for batch in batches:
-            buf, off = bytescan.text_buffer(batch.field("text"))
-            ids, begins, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], []
-            for a, b in bytescan.row_slices(off, BATCH_BYTES):
-                i, o, c = voc.encode(buf[off[a]:off[b]], off[a:b + 1] - off[a])
-                ids.append(i)
-                begins.append(o)
-                counts.append(c)
-            ends = np.concatenate([[0], *counts]).cumsum().astype(np.int32)
-            lists = [pa.ListArray.from_arrays(ends, np.concatenate(x)) for x in (ids, begins)]
+            ends, *parts = _encoded(voc, batch.field("text"))
+            lists = [pa.ListArray.from_arrays(ends, x) for x in parts]
             yield pa.StructArray.from_arrays(lists, ["ids", "token_offsets"])
 
     return add_arrow_columns(df, {"text": col(df, text)}, schema, run)
@@ -423,10 +439,7 @@ def decode(df: DataFrame, ids: str = "ids", vocabulary: str | None = None) -> Da
             ends = np.concatenate(([0], np.cumsum(np.asarray(
                 lists.value_lengths().fill_null(0), np.int64))))
             flat = np.asarray(lists.flatten(), np.int64)
-            data = voc.decode(flat)
-            at = np.concatenate(([0], np.cumsum(voc.length[flat])))[ends].astype(np.int32)
-            out = pa.Array.from_buffers(pa.binary(), len(lists), [
-                None, pa.py_buffer(at.tobytes()), pa.py_buffer(data.tobytes())])
+            out = _decoded(voc, ends, flat)
             yield pa.StructArray.from_arrays([out], ["decoded"])
 
     return add_arrow_columns(df, {"ids": col(df, ids)}, schema, run)
@@ -437,9 +450,26 @@ def ids_digest(ids: Column) -> Column:
     return F.sha2(F.concat_ws(",", ids.cast("array<string>")), 256)
 
 
+def round_trip(df: DataFrame, text: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """``df`` plus ``ids array<int>`` and ``decoded binary``: each batch is
+    encoded and its ids are decoded again in the same worker."""
+    schema = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+                           T.StructField("decoded", T.BinaryType())])
+
+    def run(batches):
+        import pyarrow as pa
+
+        voc = _vocabulary(vocabulary or tokenizer_file(VOCABULARY))
+        for batch in batches:
+            ends, ids, _ = _encoded(voc, batch.field("text"))
+            yield pa.StructArray.from_arrays(
+                [pa.ListArray.from_arrays(ends, ids), _decoded(voc, ends, ids)], ["ids", "decoded"])
+
+    return add_arrow_columns(df, {"text": col(df, text)}, schema, run)
+
+
 def op2(docs: DataFrame) -> DataFrame:
-    coded = encode(docs.select("doc_id", "text"))
-    slim = coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                        ids_digest(F.col("ids")).alias("ids_sha256"))
-    return decode(slim).select("doc_id", "n_tokens", "ids_sha256",
-                               F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(docs.select("doc_id", "text")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        ids_digest(F.col("ids")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
