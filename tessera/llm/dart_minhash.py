@@ -197,7 +197,6 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     # each member's items move once; a hot leader's are only joined at the end
     both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a"))
-    schema = T.StructType([T.StructField("similarity", T.DoubleType())])
 
     def run(batches):
         import pyarrow as pa
@@ -205,7 +204,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         worker_cache("dart_minhash", dict)  # gives back what another operator held
         for batch in batches:
             out = np.zeros(len(batch))
-            sides = [batch.field(n) for n in ("x", "y")]
+            sides = [batch.column(n) for n in (2, 3)]
             flat = [np.asarray(s.flatten()) for s in sides]
             at = [np.concatenate(([0], np.cumsum(np.asarray(s.value_lengths())))) for s in sides]
             for i in range(len(batch)):
@@ -214,10 +213,14 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 z = np.sort(np.concatenate((x, y)))
                 shared = int((z[1:] == z[:-1]).sum())
                 out[i] = shared / max(1, len(z) - shared)
-            yield pa.StructArray.from_arrays([pa.array(out)], ["similarity"])
-
-    scored = add_arrow_columns(both, {"x": F.col("x"), "y": F.col("y")}, schema, run)
-    return scored.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
+            good = pa.array(np.flatnonzero(out >= threshold))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(good), batch.column(1).take(good), pa.array(out).take(good)],
+                ["a", "b", "similarity"])
+
+    # the threshold is applied in the same pass: as a filter above a function it
+    # would be pushed below the projection, and every pair be compared twice
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary, similarity double")
 
 
 def item_sets(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
