@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.operators import knn
 
@@ -33,6 +34,12 @@ _ENCODE_ROWS = 256
 CORESET_PER_CENTRE = 20
 MIN_CORESET = 10_000
 MIN_TASK_POINTS = 1024
+# centres up to which Spark ML seeds its rounds (its last step, on the driver,
+# takes time with the square of the centres); points of a task in a round beyond
+MAX_ML_CENTRES = 1000
+ROUND_POINTS = 8192
+# drawn points per centre among which the seeds beyond are chosen
+SEED_POINTS_PER_CENTRE = 8
 
 
 def default_nlist(n: int) -> int:
@@ -137,8 +144,94 @@ def default_coreset_size(k: int) -> int:
     return max(MIN_CORESET, CORESET_PER_CENTRE * k)
 
 
+def _seeds(mat: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """At most ``k`` distinct points by weighted k-means++."""
+    rng = np.random.default_rng(seed)
+    mat, weights = _reduced(mat, weights, SEED_POINTS_PER_CENTRE * k, rng)
+    sq, far = (mat * mat).sum(axis=1), np.full(len(mat), np.inf)
+    at, chosen = int(rng.choice(len(mat), p=weights / weights.sum())), []
+    while True:
+        chosen.append(at)
+        far = np.minimum(far, np.maximum(0, sq + sq[at] - 2 * (mat @ mat[at])))
+        far[far < 1e-14 * (1 + sq)] = 0  # copies of a chosen point
+        share = np.cumsum(weights * far)
+        if len(chosen) == k or not share[-1] > 0:
+            return mat[chosen]
+        at = min(int(np.searchsorted(share, rng.random() * share[-1], "right")), len(mat) - 1)
+
+
+def _many_centres(points: DataFrame, k: int, seed: int, max_iter: int, tol: float = 1e-4
+                  ) -> np.ndarray:
+    """Lloyd's rounds for many centres, a job each.  The seeds are chosen in one
+    task among the points of a coreset, which is bounded by ``k``; in a round
+    every task sums its points by centre, and the sums are added by centre."""
+    spark = points.sparkSession
+
+    def choose(batches):
+        mat, weights = _stacked([(knn._flat_vectors(b.column("_p"), None)[0],
+                                  b.column("_w").to_numpy()) for b in batches if b.num_rows])
+        centres = _seeds(mat, weights, k, seed)
+        yield pa.RecordBatch.from_arrays(
+            [pa.ListArray.from_arrays(np.arange(len(centres) + 1, dtype=np.int32)
+                                      * centres.shape[1], centres.ravel())], ["c"])
+
+    centres, dim = knn._flat_vectors(points.coalesce(1).mapInArrow(
+        choose, "c array<double>").toArrow().column("c"), None)
+    dealt = points.withColumn("_i", F.monotonically_increasing_id()).repartition(
+        -(-points.count() // ROUND_POINTS), "_i").sortWithinPartitions("_i").checkpoint(eager=True)
+    schema = "cell int, task int, w double, s array<double>"
+
+    def rows(cell, task, w, s):
+        return [pa.array(cell, pa.int32()), pa.array(np.full(len(cell), task, np.int32)), pa.array(w),
+                pa.ListArray.from_arrays(np.arange(len(cell) + 1, dtype=np.int32) * dim, s.ravel())]
+
+    def one_round(bc):
+        def sums(batches):
+            from pyspark import TaskContext
+            c = bc.value
+            half = (c * c).sum(axis=1) / 2
+            w, s = np.zeros(len(c)), np.zeros((len(c), dim))
+            for batch in batches:
+                for lo in range(0, batch.num_rows, _ENCODE_ROWS):
+                    part = batch.slice(lo, _ENCODE_ROWS)
+                    mat, _ = knn._flat_vectors(part.column("_p"), dim)
+                    own = part.column("_w").to_numpy()
+                    near = (half[None] - mat @ c.T).argmin(axis=1)
+                    np.add.at(w, near, own)
+                    np.add.at(s, near, mat * own[:, None])
+            cell = np.flatnonzero(w)
+            yield pa.RecordBatch.from_arrays(
+                rows(cell, TaskContext.get().partitionId(), w[cell], s[cell]),
+                ["cell", "task", "w", "s"])
+
+        def added(table):
+            table = table.sort_by([("cell", "ascending"), ("task", "ascending")])
+            cell = table.column("cell").to_numpy()
+            heads = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+            mat, _ = knn._flat_vectors(table.column("s"), dim)
+            return pa.table(rows(cell[heads], 0, np.add.reduceat(table.column("w").to_numpy(), heads),
+                                 np.add.reduceat(mat, heads, axis=0)), ["cell", "task", "w", "s"])
+
+        return dealt.select("_p", "_w").mapInArrow(sums, schema).groupBy(
+            (F.col("cell") % 16).alias("_run")).applyInArrow(added, schema).toArrow()
+
+    for _ in range(max_iter):
+        bc = spark.sparkContext.broadcast(centres)
+        got = one_round(bc)
+        bc.unpersist()
+        cell = got.column("cell").to_numpy()
+        new = centres.copy()
+        new[cell] = knn._flat_vectors(got.column("s"), dim)[0] / got.column("w").to_numpy()[:, None]
+        moved, centres = ((new - centres) ** 2).sum(axis=1).max(), new
+        if moved <= tol ** 2:
+            break
+    return centres
+
+
 def _weighted_kmeans(points: DataFrame, k: int, seed: int, max_iter: int) -> np.ndarray:
     """Lloyd's rounds on weighted points ``(_p, _w)``."""
+    if k > MAX_ML_CENTRES:
+        return _many_centres(points, k, seed, max_iter)
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
     data = points.select(array_to_vector("_p").alias("features"), F.col("_w").alias("weight"))
@@ -211,34 +304,61 @@ def assign_cells(df: DataFrame, centroids: DataFrame, vec_col: str = "embedding"
         run, T.StructType(df.schema.fields + [T.StructField(out_col, out_type)]))
 
 
-def probes(queries: DataFrame, centroids: DataFrame, nprobe: int, q_id_col: str = "q_id",
-           q_vec_col: str = "embedding") -> DataFrame:
-    """``(cell, q_id, vector)``: one row per query and probed cell."""
-    near = assign_cells(queries.select(q_id_col, q_vec_col), centroids, q_vec_col,
-                        max(nprobe, 2), "_cells")
-    return near.select(F.explode(F.slice("_cells", 1, nprobe)).alias("cell"),
-                       F.col(q_id_col).cast("long").alias("q_id"), F.col(q_vec_col).alias("vector"))
+def _asked(queries: DataFrame, q_id_col: str, q_vec_col: str) -> DataFrame:
+    return queries.filter(F.col(q_vec_col).isNotNull()).select(
+        F.col(q_id_col).cast("long").alias("q_id"), F.col(q_vec_col).alias("vector"))
+
+
+def _packs(vectors: DataFrame, n_cells: int, dim: int, rows: int | None = None) -> knn.Packs:
+    """The cells of ``vectors (cell, ...)`` in packs; counts by cell are collected."""
+    counts = {r[0]: r[1] for r in vectors.groupBy("cell").count().collect()}
+    return knn.Packs(counts, n_cells, knn.block_rows(
+        vectors.sparkSession, sum(counts.values()), dim, rows))
+
+
+def _probed(queries: DataFrame, cents: np.ndarray, nprobe: int):
+    """``queries`` with a limit column, and the rule that marks the ``nprobe``
+    nearest cells."""
+    bc = queries.sparkSession.sparkContext.broadcast(cents)
+    n = min(nprobe, len(cents))
+
+    def wanted(vecs, limit):
+        want = np.zeros((len(vecs), len(bc.value)), bool)
+        np.put_along_axis(want, _nearest(vecs, bc.value, n).astype(np.int64), True, axis=1)
+        return want
+
+    return queries.withColumn("limit", F.lit(float("inf"))), wanted
 
 
 def search_ivf_grouped(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
                        nprobe: int = 1, *, id_col: str = "row_id", vec_col: str = "embedding",
                        q_id_col: str = "q_id", q_vec_col: str = "embedding",
-                       cell_col: str = "cell_id", vectors_per_group: int = knn.VECTORS_PER_BLOCK,
-                       queries_per_group: int = 500) -> DataFrame:
+                       cell_col: str = "cell_id", vectors_per_group: int | None = None,
+                       queries_per_group: int | None = None) -> DataFrame:
     """Exact top-k inside the ``nprobe`` nearest cells of every query: the
-    block join, a cell's vectors and queries dealt into bounded groups."""
+    block join by packs of cells, at most ``vectors_per_group`` vectors and
+    ``queries_per_group`` queries a group (by default as ``knn.block_rows``)."""
     v = store.filter(F.col(vec_col).isNotNull()).select(
         F.col(cell_col).alias("cell"), F.col(id_col).cast("long").alias("id"),
         F.col(vec_col).alias("payload"))
-    return knn.block_search(v, probes(queries, centroids, nprobe, q_id_col, q_vec_col),
-                            knn.flat_kernel, k, id_col, vectors_per_group, queries_per_group)
+    cents = _centroid_matrix(centroids)
+    q = _asked(queries, q_id_col, q_vec_col)
+    per_block = knn.block_rows(q.sparkSession, q.count(), cents.shape[1], queries_per_group)
+    found, _ = knn.pack_search(v, *_with_packs(v, q, cents, nprobe, vectors_per_group),
+                               knn.flat_kernel, k, id_col, per_block)
+    return knn.rank_hits(found, k, id_col)
+
+
+def _with_packs(v, q, cents, nprobe, vectors_per_group=None):
+    asked, wanted = _probed(q, cents, nprobe)
+    return asked, _packs(v, len(cents), cents.shape[1], vectors_per_group), wanted
 
 
 def search_ivf(store: DataFrame, centroids: DataFrame, queries: DataFrame, k: int = 5,
                nprobe: int = 1, *, id_col: str = "row_id", vec_col: str = "embedding",
                q_id_col: str = "q_id", q_vec_col: str = "embedding",
                cell_col: str = "cell_id",
-               max_block_bytes: int = knn.MAX_QUERY_BLOCK_BYTES) -> DataFrame:
+               max_block_bytes: int = knn.PACK_BYTES) -> DataFrame:
     """``search_ivf_grouped`` with query blocks of at most ``max_block_bytes``."""
     return search_ivf_grouped(
         store, centroids, queries, k, nprobe, id_col=id_col, vec_col=vec_col, q_id_col=q_id_col,
@@ -276,49 +396,37 @@ def search_ivf_exact(store: DataFrame, centroids: DataFrame, queries: DataFrame,
                      radii: DataFrame | None = None, first: int = 2, id_col: str = "row_id",
                      vec_col: str = "embedding", q_id_col: str = "q_id",
                      q_vec_col: str = "embedding", cell_col: str = "cell_id",
-                     max_block_bytes: int = knn.MAX_QUERY_BLOCK_BYTES
+                     max_block_bytes: int = knn.PACK_BYTES
                      ) -> tuple[DataFrame, DataFrame]:
     """Exact top-k by cells: ``(hits, cells read per query)``.
 
     The ``first`` nearest cells give every query an upper bound on its k-th
     distance.  By the triangle inequality no row of a cell lies nearer than the
     distance to its centre less its radius; cells whose bound is beyond the k-th
-    distance are never read, all others are.  ``radii`` (``cell_radii``) may be
+    distance are never read, all others are.  A query travels once to each pack
+    of cells, however many of them it reads.  ``radii`` (``cell_radii``) may be
     kept with the store."""
     radius = {r["cell"]: r["radius"] for r in
               (radii or cell_radii(store, centroids, vec_col, cell_col)).collect()}
     cents = _centroid_matrix(centroids)  # bounded: nlist x dim
     reach = np.array([radius.get(c, -1.0) for c in range(len(cents))])
     bc = queries.sparkSession.sparkContext.broadcast((cents, reach))
-    q = queries.filter(F.col(q_vec_col).isNotNull()).select(
-        F.col(q_id_col).cast("long").alias("q_id"), F.col(q_vec_col).alias("vector"))
+    q = _asked(queries, q_id_col, q_vec_col)
 
     def ways(wanted):
-        """``(cell, q_id, vector)`` of the cells that ``wanted(distances, bounds,
-        limit)`` marks, given each query's k-th distance so far."""
-        def run(batches):
+        """The cells that ``wanted(distances, bounds, limit)`` marks, given each
+        query's k-th distance so far."""
+        def marked(vecs, limit):
             mat, far = bc.value
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                vecs, _ = knn._flat_vectors(batch.column("vector"), mat.shape[1])
-                for lo in range(0, len(vecs), _ENCODE_ROWS):
-                    part = vecs[lo:lo + _ENCODE_ROWS]
-                    dist = np.zeros((len(part), len(mat)))
-                    for j in range(mat.shape[1]):
-                        dist += (part[:, j, None] - mat[None, :, j]) ** 2
-                    dist = np.sqrt(dist)
-                    dist[:, far < 0] = np.inf  # empty cells
-                    # a margin for rounding keeps the bound on the safe side
-                    low = np.maximum(0, dist - far[None] - 1e-6 * (1 + dist))
-                    limit = batch.column("limit").to_numpy(zero_copy_only=False)[
-                        lo:lo + _ENCODE_ROWS]
-                    row, cell = np.nonzero(wanted(dist, low, limit))
-                    take = pa.array(row + lo)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(cell, pa.int32()), batch.column("q_id").take(take),
-                         batch.column("vector").take(take)], ["cell", "q_id", "vector"])
-        return run
+            dist = np.zeros((len(vecs), len(mat)))
+            for j in range(mat.shape[1]):
+                dist += (vecs[:, j, None] - mat[None, :, j]) ** 2
+            dist = np.sqrt(dist)
+            dist[:, far < 0] = np.inf  # empty cells
+            # a margin for rounding keeps the bound on the safe side
+            low = np.maximum(0, dist - far[None] - 1e-6 * (1 + dist))
+            return wanted(dist, low, limit)
+        return marked
 
     def nearest(dist, low, limit):
         rank = np.argsort(np.argsort(dist, axis=1, kind="stable"), axis=1, kind="stable")
@@ -327,27 +435,25 @@ def search_ivf_exact(store: DataFrame, centroids: DataFrame, queries: DataFrame,
     def remaining(dist, low, limit):
         return ~nearest(dist, low, limit) & np.isfinite(dist) & (low <= limit[:, None])
 
-    kind = q.schema["vector"].dataType.simpleString()
-    schema = f"cell int, q_id long, vector {kind}"
     v = store.filter(F.col(vec_col).isNotNull()).select(
         F.col(cell_col).alias("cell"), F.col(id_col).cast("long").alias("id"),
         F.col(vec_col).alias("payload"))
-    per_block = knn.queries_per_block(q, "vector", max_block_bytes)
+    packs = _packs(v, len(cents), cents.shape[1])
+    per_block = knn.block_rows(q.sparkSession, q.count(), cents.shape[1],
+                               knn.queries_per_block(q, "vector", max_block_bytes))
 
-    def look(probed):
-        return knn.block_search(v, probed, knn.flat_kernel, k, id_col, knn.VECTORS_PER_BLOCK,
-                                per_block).checkpoint(eager=True)
+    def look(asked, wanted):
+        found, sent = knn.pack_search(v, asked, packs, ways(wanted), knn.flat_kernel, k, id_col,
+                                      per_block)
+        return knn.rank_hits(found, k, id_col).checkpoint(eager=True), sent.select("q_id", "n")
 
-    start = q.withColumn("limit", F.lit(float("inf"))).mapInArrow(ways(nearest), schema)
-    start = start.checkpoint(eager=True)
-    near = look(start)
+    near, start = look(q.withColumn("limit", F.lit(float("inf"))), nearest)
     kth = near.filter(F.col("rank") == k).select("q_id", F.sqrt("d2").alias("limit"))
     known = q.join(kth, "q_id", "left").select(
         "q_id", "vector", F.coalesce("limit", F.lit(float("inf"))).alias("limit"))
-    rest = known.mapInArrow(ways(remaining), schema).checkpoint(eager=True)
-    both = near.unionByName(look(rest)).select("q_id", id_col, "d2")
-    read = start.select("q_id").unionAll(rest.select("q_id")).groupBy("q_id").agg(
-        F.count(F.lit(1)).alias("cells_read"))
+    further, rest = look(known, remaining)
+    both = near.unionByName(further).select("q_id", id_col, "d2")
+    read = start.unionAll(rest).groupBy("q_id").agg(F.sum("n").alias("cells_read"))
     return knn.rank_hits(both, k, id_col), read
 
 
@@ -432,24 +538,42 @@ def encode_pq(store: DataFrame, centroids: DataFrame, codebook: DataFrame,
         run, f"{id_col} long, {cell_col} int, codes array<smallint>")
 
 
-def search_pq(codes: DataFrame, centroids: DataFrame, codebook: DataFrame, queries: DataFrame,
-              k: int = 5, nprobe: int = 1, *, id_col: str = "row_id", cell_col: str = "cell_id",
-              q_id_col: str = "q_id", q_vec_col: str = "embedding",
-              vectors_per_group: int = knn.VECTORS_PER_BLOCK,
-              queries_per_group: int = 500) -> DataFrame:
-    """Approximate top-k by asymmetric distance: for each probed cell, a
-    per-query table of sub-space distances; a vector costs ``m`` look-ups."""
-    bc = codes.sparkSession.sparkContext.broadcast((_centroid_matrix(centroids),
-                                                    _codebook_array(codebook)))
+def _proposed(codes, cents, codebook, q, k, nprobe, id_col, cell_col, vectors_per_group=None,
+              queries_per_group=None):
+    """``(candidates (q_id, id, d2, pack), packs, queries of a block)`` by code."""
+    book = _codebook_array(codebook)
+    bc = codes.sparkSession.sparkContext.broadcast((cents, book))
 
     def kernel(cell, q_mat, payload, ids, k):
         cents, book = bc.value
-        return asymmetric_rows(q_mat - cents[cell], book, payload, ids, k)
+        m, ksub, _ = book.shape
+        if len(ids) >= ksub:
+            return asymmetric_rows(q_mat - cents[cell], book, payload, ids, k)
+        # fewer rows than code words: the same distances, from the decoded rows
+        code = knn._flat_vectors(payload, m)[0].astype(np.int64)
+        rows = np.concatenate([book[s][code[:, s]] for s in range(m)], axis=1) + cents[cell]
+        return knn.nearest_rows(q_mat, rows, ids, k)
 
     v = codes.select(F.col(cell_col).alias("cell"), F.col(id_col).cast("long").alias("id"),
                      F.col("codes").alias("payload"))
-    return knn.block_search(v, probes(queries, centroids, nprobe, q_id_col, q_vec_col), kernel, k,
-                            id_col, vectors_per_group, queries_per_group)
+    asked, packs, wanted = _with_packs(v, q, cents, nprobe, vectors_per_group)
+    per_block = knn.block_rows(q.sparkSession, q.count(), cents.shape[1], queries_per_group)
+    found, _ = knn.pack_search(v, asked, packs, wanted, kernel, k, id_col, per_block)
+    return found, packs, per_block
+
+
+def search_pq(codes: DataFrame, centroids: DataFrame, codebook: DataFrame, queries: DataFrame,
+              k: int = 5, nprobe: int = 1, *, id_col: str = "row_id", cell_col: str = "cell_id",
+              q_id_col: str = "q_id", q_vec_col: str = "embedding",
+              vectors_per_group: int | None = None,
+              queries_per_group: int | None = None) -> DataFrame:
+    """Approximate top-k by asymmetric distance: for each probed cell, a
+    per-query table of sub-space distances; a vector costs ``m`` look-ups.  A
+    cell with fewer rows than code words costs less decoded than by its table."""
+    found, _, _ = _proposed(codes, _centroid_matrix(centroids), codebook,
+                            _asked(queries, q_id_col, q_vec_col), k, nprobe, id_col, cell_col,
+                            vectors_per_group, queries_per_group)
+    return knn.rank_hits(found, k, id_col)
 
 
 def asymmetric_rows(residual: np.ndarray, book: np.ndarray, payload, ids: np.ndarray, k: int):
@@ -460,7 +584,7 @@ def asymmetric_rows(residual: np.ndarray, book: np.ndarray, payload, ids: np.nda
     code, _ = knn._flat_vectors(payload, m)
     code = code.astype(np.int64)
     out = []
-    step = knn._QUERY_SUB_BLOCK
+    step = knn.sub_block(len(ids))
     for lo in range(0, len(residual), step):
         rq = residual[lo:lo + step].reshape(-1, m, dsub)
         d2 = np.zeros((len(rq), len(ids)))
@@ -485,28 +609,21 @@ def search_pq_refined(codes: DataFrame, store: DataFrame, centroids: DataFrame,
                       cell_col: str = "cell_id", q_id_col: str = "q_id",
                       q_vec_col: str = "embedding") -> DataFrame:
     """Two phases: the codes propose ``expand * k`` rows a query, the stored
-    vectors of these rows are scored again and the best ``k`` stay.  The second
-    phase moves ``queries x expand x k`` rows, never the table: it joins on the
-    row id."""
-    proposed = search_pq(codes, centroids, codebook, queries, expand * k, nprobe, id_col=id_col,
-                         cell_col=cell_col, q_id_col=q_id_col, q_vec_col=q_vec_col)
-    q = queries.select(F.col(q_id_col).cast("long").alias("q_id"), F.col(q_vec_col).alias("_q"))
-    rows = (proposed.select("q_id", id_col).join(store.select(id_col, vec_col), id_col)
-            .join(q, "q_id"))
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                a, dim = knn._flat_vectors(batch.column("_q"), None)
-                b, _ = knn._flat_vectors(batch.column(vec_col), dim)
-                d2 = np.zeros(len(a))
-                for j in range(dim):  # the fixed order of the exact search
-                    d2 += (a[:, j] - b[:, j]) ** 2
-                yield pa.RecordBatch.from_arrays([batch.column("q_id"), batch.column(id_col),
-                                                  pa.array(d2)], ["q_id", id_col, "d2"])
-
-    scored = rows.select("q_id", F.col(id_col).cast("long").alias(id_col), "_q", vec_col)
-    return knn.rank_hits(scored.mapInArrow(run, f"q_id long, `{id_col}` long, d2 double"), k, id_col)
+    vectors of these rows are scored again and the best ``k`` stay.  For the
+    second phase a query goes once to each pack of cells that it has proposals
+    in, with their ids; no vector is repeated for a proposal."""
+    cents = _centroid_matrix(centroids)
+    q = _asked(queries, q_id_col, q_vec_col)
+    found, packs, per_block = _proposed(codes, cents, codebook, q, expand * k, nprobe, id_col,
+                                        cell_col)
+    best = Window.partitionBy("q_id").orderBy(F.round("d2", knn._DIGITS), F.col(id_col))
+    ids = (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= expand * k)
+           .groupBy("q_id", "pack").agg(F.collect_list(id_col).alias("ids")))
+    asked = ids.join(q, "q_id").select("pack", "q_id", "vector", "ids").checkpoint(eager=True)
+    v = store.filter(F.col(vec_col).isNotNull()).select(
+        F.col(cell_col).alias("cell"), F.col(id_col).cast("long").alias("id"),
+        F.col(vec_col).alias("payload"))
+    return knn.rank_hits(knn.rescore(v, asked, packs, k, id_col, per_block), k, id_col)
 
 
 def calibrate_refined(codes: DataFrame, store: DataFrame, centroids: DataFrame, codebook: DataFrame,

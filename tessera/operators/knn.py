@@ -34,8 +34,16 @@ MAX_QUERY_BLOCK_BYTES = 2 << 20
 VECTORS_PER_BLOCK = 20_000
 #: Query vectors up to this many bytes travel to the vectors, not both to a shuffle.
 FEW_QUERY_BYTES = 8 << 20
-# rows of the distance matrix computed at once inside a task
+# rows of the distance matrix computed at once inside a task, and its entries
 _QUERY_SUB_BLOCK = 256
+_SUB_BLOCK_ENTRIES = 4 << 20
+#: Bytes (as doubles) of the vectors or queries of one pack of cells, and the
+#: tasks per core that a search by cells is dealt into while packs are smaller.
+PACK_BYTES = 32 << 20
+PACK_TASKS_PER_CORE = 4
+# queries of a pack that look through its cells together, and their hits so far
+_PACK_QUERIES = 1024
+_PACK_HITS = 500_000
 # digits of the order key
 _DIGITS = 9
 
@@ -67,13 +75,19 @@ def first_k(row: np.ndarray, ids: np.ndarray, d2: np.ndarray, k: int):
     return row[best], ids[best], d2[best]
 
 
+def sub_block(n: int) -> int:
+    """Queries whose distances to ``n`` rows are held at once."""
+    return max(1, min(_QUERY_SUB_BLOCK, _SUB_BLOCK_ENTRIES // max(1, n)))
+
+
 def nearest_rows(q: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int):
     """``(query row, id, d2)`` of the ``k`` rows of ``v`` nearest to each row
     of ``q``, ordered by ``(round(d2, 9), id)``."""
     out = []
     v_sq = (v * v).sum(axis=1)
-    for lo in range(0, len(q), _QUERY_SUB_BLOCK):
-        part = q[lo:lo + _QUERY_SUB_BLOCK]
+    step = sub_block(len(ids))
+    for lo in range(0, len(q), step):
+        part = q[lo:lo + step]
         q_sq = (part * part).sum(axis=1)
         approx = q_sq[:, None] + v_sq[None, :] - 2.0 * (part @ v.T)
         if len(ids) > k:
@@ -147,6 +161,223 @@ def block_search(vectors: DataFrame, queries: DataFrame, kernel, k: int, id_col:
     return rank_hits(found, k, id_col)
 
 
+class Packs:
+    """Cells ``0..n-1`` dealt into packs: runs of neighbouring cells with about
+    ``rows`` vectors together; a cell with more has packs of its own, among
+    which its vectors are spread by id.  ``pieces`` is 0 for an empty cell."""
+
+    def __init__(self, counts: dict[int, int], n_cells: int, rows: int):
+        self.first, self.pieces = np.zeros(n_cells, np.int64), np.zeros(n_cells, np.int64)
+        low, held = [], rows
+        for cell in range(n_cells):
+            n = counts.get(cell, 0)
+            if not n:
+                continue
+            self.pieces[cell] = max(1, -(-n // rows))
+            if held + n > rows:
+                self.first[cell], held = len(low), n
+                low += [cell] * int(self.pieces[cell])
+            else:
+                self.first[cell], held = len(low) - 1, held + n
+        self.low = np.array(low, np.int64)
+        last = {int(f + p - 1): c for c, (f, p) in enumerate(zip(self.first, self.pieces)) if p}
+        self.high = np.array([last.get(i, low[i]) + 1 for i in range(len(low))], np.int64)
+
+    def deal(self, vectors: DataFrame, per_pack: dict[int, int], cells) -> DataFrame:
+        """``vectors (cell, id, payload)`` of the probed ``cells``, once for each
+        block of queries (``per_pack``) that their pack meets."""
+        spark = vectors.sparkSession
+        cells = [int(c) for c in cells]
+        where = spark.createDataFrame([(c, int(self.first[c]), int(self.pieces[c])) for c in cells],
+                                      "cell int, _first int, _pieces int")
+        blocks = spark.createDataFrame(list(per_pack.items()), "pack int, _qs int")
+        # a cell-partitioned store reads the probed cells only
+        return (vectors.filter(F.col("cell").isin(cells)).join(F.broadcast(where), "cell")
+                .withColumn("pack", (F.col("_first") + F.pmod(F.xxhash64("id"), F.col("_pieces")))
+                            .cast("int")).join(F.broadcast(blocks), "pack")
+                .withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_qs") - 1)))
+                .select("pack", "_q", "cell", "id", "payload"))
+
+
+def _dealt_queries(sent: DataFrame, per_pack: dict[int, int]) -> DataFrame:
+    blocks = sent.sparkSession.createDataFrame(list(per_pack.items()), "pack int, _qs int")
+    return (sent.join(F.broadcast(blocks), "pack")
+            .withColumn("_q", F.pmod(F.xxhash64("q_id"), F.col("_qs")).cast("int")).drop("_qs"))
+
+
+def block_rows(spark, n: int, dim: int, most: int | None = None) -> int:
+    """Rows of one block of ``n``: few blocks, so that little is repeated, but
+    enough for the cores, and none over ``PACK_BYTES``."""
+    sides = max(1, int(np.ceil(np.sqrt(PACK_TASKS_PER_CORE * spark.sparkContext.defaultParallelism))))
+    rows = max(1, min(PACK_BYTES // (8 * max(1, dim)), -(-n // sides)))
+    return min(rows, most) if most else rows
+
+
+def sent_to_packs(queries: DataFrame, packs: Packs, wanted) -> tuple[DataFrame, DataFrame]:
+    """``(sent, counts)`` of ``queries (q_id, vector, limit)``.
+
+    ``wanted(vectors, limits)`` marks the cells that each query looks through (a
+    boolean matrix).  A query goes once to every pack that holds one of them:
+    ``sent (pack, q_id, vector, cells, n)`` has a bit for each cell of the pack.
+    ``counts (kind, key, n)`` are queries by cell (kind 0) and by pack (1)."""
+    kind = queries.schema["vector"].dataType.simpleString()
+
+    def looked(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, _QUERY_SUB_BLOCK):
+                part = batch.slice(lo, _QUERY_SUB_BLOCK)
+                vecs, _ = _flat_vectors(part.column("vector"), None)
+                want = wanted(vecs, part.column("limit").to_numpy(zero_copy_only=False))
+                yield part, want & (packs.pieces > 0)[None]
+
+    def send(batches):
+        for part, want in looked(batches):
+            for pack, (a, b) in enumerate(zip(packs.low, packs.high)):
+                mine = want[:, a:b]
+                rows = np.flatnonzero(mine.any(axis=1))
+                if not len(rows):
+                    continue
+                bits = [x.tobytes() for x in np.packbits(mine[rows], axis=1)]
+                take = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rows), pack, np.int32)), part.column("q_id").take(take),
+                     part.column("vector").take(take), pa.array(bits, pa.binary()),
+                     pa.array(mine[rows].sum(axis=1), pa.int64())],
+                    ["pack", "q_id", "vector", "cells", "n"])
+
+    def count(batches):
+        by_cell = np.zeros(len(packs.pieces), np.int64)
+        by_pack = np.zeros(len(packs.low), np.int64)
+        for _, want in looked(batches):
+            by_cell += want.sum(axis=0)
+            for pack, (a, b) in enumerate(zip(packs.low, packs.high)):
+                by_pack[pack] += want[:, a:b].any(axis=1).sum()
+        for k, n in enumerate((by_cell, by_pack)):
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)),
+                                              pa.array(at, pa.int64()), pa.array(n[at])],
+                                             ["kind", "key", "n"])
+
+    sent = queries.mapInArrow(send, f"pack int, q_id long, vector {kind}, cells binary, n long")
+    counts = queries.mapInArrow(count, "kind int, key long, n long").groupBy("kind", "key").agg(
+        F.sum("n").alias("n"))
+    return sent, counts
+
+
+def pack_search(vectors: DataFrame, queries: DataFrame, packs: Packs, wanted, kernel, k: int,
+                id_col: str, queries_per_group: int) -> tuple[DataFrame, DataFrame]:
+    """The block join by cells: ``(candidates, sent)``.  ``vectors (cell, id,
+    payload)`` meet ``queries (q_id, vector, limit)`` pack by pack, a pack's
+    queries in blocks of ``queries_per_group``.  What is exchanged follows the
+    packs and blocks, not the cells that a query looks through.
+    ``kernel(cell, query matrix, payload column, ids, k)`` returns ``(query row,
+    id, d2)`` arrays; ``candidates (q_id, id, d2, pack)`` are the best ``k`` of
+    every query and pack.  Counts by cell and by pack reach the driver."""
+    sent, counts = sent_to_packs(queries, packs, wanted)
+    found = {0: {}, 1: {}}
+    for r in counts.collect():
+        found[r["kind"]][r["key"]] = r["n"]
+    per_pack = {p: max(1, -(-n // queries_per_group)) for p, n in found[1].items()}
+    schema = T.StructType([T.StructField("q_id", T.LongType()), T.StructField(id_col, T.LongType()),
+                           T.StructField("d2", T.DoubleType()), T.StructField("pack", T.IntegerType())])
+
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["q_id", id_col, "d2", "pack"]
+        if not len(left) or not len(right):
+            return schema_table(names)
+        pack = left.column("pack")[0].as_py()
+        low = int(packs.low[pack])
+        right = right.sort_by("cell")
+        cell = right.column("cell").to_numpy()
+        heads = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+        ends = np.append(heads[1:], len(cell))
+        payload, ids = right.column("payload").combine_chunks(), right.column("id").to_numpy()
+        q_mat, _ = _flat_vectors(left.column("vector"), None)
+        bits = left.column("cells").to_pylist()
+        out = []
+        for lo in range(0, len(q_mat), _PACK_QUERIES):
+            part = q_mat[lo:lo + _PACK_QUERIES]
+            want = np.unpackbits(np.frombuffer(b"".join(bits[lo:lo + _PACK_QUERIES]), np.uint8)
+                                 .reshape(len(part), -1), axis=1)
+            hits = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+            limit, held = np.full(len(part), np.inf), 0
+            for a, b in zip(heads, ends):
+                rows = np.flatnonzero(want[:, cell[a] - low])
+                if not len(rows):
+                    continue
+                row, found_ids, d2 = kernel(int(cell[a]), part[rows], payload.slice(a, b - a),
+                                            ids[a:b], k)
+                row = rows[row]
+                near = d2 <= limit[row]  # a query's k-th hit so far, and ties of its key
+                hits.append((row[near], found_ids[near], d2[near]))
+                held += int(near.sum())
+                if held > _PACK_HITS:
+                    hits, held = [first_k(*map(np.concatenate, zip(*hits)), k)], 0
+                    row, _, d2 = hits[0]
+                    full = np.bincount(row, minlength=len(part)) == k
+                    worst = np.zeros(len(part))
+                    np.maximum.at(worst, row, d2)
+                    limit = np.where(full, worst + 10.0 ** (1 - _DIGITS), np.inf)
+            row, found_ids, d2 = first_k(*map(np.concatenate, zip(*hits)), k)
+            out.append((row + lo, found_ids, d2))
+        row, found_ids, d2 = map(np.concatenate, zip(*out))
+        return pa.table([left.column("q_id").combine_chunks().take(pa.array(row)),
+                         pa.array(found_ids, pa.int64()), pa.array(d2, pa.float64()),
+                         pa.array(np.full(len(row), pack, np.int32))], names)
+
+    def schema_table(names):
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()),
+                         pa.array([], pa.float64()), pa.array([], pa.int32())], names)
+
+    by = ("pack", "_q")
+    q = _dealt_queries(sent.drop("n"), per_pack)
+    v = packs.deal(vectors, per_pack, sorted(found[0]))
+    return q.groupBy(*by).cogroup(v.groupBy(*by)).applyInArrow(block, schema), sent
+
+
+def rescore(vectors: DataFrame, asked: DataFrame, packs: Packs, k: int, id_col: str,
+            queries_per_group: int) -> DataFrame:
+    """``(q_id, id, d2)``: of the ids that each row of ``asked (pack, q_id,
+    vector, ids)`` names among its pack's ``vectors (cell, id, payload)``, the
+    ``k`` nearest, measured as in the exact search."""
+    per_pack = {r["pack"]: max(1, -(-r["count"] // queries_per_group))
+                for r in asked.groupBy("pack").count().collect()}
+
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if len(left) and len(right):
+            ids = right.column("id").to_numpy()
+            order = np.argsort(ids, kind="stable")
+            mat, dim = _flat_vectors(right.column("payload"), None)
+            ids, mat = ids[order], mat[order]
+            q_mat, _ = _flat_vectors(left.column("vector"), dim)
+            lists = left.column("ids").combine_chunks()
+            step = _PACK_QUERIES // 4
+            for lo in range(0, len(q_mat), step):
+                part = lists.slice(lo, step)
+                wanted = part.flatten().to_numpy()
+                row = np.repeat(np.arange(lo, lo + len(part)), np.diff(part.offsets.to_numpy()))
+                a, n = np.searchsorted(ids, wanted), 0
+                n = np.searchsorted(ids, wanted, "right") - a
+                row, at = np.repeat(row, n), np.repeat(a, n) + np.arange(n.sum()) - np.repeat(
+                    np.cumsum(n) - n, n)
+                d2 = np.zeros(len(row))
+                for j in range(dim):  # the fixed order of the exact search
+                    d2 += (q_mat[row, j] - mat[at, j]) ** 2
+                out.append(first_k(row, ids[at], d2, k))
+        row, best, d2 = map(np.concatenate, zip(*out))
+        return pa.table([left.column("q_id").combine_chunks().take(pa.array(row)) if len(row)
+                         else pa.array([], pa.int64()), pa.array(best, pa.int64()),
+                         pa.array(d2, pa.float64())], ["q_id", id_col, "d2"])
+
+    by = ("pack", "_q")
+    cells = np.flatnonzero([p and any(int(f) + i in per_pack for i in range(int(p)))
+                            for f, p in zip(packs.first, packs.pieces)])
+    return _dealt_queries(asked, per_pack).groupBy(*by).cogroup(
+        packs.deal(vectors, per_pack, cells).groupBy(*by)).applyInArrow(
+        block, f"q_id long, `{id_col}` long, d2 double")
+
+
 def flat_kernel(cell, q_mat, payload, ids, k):
     vecs, _ = _flat_vectors(payload, q_mat.shape[1])
     return nearest_rows(q_mat, vecs, ids, k)

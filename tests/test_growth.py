@@ -61,3 +61,62 @@ def test_settings_are_put_back(spark):
         assert spark.conf.get(key) == "7"
         raise RuntimeError
     assert spark.conf.get(key) == before
+
+
+def test_a_query_travels_once_to_a_pack_of_cells(spark):
+    packs = knn.Packs({0: 5, 1: 4, 2: 0, 3: 25, 4: 3}, 6, 10)
+    assert packs.low.tolist() == [0, 3, 3, 3, 4] and packs.high.tolist() == [2, 4, 4, 4, 5]
+    assert packs.pieces.tolist() == [1, 1, 0, 3, 1, 0]
+    q = spark.createDataFrame([(i, [float(i)], float("inf")) for i in range(20)],
+                              "q_id long, vector array<double>, limit double")
+    sent, counts = knn.sent_to_packs(q, packs, lambda v, _: np.ones((len(v), 6), bool))
+    assert sent.count() == 20 * 5  # not one row a cell
+    assert {(r.kind, r.key): r.n for r in counts.collect()} == {
+        **{(0, c): 20 for c in (0, 1, 3, 4)}, **{(1, p): 20 for p in range(5)}}
+    assert sorted({r.n for r in sent.collect()}) == [1, 2]
+
+
+def test_an_exact_search_sends_few_rows(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 16)))]
+    vec = spark.createDataFrame(rows, "row_id long, embedding array<double>")
+    cents = spark.createDataFrame([(i, rows[i][1]) for i in range(80)],
+                                  "cell_id int, centroid array<double>")
+    filed = ivf.assign_cells(vec, cents).checkpoint(eager=True)
+    sizes = []
+    plain = knn.sent_to_packs
+
+    def counted(*args):
+        sent, counts = plain(*args)
+        sizes.append(sent.count())
+        return sent, counts
+
+    monkeypatch.setattr(knn, "sent_to_packs", counted)
+    q = vec.withColumnRenamed("row_id", "q_id")
+    hits, _ = ivf.search_ivf_exact(filed, cents, q, 5)
+    flat = knn.knn_search(vec, q, 5)
+    assert hits.exceptAll(flat).count() == 0 and hits.count() == 2000
+    assert max(sizes) <= 400 * 40  # 80 cells each before
+
+
+def test_many_centres_lose_nothing_to_few(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    middle = rng.normal(size=(40, 8)) * 10
+    mat = np.repeat(middle, 50, axis=0) + rng.normal(size=(2000, 8)) * 0.1
+    points = spark.createDataFrame([(p.tolist(), 1.0) for p in mat], "_p array<double>, _w double")
+    monkeypatch.setattr(ivf, "MAX_ML_CENTRES", 10)
+    centres = ivf._weighted_kmeans(points, 40, 1, 10)
+    near = ((mat[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1)
+    assert centres.shape == (40, 8) and near.mean() < 8 * 0.1 ** 2 * 1.5
+    again = ivf._weighted_kmeans(points, 40, 1, 10)
+    assert np.array_equal(centres, again)
+
+
+def test_copies_give_fewer_centres(spark):
+    mat = np.repeat(np.eye(4), 25, axis=0)
+    assert len(ivf._seeds(mat, np.ones(100), 9, 1)) == 4
+
+
+def test_distances_held_at_once_do_not_follow_the_cell():
+    assert knn.sub_block(1_000) == 256
+    assert knn.sub_block(1_000_000) * 1_000_000 <= 4 << 20
