@@ -22,9 +22,10 @@ from tessera.functions.ordering import global_index
 from tessera.functions.text import words
 
 PAD_ID = 0
-# bytes of token text that are shipped to every task (about six times as much
-# as a Python dictionary)
+# bytes of token text that are shipped to every task
 MAX_BROADCAST_BYTES = 16 << 20
+# bytes of text whose words are looked up at once
+SLICE_BYTES = 4 << 20
 # spans of ids in which the hot tokens' bytes are counted
 ID_SPANS = 4096
 # a cold token's place in its row's list, told from ids (32 bits) by this offset
@@ -97,13 +98,33 @@ def _first_cold_id(vocab: DataFrame, max_bytes: int) -> int | None:
     return None
 
 
+def _text_slices(batch) -> Iterator:
+    """Runs of a batch's rows with about ``SLICE_BYTES`` of text (one longer
+    text stands alone)."""
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+    lo, used = 0, 0
+    for i, n in enumerate(size.tolist()):
+        if i > lo and used + n > SLICE_BYTES:
+            yield batch.slice(lo, i - lo)
+            lo, used = i, 0
+        used += n
+    if batch.num_rows > lo:
+        yield batch.slice(lo)
+
+
 def _look_up(docs, vocab, text_col, key, unk_id, keep_cold=False) -> DataFrame:
-    """One scan of the text and no shuffle: each task holds the table ``vocab``.
-    With ``keep_cold`` a row also has a number, the distinct words that the table
-    lacks, and ``_COLD`` + their place there among its ids."""
-    table = vocab.toArrow()
-    bc = docs.sparkSession.sparkContext.broadcast(
-        (table.column("token").to_pylist(), table.column("id").to_pylist()))
+    """One scan of the text and no shuffle: each task holds the table ``vocab``,
+    as Arrow columns.  With ``keep_cold`` a row also has a number, the distinct
+    words that the table lacks, and ``_COLD`` + their place there among its ids."""
+    import pyarrow as pa
+
+    sink = pa.BufferOutputStream()
+    table = vocab.select("token", "id").toArrow().combine_chunks()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    bc = docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
     fields = [T.StructField(key, docs.schema[key].dataType),
               T.StructField("_ids", T.ArrayType(T.LongType()))]
     if keep_cold:
@@ -113,21 +134,37 @@ def _look_up(docs, vocab, text_col, key, unk_id, keep_cold=False) -> DataFrame:
     def run(batches):
         import numpy as np
         import pyarrow as pa
-
-        find = dict(zip(*bc.value)).get
-        for batch in batches:
-            ids, cold = [], []
-            for text in batch.column(1).to_pylist():
-                tokens = (text or "").split()
-                if keep_cold:
-                    new = {}
-                    found = [new.setdefault(w, _COLD + len(new)) if i is None else i
-                             for w, i in zip(tokens, map(find, tokens))]
-                    cold.append(list(new))
-                else:
-                    found = [i for i in (find(w, unk_id) for w in tokens) if i is not None]
-                ids.append(np.array(found, np.int64))
-            cols = [batch.column(0), pa.array(ids, pa.list_(pa.int64()))]
+        import pyarrow.compute as pc
+
+        with pa.ipc.open_stream(pa.py_buffer(bc.value)) as stream:
+            table = stream.read_all().combine_chunks()
+        ids_of = table.column("id").to_numpy()
+        # null is no token: it stands for the words that the table lacks
+        hot = table.column("token").combine_chunks().cast(pa.large_string())
+        for batch in (part for b in batches for part in _text_slices(b)):
+            rows = [(text or "").split() for text in batch.column(1).to_pylist()]
+            ends = np.cumsum([0] + [len(r) for r in rows])
+            flat = [w for r in rows for w in r]
+            at = pc.index_in(pa.array(flat, pa.large_string()), value_set=hot)
+            lacks = np.asarray(at.is_null())
+            ids = np.full(len(flat), 0 if unk_id is None else unk_id, np.int64)
+            ids[~lacks] = ids_of[at.drop_null().to_numpy()]
+            cold = [[] for _ in rows]
+            if keep_cold:
+                where = np.flatnonzero(lacks)
+                row_of = np.searchsorted(ends, where, "right") - 1
+                new, last = {}, -1
+                for i, r in zip(where.tolist(), row_of.tolist()):
+                    if r != last:
+                        new, last = {}, r
+                    n = new.setdefault(flat[i], len(new))
+                    if n == len(cold[r]):
+                        cold[r].append(flat[i])
+                    ids[i] = _COLD + n
+            elif unk_id is None:
+                kept = np.cumsum(np.concatenate(([0], ~lacks)))
+                ids, ends = ids[~lacks], kept[ends]
+            cols = [batch.column(0), pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(ids))]
             if keep_cold:
                 cols += [batch.column(2), pa.array(cold, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(cols, [f.name for f in fields])
