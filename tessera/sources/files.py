@@ -10,16 +10,24 @@ from pyspark.sql import types as T
 
 from tessera import schemas
 
+#: Tasks of a scan of small files that are run as one.
+FILE_TASKS = 32
+
 
 def read_texts(spark: SparkSession, path: str, suffix: str = ".txt",
                recursive: bool = False) -> DataFrame:
     """One row per file, ``(path, text)``; the suffix is case-sensitive.
-    The whole file is one value (``wholetext``), split across tasks by file."""
+    The whole file is one value (``wholetext``), split across tasks by file.
+    Spark puts 32 small files into a task; of many such tasks, ``FILE_TASKS``
+    are run as one."""
     reader = spark.read.option("pathGlobFilter", f"*{suffix}")
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"),
-                                    F.col("value").alias("text"))
+    texts = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"),
+                                                     F.col("value").alias("text"))
+    least = 4 * spark.sparkContext.defaultParallelism
+    tasks = texts.rdd.getNumPartitions()
+    return texts.coalesce(max(least, -(-tasks // FILE_TASKS))) if tasks > least else texts
 
 
 def read_documents(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:

@@ -120,3 +120,55 @@ def test_copies_give_fewer_centres(spark):
 def test_distances_held_at_once_do_not_follow_the_cell():
     assert knn.sub_block(1_000) == 256
     assert knn.sub_block(1_000_000) * 1_000_000 <= 4 << 20
+
+
+def test_arrow_batches_are_bounded_for_every_query(spark):
+    prepare(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= ARROW_ROWS
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= ARROW_BYTES
+
+
+def test_texts_are_looked_up_in_slices(spark, monkeypatch):
+    import pyarrow as pa
+
+    texts = ["a b", None, "c " * 40, "", "a", "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], ["k", "t"])
+    monkeypatch.setattr(vocab, "SLICE_BYTES", 10)
+    parts = list(vocab._text_slices(batch))
+    assert [len(p) for p in parts] == [2, 1, 3]
+    assert [x for p in parts for x in p.column(1).to_pylist()] == texts
+
+
+def test_slices_and_cold_words_do_not_change_the_ids(spark):
+    docs = spark.createDataFrame([(1, "a b a zz"), (None, None), (2, ""), (2, "zz q a q"), (3, "new a")],
+                                 "doc_id long, text string")
+    table = spark.createDataFrame([("a", 1), ("b", 2), ("q", 5), ("zz", 9)], "token string, id int")
+
+    def got(**options):
+        return sorted(((r[0] or 0, r[1]) for r in vocab.encode(docs, table, **options).collect()))
+
+    want = [(0, []), (1, [1, 2, 1, 9]), (2, []), (2, [9, 5, 1, 5]), (3, [1])]
+    known = [(k, [7, 1] if k == 3 else ids) for k, ids in want]
+    for bound in (1, 40, 1 << 20):
+        assert got(max_broadcast_bytes=bound) == want
+        assert got(max_broadcast_bytes=bound, unk_id=7) == known
+
+
+def test_batches_encode_the_documents_once(spark, monkeypatch, tmp_path):
+    from tessera.plans import registry
+
+    spark.createDataFrame([(i, "w " * (20 + i)) for i in range(30)], "doc_id long, text string") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    built, plain = [], vocab.build_vocabulary
+    monkeypatch.setattr(vocab, "build_vocabulary", lambda *a, **k: built.append(1) or plain(*a, **k))
+    assert registry.q_batch_assign(spark, str(tmp_path)).count() == 24
+    assert len(built) == 1
+
+
+def test_many_small_files_are_read_in_few_tasks(spark):
+    least = 4 * spark.sparkContext.defaultParallelism
+    root = texts_in(2 * least)
+    with settings(spark, **{"spark.sql.files.maxPartitionBytes": "1b"}):
+        got = files.read_texts(spark, root)
+        assert got.rdd.getNumPartitions() <= least
+        assert {r.text for r in got.collect()} == {f"text {i}" for i in range(2 * least)}
