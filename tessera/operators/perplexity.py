@@ -19,10 +19,11 @@ from __future__ import annotations
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.counting import item_counts, row_item_counts
 from tessera.functions.text import lower_words
 from tessera.operators.chunking import word_chunks
 
@@ -43,11 +44,14 @@ def unigram_losses(train: DataFrame, eval_chunks: DataFrame, text_col: str = "te
     return j.groupBy(*key).agg(F.count(F.lit(1)).alias("n_tokens"), F.avg(nll).alias("loss"))
 
 
-def _word_pairs(words) -> Column:
-    """``array<struct<v, w>>``: every word ``w`` with the word ``v`` before it
-    (null before the first)."""
-    return F.transform(words, lambda w, i: F.struct(
-        F.when(i > 0, F.get(words, i - 1)).alias("v"), w.alias("w")))
+def _pairs(words: list):
+    """Every two neighbouring words."""
+    return zip(words, words[1:])
+
+
+def _pairs_from_start(words: list):
+    """Every word with the word before it, None before the first."""
+    return zip([None, *words[:-1]], words)
 
 
 def bigram_losses(train: DataFrame, eval_chunks: DataFrame, text_col: str = "text",
@@ -62,26 +66,22 @@ def bigram_losses(train: DataFrame, eval_chunks: DataFrame, text_col: str = "tex
 
     p is low where v never came before a word in train or w opens a chunk, and
     low is 1 where train holds no pair at all.  ``T + 1`` leaves room for one unseen word.  Pairs
-    do not cross documents or chunks.  A chunk's pairs are counted before they
-    are joined, so a frequent pair costs one row a chunk."""
+    do not cross documents or chunks.  Train pairs are counted where the text lies,
+    and so are a chunk's before they are joined: a frequent pair costs one row a chunk."""
     if not 0.0 < discount < 1.0:
         raise ValueError("discount must be between 0 and 1")
     from tessera.session import checkpoint_dir
     checkpoint_dir(train.sparkSession)
 
-    def pairs(df, *keep):
-        split = df.select(*keep, lower_words(F.col(text_col)).alias("_words"))
-        return split.select(*keep, F.explode(_word_pairs(F.col("_words"))).alias("_x")).select(
-            *keep, "_x.v", "_x.w")
-
     one = F.count(F.lit(1))
-    seen = (pairs(train).filter(F.col("v").isNotNull()).groupBy("v", "w").agg(one.alias("c"))
-            .checkpoint(eager=True))
+    seen = item_counts(train.select(F.lower(F.col(text_col))), _pairs, ("v", "w")).withColumnRenamed(
+        "n", "c").checkpoint(eager=True)
     before = seen.groupBy("v").agg(F.sum("c").alias("cv"), one.alias("tv"))
     follows = seen.groupBy("w").agg(one.alias("f")).checkpoint(eager=True)
     total = follows.agg(F.sum("f").alias("B"), one.alias("T")).first()
     b, t = total["B"] or 0, total["T"]
-    asked = pairs(eval_chunks, *key).groupBy(*key, "v", "w").agg(one.alias("_n"))
+    asked = row_item_counts(eval_chunks.select(*key, F.lower(F.col(text_col)).alias("_text")), "_text",
+                            _pairs_from_start, ("v", "w"), "_n")
     j = asked.join(seen, ["v", "w"], "left").join(before, "v", "left").join(follows, "w", "left")
     d = F.lit(float(discount))
     zero = F.lit(0.0)
