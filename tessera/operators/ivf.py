@@ -544,7 +544,7 @@ def _proposed(codes, cents, codebook, q, k, nprobe, id_col, cell_col, vectors_pe
     book = _codebook_array(codebook)
     bc = codes.sparkSession.sparkContext.broadcast((cents, book))
 
-    def kernel(cell, q_mat, payload, ids, k):
+    def kernel(cell, q_mat, payload, ids, k, limit):
         cents, book = bc.value
         m, ksub, _ = book.shape
         if len(ids) >= ksub:
@@ -552,7 +552,7 @@ def _proposed(codes, cents, codebook, q, k, nprobe, id_col, cell_col, vectors_pe
         # fewer rows than code words: the same distances, from the decoded rows
         code = knn._flat_vectors(payload, m)[0].astype(np.int64)
         rows = np.concatenate([book[s][code[:, s]] for s in range(m)], axis=1) + cents[cell]
-        return knn.nearest_rows(q_mat, rows, ids, k)
+        return knn.nearest_rows(q_mat, rows, ids, k, limit)
 
     v = codes.select(F.col(cell_col).alias("cell"), F.col(id_col).cast("long").alias("id"),
                      F.col("codes").alias("payload"))

@@ -37,13 +37,15 @@ FEW_QUERY_BYTES = 8 << 20
 # rows of the distance matrix computed at once inside a task, and its entries
 _QUERY_SUB_BLOCK = 256
 _SUB_BLOCK_ENTRIES = 4 << 20
+# entries up to which more rows are taken at once
+_FEW_ENTRIES = 1 << 18
 #: Bytes (as doubles) of the vectors or queries of one pack of cells, and the
 #: tasks per core that a search by cells is dealt into while packs are smaller.
 PACK_BYTES = 32 << 20
 PACK_TASKS_PER_CORE = 4
-# queries of a pack that look through its cells together, and their hits so far
-_PACK_QUERIES = 1024
-_PACK_HITS = 500_000
+# queries of a pack that look through its cells together: many, since each
+# cell costs a call, but at least the former where their hits are over the latter
+_PACK_QUERIES, _PACK_MOST_QUERIES, _PACK_HITS = 1024, 16_384, 500_000
 # digits of the order key
 _DIGITS = 9
 
@@ -77,24 +79,33 @@ def first_k(row: np.ndarray, ids: np.ndarray, d2: np.ndarray, k: int):
 
 def sub_block(n: int) -> int:
     """Queries whose distances to ``n`` rows are held at once."""
-    return max(1, min(_QUERY_SUB_BLOCK, _SUB_BLOCK_ENTRIES // max(1, n)))
+    n = max(1, n)
+    return max(1, min(max(_QUERY_SUB_BLOCK, _FEW_ENTRIES // n), _SUB_BLOCK_ENTRIES // n))
 
 
-def nearest_rows(q: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int):
+def nearest_rows(q: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int,
+                 limit: np.ndarray | None = None):
     """``(query row, id, d2)`` of the ``k`` rows of ``v`` nearest to each row
-    of ``q``, ordered by ``(round(d2, 9), id)``."""
+    of ``q``, ordered by ``(round(d2, 9), id)``.  Where ``limit`` has a query's
+    k-th distance so far, rows beyond it are left out unmeasured."""
     out = []
     v_sq = (v * v).sum(axis=1)
+    # half of (distance - square of the query) as one product
+    sides = np.concatenate([v, v_sq[:, None] / 2], axis=1).T
     step = sub_block(len(ids))
     for lo in range(0, len(q), step):
         part = q[lo:lo + step]
         q_sq = (part * part).sum(axis=1)
-        approx = q_sq[:, None] + v_sq[None, :] - 2.0 * (part @ v.T)
-        if len(ids) > k:
-            cut = np.partition(approx, k - 1, axis=1)[:, k - 1]
+        approx = np.concatenate([-part, np.ones((len(part), 1))], axis=1) @ sides
+        known = np.full(len(part), np.inf) if limit is None else limit[lo:lo + step]
+        if len(ids) > k or np.isfinite(known).any():
+            cut = (known - q_sq) / 2
+            open_ = np.flatnonzero(~np.isfinite(known))
+            if len(open_) and len(ids) > k:
+                cut[open_] = np.partition(approx[open_], k - 1, axis=1)[:, k - 1]
             # twice the rounding error of the product form, and one step of the key
             slack = 4e-16 * (v.shape[1] + 8) * (q_sq + v_sq.max()) * 2 + 10.0 ** -_DIGITS
-            row, at = np.nonzero(approx <= (cut + slack)[:, None])
+            row, at = np.divmod(np.flatnonzero(approx <= (cut + slack / 2)[:, None]), len(ids))
         else:
             row, at = np.divmod(np.arange(approx.size), max(1, len(ids)))
         d2 = np.zeros(len(row))
@@ -270,8 +281,9 @@ def pack_search(vectors: DataFrame, queries: DataFrame, packs: Packs, wanted, ke
     payload)`` meet ``queries (q_id, vector, limit)`` pack by pack, a pack's
     queries in blocks of ``queries_per_group``.  What is exchanged follows the
     packs and blocks, not the cells that a query looks through.
-    ``kernel(cell, query matrix, payload column, ids, k)`` returns ``(query row,
-    id, d2)`` arrays; ``candidates (q_id, id, d2, pack)`` are the best ``k`` of
+    ``kernel(cell, query matrix, payload column, ids, k, limit)`` returns ``(query
+    row, id, d2)`` arrays and may leave out what lies beyond a query's k-th
+    distance so far; ``candidates (q_id, id, d2, pack)`` are the best ``k`` of
     every query and pack.  Counts by cell and by pack reach the driver."""
     sent, counts = sent_to_packs(queries, packs, wanted)
     found = {0: {}, 1: {}}
@@ -294,10 +306,11 @@ def pack_search(vectors: DataFrame, queries: DataFrame, packs: Packs, wanted, ke
         payload, ids = right.column("payload").combine_chunks(), right.column("id").to_numpy()
         q_mat, _ = _flat_vectors(left.column("vector"), None)
         bits = left.column("cells").to_pylist()
+        step = max(_PACK_QUERIES, min(_PACK_MOST_QUERIES, _PACK_HITS // k))
         out = []
-        for lo in range(0, len(q_mat), _PACK_QUERIES):
-            part = q_mat[lo:lo + _PACK_QUERIES]
-            want = np.unpackbits(np.frombuffer(b"".join(bits[lo:lo + _PACK_QUERIES]), np.uint8)
+        for lo in range(0, len(q_mat), step):
+            part = q_mat[lo:lo + step]
+            want = np.unpackbits(np.frombuffer(b"".join(bits[lo:lo + step]), np.uint8)
                                  .reshape(len(part), -1), axis=1)
             hits = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
             limit, held = np.full(len(part), np.inf), 0
@@ -306,12 +319,12 @@ def pack_search(vectors: DataFrame, queries: DataFrame, packs: Packs, wanted, ke
                 if not len(rows):
                     continue
                 row, found_ids, d2 = kernel(int(cell[a]), part[rows], payload.slice(a, b - a),
-                                            ids[a:b], k)
+                                            ids[a:b], k, limit[rows])
                 row = rows[row]
                 near = d2 <= limit[row]  # a query's k-th hit so far, and ties of its key
                 hits.append((row[near], found_ids[near], d2[near]))
                 held += int(near.sum())
-                if held > _PACK_HITS:
+                if held >= k * len(part):
                     hits, held = [first_k(*map(np.concatenate, zip(*hits)), k)], 0
                     row, _, d2 = hits[0]
                     full = np.bincount(row, minlength=len(part)) == k
@@ -378,9 +391,9 @@ def rescore(vectors: DataFrame, asked: DataFrame, packs: Packs, k: int, id_col:
         block, f"q_id long, `{id_col}` long, d2 double")
 
 
-def flat_kernel(cell, q_mat, payload, ids, k):
+def flat_kernel(cell, q_mat, payload, ids, k, limit=None):
     vecs, _ = _flat_vectors(payload, q_mat.shape[1])
-    return nearest_rows(q_mat, vecs, ids, k)
+    return nearest_rows(q_mat, vecs, ids, k, limit)
 
 
 def running_search(vectors: DataFrame, q_ids: np.ndarray, q_mat: np.ndarray, k: int,

@@ -5,6 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import ivf, knn
 
@@ -75,3 +76,40 @@ def test_pq_kernels_are_bounded_at_dim_384(spark):
         rq = residual[q].reshape(m, dsub)
         want = sum(((rq[s] - book[s][code[:, s]]) ** 2).sum(1) for s in range(m))
         assert ids[row == q].tolist() == np.lexsort((np.arange(4000), np.round(want, 9)))[:5].tolist()
+
+
+def test_rows_beyond_a_known_distance_are_not_measured():
+    rng = np.random.default_rng(5)
+    vecs = rng.normal(size=(400, 8))
+    d2 = ((vecs[:20, None] - vecs[None]) ** 2).sum(axis=2)
+    limit = np.sort(d2, axis=1)[:, 6]
+    limit[::2] = np.inf
+    row, ids, _ = knn.nearest_rows(vecs[:20], vecs, np.arange(400), 50, limit)
+    for i in range(20):
+        assert ids[row == i].tolist() == brute(vecs, np.arange(400), vecs[i], 50 if i % 2 == 0 else 7)
+
+
+def test_a_pack_tells_its_kernel_the_distances_so_far(spark):
+    rng = np.random.default_rng(6)
+    vecs = rng.normal(size=(2000, 4))
+    df = spark.createDataFrame([(i, i // 100, v.tolist()) for i, v in enumerate(vecs)],
+                               "row_id long, cell_id int, embedding array<double>")
+    asked = df.select(F.col("row_id").alias("q_id"), F.col("embedding").alias("vector"),
+                      F.lit(float("inf")).alias("limit"))
+
+    def kernel(cell, q_mat, payload, ids, k, limit):
+        row, ids, d2 = knn.flat_kernel(cell, q_mat, payload, ids, k, limit)
+        # the last of the 20 cells: all distances are known, few rows are left to measure
+        assert cell < 19 or (np.isfinite(limit).all() and len(row) < len(q_mat) * k)
+        return row, ids, d2
+
+    v = df.select(F.col("cell_id").alias("cell"), F.col("row_id").alias("id"),
+                  F.col("embedding").alias("payload"))
+    found, _ = knn.pack_search(v, asked, knn.Packs({c: 100 for c in range(20)}, 20, 2000),
+                               lambda vecs, limit: np.ones((len(vecs), 20), bool),
+                               kernel, 3, "row_id", 700)
+    got = {}
+    for r in knn.rank_hits(found, 3, "row_id").collect():
+        got.setdefault(r.q_id, []).append((r.rank, r.row_id))
+    for i in range(0, 2000, 37):
+        assert [x for _, x in sorted(got[i])] == brute(vecs, np.arange(2000), vecs[i], 3)
