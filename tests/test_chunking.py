@@ -90,3 +90,37 @@ def test_word_chunk_property(spark):
     rows = {r.doc_id: r.t for r in got.collect()}
     for r in docs.collect():
         assert rows.get(r.doc_id, "") == " ".join(r.text.split())
+
+
+def _chunk_rules(spark, folder, rows):
+    from tessera.plans.registry import q_recursive_chunk_rules
+    spark.createDataFrame(rows, "doc_id long, text string").write.mode("overwrite").parquet(
+        f"{folder}/documents.parquet")
+    got = q_recursive_chunk_rules(spark, str(folder)).collect()
+    return sorted(((r.doc_id, r.all_short, r.all_contained, r.in_order, r.words_kept) for r in got), key=str)
+
+
+def test_chunk_rules_hold_on_every_document(spark, tmp_path):
+    prose = " ".join(f"word{i}" for i in range(300))
+    rows = [(1, prose), (1, prose), (1, "other text of the same id"), (None, "no id"), (2, "a\r\nb\rc"),
+            (3, "x" * 399 + " " + "y" * 398 + "\n\n" + "z" * 1000), (4, "same " * 400), (5, "  "), (6, None),
+            (7, "\t".join(f"{i}" * 60 for i in range(100, 120))), (8, " " * 380 + "x " + "v" * 397)]
+    want = [(d, True, True, True, True) for d, text in rows if text and text.strip()]
+    assert _chunk_rules(spark, tmp_path, rows) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("fault,rule", [("order", 3), ("long", 4), ("none", 4)])
+def test_chunk_rules_find_faults(spark, monkeypatch, tmp_path, fault, rule):
+    plain = splitter.recursive_chunks
+
+    def faulty(*args, **kwargs):
+        ch = plain(*args, **kwargs)
+        if fault == "order":
+            return ch.withColumn("chunk_id", -F.col("chunk_id"))
+        return ch.filter(~F.col("text").contains("L" * 380)) if fault == "long" else ch.filter("false")
+
+    text = " ".join(f"word{i}" for i in range(200)) + "\n\n" + "L" * 380
+    assert _chunk_rules(spark, tmp_path, [(1, text)]) == [(1, True, True, True, True)]
+    monkeypatch.setattr(splitter, "recursive_chunks", faulty)
+    got = _chunk_rules(spark, tmp_path, [(1, text)])
+    assert len(got) == 1 and [i for i, ok in enumerate(got[0]) if ok is False] == [rule]
