@@ -9,23 +9,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera import schemas
+from tessera.sources import listing
 
-#: Tasks of a scan of small files that are run as one.
+#: Tasks of a scan of small files that are run as one, and files of such a task.
 FILE_TASKS = 32
+TASK_FILES = 32
 
 
 def read_texts(spark: SparkSession, path: str, suffix: str = ".txt",
                recursive: bool = False) -> DataFrame:
     """One row per file, ``(path, text)``; the suffix is case-sensitive.
     The whole file is one value (``wholetext``), split across tasks by file.
-    Spark puts 32 small files into a task; of many such tasks, ``FILE_TASKS``
-    are run as one."""
+    A folder is listed by a task and its names are dealt to the reading tasks
+    (``listing``), so the driver holds none of them.  What only Spark can list
+    is read by Spark: it puts 32 small files into a task; of many such tasks,
+    ``FILE_TASKS`` are run as one."""
+    least = 4 * spark.sparkContext.defaultParallelism
+    names = listing.names(spark, path, suffix, recursive)
+    if names is not None:
+        n = names.count()
+        tasks = max(1, min(n, max(least, -(-n // (TASK_FILES * FILE_TASKS)))))
+        return listing.texts(names.repartition(tasks, "file"))
     reader = spark.read.option("pathGlobFilter", f"*{suffix}")
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     texts = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"),
                                                      F.col("value").alias("text"))
-    least = 4 * spark.sparkContext.defaultParallelism
     tasks = texts.rdd.getNumPartitions()
     return texts.coalesce(max(least, -(-tasks // FILE_TASKS))) if tasks > least else texts
 
