@@ -253,3 +253,51 @@ def test_cli_answer_compare_extract_and_incremental_corpus(spark, capsys):
         f.write("Question: why?")
     main(["extract", "--prompt-file", f"{root}/p.txt"])
     assert "Question: why?" in capsys.readouterr().out
+
+
+def _ingested(spark, out):
+    return sorted((os.path.basename(r.path), r.text) for r in spark.read.parquet(out).collect())
+
+
+def test_the_driver_keeps_lists_not_files(spark):
+    root = scratch_path(spark, "lists")
+    _write(f"{root}/in", [f"a {i}+%" for i in range(25)])
+    args = (spark, f"{root}/in", f"{root}/out", f"{root}/ckpt")
+    assert ingest.ingest_texts(*args, max_files_per_batch=10) == 25
+    _write(f"{root}/in", ["b"])
+    for _ in range(2):
+        assert ingest.ingest_texts(*args, max_files_per_batch=10) == 26
+    # what the stream's source keeps on the driver: 3 lists and 1, not 26 files
+    log = spark.read.text(f"{root}/ckpt/sources/0").filter("value LIKE '{%'").distinct()
+    assert log.count() == 4
+    assert len(_ingested(spark, f"{root}/out")) == len({n for n, _ in _ingested(spark, f"{root}/out")}) == 26
+
+
+def test_a_pass_that_broke_off_is_taken_up(spark):
+    root = scratch_path(spark, "broken")
+    _write(f"{root}/in", ["a", "b", "c"])
+    args = (spark, f"{root}/in", f"{root}/out", f"{root}/ckpt")
+
+    def fails(stream):
+        return stream.select("path", F.when(F.col("text") == "text of b", F.raise_error(F.lit("no"))).otherwise(
+            F.col("text")).alias("text"))
+
+    with pytest.raises(Exception):
+        ingest.ingest_texts(*args, transform=fails, max_files_per_batch=1)
+    _write(f"{root}/in", ["d"])
+    assert ingest.ingest_texts(*args, max_files_per_batch=1) == 4
+    assert _ingested(spark, f"{root}/out") == [(f"{n}.txt", f"text of {n}") for n in "abcd"]
+
+
+def test_a_stream_of_text_files_goes_on_by_lists(spark, monkeypatch):
+    from tessera.sources import listing
+    root = scratch_path(spark, "older")
+    _write(f"{root}/in", ["a b+%41", "c"])
+    args = (spark, f"{root}/in", f"{root}/out", f"{root}/ckpt")
+    with monkeypatch.context() as older:
+        older.setattr(listing, "names", lambda *a: None)
+        assert ingest.ingest_texts(*args) == 2
+    assert ingest.ingest_texts(*args) == 2
+    _write(f"{root}/in", ["d"])
+    assert ingest.ingest_texts(*args) == 3
+    assert [n for n, _ in _ingested(spark, f"{root}/out")] == ["a%20b+%2541.txt", "c.txt", "d.txt"]
