@@ -44,8 +44,12 @@ _FEW_ENTRIES = 1000 * _QUERY_SUB_BLOCK
 PACK_BYTES = 32 << 20
 PACK_TASKS_PER_CORE = 4
 # queries of a pack that look through its cells together: many, since each
-# cell costs a call, but at least the former where their hits are over the latter
-_PACK_QUERIES, _PACK_MOST_QUERIES, _PACK_HITS = 1024, 16_384, 500_000
+# cell costs a call, but few where they ask for many hits, which are held
+_PACK_FEWEST_QUERIES, _PACK_MOST_QUERIES, _PACK_HITS = 64, 16_384, 500_000
+#: Hits that a group of packs and queries returns, and ids that a group scores
+#: again; a group's queries are fewer where each has many.
+GROUP_HITS, GROUP_IDS = 1_000_000, 4_000_000
+_SCORED_QUERIES = 256
 # digits of the order key
 _DIGITS = 9
 
@@ -224,6 +228,11 @@ def block_rows(spark, n: int, dim: int, most: int | None = None) -> int:
     return min(rows, most) if most else rows
 
 
+def queries_together(k: int) -> int:
+    """Queries of a pack that look for ``k`` hits together."""
+    return max(_PACK_FEWEST_QUERIES, min(_PACK_MOST_QUERIES, _PACK_HITS // k))
+
+
 def sent_to_packs(queries: DataFrame, packs: Packs, wanted) -> tuple[DataFrame, DataFrame]:
     """``(sent, counts)`` of ``queries (q_id, vector, limit)``.
 
@@ -279,7 +288,8 @@ def pack_search(vectors: DataFrame, queries: DataFrame, packs: Packs, wanted, ke
                 id_col: str, queries_per_group: int) -> tuple[DataFrame, DataFrame]:
     """The block join by cells: ``(candidates, sent)``.  ``vectors (cell, id,
     payload)`` meet ``queries (q_id, vector, limit)`` pack by pack, a pack's
-    queries in blocks of ``queries_per_group``.  What is exchanged follows the
+    queries in blocks of ``queries_per_group``, or fewer where ``k`` hits of each
+    would be over ``GROUP_HITS``.  What is exchanged follows the
     packs and blocks, not the cells that a query looks through.
     ``kernel(cell, query matrix, payload column, ids, k, limit)`` returns ``(query
     row, id, d2)`` arrays and may leave out what lies beyond a query's k-th
@@ -289,6 +299,9 @@ def pack_search(vectors: DataFrame, queries: DataFrame, packs: Packs, wanted, ke
     found = {0: {}, 1: {}}
     for r in counts.collect():
         found[r["kind"]][r["key"]] = r["n"]
+    step = queries_together(k)
+    if queries_per_group * k > GROUP_HITS:
+        queries_per_group = min(queries_per_group, max(1, GROUP_HITS // k // step) * step)
     per_pack = {p: max(1, -(-n // queries_per_group)) for p, n in found[1].items()}
     schema = T.StructType([T.StructField("q_id", T.LongType()), T.StructField(id_col, T.LongType()),
                            T.StructField("d2", T.DoubleType()), T.StructField("pack", T.IntegerType())])
@@ -306,7 +319,6 @@ def pack_search(vectors: DataFrame, queries: DataFrame, packs: Packs, wanted, ke
         payload, ids = right.column("payload").combine_chunks(), right.column("id").to_numpy()
         q_mat, _ = _flat_vectors(left.column("vector"), None)
         bits = left.column("cells").to_pylist()
-        step = max(_PACK_QUERIES, min(_PACK_MOST_QUERIES, _PACK_HITS // k))
         out = []
         for lo in range(0, len(q_mat), step):
             part = q_mat[lo:lo + step]
@@ -352,9 +364,11 @@ def rescore(vectors: DataFrame, asked: DataFrame, packs: Packs, k: int, id_col:
             queries_per_group: int) -> DataFrame:
     """``(q_id, id, d2)``: of the ids that each row of ``asked (pack, q_id,
     vector, ids)`` names among its pack's ``vectors (cell, id, payload)``, the
-    ``k`` nearest, measured as in the exact search."""
-    per_pack = {r["pack"]: max(1, -(-r["count"] // queries_per_group))
-                for r in asked.groupBy("pack").count().collect()}
+    ``k`` nearest, measured as in the exact search.  A group has at most about
+    ``queries_per_group`` queries and ``GROUP_IDS`` ids."""
+    per_pack = {r["pack"]: max(1, -(-r["n"] // queries_per_group), -(-r["ids"] // GROUP_IDS))
+                for r in asked.groupBy("pack").agg(F.count(F.lit(1)).alias("n"), F.sum(
+                    F.size("ids")).alias("ids")).collect()}
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
@@ -365,9 +379,8 @@ def rescore(vectors: DataFrame, asked: DataFrame, packs: Packs, k: int, id_col:
             ids, mat = ids[order], mat[order]
             q_mat, _ = _flat_vectors(left.column("vector"), dim)
             lists = left.column("ids").combine_chunks()
-            step = _PACK_QUERIES // 4
-            for lo in range(0, len(q_mat), step):
-                part = lists.slice(lo, step)
+            for lo in range(0, len(q_mat), _SCORED_QUERIES):
+                part = lists.slice(lo, _SCORED_QUERIES)
                 wanted = part.flatten().to_numpy()
                 row = np.repeat(np.arange(lo, lo + len(part)), np.diff(part.offsets.to_numpy()))
                 a, n = np.searchsorted(ids, wanted), 0

@@ -172,3 +172,30 @@ def test_many_small_files_are_read_in_few_tasks(spark):
         got = files.read_texts(spark, root)
         assert got.rdd.getNumPartitions() <= least
         assert {r.text for r in got.collect()} == {f"text {i}" for i in range(2 * least)}
+
+
+def test_many_hits_a_query_make_groups_of_fewer_queries(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(400, 8)))],
+                              "row_id long, embedding array<double>").checkpoint(eager=True)
+    cents = ivf.train_centroids(v, nlist=5, max_iter=3).checkpoint(eager=True)
+    filed = ivf.assign_cells(v, cents).checkpoint(eager=True)
+    book = ivf.train_pq(filed, cents, 4, 4, max_iter=3).checkpoint(eager=True)
+    codes = ivf.encode_pq(filed, cents, book).checkpoint(eager=True)
+    q = v.withColumnRenamed("row_id", "q_id")
+    dealt, plain = [], knn._dealt_queries
+    monkeypatch.setattr(knn, "_dealt_queries", lambda sent, per: dealt.append(dict(per)) or plain(sent, per))
+    monkeypatch.setattr(knn, "_PACK_FEWEST_QUERIES", 2)
+
+    def found():
+        dealt.clear()
+        hits = ivf.search_pq_refined(codes, filed, cents, book, q, 5, 3, 8)
+        return sorted(map(tuple, hits.select("q_id", "row_id", "rank", "d2").collect()))
+
+    want, few = found(), [sum(x.values()) for x in dealt]
+    monkeypatch.setattr(knn, "GROUP_HITS", 400)    # 10 queries of 40 hits
+    monkeypatch.setattr(knn, "GROUP_IDS", 1000)
+    monkeypatch.setattr(knn, "_PACK_HITS", 200)
+    assert found() == want and len(want) == 2000
+    hits, ids = (sum(x.values()) for x in dealt)
+    assert hits > 2 * few[0] and ids >= few[1], (hits, ids, few)
